@@ -11,10 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridepulse.operators import audit, clean, normalize, running, summaries
+from ridepulse.operators import audit, clean, normalize, replay, running, summaries
 from ridepulse.operators.normalize import DISPATCH, METERED
 from ridepulse.session import prepare
 from ridepulse.sources import testdata
+from ridepulse.streaming.runs import run_to_end, testdata_trip_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +126,29 @@ def payment_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running.payment_analysis(trips_stream_clean(spark, sf_dir))
 
 
+# ---- replay and streaming --------------------------------------------------------------
+
+
+def replay_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream-normalised trips in event-time order, cut into files of 5,000 rows."""
+    return replay.assign_slices(trips_stream_norm(spark, sf_dir))
+
+
+def _stream(kind: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        out, _ = run_to_end(spark, testdata_trip_stream(spark, sf_dir), kind)
+        return out
+
+    run.__name__ = f"stream_{kind}"
+    return run
+
+
+stream_zone_demand = _stream("zone_demand")
+stream_daily_stats = _stream("daily_stats")
+stream_payment = _stream("payment_analysis")
+
+
 QUERIES: dict[str, Query] = {
     "trips_metered": trips_metered,
     "trips_dispatch": trips_dispatch,
@@ -149,4 +173,8 @@ QUERIES: dict[str, Query] = {
     "zone_demand": zone_demand,
     "daily_stats": daily_stats,
     "payment_analysis": payment_analysis,
+    "replay_split": replay_split,
+    "stream_zone_demand": stream_zone_demand,
+    "stream_daily_stats": stream_daily_stats,
+    "stream_payment": stream_payment,
 }

@@ -171,6 +171,8 @@ _TRIP_COLS = [
     "DOLocationID", "payment_type", "fare_amount", "tip_amount", "total_amount",
 ]
 
+_REPLAY_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in _TRIP_COLS)
+
 ORACLE_SQL: dict[str, str] = {
     "trips_metered": _with("SELECT * FROM trips_metered"),
     "trips_dispatch": _with("SELECT * FROM trips_dispatch"),
@@ -265,4 +267,11 @@ ORACLE_SQL: dict[str, str] = {
                    {_money_sum('total_amount')} AS total_revenue
             FROM trips_stream_clean GROUP BY payment_type"""
     ),
+    "replay_split": _with(
+        f"""SELECT *, CAST((row_number() OVER (ORDER BY {_REPLAY_ORDER}) - 1) // 5000 AS BIGINT) AS slice
+            FROM trips_stream_norm"""
+    ),
 }
+ORACLE_SQL["stream_zone_demand"] = ORACLE_SQL["zone_demand"]
+ORACLE_SQL["stream_daily_stats"] = ORACLE_SQL["daily_stats"]
+ORACLE_SQL["stream_payment"] = ORACLE_SQL["payment_analysis"]
