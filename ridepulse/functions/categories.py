@@ -29,7 +29,12 @@ def fare_bucket_ord(col: str | Column = "fare_amount") -> Column:
 
 
 def fare_bucket_label(ord_col: str | Column = "bucket_ord") -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in FARE_BUCKET_LABELS]), _c(ord_col))
+    # A map lookup: NULL in, NULL out. (``element_at`` on a literal array with a
+    # NULL index returned the last element in Spark 4.1.)
+    pairs = []
+    for i, label in enumerate(FARE_BUCKET_LABELS, start=1):
+        pairs += [F.lit(i), F.lit(label)]
+    return F.create_map(*pairs)[_c(ord_col)]
 
 
 def fare_bucket_frame(spark: SparkSession) -> DataFrame:

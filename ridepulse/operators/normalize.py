@@ -86,8 +86,13 @@ def _typed(expr: Column, name: str) -> Column:
     return expr.cast(TRIP_TYPES[name]).alias(name)
 
 
-def normalise_batch(raw: DataFrame, feed: str, tag: str | None = None) -> DataFrame:
-    """Rename + cast one feed to the canonical columns and tag its source."""
+def normalise_batch(
+    raw: DataFrame, feed: str, tag: str | None = None, extra: tuple[str, ...] = ()
+) -> DataFrame:
+    """Rename + cast one feed to the canonical columns and tag its source.
+
+    ``extra`` names raw columns carried through unchanged (e.g. the file path).
+    """
     mapping = BATCH_MAPPING[feed]
     missing = [src for src in mapping.values() if src is not None and src not in raw.columns]
     if missing:
@@ -95,10 +100,10 @@ def normalise_batch(raw: DataFrame, feed: str, tag: str | None = None) -> DataFr
     cols = [
         _typed(F.lit(None) if src is None else F.col(src), dst) for dst, src in mapping.items()
     ]
-    return raw.select(*cols, F.lit(tag or feed).alias("source"))
+    return raw.select(*cols, F.lit(tag or feed).alias("source"), *extra)
 
 
-def normalise_stream(raw: DataFrame, feed: str) -> DataFrame:
+def normalise_stream(raw: DataFrame, feed: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Canonical stream columns from one feed (no source tag, no row filter)."""
     mapping = STREAM_MAPPING[feed]
     present = {dst: src for dst, src in mapping.items() if src in raw.columns}
@@ -113,7 +118,7 @@ def normalise_stream(raw: DataFrame, feed: str) -> DataFrame:
             exprs[name] = F.lit(None)
     if feed == DISPATCH:
         exprs["total_amount"] = exprs["fare_amount"].cast("double") + exprs["tip_amount"].cast("double")
-    return raw.select(*[_typed(exprs[n], n) for n in TRIP_COLUMNS])
+    return raw.select(*[_typed(exprs[n], n) for n in TRIP_COLUMNS], *extra)
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
