@@ -1,10 +1,14 @@
 """Money aggregates that give the same value whatever the row order.
 
 Money columns are DOUBLE in the trip table (as the feeds deliver them) but are
-summed as DECIMAL(12,2): a decimal sum is exact, so partial aggregates merged
-in any order give one result, on one executor or a thousand. The same holds for
+summed as whole cents (BIGINT): an integer sum is exact, so partial
+aggregates merged in any order give one result, on one executor or a
+thousand. The conversion is ``floor(x * 100 + 0.5)``, primitive arithmetic
+inside whole-stage codegen (a per-row DECIMAL cast builds a BigDecimal per
+value and was the hottest expression of every summary). Values outside the
+DECIMAL(12,2) range, NaN and infinities count as NULL. The same holds for
 any quantity recorded in hundredths (distances), so rounded averages of those
-use the decimal path too.
+use this path too.
 """
 
 from __future__ import annotations
@@ -12,38 +16,46 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ridepulse.schema import MONEY_DECIMAL
+# Largest magnitude kept (the range of DECIMAL(12,2)).
+_MAX_ABS = 1e10
 
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def as_money(col: str | Column) -> Column:
-    """Cents-exact decimal of a money value (NULL when it does not fit)."""
-    return _c(col).try_cast(MONEY_DECIMAL)
+def cents(col: str | Column) -> Column:
+    """Whole cents of a money value, rounded half up; NULL when not a finite value in range."""
+    c = _c(col).cast("double")
+    return F.when(F.abs(c) < F.lit(_MAX_ABS), F.floor(c * 100 + 0.5))
 
 
 def money_sum(col: str | Column) -> Column:
     """Exact sum of a money column, returned as DOUBLE."""
-    return F.sum(as_money(col)).cast("double")
+    return F.sum(cents(col)) / 100
 
 
 def money_avg(col: str | Column) -> Column:
     """Average of a money column: exact sum over the non-NULL count, as DOUBLE."""
-    c = as_money(col)
-    return F.sum(c).cast("double") / F.count(c)
+    c = cents(col)
+    return F.sum(c) / 100 / F.count(c)
 
 
 def money_avg_r2(col: str | Column) -> Column:
-    """Average rounded half-up to cents, computed from the exact sum."""
-    c = as_money(col)
-    return F.round(F.sum(c) / F.nullif(F.count(c), F.lit(0)), 2).cast("double")
+    """Average rounded half up (away from zero) to cents, from the exact sum.
+
+    The one decimal division happens per group, after the aggregate; with the
+    sum as DECIMAL(20,0) Spark keeps 18 fraction digits, so the rounding to
+    cents is exact for any realistic count.
+    """
+    c = cents(col)
+    avg_cents = F.round(F.sum(c).cast("decimal(20,0)") / F.nullif(F.count(c), F.lit(0)), 0)
+    return avg_cents.cast("double") / 100
 
 
 def money_sum_r2(col: str | Column) -> Column:
     """Sum rounded to cents (already exact at cents), as DOUBLE."""
-    return F.round(F.sum(as_money(col)), 2).cast("double")
+    return money_sum(col)
 
 
 def mean(col: str | Column) -> Column:

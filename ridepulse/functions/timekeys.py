@@ -19,15 +19,13 @@ def day_of_week(ts: str | Column = "pickup_datetime") -> Column:
     return F.dayofweek(_c(ts))
 
 
-def day_name(ts: str | Column = "pickup_datetime") -> Column:
-    return F.date_format(_c(ts), "EEEE")
-
-
 def month_key(ts: str | Column = "pickup_datetime") -> Column:
+    """``yyyy-MM`` text; group on ``month_start`` and format the aggregated rows."""
     return F.date_format(_c(ts), "yyyy-MM")
 
 
 def date_key(ts: str | Column = "pickup_datetime") -> Column:
+    """``yyyy-MM-dd`` text; group on ``calendar_date`` and format the aggregated rows."""
     return F.date_format(_c(ts), "yyyy-MM-dd")
 
 
@@ -42,3 +40,25 @@ def duration_minutes(
     start: str | Column = "pickup_datetime", end: str | Column = "dropoff_datetime"
 ) -> Column:
     return duration_seconds(start, end) / 60
+
+
+# English weekday names, numbered as ``dayofweek`` numbers them.
+WEEKDAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+
+def weekday_name(dow: str | Column = "day_of_week") -> Column:
+    """Name of a ``dayofweek`` number (1 = Sunday); used on aggregated rows."""
+    pairs = []
+    for i, name in enumerate(WEEKDAY_NAMES, start=1):
+        pairs += [F.lit(i), F.lit(name)]
+    return F.create_map(*pairs)[_c(dow)]
+
+
+def month_start(ts: str | Column = "pickup_datetime") -> Column:
+    """First instant of the month: a cheap per-row grouping key."""
+    return F.date_trunc("month", _c(ts))
+
+
+def calendar_date(ts: str | Column = "pickup_datetime") -> Column:
+    """Calendar date (session time zone): a cheap per-row grouping key."""
+    return F.to_date(_c(ts))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridepulse.functions.money import money_avg_r2, money_sum_r2
-from ridepulse.functions.timekeys import date_key
+from ridepulse.functions.timekeys import calendar_date, date_key
 from ridepulse.schema import ZONE_WINDOW
 
 
@@ -36,14 +36,18 @@ def zone_demand(trips: DataFrame, window: str = ZONE_WINDOW) -> DataFrame:
 
 
 def daily_stats(trips: DataFrame) -> DataFrame:
-    """Running statistics per calendar day (``yyyy-MM-dd`` of the pickup)."""
-    return trips.groupBy(date_key().alias("trip_date")).agg(
+    """Running statistics per calendar day (``yyyy-MM-dd`` of the pickup).
+
+    Grouped on the date value; the text key is formatted on the aggregated rows.
+    """
+    agg = trips.groupBy(calendar_date().alias("_day")).agg(
         F.count(F.lit(1)).alias("total_trips"),
         money_avg_r2("fare_amount").alias("avg_fare"),
         money_avg_r2("tip_amount").alias("avg_tip"),
         money_avg_r2("trip_distance").alias("avg_distance"),
         money_sum_r2("total_amount").alias("total_revenue"),
     )
+    return agg.select(date_key("_day").alias("trip_date"), *[c for c in agg.columns if c != "_day"])
 
 
 def daily_stats_windowed(trips: DataFrame) -> DataFrame:

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from ridepulse.functions.categories import fare_bucket_frame, fare_bucket_ord, payment_label
 from ridepulse.functions.money import mean, money_avg, money_sum
 from ridepulse.functions.timekeys import (
-    day_name,
     day_of_week,
     duration_seconds,
     hour_of_day,
     month_key,
+    month_start,
+    weekday_name,
 )
 from ridepulse.schema import REVENUE_CANDIDATES, TIPS_CANDIDATES
 
@@ -36,29 +37,30 @@ def peak_hours(trips: DataFrame) -> DataFrame:
 
 
 def daily_patterns(trips: DataFrame) -> DataFrame:
-    return (
-        trips.groupBy(day_of_week().alias("day_of_week"), day_name().alias("day_name"))
-        .agg(
-            F.count(F.lit(1)).alias("total_trips"),
-            money_avg("fare_amount").alias("avg_fare"),
-            money_avg("tip_amount").alias("avg_tip"),
-        )
-        .orderBy("day_of_week")
+    """Per weekday. The name depends on the number only, so it is attached to
+    the seven aggregated rows instead of being formatted for every trip."""
+    agg = trips.groupBy(day_of_week().alias("day_of_week")).agg(
+        F.count(F.lit(1)).alias("total_trips"),
+        money_avg("fare_amount").alias("avg_fare"),
+        money_avg("tip_amount").alias("avg_tip"),
     )
+    return agg.select(
+        "day_of_week", weekday_name("day_of_week").alias("day_name"), "total_trips", "avg_fare", "avg_tip"
+    ).orderBy("day_of_week")
 
 
 def monthly_trends(trips: DataFrame) -> DataFrame:
     """Per month; the average duration is whole seconds summed, over 60 * trips."""
     secs = duration_seconds()
+    agg = trips.groupBy(month_start().alias("_month")).agg(
+        F.count(F.lit(1)).alias("total_trips"),
+        money_sum("fare_amount").alias("total_revenue"),
+        mean("trip_distance").alias("avg_distance"),
+        (F.sum(secs).cast("double") / (F.count(secs) * 60)).alias("avg_duration"),
+    )
     return (
-        trips.groupBy(month_key().alias("month"))
-        .agg(
-            F.count(F.lit(1)).alias("total_trips"),
-            money_sum("fare_amount").alias("total_revenue"),
-            mean("trip_distance").alias("avg_distance"),
-            (F.sum(secs).cast("double") / (F.count(secs) * 60)).alias("avg_duration"),
-        )
-        .orderBy("month")
+        agg.orderBy("_month")
+        .select(month_key("_month").alias("month"), "total_trips", "total_revenue", "avg_distance", "avg_duration")
     )
 
 

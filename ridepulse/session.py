@@ -24,6 +24,9 @@ TUNING_CONF = {
     "spark.sql.streaming.schemaInference": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Call-site capture for every Column function costs several JVM round
+    # trips per expression when a plan is built; a production job does not need it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

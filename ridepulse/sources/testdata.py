@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.schema import MONEY_DECIMAL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,15 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _plus_seconds(ts, seconds):
-    return ts + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.timestamp_add("SECOND", seconds, ts)
+
+
+def _cents_to_money(cents):
+    """A whole number of cents as the nearest DOUBLE (what a DECIMAL(12,2) column reads as)."""
+    return cents / 100
 
 
 def metered_from_events(events: DataFrame) -> DataFrame:
     """Raw metered-feed columns derived from ``events`` rows."""
     pickup = F.col("ts")
     value = F.col("value")
-    fare = value.cast(MONEY_DECIMAL)
-    tip = (F.floor(value * 20) / 100).cast(MONEY_DECIMAL)
+    fare_cents = F.floor(value * 100 + 0.5)
+    tip_cents = F.floor(value * 20)
     event = F.col("event_type")
     payment = (
         F.when(event == "click", 1)
@@ -46,26 +50,26 @@ def metered_from_events(events: DataFrame) -> DataFrame:
         F.col("user_id").alias("PULocationID"),
         (F.col("event_id") % 150).alias("DOLocationID"),
         payment.alias("payment_type"),
-        fare.alias("fare_amount"),
-        tip.alias("tip_amount"),
-        (fare + tip).cast(MONEY_DECIMAL).alias("total_amount"),
+        _cents_to_money(fare_cents).alias("fare_amount"),
+        _cents_to_money(tip_cents).alias("tip_amount"),
+        _cents_to_money(fare_cents + tip_cents).alias("total_amount"),
     )
 
 
 def dispatch_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Raw dispatch-feed columns derived from ``lineitem`` rows."""
     minute_of_day = (F.col("l_orderkey") * 7919 + F.col("l_linenumber")) % 1440
-    pickup = _plus_seconds(F.col("l_shipdate"), minute_of_day * 60)
+    pickup = F.timestamp_add("MINUTE", minute_of_day, F.col("l_shipdate"))
     price = F.col("l_extendedprice")
     return lineitem.select(
         pickup.alias("pickup_datetime"),
-        _plus_seconds(pickup, (F.col("l_quantity") * 240).cast("bigint")).alias("dropoff_datetime"),
+        F.timestamp_add("MINUTE", (F.col("l_quantity") * 4).cast("bigint"), pickup).alias("dropoff_datetime"),
         F.col("l_quantity").alias("trip_miles"),
         F.col("l_suppkey").alias("PULocationID"),
         F.col("l_partkey").alias("DOLocationID"),
-        (F.floor(price) / 100).cast(MONEY_DECIMAL).alias("base_passenger_fare"),
-        (F.floor(price * F.col("l_tax")) / 100).cast(MONEY_DECIMAL).alias("tips"),
-        (F.floor(price * (1 - F.col("l_discount"))) / 100).cast(MONEY_DECIMAL).alias("driver_pay"),
+        _cents_to_money(F.floor(price)).alias("base_passenger_fare"),
+        _cents_to_money(F.floor(price * F.col("l_tax"))).alias("tips"),
+        _cents_to_money(F.floor(price * (1 - F.col("l_discount")))).alias("driver_pay"),
     )
 
 
