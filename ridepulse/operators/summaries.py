@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridepulse.functions.categories import fare_bucket_frame, fare_bucket_ord, payment_label
+from ridepulse.functions.categories import fare_bucket_ord, payment_label
 from ridepulse.functions.money import mean, money_avg, money_sum
 from ridepulse.functions.timekeys import (
     day_of_week,
@@ -21,7 +21,7 @@ from ridepulse.functions.timekeys import (
     month_start,
     weekday_name,
 )
-from ridepulse.schema import REVENUE_CANDIDATES, TIPS_CANDIDATES
+from ridepulse.schema import FARE_BUCKET_LABELS, REVENUE_CANDIDATES, TIPS_CANDIDATES
 
 
 def peak_hours(trips: DataFrame) -> DataFrame:
@@ -124,22 +124,24 @@ def top_pickup_zones(zones: DataFrame, k: int = 10) -> DataFrame:
 def fare_distribution(trips: DataFrame) -> DataFrame:
     """Rows per fare bucket; all six buckets are listed, empty ones with 0.
 
-    The per-bucket counts are at most six rows, joined to the fixed six-row
-    bucket dimension (a broadcast of a constant-size side).
+    One global aggregate of six conditional counters (one partial row per
+    task, one final row), unpacked into the six bucket rows: no join, no
+    per-bucket shuffle, and a bucket holding most rows costs nothing extra.
     """
-    counts = (
-        trips.select(fare_bucket_ord("fare_amount").alias("bucket_ord"))
-        .filter(F.col("bucket_ord").isNotNull())
-        .groupBy("bucket_ord")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    buckets = fare_bucket_frame(trips.sparkSession)
-    return (
-        F.broadcast(buckets)
-        .join(counts, "bucket_ord", "left")
-        .select("fare_bucket", "bucket_ord", F.coalesce(F.col("n"), F.lit(0)).alias("count"))
-        .orderBy("bucket_ord")
+    bucket = fare_bucket_ord("fare_amount")
+    n = len(FARE_BUCKET_LABELS)
+    counts = trips.agg(*[F.count_if(bucket == i).alias(f"_b{i}") for i in range(1, n + 1)])
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(label).alias("fare_bucket"),
+                F.lit(i).alias("bucket_ord"),
+                F.col(f"_b{i}").alias("count"),
+            )
+            for i, label in enumerate(FARE_BUCKET_LABELS, start=1)
+        ]
     )
+    return counts.select(F.inline(rows))
 
 
 def payment_types(trips: DataFrame) -> DataFrame:
