@@ -91,14 +91,23 @@ def monthly_revenue(monthly: DataFrame) -> DataFrame:
     return monthly.select(*cols).orderBy("month")
 
 
+def sort_if_present(df: DataFrame, col: str) -> DataFrame:
+    """Order by ``col`` when the frame has it, else leave the order alone."""
+    return df.orderBy(col) if col in df.columns else df
+
+
 def popular_pickup_zones(trips: DataFrame) -> DataFrame:
-    """Pickups and average fare per zone; rows without a zone are left out."""
+    """Pickups and average fare per zone; rows without a zone are left out.
+
+    A frame without a fare column gets average fare 0.0 (fixed fallback).
+    """
+    avg_fare = money_avg("fare_amount") if "fare_amount" in trips.columns else F.lit(0.0)
     return (
         trips.filter(F.col("PULocationID").isNotNull())
         .groupBy("PULocationID")
         .agg(
             F.count(F.lit(1)).alias("total_pickups"),
-            money_avg("fare_amount").alias("avg_fare"),
+            avg_fare.alias("avg_fare"),
         )
     )
 
@@ -145,13 +154,17 @@ def fare_distribution(trips: DataFrame) -> DataFrame:
 
 
 def payment_types(trips: DataFrame) -> DataFrame:
-    """Trips and average tip per payment code; rows without a code are left out."""
+    """Trips and average tip per payment code; rows without a code are left out.
+
+    A frame without a tip column gets a NULL average tip.
+    """
+    avg_tip = money_avg("tip_amount") if "tip_amount" in trips.columns else F.lit(None).cast("double")
     return (
         trips.filter(F.col("payment_type").isNotNull())
         .groupBy("payment_type")
         .agg(
             F.count(F.lit(1)).alias("total_trips"),
-            money_avg("tip_amount").alias("avg_tip"),
+            avg_tip.alias("avg_tip"),
         )
     )
 

@@ -118,6 +118,23 @@ def start_payment_memory(trips: DataFrame, name: str = "payment_analysis", trigg
     return writer.start()
 
 
+def start_console(
+    agg: DataFrame, name: str, mode: str = "update", trigger: Trigger | None = None, rows: int = 20
+) -> StreamingQuery:
+    """Print each micro-batch's result to the driver log (debugging only)."""
+    writer = (
+        agg.writeStream.queryName(name)
+        .outputMode(mode)
+        .format("console")
+        .option("truncate", "false")
+        .option("numRows", rows)
+    )
+    kw = (trigger or Trigger()).kwargs()
+    if kw:
+        writer = writer.trigger(**kw)
+    return writer.start()
+
+
 def dropped_by_watermark(query: StreamingQuery) -> int:
     """Rows the query's stateful operators dropped as late, over its recent progress."""
     total = 0

@@ -98,3 +98,17 @@ def test_monthly_revenue_picks_candidates(spark):
     assert out.columns == ["month", "total_trips", "revenue"]
     with_tips = monthly.withColumn("tips", F.lit(1.0))
     assert summaries.monthly_revenue(with_tips).columns == ["month", "total_trips", "revenue", "tips"]
+
+
+def test_fallbacks_for_missing_metric_columns(spark):
+    df = trips_df(spark, [trip(), trip(PULocationID=3)]).drop("fare_amount", "tip_amount")
+    zones = summaries.popular_pickup_zones(df).collect()
+    assert {r.avg_fare for r in zones} == {0.0}
+    pays = summaries.payment_types(df).collect()
+    assert [(r.payment_type, r.total_trips, r.avg_tip) for r in pays] == [(1, 2, None)]
+
+
+def test_sort_if_present(spark):
+    df = spark.createDataFrame([(3,), (1,), (2,)], "day_of_week int")
+    assert [r[0] for r in summaries.sort_if_present(df, "day_of_week").collect()] == [1, 2, 3]
+    assert summaries.sort_if_present(df, "missing") is df

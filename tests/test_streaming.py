@@ -118,3 +118,15 @@ def test_registered_stream_keys_equal_batch_twins(spark):
         want = catalog.QUERIES[batch_key](spark, SF_SMALL)
         assert got.columns == want.columns
         assert as_set(got) == as_set(want), stream_key
+
+
+def test_windowed_daily_stats_equals_batch(spark, tmp_dir):
+    trips, src = _replayed(spark, tmp_dir, 3)
+    paths = sq.StreamPaths(f"{tmp_dir}/dw/ckpt", f"{tmp_dir}/dw/out")
+    q = sq.start_daily_stats_windowed(
+        canonical_stream(spark, src, "parquet", 1), paths, sq.Trigger(available_now=True), "1 day"
+    )
+    q.awaitTermination()
+    assert q.exception() is None
+    got = read_latest(spark, paths.output, ["trip_date"])
+    assert as_set(got) == as_set(running.daily_stats(clean_stream(trips)))
