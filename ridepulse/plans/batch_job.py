@@ -3,9 +3,9 @@
     python -m ridepulse.plans.batch_job --raw 'hdfs:///trips/raw/*.parquet' --out hdfs:///trips/results
     python -m ridepulse.plans.batch_job --sf-dir /root/testdata/sf0.1 --out /tmp/results
 
-The cleaned trips feed four summaries; they are persisted once
-(``MEMORY_AND_DISK``, only the seven columns the summaries read) and
-unpersisted at the end. The audits are single aggregate passes.
+All thirteen results come from one scan of the trips: a grouping-sets
+aggregate (``ridepulse.plans.one_pass``) whose few thousand rows are kept in
+memory while the results are written.
 """
 
 from __future__ import annotations
@@ -17,23 +17,13 @@ import time
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ridepulse.operators import audit, clean, normalize, summaries
+from ridepulse.operators import normalize
+from ridepulse.plans import one_pass
 from ridepulse.session import build_session, prepare
 from ridepulse.sources import testdata
 from ridepulse.sources.feeds import scan_feeds
 from ridepulse.sources.results import write_result
 
-SUMMARY_COLUMNS = [
-    "pickup_datetime",
-    "dropoff_datetime",
-    "trip_distance",
-    "fare_amount",
-    "tip_amount",
-    "source",
-    "trip_duration_min",
-]
-
-
 def load_trips(spark: SparkSession, raw: list[str] | None = None, sf_dir: str | None = None) -> DataFrame:
     if raw:
         scan = scan_feeds(spark, raw)
@@ -43,47 +33,30 @@ def load_trips(spark: SparkSession, raw: list[str] | None = None, sf_dir: str |
     raise ValueError("give raw feed paths or a generated-table folder")
 
 
-def batch_results(trips: DataFrame, persist: bool = True) -> dict[str, DataFrame]:
-    """Every batch result, keyed by name (lazy; nothing runs here but the persist)."""
-    cleaned = clean.clean(trips)
-    if persist:
-        cleaned = cleaned.select(*SUMMARY_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-    monthly = summaries.monthly_trends(cleaned)
-    zones = summaries.popular_pickup_zones(trips)
-    payments = summaries.payment_types(trips)
-    labelled = summaries.payment_labels(payments)
-    return {
-        "load_audit": audit.load_audit(trips),
-        "clean_audit": clean.clean_audit(trips),
-        "peak_hours": summaries.peak_hours(cleaned),
-        "daily_patterns": summaries.daily_patterns(cleaned),
-        "monthly_trends": monthly,
-        "monthly_revenue": summaries.monthly_revenue(monthly),
-        "source_comparison": summaries.source_comparison(cleaned),
-        "popular_pickup_zones": zones,
-        "top_pickup_zones": summaries.top_pickup_zones(zones),
-        "fare_distribution": summaries.fare_distribution(trips),
-        "payment_types": payments,
-        "payment_labels": labelled,
-        "payment_share": summaries.payment_share(labelled),
-        "_cleaned": cleaned,
-    }
+def batch_results(trips: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(set aggregate, every batch result). One scan of ``trips`` computes the
+    aggregate; it is small (a row per hour, weekday, month, source, zone and
+    payment code), so it is the thing kept in memory, not the trips."""
+    sets = one_pass.summary_sets(trips).persist(StorageLevel.MEMORY_AND_DISK)
+    return sets, one_pass.results_from_sets(sets)
 
 
 def run(spark: SparkSession, out_dir: str, raw: list[str] | None = None, sf_dir: str | None = None) -> dict:
     prepare(spark)
     t0 = time.time()
-    results = batch_results(load_trips(spark, raw, sf_dir))
-    cleaned = results.pop("_cleaned")
+    sets, results = batch_results(load_trips(spark, raw, sf_dir))
     timings = {}
     try:
+        t = time.time()
+        sets.count()  # the one scan
+        timings["_scan_and_aggregate"] = round(time.time() - t, 3)
         for name, df in results.items():
             t = time.time()
             # Every result is small (one row per hour / day / month / zone / code).
             write_result(df, f"{out_dir.rstrip('/')}/{name}", "csv", single_file=True)
             timings[name] = round(time.time() - t, 3)
     finally:
-        cleaned.unpersist()
+        sets.unpersist()
     return {"seconds": round(time.time() - t0, 3), "per_result": timings}
 
 
