@@ -67,14 +67,37 @@ def _file_schema(spark: SparkSession, path: str) -> tuple[str, StructType | None
         return path, None, f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
 
 
+def _parent(path: str) -> str:
+    return path.rsplit("/", 1)[0] if "/" in path else ""
+
+
 def group_by_schema(
-    spark: SparkSession, files: list[str], threads: int = 16
+    spark: SparkSession, files: list[str], threads: int = 16, probe: str = "file"
 ) -> tuple[dict[tuple[str, str], list[str]], list[tuple[str, str]]]:
-    """{(feed, schema json): [paths]} and [(path, reason)] of rejected files."""
+    """{(feed, schema json): [paths]} and [(path, reason)] of rejected files.
+
+    ``probe="file"`` reads every footer (exact; driver threads, fine for
+    thousands of files). ``probe="directory"`` reads one footer per folder and
+    applies it to the folder's files, for folders written by one producer
+    (e.g. one per month); a file that does not match its folder's schema then
+    makes the read fail with an error - rows are never dropped silently.
+    """
     groups: dict[tuple[str, str], list[str]] = {}
     rejected: list[tuple[str, str]] = []
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        results = list(pool.map(lambda p: _file_schema(spark, p), files))
+    if probe == "directory":
+        by_dir: dict[str, list[str]] = {}
+        for f in files:
+            by_dir.setdefault(_parent(f), []).append(f)
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            probed = list(pool.map(lambda fs: (fs, _file_schema(spark, fs[0])), by_dir.values()))
+        results = []
+        for fs, (_, schema, err) in probed:
+            results += [(f, schema, err) for f in fs]
+    elif probe == "file":
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            results = list(pool.map(lambda p: _file_schema(spark, p), files))
+    else:
+        raise ValueError(f"unknown probe {probe!r}")
     for path, schema, err in results:
         if schema is None:
             rejected.append((path, err or "unreadable"))
@@ -93,10 +116,11 @@ def scan_feeds(
     layout: str = "batch",
     with_file: bool = False,
     ignore_missing: bool = False,
+    probe: str = "file",
 ) -> FeedScan:
     """Canonical trips from raw files of both feeds, whatever their column types."""
     files = list_files(spark, paths, ignore_missing)
-    groups, rejected = group_by_schema(spark, files)
+    groups, rejected = group_by_schema(spark, files, probe=probe)
     frames = []
     accepted = []
     extra = (FILE_COL,) if with_file else ()

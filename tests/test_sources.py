@@ -105,3 +105,10 @@ def test_result_round_trip(spark, tmp_dir):
     require_columns(df, ["hour"])
     with pytest.raises(MissingColumns):
         require_columns(df, ["hour", "total_trips"])
+
+
+def test_directory_probe_groups_by_folder(spark, tmp_dir):
+    _metered_rows(spark, [1, 2, 3], "bigint").repartition(3).write.parquet(f"{tmp_dir}/2023-01")
+    _metered_rows(spark, [4.0, 5.0], "double").repartition(2).write.parquet(f"{tmp_dir}/2023-02")
+    scan = scan_feeds(spark, [f"{tmp_dir}/2023-01", f"{tmp_dir}/2023-02"], probe="directory")
+    assert sorted(r.passenger_count for r in scan.trips.collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
