@@ -18,6 +18,8 @@ from pyspark.sql import SparkSession
 from ridepulse.schema import ZONE_LATENESS
 from ridepulse.session import build_session, new_work_dir, prepare
 from ridepulse.streaming import queries as sq
+from ridepulse.streaming.runs import ZONE_KEYS
+from ridepulse.streaming.sinks import compact_updates
 from ridepulse.streaming.sources import canonical_stream
 
 # Live trigger intervals of the three queries.
@@ -68,6 +70,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--max-files-per-trigger", type=int, default=None)
     ap.add_argument("--lateness", default=ZONE_LATENESS)
+    ap.add_argument("--compact-every", type=float, default=0.0,
+                    help="seconds between compactions of the zone-demand output (0: never)")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-stream")
@@ -78,6 +82,11 @@ def main(argv: list[str] | None = None) -> None:
     try:
         if args.available_now:
             started.await_all()
+        elif args.compact_every > 0:
+            zone_out = f"{work}/zone_demand/output"
+            while not spark.streams.awaitAnyTermination(args.compact_every):
+                spark.streams.resetTerminated()
+                compact_updates(spark, zone_out, ZONE_KEYS)
         else:
             spark.streams.awaitAnyTermination()
     finally:

@@ -6,6 +6,8 @@ File sinks accept append mode only, so the two result shapes are kept as:
   changed into ``<out>/batch_id=<n>``; the current table is, per key, the row
   of the highest batch id. A retried batch overwrites its own folder, so
   writes are idempotent and a restart from the checkpoint loses nothing.
+  ``compact_updates`` folds old batch folders into a snapshot so readers do
+  not pay for the whole history of the stream.
 * complete mode (``SnapshotSink``): each micro-batch writes the whole result
   into ``<out>/batch_id=<n>``; the current table is the highest batch id.
 """
@@ -14,14 +16,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 BATCH_COL = "batch_id"
+UPTO_COL = "upto"
 
 
 def _batch_path(out_dir: str, batch_id: int) -> str:
     return f"{out_dir.rstrip('/')}/{BATCH_COL}={batch_id}"
 
 
+def _compacted_dir(out_dir: str) -> str:
+    return f"{out_dir.rstrip('/')}__compacted"
+
+
 class KeyedUpdateSink:
     """foreachBatch writer for update-mode results."""
 
@@ -42,19 +50,69 @@ class SnapshotSink:
         df.write.mode("overwrite").parquet(_batch_path(self.out_dir, batch_id))
 
 
-def read_latest(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame:
-    """Current table of an update-mode sink: per key, the row of the last batch.
+def _last_compaction(spark: SparkSession, out_dir: str) -> int | None:
+    try:
+        return spark.read.parquet(_compacted_dir(out_dir)).agg(F.max(UPTO_COL)).first()[0]
+    except AnalysisException:
+        return None
+
+
+def _updates(spark: SparkSession, out_dir: str, since: int | None, upto: int | None = None) -> DataFrame:
+    """Batch rows after ``since`` (up to ``upto``), plus the snapshot taken at ``since``."""
+    df = spark.read.parquet(out_dir)
+    cond = F.lit(True)
+    if since is not None:
+        cond = cond & (F.col(BATCH_COL) > F.lit(since))
+    if upto is not None:
+        cond = cond & (F.col(BATCH_COL) <= F.lit(upto))
+    rows = df.filter(cond)
+    if since is not None:
+        base = (
+            spark.read.parquet(_compacted_dir(out_dir))
+            .filter(F.col(UPTO_COL) == F.lit(since))
+            .drop(UPTO_COL)
+            .withColumn(BATCH_COL, F.lit(since).cast(df.schema[BATCH_COL].dataType))
+        )
+        rows = rows.unionByName(base.select(*df.columns))
+    return rows
+
+
+def _latest_of(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key, the values of the highest batch id.
 
     ``max_by`` is an aggregate with a partial stage, so a key updated in
     every batch costs one partial row per task, not one task per key.
     """
-    df = spark.read.parquet(out_dir)
     values = [c for c in df.columns if c not in keys and c != BATCH_COL]
     packed = F.struct(*[F.col(c).alias(c) for c in values])
     latest = df.groupBy(*keys).agg(F.max_by(packed, F.col(BATCH_COL)).alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
+def read_latest(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame:
+    """Current table of an update-mode sink (last snapshot + newer batch folders)."""
+    return _latest_of(_updates(spark, out_dir, _last_compaction(spark, out_dir)), keys)
+
+
+def compact_updates(spark: SparkSession, out_dir: str, keys: list[str], final: bool = False) -> int | None:
+    """Fold the batch folders of an update-mode sink into one snapshot.
+
+    The newest batch is left out unless ``final`` (the query is stopped): its
+    folder may still be in the middle of its commit. Returns the batch id the
+    newest snapshot covers (None when there is nothing yet).
+    """
+    newest = spark.read.parquet(out_dir).agg(F.max(BATCH_COL)).first()[0]
+    previous = _last_compaction(spark, out_dir)
+    if newest is None:
+        return previous
+    upto = int(newest) if final else int(newest) - 1
+    if upto < 0 or (previous is not None and upto <= previous):
+        return previous
+    current = _latest_of(_updates(spark, out_dir, previous, upto), keys)
+    current.write.mode("overwrite").parquet(f"{_compacted_dir(out_dir)}/{UPTO_COL}={upto}")
+    return upto
+
+
 def read_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current table of a complete-mode sink: the folder of the last batch."""
     df = spark.read.parquet(out_dir)

@@ -130,3 +130,20 @@ def test_windowed_daily_stats_equals_batch(spark, tmp_dir):
     assert q.exception() is None
     got = read_latest(spark, paths.output, ["trip_date"])
     assert as_set(got) == as_set(running.daily_stats(clean_stream(trips)))
+
+
+def test_compaction_keeps_the_current_table(spark, tmp_dir):
+    from ridepulse.streaming.sinks import compact_updates
+
+    trips, src = _replayed(spark, tmp_dir, 5)
+    work = f"{tmp_dir}/compact"
+    got, _ = run_to_end(spark, canonical_stream(spark, src, "parquet", 1), "zone_demand", work)
+    out = f"{work}/output"
+    before = as_set(got)
+    first = compact_updates(spark, out, ZONE_KEYS)
+    assert first is not None and first >= 1
+    assert as_set(read_latest(spark, out, ZONE_KEYS)) == before
+    last = compact_updates(spark, out, ZONE_KEYS, final=True)
+    assert last > first
+    assert as_set(read_latest(spark, out, ZONE_KEYS)) == before
+    assert as_set(read_latest(spark, out, ZONE_KEYS)) == as_set(running.zone_demand(clean_stream(trips)))
