@@ -85,7 +85,6 @@ def main(argv: list[str] | None = None) -> None:
         elif args.compact_every > 0:
             zone_out = f"{work}/zone_demand/output"
             while not spark.streams.awaitAnyTermination(args.compact_every):
-                spark.streams.resetTerminated()
                 compact_updates(spark, zone_out, ZONE_KEYS)
         else:
             spark.streams.awaitAnyTermination()
