@@ -21,7 +21,6 @@ from ridepulse.schema import TRIP_COLUMNS, TRIP_TYPES
 
 METERED = "metered"
 DISPATCH = "dispatch"
-FEEDS = (METERED, DISPATCH)
 
 # canonical column -> raw column of the feed (None: typed NULL in batch).
 BATCH_MAPPING = {

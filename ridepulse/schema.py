@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
-    StringType,
     StructField,
     StructType,
     TimestampType,
@@ -41,14 +40,8 @@ TRIP_TYPES = {
 # Schema of the trip stream (no provenance column).
 TRIPS = StructType([StructField(c, TRIP_TYPES[c], True) for c in TRIP_COLUMNS])
 
-# Schema of the batch trip table: the ten columns plus the feed tag.
-TRIPS_TAGGED = StructType(TRIPS.fields + [StructField("source", StringType(), False)])
-
 MONEY_COLUMNS = ("fare_amount", "tip_amount", "total_amount")
 
-# Exact money type used inside aggregates so that sums do not depend on row order.
-MONEY_DECIMAL = "decimal(12,2)"
-
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for the same results.
 # ---------------------------------------------------------------------------
