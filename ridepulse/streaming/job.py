@@ -72,9 +72,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--lateness", default=ZONE_LATENESS)
     ap.add_argument("--compact-every", type=float, default=0.0,
                     help="seconds between compactions of the zone-demand output (0: never)")
+    ap.add_argument("--state-partitions", type=int, default=None,
+                    help="partitions of the streaming state (fixed when a checkpoint is first created)")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
-    spark = build_session(args.master, "ridepulse-stream")
+    spark = build_session(args.master, "ridepulse-stream", shuffle_partitions=args.state_partitions)
     work = args.work or new_work_dir(spark, "stream-job")
     started = start_all(
         spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness

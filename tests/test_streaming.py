@@ -147,3 +147,24 @@ def test_compaction_keeps_the_current_table(spark, tmp_dir):
     assert last > first
     assert as_set(read_latest(spark, out, ZONE_KEYS)) == before
     assert as_set(read_latest(spark, out, ZONE_KEYS)) == as_set(running.zone_demand(clean_stream(trips)))
+
+
+def test_shuffled_replay_loses_late_rows(spark, tmp_dir):
+    """A 10-minute watermark over rows shuffled across a month drops rows (the
+    reason replays default to event-time order); time-ordered files drop none."""
+    from conftest import SF_MID
+
+    from ridepulse.sources import testdata
+    from ridepulse.operators.normalize import METERED, normalise_stream
+
+    trips = normalise_stream(testdata.raw_metered(spark, SF_MID), METERED)
+    want = running.zone_demand(clean_stream(trips))
+    results = {}
+    for order in (replay.EVENT_TIME, replay.SHUFFLE):
+        src = f"{tmp_dir}/{order}"
+        replay.write_replay(trips, src, rows_per_file=2000, order=order)
+        got, q = run_to_end(spark, canonical_stream(spark, src, "parquet", 1), "zone_demand", f"{tmp_dir}/w-{order}")
+        results[order] = (as_set(got) == as_set(want), sq.dropped_by_watermark(q))
+    assert results[replay.EVENT_TIME] == (True, 0)
+    equal, dropped = results[replay.SHUFFLE]
+    assert not equal and dropped > 0
