@@ -24,16 +24,20 @@ from ridepulse.functions.timekeys import (
 from ridepulse.schema import FARE_BUCKET_LABELS, REVENUE_CANDIDATES, TIPS_CANDIDATES
 
 
+def sort_small(df: DataFrame, *cols) -> DataFrame:
+    """Sort a result whose size is bounded by its key domain (24 hours, 7 days,
+    the months of the data) in one partition: the final aggregate stays
+    parallel, and no range-partitioning sample job runs for a few rows."""
+    return df.repartition(1).sortWithinPartitions(*cols)
+
+
 def peak_hours(trips: DataFrame) -> DataFrame:
-    return (
-        trips.groupBy(hour_of_day().alias("hour"))
-        .agg(
-            F.count(F.lit(1)).alias("total_trips"),
-            money_avg("fare_amount").alias("avg_fare"),
-            mean("trip_distance").alias("avg_distance"),
-        )
-        .orderBy("hour")
+    agg = trips.groupBy(hour_of_day().alias("hour")).agg(
+        F.count(F.lit(1)).alias("total_trips"),
+        money_avg("fare_amount").alias("avg_fare"),
+        mean("trip_distance").alias("avg_distance"),
     )
+    return sort_small(agg, "hour")
 
 
 def daily_patterns(trips: DataFrame) -> DataFrame:
@@ -44,9 +48,10 @@ def daily_patterns(trips: DataFrame) -> DataFrame:
         money_avg("fare_amount").alias("avg_fare"),
         money_avg("tip_amount").alias("avg_tip"),
     )
-    return agg.select(
+    out = agg.select(
         "day_of_week", weekday_name("day_of_week").alias("day_name"), "total_trips", "avg_fare", "avg_tip"
-    ).orderBy("day_of_week")
+    )
+    return sort_small(out, "day_of_week")
 
 
 def monthly_trends(trips: DataFrame) -> DataFrame:
@@ -58,9 +63,8 @@ def monthly_trends(trips: DataFrame) -> DataFrame:
         mean("trip_distance").alias("avg_distance"),
         (F.sum(secs).cast("double") / (F.count(secs) * 60)).alias("avg_duration"),
     )
-    return (
-        agg.orderBy("_month")
-        .select(month_key("_month").alias("month"), "total_trips", "total_revenue", "avg_distance", "avg_duration")
+    return sort_small(agg, "_month").select(
+        month_key("_month").alias("month"), "total_trips", "total_revenue", "avg_distance", "avg_duration"
     )
 
 
@@ -88,7 +92,7 @@ def monthly_revenue(monthly: DataFrame) -> DataFrame:
         cols.append(F.col(revenue).cast("double").alias("revenue"))
     if tips:
         cols.append(F.col(tips).cast("double").alias("tips"))
-    return monthly.select(*cols).orderBy("month")
+    return sort_small(monthly.select(*cols), "month")
 
 
 def sort_if_present(df: DataFrame, col: str) -> DataFrame:

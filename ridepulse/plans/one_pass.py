@@ -36,6 +36,7 @@ from ridepulse.operators.summaries import (
     monthly_revenue,
     payment_labels,
     payment_share,
+    sort_small,
     top_pickup_zones,
 )
 from ridepulse.schema import FARE_BUCKET_LABELS, MONEY_COLUMNS, TRIP_COLUMNS
@@ -134,15 +135,15 @@ def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
         F.col("_n").alias("total_trips"),
         _avg_money("_fare_sum", "_fare_n").alias("avg_fare"),
         dist.alias("avg_distance"),
-    ).orderBy("hour")
+    ).transform(lambda d: sort_small(d, "hour"))
     out["daily_patterns"] = _rows(sets, "_dow").filter(F.col("_n") > 0).select(
         F.col("_dow").alias("day_of_week"),
         weekday_name("_dow").alias("day_name"),
         F.col("_n").alias("total_trips"),
         _avg_money("_fare_sum", "_fare_n").alias("avg_fare"),
         _avg_money("_tip_sum", "_tip_n").alias("avg_tip"),
-    ).orderBy("day_of_week")
-    monthly = _rows(sets, "_month").filter(F.col("_n") > 0).orderBy("_month").select(
+    ).transform(lambda d: sort_small(d, "day_of_week"))
+    monthly = sort_small(_rows(sets, "_month").filter(F.col("_n") > 0), "_month").select(
         month_key("_month").alias("month"),
         F.col("_n").alias("total_trips"),
         (F.col("_fare_sum") / 100).alias("total_revenue"),
