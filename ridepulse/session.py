@@ -62,15 +62,21 @@ def work_root(spark: SparkSession) -> str:
     On a cluster this is the distributed folder every executor can reach. Only
     when the session names none (local tests) a folder of our own is set.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="ridepulse-ckpt-")
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+    if sc is None:
+        return conf_dir
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
