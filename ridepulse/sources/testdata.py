@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-
-
 # Footer schemas of local files already read, keyed by (path, mtime, size): a
 # repeated read of an unchanged file skips schema inference. Other file
 # systems are always inferred.

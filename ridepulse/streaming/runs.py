@@ -38,33 +38,43 @@ def testdata_trip_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger
     return trips_stream([metered, dispatch])
 
 
+# kind -> (start function, shape of its result, reader of its sink table)
+_KINDS = {
+    "zone_demand": (
+        sq.start_zone_demand,
+        lambda t: sq.zone_demand_stream(t),
+        lambda spark, out: read_latest(spark, out, ZONE_KEYS),
+    ),
+    "daily_stats": (
+        sq.start_daily_stats,
+        lambda t: running.daily_stats(clean_stream(t)),
+        read_snapshot,
+    ),
+    "payment_analysis": (
+        sq.start_payment,
+        lambda t: running.payment_analysis(clean_stream(t)),
+        read_snapshot,
+    ),
+}
+
+
 def run_to_end(
     spark: SparkSession, trips: DataFrame, kind: str, work_dir: str | None = None, lateness: str | None = None
 ) -> tuple[DataFrame, object]:
     """Start one of ``zone_demand`` / ``daily_stats`` / ``payment_analysis`` with
     ``availableNow``, wait for it, and return (result table, finished query)."""
+    if kind not in _KINDS:
+        raise ValueError(f"unknown streaming aggregation {kind!r}")
+    start, shape, reader = _KINDS[kind]
     work = work_dir or new_work_dir(spark, f"stream-{kind}")
     paths = sq.StreamPaths(checkpoint=f"{work}/checkpoint", output=f"{work}/output")
-    trig = sq.Trigger(available_now=True)
-    if kind == "zone_demand":
-        q = sq.start_zone_demand(trips, paths, trig, **({"lateness": lateness} if lateness else {}))
-        shape = sq.zone_demand_stream(trips)
-    elif kind == "daily_stats":
-        q = sq.start_daily_stats(trips, paths, trig)
-        shape = running.daily_stats(clean_stream(trips))
-    elif kind == "payment_analysis":
-        q = sq.start_payment(trips, paths, trig)
-        shape = running.payment_analysis(clean_stream(trips))
-    else:
-        raise ValueError(f"unknown streaming aggregation {kind!r}")
+    extra = {"lateness": lateness} if (lateness and kind == "zone_demand") else {}
+    q = start(trips, paths, sq.Trigger(available_now=True), **extra)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"streaming query {kind} failed: {q.exception()}")
     try:
-        if kind == "zone_demand":
-            out = read_latest(spark, paths.output, ZONE_KEYS)
-        else:
-            out = read_snapshot(spark, paths.output)
-    except AnalysisException:
-        out = spark.createDataFrame([], shape.schema)
+        out = reader(spark, paths.output)
+    except AnalysisException:  # no micro-batch had rows: empty result of the right shape
+        out = spark.createDataFrame([], shape(trips).schema)
     return out, q

@@ -168,3 +168,13 @@ def test_shuffled_replay_loses_late_rows(spark, tmp_dir):
     assert results[replay.EVENT_TIME] == (True, 0)
     equal, dropped = results[replay.SHUFFLE]
     assert not equal and dropped > 0
+
+
+def test_empty_input_gives_empty_result(spark, tmp_dir):
+    import os as _os
+
+    src = f"{tmp_dir}/empty"
+    _os.makedirs(src)
+    got, _ = run_to_end(spark, canonical_stream(spark, src), "payment_analysis", f"{tmp_dir}/w")
+    assert got.count() == 0
+    assert got.columns == ["payment_type", "trip_count", "avg_fare", "avg_tip", "total_revenue"]
