@@ -46,12 +46,25 @@ def replay_order(df: DataFrame, order: str = EVENT_TIME, seed: int = REPLAY_SEED
     raise ValueError(f"unknown replay order {order!r}")
 
 
-def with_row_number(df: DataFrame, order: list[Column], name: str = "row_number") -> DataFrame:
-    """0-based global row number along ``order``, computed in parallel."""
+def with_row_number(
+    df: DataFrame, order: list[Column], name: str = "row_number", num_partitions: int | None = None
+) -> DataFrame:
+    """0-based global row number along ``order``, computed in parallel.
+
+    ``num_partitions`` sets the number of range partitions of the sort
+    (default: ``spark.sql.shuffle.partitions``). Adaptive execution can merge
+    range partitions but not split them, so at scale size it to the data
+    (about input bytes / 256 MB).
+    """
     work_root(df.sparkSession)  # make sure a reliable checkpoint folder is set
     tie = "_replay_tie"
     pos = "_replay_pos"
-    ordered = df.withColumn(tie, F.monotonically_increasing_id()).orderBy(*order, F.col(tie))
+    keyed = df.withColumn(tie, F.monotonically_increasing_id())
+    keys = [*order, F.col(tie)]
+    if num_partitions:
+        ordered = keyed.repartitionByRange(int(num_partitions), *keys).sortWithinPartitions(*keys)
+    else:
+        ordered = keyed.orderBy(*keys)
     tagged = ordered.withColumn(pos, F.monotonically_increasing_id()).drop(tie).checkpoint(eager=True)
     part = F.shiftright(F.col(pos), _POS_BITS)
     counts = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
@@ -71,11 +84,12 @@ def assign_slices(
     rows_per_file: int = REPLAY_ROWS_PER_FILE,
     order: str = EVENT_TIME,
     seed: int = REPLAY_SEED,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Every row with its ``slice`` number (slice k holds rows k*N .. k*N+N-1)."""
     if rows_per_file <= 0:
         raise ValueError("rows_per_file must be positive")
-    numbered = with_row_number(df, replay_order(df, order, seed), "_rn")
+    numbered = with_row_number(df, replay_order(df, order, seed), "_rn", num_partitions)
     return numbered.withColumn("slice", F.floor(F.col("_rn") / F.lit(rows_per_file))).drop("_rn")
 
 
@@ -87,6 +101,7 @@ def write_replay(
     seed: int = REPLAY_SEED,
     fmt: str = "parquet",
     staging_dir: str | None = None,
+    num_partitions: int | None = None,
 ) -> int:
     """Write one file per slice into ``out_dir``, slices in ascending order.
 
@@ -97,7 +112,7 @@ def write_replay(
     """
     spark = df.sparkSession
     staging = staging_dir or new_work_dir(spark, "replay-staging")
-    sliced = assign_slices(df, rows_per_file, order, seed)
+    sliced = assign_slices(df, rows_per_file, order, seed, num_partitions)
     sliced.repartition("slice").write.mode("overwrite").partitionBy("slice").parquet(staging)
     n = spark.read.parquet(staging).agg(F.max("slice")).first()[0]
     if n is None:

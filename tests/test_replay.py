@@ -49,3 +49,10 @@ def test_row_numbers_are_dense_under_a_hot_timestamp(spark):
     numbered = replay.with_row_number(df, replay.replay_order(df), "rn")
     got = sorted(r.rn for r in numbered.select("rn").collect())
     assert got == list(range(1200))
+
+
+def test_explicit_partition_count(spark):
+    trips = catalog.trips_stream_norm(spark, SF_SMALL)
+    a = replay.assign_slices(trips, 700, num_partitions=13)
+    b = replay.assign_slices(trips, 700)
+    assert as_set(a) == as_set(b)
