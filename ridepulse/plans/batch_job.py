@@ -41,7 +41,13 @@ def batch_results(trips: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     return sets, one_pass.results_from_sets(sets)
 
 
-def run(spark: SparkSession, out_dir: str, raw: list[str] | None = None, sf_dir: str | None = None) -> dict:
+def run(
+    spark: SparkSession,
+    out_dir: str,
+    raw: list[str] | None = None,
+    sf_dir: str | None = None,
+    show: int = 0,
+) -> dict:
     prepare(spark)
     t0 = time.time()
     sets, results = batch_results(load_trips(spark, raw, sf_dir))
@@ -55,6 +61,9 @@ def run(spark: SparkSession, out_dir: str, raw: list[str] | None = None, sf_dir:
             # Every result is small (one row per hour / day / month / zone / code).
             write_result(df, f"{out_dir.rstrip('/')}/{name}", "csv", single_file=True)
             timings[name] = round(time.time() - t, 3)
+            if show:
+                print(f"== {name}")
+                df.show(show, truncate=False)
     finally:
         sets.unpersist()
     return {"seconds": round(time.time() - t0, 3), "per_result": timings}
@@ -65,10 +74,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--raw", nargs="*", help="raw feed files or globs (both feeds)")
     ap.add_argument("--sf-dir", help="folder of generated tables bound to the two feeds")
     ap.add_argument("--out", required=True)
+    ap.add_argument("--show", type=int, default=0, help="print the first N rows of each result")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-batch")
-    print(json.dumps(run(spark, args.out, args.raw, args.sf_dir)))
+    print(json.dumps(run(spark, args.out, args.raw, args.sf_dir, args.show)))
 
 
 if __name__ == "__main__":
