@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ridepulse.schema import DATE_FORMAT, MONTH_FORMAT, WEEKDAY_NAMES
+
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -21,12 +23,12 @@ def day_of_week(ts: str | Column = "pickup_datetime") -> Column:
 
 def month_key(ts: str | Column = "pickup_datetime") -> Column:
     """``yyyy-MM`` text; group on ``month_start`` and format the aggregated rows."""
-    return F.date_format(_c(ts), "yyyy-MM")
+    return F.date_format(_c(ts), MONTH_FORMAT)
 
 
 def date_key(ts: str | Column = "pickup_datetime") -> Column:
     """``yyyy-MM-dd`` text; group on ``calendar_date`` and format the aggregated rows."""
-    return F.date_format(_c(ts), "yyyy-MM-dd")
+    return F.date_format(_c(ts), DATE_FORMAT)
 
 
 def duration_seconds(
@@ -42,10 +44,6 @@ def duration_minutes(
     return duration_seconds(start, end) / 60
 
 
-# English weekday names, numbered as ``dayofweek`` numbers them.
-WEEKDAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
-
-
 def weekday_name(dow: str | Column = "day_of_week") -> Column:
     """Name of a ``dayofweek`` number (1 = Sunday); used on aggregated rows."""
     pairs = []

@@ -17,61 +17,18 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridepulse.schema import TRIP_COLUMNS, TRIP_TYPES
-
-METERED = "metered"
-DISPATCH = "dispatch"
-
-# canonical column -> raw column of the feed (None: typed NULL in batch).
-BATCH_MAPPING = {
-    METERED: {
-        "pickup_datetime": "tpep_pickup_datetime",
-        "dropoff_datetime": "tpep_dropoff_datetime",
-        "passenger_count": "passenger_count",
-        "trip_distance": "trip_distance",
-        "PULocationID": "PULocationID",
-        "DOLocationID": "DOLocationID",
-        "payment_type": "payment_type",
-        "fare_amount": "fare_amount",
-        "tip_amount": "tip_amount",
-        "total_amount": "total_amount",
-    },
-    DISPATCH: {
-        "pickup_datetime": "pickup_datetime",
-        "dropoff_datetime": "dropoff_datetime",
-        "passenger_count": None,
-        "trip_distance": "trip_miles",
-        "PULocationID": "PULocationID",
-        "DOLocationID": "DOLocationID",
-        "payment_type": None,
-        "fare_amount": "base_passenger_fare",
-        "tip_amount": "tips",
-        "total_amount": "driver_pay",
-    },
-}
-
-# The stream normaliser keeps the wanted raw columns that exist.
-STREAM_MAPPING = {
-    METERED: dict(BATCH_MAPPING[METERED]),
-    DISPATCH: {
-        "pickup_datetime": "pickup_datetime",
-        "dropoff_datetime": "dropoff_datetime",
-        "trip_distance": "trip_miles",
-        "PULocationID": "PULocationID",
-        "DOLocationID": "DOLocationID",
-        "tip_amount": "tips",
-        "fare_amount": "base_passenger_fare",
-    },
-}
-
-# Defaults of the stream normaliser for dispatch columns that are absent.
-STREAM_DEFAULTS = {
-    DISPATCH: {"passenger_count": 1, "payment_type": 1, "tip_amount": 0.0, "fare_amount": 0.0},
-}
-
-# Column that identifies each feed in a file's schema; checked in this order.
-FEED_MARKERS = (("tpep_pickup_datetime", METERED), ("pickup_datetime", DISPATCH))
-
+from ridepulse.schema import (
+    BATCH_MAPPING,
+    DISPATCH,
+    FEED_MARKERS,
+    METERED,
+    STREAM_DEFAULTS,
+    STREAM_MAPPING,
+    TRIP_COLUMNS,
+    TRIP_TYPES,
+)
+
+__all__ = ["METERED", "DISPATCH", "BATCH_MAPPING", "STREAM_MAPPING"]
 
 def detect_feed(columns: Iterable[str]) -> str | None:
     cols = set(columns)

@@ -64,7 +64,7 @@ def daily_stats_windowed(trips: DataFrame) -> DataFrame:
         money_sum_r2("total_amount").alias("total_revenue"),
     )
     return out.select(
-        F.date_format("window.start", "yyyy-MM-dd").alias("trip_date"),
+        date_key("window.start").alias("trip_date"),
         *[c for c in out.columns if c != "window"],
     )
 

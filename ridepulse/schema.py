@@ -63,8 +63,66 @@ MAX_FARE = 500
 MIN_DURATION_MIN = 1
 MAX_DURATION_MIN = 180
 
-# Streaming defaults.
+# Text forms of the time keys, and weekday names numbered as dayofweek numbers them (1 = Sunday).
+MONTH_FORMAT = "yyyy-MM"
+DATE_FORMAT = "yyyy-MM-dd"
+WEEKDAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+# Streaming defaults: zone window and lateness, live trigger intervals, replay file size and seed.
 ZONE_WINDOW = "1 hour"
 ZONE_LATENESS = "10 minutes"
+TRIGGERS = {"zone_demand": "10 seconds", "daily_stats": "15 seconds", "payment_analysis": "20 seconds"}
 REPLAY_ROWS_PER_FILE = 5000
 REPLAY_SEED = 42
+
+# Feed names and the raw column that identifies each feed, checked in this order.
+METERED = "metered"
+DISPATCH = "dispatch"
+FEED_MARKERS = [("tpep_pickup_datetime", METERED), ("pickup_datetime", DISPATCH)]
+
+# Canonical column <- raw column of each feed in the batch job (None: typed NULL).
+BATCH_MAPPING = {
+    METERED: {
+        "pickup_datetime": "tpep_pickup_datetime",
+        "dropoff_datetime": "tpep_dropoff_datetime",
+        "passenger_count": "passenger_count",
+        "trip_distance": "trip_distance",
+        "PULocationID": "PULocationID",
+        "DOLocationID": "DOLocationID",
+        "payment_type": "payment_type",
+        "fare_amount": "fare_amount",
+        "tip_amount": "tip_amount",
+        "total_amount": "total_amount",
+    },
+    DISPATCH: {
+        "pickup_datetime": "pickup_datetime",
+        "dropoff_datetime": "dropoff_datetime",
+        "passenger_count": None,
+        "trip_distance": "trip_miles",
+        "PULocationID": "PULocationID",
+        "DOLocationID": "DOLocationID",
+        "payment_type": None,
+        "fare_amount": "base_passenger_fare",
+        "tip_amount": "tips",
+        "total_amount": "driver_pay",
+    },
+}
+
+# Canonical column <- raw column of each feed in the stream (kept when present).
+STREAM_MAPPING = {
+    METERED: dict(BATCH_MAPPING[METERED]),
+    DISPATCH: {
+        "pickup_datetime": "pickup_datetime",
+        "dropoff_datetime": "dropoff_datetime",
+        "trip_distance": "trip_miles",
+        "PULocationID": "PULocationID",
+        "DOLocationID": "DOLocationID",
+        "tip_amount": "tips",
+        "fare_amount": "base_passenger_fare",
+    },
+}
+
+# Stream defaults for dispatch columns that are absent.
+STREAM_DEFAULTS = {
+    DISPATCH: {"passenger_count": 1, "payment_type": 1, "tip_amount": 0.0, "fare_amount": 0.0},
+}

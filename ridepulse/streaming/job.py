@@ -15,15 +15,13 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from ridepulse.schema import ZONE_LATENESS
+from ridepulse.schema import TRIGGERS, ZONE_LATENESS
 from ridepulse.session import build_session, new_work_dir, prepare
 from ridepulse.streaming import queries as sq
 from ridepulse.streaming.runs import ZONE_KEYS
 from ridepulse.streaming.sinks import compact_updates
 from ridepulse.streaming.sources import canonical_stream
 
-# Live trigger intervals of the three queries.
-TRIGGERS = {"zone_demand": "10 seconds", "daily_stats": "15 seconds", "payment_analysis": "20 seconds"}
 
 
 def start_all(
