@@ -23,7 +23,6 @@ from ridepulse.streaming.sinks import compact_updates
 from ridepulse.streaming.sources import canonical_stream
 
 
-
 def start_all(
     spark: SparkSession,
     input_dir: str,

@@ -101,7 +101,10 @@ def compact_updates(spark: SparkSession, out_dir: str, keys: list[str], final: b
     folder may still be in the middle of its commit. Returns the batch id the
     newest snapshot covers (None when there is nothing yet).
     """
-    newest = spark.read.parquet(out_dir).agg(F.max(BATCH_COL)).first()[0]
+    try:
+        newest = spark.read.parquet(out_dir).agg(F.max(BATCH_COL)).first()[0]
+    except AnalysisException:  # no batch written yet
+        return None
     previous = _last_compaction(spark, out_dir)
     if newest is None:
         return previous

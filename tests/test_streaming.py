@@ -178,3 +178,9 @@ def test_empty_input_gives_empty_result(spark, tmp_dir):
     got, _ = run_to_end(spark, canonical_stream(spark, src), "payment_analysis", f"{tmp_dir}/w")
     assert got.count() == 0
     assert got.columns == ["payment_type", "trip_count", "avg_fare", "avg_tip", "total_revenue"]
+
+
+def test_compaction_before_any_output(spark, tmp_dir):
+    from ridepulse.streaming.sinks import compact_updates
+
+    assert compact_updates(spark, f"{tmp_dir}/nothing-yet", ZONE_KEYS) is None
