@@ -1,0 +1,42 @@
+"""Exact money arithmetic: cents, sums, averages, half-up rounding."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from ridepulse.functions.money import cents, money_avg, money_avg_r2, money_sum
+
+
+@pytest.mark.parametrize(
+    "x,c",
+    [(6.55, 655), (0.01, 1), (0.0, 0), (-6.55, -655), (490.02, 49002), (1e9, 100000000000),
+     (float("nan"), None), (float("inf"), None), (1e11, None), (None, None)],
+)
+def test_cents(spark, x, c):
+    df = spark.createDataFrame([(x,)], "x double")
+    assert df.select(cents("x")).first()[0] == c
+
+
+def test_sum_is_exact_in_any_order(spark):
+    vals = [0.1, 0.2, 0.3] * 1000
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    a = df.agg(money_sum("x")).first()[0]
+    b = df.repartition(7).agg(money_sum("x")).first()[0]
+    assert a == b == 600.0
+
+
+def test_average_rounding_half_away_from_zero(spark):
+    df = spark.createDataFrame([(1, 0.12), (1, 0.13), (2, -0.12), (2, -0.13), (3, None)], "k int, x double")
+    got = {r.k: (r.a, r.r) for r in df.groupBy("k").agg(money_avg("x").alias("a"), money_avg_r2("x").alias("r")).collect()}
+    assert got[1] == (0.125, 0.13)
+    assert got[2] == (-0.125, -0.13)
+    assert got[3] == (None, None)
+
+
+def test_rounding_exact_for_large_counts(spark):
+    # 2,000,001 rows: sum of cents / count just below a half cent must round down
+    n = 2_000_001
+    df = spark.range(n).select(F.when(F.col("id") == 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("x"))
+    # avg = 100 cents / 2,000,001 = 0.0000499... cents -> 0.00
+    assert df.agg(money_avg_r2("x")).first()[0] == 0.0
