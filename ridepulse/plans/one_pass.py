@@ -7,13 +7,17 @@ about eight times or cache the cleaned rows; here a single ``groupingSets``
 aggregate computes the sums and counts of all of them:
 
 * every row gets its keys and a validity flag (the batch cleaning rules);
-* ``Expand`` emits the row once per grouping set inside the map task and the
-  partial aggregate collapses the copies at once, so what is shuffled is a
-  few rows per task and key, whatever the data size or key skew;
+* three grouping sets: a fine one, (month, weekday, hour, source, fare
+  bucket), whose few hundred thousand groups at most roll up into the hour,
+  weekday, month, source and bucket results afterwards, and one per pickup
+  zone and per payment code. ``Expand`` emits each row three times inside the
+  map task and the partial aggregate collapses the copies at once, so what
+  is shuffled is a few rows per task and key, whatever the data size or key
+  skew;
 * cleaned-row measures are conditional on the flag, all-row measures are not.
 
-The aggregate has one row per hour, weekday, month, source, zone and code
-(plus one global row); the results are read off it.
+The results are read off (and rolled up from) this aggregate, which is small
+enough to keep in memory.
 """
 
 from __future__ import annotations
@@ -41,10 +45,10 @@ from ridepulse.operators.summaries import (
 )
 from ridepulse.schema import FARE_BUCKET_LABELS, MONEY_COLUMNS, TRIP_COLUMNS
 
-# Grouping columns, in the order given to groupingSets; each set groups by one of them,
-# the last set by none.
-KEYS = ["_hour", "_dow", "_month", "source", "PULocationID", "payment_type"]
-SETS = {k: [k] for k in KEYS} | {"all": []}
+# Grouping columns, in the order given to groupingSets, and the three sets.
+FINE = ["_month", "_dow", "_hour", "source", "_bucket"]
+KEYS = FINE + ["PULocationID", "payment_type"]
+SETS = {"fine": FINE, "zone": ["PULocationID"], "payment": ["payment_type"]}
 
 
 def _gid(set_name: str) -> int:
@@ -109,9 +113,6 @@ def summary_sets(trips: DataFrame) -> DataFrame:
     ]
     aggs += [F.count_if(F.col(f"_fail_{k}")).alias(f"_fail_{k}") for k in rules]
     aggs += [F.count_if(F.col(f"_nn_{c}")).alias(f"_nn_{c}") for c in TRIP_COLUMNS]
-    aggs += [
-        F.count_if(F.col("_bucket") == i).alias(f"_b{i}") for i in range(1, len(FARE_BUCKET_LABELS) + 1)
-    ]
     return keyed.groupingSets(list(SETS.values()), *KEYS).agg(*aggs)
 
 
@@ -126,24 +127,37 @@ def _avg_money(s: str, n: str) -> Column:
     return F.col(s) / 100 / F.col(n)
 
 
+def _rollup(fine: DataFrame, key: str) -> DataFrame:
+    """Re-aggregate the fine groups by one of their keys (a small aggregate)."""
+    additive = [c for c in fine.columns if c not in KEYS and c not in ("_gid", "_min_pickup", "_max_pickup")]
+    return fine.groupBy(key).agg(
+        *[F.sum(c).alias(c) for c in additive],
+        F.min("_min_pickup").alias("_min_pickup"),
+        F.max("_max_pickup").alias("_max_pickup"),
+    )
+
+
 def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
     """Every batch result, read off the grouping-sets aggregate (cache it first)."""
+    fine = _rows(sets, "fine")
     dist = F.col("_dist_sum") / F.col("_dist_n")
     out: dict[str, DataFrame] = {}
-    out["peak_hours"] = _rows(sets, "_hour").filter(F.col("_n") > 0).select(
+    peak = _rollup(fine, "_hour").filter(F.col("_n") > 0).select(
         F.col("_hour").alias("hour"),
         F.col("_n").alias("total_trips"),
         _avg_money("_fare_sum", "_fare_n").alias("avg_fare"),
         dist.alias("avg_distance"),
-    ).transform(lambda d: sort_small(d, "hour"))
-    out["daily_patterns"] = _rows(sets, "_dow").filter(F.col("_n") > 0).select(
+    )
+    out["peak_hours"] = sort_small(peak, "hour")
+    daily = _rollup(fine, "_dow").filter(F.col("_n") > 0).select(
         F.col("_dow").alias("day_of_week"),
         weekday_name("_dow").alias("day_name"),
         F.col("_n").alias("total_trips"),
         _avg_money("_fare_sum", "_fare_n").alias("avg_fare"),
         _avg_money("_tip_sum", "_tip_n").alias("avg_tip"),
-    ).transform(lambda d: sort_small(d, "day_of_week"))
-    monthly = sort_small(_rows(sets, "_month").filter(F.col("_n") > 0), "_month").select(
+    )
+    out["daily_patterns"] = sort_small(daily, "day_of_week")
+    monthly = sort_small(_rollup(fine, "_month").filter(F.col("_n") > 0), "_month").select(
         month_key("_month").alias("month"),
         F.col("_n").alias("total_trips"),
         (F.col("_fare_sum") / 100).alias("total_revenue"),
@@ -152,7 +166,7 @@ def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
     )
     out["monthly_trends"] = monthly
     out["monthly_revenue"] = monthly_revenue(monthly)
-    src = _rows(sets, "source")
+    src = _rollup(fine, "source")
     out["source_comparison"] = src.filter(F.col("_n") > 0).select(
         "source",
         F.col("_n").alias("total_trips"),
@@ -178,21 +192,28 @@ def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
         (F.col("_rdist_sum") / 100).alias("sum_distance"),
         *[(F.col(_RAW_MONEY_SUMS[c]) / 100).alias(f"sum_{c}") for c in MONEY_COLUMNS],
     )
-    zones = _rows(sets, "PULocationID").filter(F.col("PULocationID").isNotNull()).select(
+    zones = _rows(sets, "zone").filter(F.col("PULocationID").isNotNull()).select(
         "PULocationID",
         F.col("_rows").alias("total_pickups"),
         _avg_money("_rfare_sum", "_rfare_n").alias("avg_fare"),
     )
     out["popular_pickup_zones"] = zones
     out["top_pickup_zones"] = top_pickup_zones(zones)
+    n_buckets = len(FARE_BUCKET_LABELS)
+    counters = fine.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("_bucket") == i, F.col("_rows"))), F.lit(0)).alias(f"_b{i}")
+            for i in range(1, n_buckets + 1)
+        ]
+    )
     rows = F.array(
         *[
             F.struct(F.lit(lbl).alias("fare_bucket"), F.lit(i).alias("bucket_ord"), F.col(f"_b{i}").alias("count"))
             for i, lbl in enumerate(FARE_BUCKET_LABELS, start=1)
         ]
     )
-    out["fare_distribution"] = _rows(sets, "all").select(F.inline(rows))
-    payments = _rows(sets, "payment_type").filter(F.col("payment_type").isNotNull()).select(
+    out["fare_distribution"] = counters.select(F.inline(rows))
+    payments = _rows(sets, "payment").filter(F.col("payment_type").isNotNull()).select(
         "payment_type",
         F.col("_rows").alias("total_trips"),
         _avg_money("_rtip_sum", "_rtip_n").alias("avg_tip"),
