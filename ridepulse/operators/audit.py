@@ -15,7 +15,12 @@ from ridepulse.functions.money import money_sum
 from ridepulse.schema import MONEY_COLUMNS, TRIP_COLUMNS
 
 
-def load_audit(trips: DataFrame, by: str | list[str] = "source") -> DataFrame:
+def load_audit(trips: DataFrame, by: str | list[str] = "source", checksum: bool = False) -> DataFrame:
+    """Rows, non-NULL counts, time range and exact sums per key.
+
+    ``checksum`` adds ``bit_xor(xxhash64(row))`` over the canonical columns: an
+    order-independent fingerprint to compare two loads of the same files.
+    """
     keys = [by] if isinstance(by, str) else list(by)
     aggs = [F.count(F.lit(1)).alias("rows")]
     aggs += [F.count(c).alias(f"nonnull_{c}") for c in TRIP_COLUMNS]
@@ -25,4 +30,6 @@ def load_audit(trips: DataFrame, by: str | list[str] = "source") -> DataFrame:
         money_sum("trip_distance").alias("sum_distance"),
     ]
     aggs += [money_sum(c).alias(f"sum_{c}") for c in MONEY_COLUMNS]
+    if checksum:
+        aggs.append(F.bit_xor(F.xxhash64(*[F.col(c) for c in TRIP_COLUMNS])).alias("checksum"))
     return trips.groupBy(*keys).agg(*aggs)

@@ -112,3 +112,17 @@ def test_directory_probe_groups_by_folder(spark, tmp_dir):
     _metered_rows(spark, [4.0, 5.0], "double").repartition(2).write.parquet(f"{tmp_dir}/2023-02")
     scan = scan_feeds(spark, [f"{tmp_dir}/2023-01", f"{tmp_dir}/2023-02"], probe="directory")
     assert sorted(r.passenger_count for r in scan.trips.collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
+
+
+def test_per_file_load_audit(spark, tmp_dir):
+    from ridepulse.operators.audit import load_audit
+    from ridepulse.sources.feeds import FILE_COL
+
+    _metered_rows(spark, [1, 2, 3], "bigint").coalesce(1).write.parquet(f"{tmp_dir}/m1")
+    _metered_rows(spark, [4.0, 5.0], "double").coalesce(1).write.parquet(f"{tmp_dir}/m2")
+    scan = scan_feeds(spark, [f"{tmp_dir}/m1", f"{tmp_dir}/m2"], with_file=True)
+    audit = load_audit(scan.trips, by=["source", FILE_COL], checksum=True).collect()
+    assert sorted(r.rows for r in audit) == [2, 3]
+    again = load_audit(scan_feeds(spark, [f"{tmp_dir}/m2", f"{tmp_dir}/m1"]).trips, checksum=True).first()
+    total = load_audit(scan.trips.drop(FILE_COL), checksum=True).first()
+    assert again.checksum == total.checksum and again.rows == 5
