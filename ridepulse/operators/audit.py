@@ -18,8 +18,9 @@ from ridepulse.schema import MONEY_COLUMNS, TRIP_COLUMNS
 def load_audit(trips: DataFrame, by: str | list[str] = "source", checksum: bool = False) -> DataFrame:
     """Rows, non-NULL counts, time range and exact sums per key.
 
-    ``checksum`` adds ``bit_xor(xxhash64(row))`` over the canonical columns: an
-    order-independent fingerprint to compare two loads of the same files.
+    ``checksum`` adds the sum of the low 32 bits of ``xxhash64(row)`` over the
+    canonical columns (as DECIMAL, so it cannot overflow): an order-independent
+    fingerprint, sensitive to duplicates, to compare two loads of the same files.
     """
     keys = [by] if isinstance(by, str) else list(by)
     aggs = [F.count(F.lit(1)).alias("rows")]
@@ -31,5 +32,6 @@ def load_audit(trips: DataFrame, by: str | list[str] = "source", checksum: bool
     ]
     aggs += [money_sum(c).alias(f"sum_{c}") for c in MONEY_COLUMNS]
     if checksum:
-        aggs.append(F.bit_xor(F.xxhash64(*[F.col(c) for c in TRIP_COLUMNS])).alias("checksum"))
+        low = F.xxhash64(*[F.col(c) for c in TRIP_COLUMNS]).bitwiseAND(F.lit(0xFFFFFFFF))
+        aggs.append(F.sum(low.cast("decimal(20,0)")).alias("checksum"))
     return trips.groupBy(*keys).agg(*aggs)
