@@ -60,6 +60,26 @@ def list_files(spark: SparkSession, paths: list[str], ignore_missing: bool = Fal
     return sorted(reader.format("binaryFile").load(list(paths)).select("path").inputFiles())
 
 
+def file_inventory(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Path, size and modification time of every data file, with folder totals.
+
+    The ``binaryFile`` source is used for its metadata columns only; without
+    ``content`` in the projection no file body is read.
+    """
+    files = spark.read.format("binaryFile").load(list(paths)).select(
+        "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")
+    )
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    return files.withColumn("folder", folder)
+
+
+def folder_sizes(inventory: DataFrame) -> DataFrame:
+    """Files and bytes per folder (the ``du`` of a listing)."""
+    return inventory.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")
+    )
+
+
 def _file_schema(spark: SparkSession, path: str) -> tuple[str, StructType | None, str | None]:
     try:
         return path, spark.read.parquet(path).schema, None

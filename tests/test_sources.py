@@ -126,3 +126,16 @@ def test_per_file_load_audit(spark, tmp_dir):
     again = load_audit(scan_feeds(spark, [f"{tmp_dir}/m2", f"{tmp_dir}/m1"]).trips, checksum=True).first()
     total = load_audit(scan.trips.drop(FILE_COL), checksum=True).first()
     assert again.checksum == total.checksum and again.rows == 5
+
+
+def test_file_inventory(spark, tmp_dir):
+    from ridepulse.sources.feeds import file_inventory, folder_sizes
+
+    _metered_rows(spark, [1, 2, 3], "bigint").repartition(2).write.parquet(f"{tmp_dir}/a")
+    _metered_rows(spark, [4.0], "double").coalesce(1).write.parquet(f"{tmp_dir}/b")
+    inv = file_inventory(spark, [f"{tmp_dir}/a", f"{tmp_dir}/b"])
+    sizes = {r.folder.rsplit("/", 1)[-1]: (r.files, r.bytes) for r in folder_sizes(inv).collect()}
+    assert sizes["a"][0] == 2 and sizes["b"][0] == 1
+    assert all(b > 0 for _, b in sizes.values())
+    plan = inv._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1]
