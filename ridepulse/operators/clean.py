@@ -43,8 +43,9 @@ def _all(preds: list[Column]) -> Column:
 def clean(df: DataFrame) -> DataFrame:
     """Batch cleaner: validity filter, trip duration in minutes, duration range.
 
-    One filter: Catalyst pushes the column predicates into each scan of the
-    union; the duration bounds are evaluated right after.
+    Catalyst pushes the column predicates into each scan of the union (they
+    show as ``PushedFilters`` where the format allows); the duration bounds
+    are evaluated in the same stage, right after the scan.
     """
     rules = batch_rules()
     dur_rules = ["duration_above_min", "duration_below_max"]

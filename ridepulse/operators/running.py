@@ -35,18 +35,22 @@ def zone_demand(trips: DataFrame, window: str = ZONE_WINDOW) -> DataFrame:
     return flatten_window(zone_demand_agg(trips, window))
 
 
-def daily_stats(trips: DataFrame) -> DataFrame:
-    """Running statistics per calendar day (``yyyy-MM-dd`` of the pickup).
-
-    Grouped on the date value; the text key is formatted on the aggregated rows.
-    """
-    agg = trips.groupBy(calendar_date().alias("_day")).agg(
+def _daily_measures() -> list:
+    return [
         F.count(F.lit(1)).alias("total_trips"),
         money_avg_r2("fare_amount").alias("avg_fare"),
         money_avg_r2("tip_amount").alias("avg_tip"),
         money_avg_r2("trip_distance").alias("avg_distance"),
         money_sum_r2("total_amount").alias("total_revenue"),
-    )
+    ]
+
+
+def daily_stats(trips: DataFrame) -> DataFrame:
+    """Running statistics per calendar day (``yyyy-MM-dd`` of the pickup).
+
+    Grouped on the date value; the text key is formatted on the aggregated rows.
+    """
+    agg = trips.groupBy(calendar_date().alias("_day")).agg(*_daily_measures())
     return agg.select(date_key("_day").alias("trip_date"), *[c for c in agg.columns if c != "_day"])
 
 
@@ -56,13 +60,7 @@ def daily_stats_windowed(trips: DataFrame) -> DataFrame:
     With a watermark, state for days that can no longer change is dropped;
     the plain ``daily_stats`` keeps one state row per day forever.
     """
-    out = trips.groupBy(F.window("pickup_datetime", "1 day").alias("window")).agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        money_avg_r2("fare_amount").alias("avg_fare"),
-        money_avg_r2("tip_amount").alias("avg_tip"),
-        money_avg_r2("trip_distance").alias("avg_distance"),
-        money_sum_r2("total_amount").alias("total_revenue"),
-    )
+    out = trips.groupBy(F.window("pickup_datetime", "1 day").alias("window")).agg(*_daily_measures())
     return out.select(
         date_key("window.start").alias("trip_date"),
         *[c for c in out.columns if c != "window"],
