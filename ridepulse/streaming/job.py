@@ -31,6 +31,7 @@ def start_all(
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
     lateness: str = ZONE_LATENESS,
+    max_bytes_per_trigger: int | None = None,
 ) -> sq.StartedQueries:
     prepare(spark)
     started = sq.StartedQueries()
@@ -43,7 +44,7 @@ def start_all(
 
     # Each query reads the source itself (own offsets, own state).
     def src():
-        return canonical_stream(spark, input_dir, fmt, max_files_per_trigger)
+        return canonical_stream(spark, input_dir, fmt, max_files_per_trigger, max_bytes_per_trigger)
 
     try:
         started.queries["zone_demand"] = sq.start_zone_demand(
@@ -66,6 +67,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--work", default=None)
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--max-files-per-trigger", type=int, default=None)
+    ap.add_argument("--max-bytes-per-trigger", type=int, default=None,
+                    help="bound on input bytes per micro-batch (takes a backlog in steps)")
     ap.add_argument("--lateness", default=ZONE_LATENESS)
     ap.add_argument("--compact-every", type=float, default=0.0,
                     help="seconds between compactions of the zone-demand output (0: never)")
@@ -76,7 +79,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master, "ridepulse-stream", shuffle_partitions=args.state_partitions)
     work = args.work or new_work_dir(spark, "stream-job")
     started = start_all(
-        spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness
+        spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness,
+        args.max_bytes_per_trigger,
     )
     try:
         if args.available_now:

@@ -26,12 +26,17 @@ def file_stream(
     fmt: str = "parquet",
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
+    """A file stream. The admission limits bound each micro-batch, so a backlog
+    (first start, catch-up after downtime) is taken in steps, not in one batch."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
         return reader.csv(path)
@@ -39,9 +44,16 @@ def file_stream(
 
 
 def canonical_stream(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    return file_stream(spark, path, TRIPS, fmt, max_files_per_trigger=max_files_per_trigger)
+    return file_stream(
+        spark, path, TRIPS, fmt,
+        max_files_per_trigger=max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger,
+    )
 
 
 def feed_stream(

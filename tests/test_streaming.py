@@ -184,3 +184,11 @@ def test_compaction_before_any_output(spark, tmp_dir):
     from ridepulse.streaming.sinks import compact_updates
 
     assert compact_updates(spark, f"{tmp_dir}/nothing-yet", ZONE_KEYS) is None
+
+
+def test_byte_admission_limit_splits_backlog(spark, tmp_dir):
+    trips, src = _replayed(spark, tmp_dir, 4)
+    stream = canonical_stream(spark, src, "parquet", max_bytes_per_trigger=1)
+    got, q = run_to_end(spark, stream, "payment_analysis", f"{tmp_dir}/bytes")
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
+    assert as_set(got) == as_set(running.payment_analysis(clean_stream(trips)))
