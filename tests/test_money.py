@@ -40,3 +40,32 @@ def test_rounding_exact_for_large_counts(spark):
     df = spark.range(n).select(F.when(F.col("id") == 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("x"))
     # avg = 100 cents / 2,000,001 = 0.0000499... cents -> 0.00
     assert df.agg(money_avg_r2("x")).first()[0] == 0.0
+
+
+def test_rounding_matches_decimal_arithmetic(spark):
+    """Random cent amounts: Spark's averages equal exact decimal arithmetic."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    groups = st.lists(
+        st.tuples(st.integers(0, 4), st.integers(-10**7, 10**7)), min_size=1, max_size=60
+    )
+
+    @settings(max_examples=15, deadline=None)
+    @given(groups)
+    def check(rows):
+        df = spark.createDataFrame([(k, c / 100) for k, c in rows], "k int, x double")
+        got = {
+            r.k: (r.r, r.s)
+            for r in df.groupBy("k").agg(money_avg_r2("x").alias("r"), money_sum("x").alias("s")).collect()
+        }
+        for k in {k for k, _ in rows}:
+            cents_ = [c for kk, c in rows if kk == k]
+            exact = Decimal(sum(cents_)) / Decimal(len(cents_)) / 100
+            want = float(exact.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+            assert got[k][0] == want, (k, cents_)
+            assert got[k][1] == sum(cents_) / 100
+
+    check()
