@@ -32,6 +32,7 @@ def start_all(
     max_files_per_trigger: int | None = None,
     lateness: str = ZONE_LATENESS,
     max_bytes_per_trigger: int | None = None,
+    state_partitions: int | None = None,
 ) -> sq.StartedQueries:
     prepare(spark)
     started = sq.StartedQueries()
@@ -48,7 +49,7 @@ def start_all(
 
     try:
         started.queries["zone_demand"] = sq.start_zone_demand(
-            src(), paths("zone_demand"), trig("zone_demand"), lateness
+            src(), paths("zone_demand"), trig("zone_demand"), lateness, state_partitions=state_partitions
         )
         started.queries["daily_stats"] = sq.start_daily_stats(src(), paths("daily_stats"), trig("daily_stats"))
         started.queries["payment_analysis"] = sq.start_payment(
@@ -73,14 +74,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--compact-every", type=float, default=0.0,
                     help="seconds between compactions of the zone-demand output (0: never)")
     ap.add_argument("--state-partitions", type=int, default=None,
-                    help="partitions of the streaming state (fixed when a checkpoint is first created)")
+                    help="partitions of the zone-demand state (fixed when its checkpoint is first created)")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
-    spark = build_session(args.master, "ridepulse-stream", shuffle_partitions=args.state_partitions)
+    spark = build_session(args.master, "ridepulse-stream")
     work = args.work or new_work_dir(spark, "stream-job")
     started = start_all(
         spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness,
-        args.max_bytes_per_trigger,
+        args.max_bytes_per_trigger, args.state_partitions,
     )
     try:
         if args.available_now:

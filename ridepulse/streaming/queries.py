@@ -8,6 +8,7 @@ table on shared storage, saved every micro-batch (not only at shutdown).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -54,7 +55,42 @@ class StartedQueries:
                 q.stop()
 
 
-def _start(df: DataFrame, name: str, mode: str, sink, paths: StreamPaths, trigger: Trigger) -> StreamingQuery:
+# Partitions of the state of queries whose key domain is small and fixed (a few
+# payment codes; calendar days). The number is fixed when a query's checkpoint
+# is created; zone demand, whose state grows with the data, takes the
+# session's spark.sql.shuffle.partitions, capped at the cluster's task slots.
+STATE_PARTITIONS = {"daily_stats": 4, "payment_analysis": 1}
+
+
+def default_state_partitions(spark) -> int | None:
+    """Session shuffle partitions, but never more than the task slots of the cluster."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        slots = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: leave the session's value
+        return None
+    return min(n, max(1, slots))
+
+
+@contextmanager
+def _state_partitions(spark, n: int | None):
+    """Start a query with ``n`` state partitions (restores the session value)."""
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _start(
+    df: DataFrame, name: str, mode: str, sink, paths: StreamPaths, trigger: Trigger,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
     writer = (
         df.writeStream.queryName(name)
         .outputMode(mode)
@@ -64,7 +100,8 @@ def _start(df: DataFrame, name: str, mode: str, sink, paths: StreamPaths, trigge
     kw = trigger.kwargs()
     if kw:
         writer = writer.trigger(**kw)
-    return writer.start()
+    with _state_partitions(df.sparkSession, state_partitions):
+        return writer.start()
 
 
 def zone_demand_stream(trips: DataFrame, lateness: str = ZONE_LATENESS, window: str = ZONE_WINDOW) -> DataFrame:
@@ -75,19 +112,21 @@ def zone_demand_stream(trips: DataFrame, lateness: str = ZONE_LATENESS, window:
 
 def start_zone_demand(
     trips: DataFrame, paths: StreamPaths, trigger: Trigger, lateness: str = ZONE_LATENESS,
-    name: str = "zone_demand",
+    name: str = "zone_demand", state_partitions: int | None = None,
 ) -> StreamingQuery:
+    n = state_partitions or default_state_partitions(trips.sparkSession)
     return _start(
-        zone_demand_stream(trips, lateness), name, "update", KeyedUpdateSink(paths.output), paths, trigger
+        zone_demand_stream(trips, lateness), name, "update", KeyedUpdateSink(paths.output), paths, trigger, n
     )
 
 
 def start_daily_stats(
-    trips: DataFrame, paths: StreamPaths, trigger: Trigger, name: str = "daily_stats"
+    trips: DataFrame, paths: StreamPaths, trigger: Trigger, name: str = "daily_stats",
+    state_partitions: int | None = STATE_PARTITIONS["daily_stats"],
 ) -> StreamingQuery:
     """Complete mode: state holds one row per calendar day seen."""
     agg = running.daily_stats(clean_stream(trips))
-    return _start(agg, name, "complete", SnapshotSink(paths.output), paths, trigger)
+    return _start(agg, name, "complete", SnapshotSink(paths.output), paths, trigger, state_partitions)
 
 
 def start_daily_stats_windowed(
@@ -97,15 +136,17 @@ def start_daily_stats_windowed(
     """Watermarked variant: days behind the watermark leave the state store."""
     cleaned = clean_stream(trips).withWatermark("pickup_datetime", lateness)
     agg = running.daily_stats_windowed(cleaned)
-    return _start(agg, name, "update", KeyedUpdateSink(paths.output), paths, trigger)
+    n = STATE_PARTITIONS["daily_stats"]
+    return _start(agg, name, "update", KeyedUpdateSink(paths.output), paths, trigger, n)
 
 
 def start_payment(
-    trips: DataFrame, paths: StreamPaths, trigger: Trigger, name: str = "payment_analysis"
+    trips: DataFrame, paths: StreamPaths, trigger: Trigger, name: str = "payment_analysis",
+    state_partitions: int | None = STATE_PARTITIONS["payment_analysis"],
 ) -> StreamingQuery:
     """Complete mode over the few payment codes (NULL kept as a group)."""
     agg = running.payment_analysis(clean_stream(trips))
-    return _start(agg, name, "complete", SnapshotSink(paths.output), paths, trigger)
+    return _start(agg, name, "complete", SnapshotSink(paths.output), paths, trigger, state_partitions)
 
 
 def start_payment_memory(trips: DataFrame, name: str = "payment_analysis", trigger: Trigger | None = None):
@@ -115,7 +156,8 @@ def start_payment_memory(trips: DataFrame, name: str = "payment_analysis", trigg
     kw = (trigger or Trigger()).kwargs()
     if kw:
         writer = writer.trigger(**kw)
-    return writer.start()
+    with _state_partitions(agg.sparkSession, STATE_PARTITIONS["payment_analysis"]):
+        return writer.start()
 
 
 def start_console(
