@@ -1,6 +1,8 @@
 """The batch job: load both feeds, clean, compute every summary, write each once.
 
     python -m ridepulse.plans.batch_job --raw 'hdfs:///trips/raw/*.parquet' --out hdfs:///trips/results
+    python -m ridepulse.plans.batch_job --raw 'hdfs:///trips/raw/*.parquet' --write-table hdfs:///trips/table
+    python -m ridepulse.plans.batch_job --table hdfs:///trips/table --months 2023-01:2023-06 --out ...
     python -m ridepulse.plans.batch_job --sf-dir /root/testdata/sf0.1 --out /tmp/results
 
 All thirteen results come from one scan of the trips: a grouping-sets
@@ -16,21 +18,41 @@ import time
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ridepulse.functions.timekeys import month_key
 from ridepulse.operators import normalize
 from ridepulse.plans import one_pass
 from ridepulse.session import build_session, prepare
 from ridepulse.sources import testdata
 from ridepulse.sources.feeds import scan_feeds
 from ridepulse.sources.results import write_result
+from ridepulse.sources.trip_table import MONTH_COL, read_trip_table, write_trip_table
 
-def load_trips(spark: SparkSession, raw: list[str] | None = None, sf_dir: str | None = None) -> DataFrame:
+def load_trips(
+    spark: SparkSession,
+    raw: list[str] | None = None,
+    sf_dir: str | None = None,
+    table: str | None = None,
+    sources: list[str] | None = None,
+    months: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Canonical trips from a stored trip table (pruned by source / month), raw
+    feed files, or the generated tables."""
+    if table:
+        return read_trip_table(spark, table, sources, months).drop(MONTH_COL)
     if raw:
-        scan = scan_feeds(spark, raw)
-        return scan.trips
-    if sf_dir:
-        return normalize.trips_batch(testdata.raw_metered(spark, sf_dir), testdata.raw_dispatch(spark, sf_dir))
-    raise ValueError("give raw feed paths or a generated-table folder")
+        trips = scan_feeds(spark, raw).trips
+    elif sf_dir:
+        trips = normalize.trips_batch(testdata.raw_metered(spark, sf_dir), testdata.raw_dispatch(spark, sf_dir))
+    else:
+        raise ValueError("give a trip table, raw feed paths or a generated-table folder")
+    if sources:
+        trips = trips.filter(F.col("source").isin(list(sources)))
+    if months:
+        m = month_key("pickup_datetime")
+        trips = trips.filter((m >= months[0]) & (m <= months[1]))
+    return trips
 
 
 def batch_results(trips: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -47,10 +69,13 @@ def run(
     raw: list[str] | None = None,
     sf_dir: str | None = None,
     show: int = 0,
+    table: str | None = None,
+    sources: list[str] | None = None,
+    months: tuple[str, str] | None = None,
 ) -> dict:
     prepare(spark)
     t0 = time.time()
-    sets, results = batch_results(load_trips(spark, raw, sf_dir))
+    sets, results = batch_results(load_trips(spark, raw, sf_dir, table, sources, months))
     timings = {}
     try:
         t = time.time()
@@ -73,12 +98,23 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--raw", nargs="*", help="raw feed files or globs (both feeds)")
     ap.add_argument("--sf-dir", help="folder of generated tables bound to the two feeds")
-    ap.add_argument("--out", required=True)
+    ap.add_argument("--table", help="stored trip table (see --write-table) to analyse")
+    ap.add_argument("--sources", nargs="*", help="only these feeds (partition filter on a stored table)")
+    ap.add_argument("--months", help="FROM:TO inclusive, e.g. 2023-01:2023-06 (partition filter)")
+    ap.add_argument("--write-table", help="store the normalised trips here (partitioned by source, month) and exit")
+    ap.add_argument("--out")
     ap.add_argument("--show", type=int, default=0, help="print the first N rows of each result")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-batch")
-    print(json.dumps(run(spark, args.out, args.raw, args.sf_dir, args.show)))
+    months = tuple(args.months.split(":", 1)) if args.months else None
+    if args.write_table:
+        write_trip_table(load_trips(spark, args.raw, args.sf_dir), args.write_table)
+        print(json.dumps({"table": args.write_table}))
+        return
+    if not args.out:
+        ap.error("--out is required")
+    print(json.dumps(run(spark, args.out, args.raw, args.sf_dir, args.show, args.table, args.sources, months)))
 
 
 if __name__ == "__main__":

@@ -86,3 +86,16 @@ def test_memory_sink_sql_and_processing_time_trigger(spark, tmp_dir):
 
 def test_canonical_columns_of_stream_layout(spark):
     assert catalog.trips_stream_norm(spark, SF_SMALL).columns == TRIP_COLUMNS
+
+
+def test_batch_job_from_stored_table_with_pruning(spark, tmp_dir):
+    table = f"{tmp_dir}/table"
+    batch_job.main(["--sf-dir", SF_SMALL, "--write-table", table, "--master", "local[4]"])
+    trips = batch_job.load_trips(spark, table=table, sources=["dispatch"], months=("1995-01", "1996-12"))
+    plan = trips._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+    want = batch_job.load_trips(spark, sf_dir=SF_SMALL, sources=["dispatch"], months=("1995-01", "1996-12"))
+    assert as_set(trips) == as_set(want) and trips.count() > 0
+    out = f"{tmp_dir}/res"
+    report = batch_job.run(spark, out, table=table, months=("1995-01", "1996-12"))
+    assert "peak_hours" in report["per_result"]
