@@ -6,7 +6,8 @@
     python -m ridepulse.plans.batch_job --sf-dir /root/testdata/sf0.1 --out /tmp/results
 
 All thirteen results come from one scan of the trips: a grouping-sets
-aggregate (``ridepulse.plans.one_pass``) whose few thousand rows are kept in
+aggregate (``ridepulse.plans.one_pass``) whose rows (bounded by months x
+weekdays x hours x feeds x buckets, plus zones and payment codes) are kept in
 memory while the results are written.
 """
 
@@ -29,6 +30,7 @@ from ridepulse.sources.feeds import scan_feeds
 from ridepulse.sources.results import write_result
 from ridepulse.sources.trip_table import MONTH_COL, read_trip_table, write_trip_table
 
+
 def load_trips(
     spark: SparkSession,
     raw: list[str] | None = None,
@@ -57,8 +59,8 @@ def load_trips(
 
 def batch_results(trips: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     """(set aggregate, every batch result). One scan of ``trips`` computes the
-    aggregate; it is small (a row per hour, weekday, month, source, zone and
-    payment code), so it is the thing kept in memory, not the trips."""
+    aggregate; its size is bounded by the key domains, not by the number of
+    trips, so it is the thing kept in memory, not the trips."""
     sets = one_pass.summary_sets(trips).persist(StorageLevel.MEMORY_AND_DISK)
     return sets, one_pass.results_from_sets(sets)
 
