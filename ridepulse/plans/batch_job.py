@@ -74,7 +74,10 @@ def run(
     table: str | None = None,
     sources: list[str] | None = None,
     months: tuple[str, str] | None = None,
+    formats: tuple[str, ...] = ("csv", "parquet"),
 ) -> dict:
+    """Write every result under ``out_dir/<format>/<name>`` (CSV with a header
+    for people, Parquet beside it for further processing)."""
     prepare(spark)
     t0 = time.time()
     sets, results = batch_results(load_trips(spark, raw, sf_dir, table, sources, months))
@@ -86,7 +89,8 @@ def run(
         for name, df in results.items():
             t = time.time()
             # Every result is small (one row per hour / day / month / zone / code).
-            write_result(df, f"{out_dir.rstrip('/')}/{name}", "csv", single_file=True)
+            for fmt in formats:
+                write_result(df, f"{out_dir.rstrip('/')}/{fmt}/{name}", fmt, single_file=True)
             timings[name] = round(time.time() - t, 3)
             if show:
                 print(f"== {name}")
@@ -106,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--write-table", help="store the normalised trips here (partitioned by source, month) and exit")
     ap.add_argument("--out")
     ap.add_argument("--show", type=int, default=0, help="print the first N rows of each result")
+    ap.add_argument("--formats", default="csv,parquet", help="comma-separated result formats")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-batch")
@@ -116,7 +121,9 @@ def main(argv: list[str] | None = None) -> None:
         return
     if not args.out:
         ap.error("--out is required")
-    print(json.dumps(run(spark, args.out, args.raw, args.sf_dir, args.show, args.table, args.sources, months)))
+    formats = tuple(f for f in args.formats.split(",") if f)
+    report = run(spark, args.out, args.raw, args.sf_dir, args.show, args.table, args.sources, months, formats)
+    print(json.dumps(report))
 
 
 if __name__ == "__main__":

@@ -37,8 +37,9 @@ def test_batch_job_writes_every_result(spark, tmp_dir):
     out = f"{tmp_dir}/results"
     report = batch_job.run(spark, out, sf_dir=SF_SMALL)
     assert set(report["per_result"]) >= {"peak_hours", "fare_distribution", "payment_share"}
-    peak = read_result_csv(spark, f"{out}/peak_hours", catalog.peak_hours(spark, SF_SMALL).schema)
+    peak = read_result_csv(spark, f"{out}/csv/peak_hours", catalog.peak_hours(spark, SF_SMALL).schema)
     assert as_set(peak) == as_set(catalog.peak_hours(spark, SF_SMALL))
+    assert as_set(spark.read.parquet(f"{out}/parquet/peak_hours")) == as_set(catalog.peak_hours(spark, SF_SMALL))
 
 
 def test_batch_job_on_raw_files(spark, tmp_dir):
