@@ -9,7 +9,12 @@ File sinks accept append mode only, so the two result shapes are kept as:
   ``compact_updates`` folds old batch folders into a snapshot so readers do
   not pay for the whole history of the stream.
 * complete mode (``SnapshotSink``): each micro-batch writes the whole result
-  into ``<out>/batch_id=<n>``; the current table is the highest batch id.
+  into one of two slots, ``<out>/slot=<n % 2>``, replacing only that slot
+  (dynamic partition overwrite); the other slot keeps the previous complete
+  snapshot, and the current table is the highest batch id found. The number
+  of folders stays at two however long the stream runs. (A slot is swapped
+  in by a directory rename when the write commits: atomic on HDFS-like file
+  systems.)
 """
 
 from __future__ import annotations
@@ -40,6 +45,9 @@ class KeyedUpdateSink:
         df.write.mode("overwrite").parquet(_batch_path(self.out_dir, batch_id))
 
 
+SLOT_COL = "slot"
+
+
 class SnapshotSink:
     """foreachBatch writer for complete-mode results (small key spaces)."""
 
@@ -47,7 +55,14 @@ class SnapshotSink:
         self.out_dir = out_dir
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(_batch_path(self.out_dir, batch_id))
+        (
+            df.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+            .withColumn(SLOT_COL, F.lit(batch_id % 2))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(SLOT_COL)
+            .parquet(self.out_dir)
+        )
 
 
 def _last_compaction(spark: SparkSession, out_dir: str) -> int | None:
@@ -117,7 +132,7 @@ def compact_updates(spark: SparkSession, out_dir: str, keys: list[str], final: b
 
 
 def read_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Current table of a complete-mode sink: the folder of the last batch."""
+    """Current table of a complete-mode sink: the rows of the last batch."""
     df = spark.read.parquet(out_dir)
     last = df.agg(F.max(BATCH_COL)).first()[0]
-    return df.filter(F.col(BATCH_COL) == F.lit(last)).drop(BATCH_COL)
+    return df.filter(F.col(BATCH_COL) == F.lit(last)).drop(BATCH_COL, SLOT_COL)

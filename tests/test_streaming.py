@@ -192,3 +192,15 @@ def test_byte_admission_limit_splits_backlog(spark, tmp_dir):
     got, q = run_to_end(spark, stream, "payment_analysis", f"{tmp_dir}/bytes")
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
     assert as_set(got) == as_set(running.payment_analysis(clean_stream(trips)))
+
+
+def test_snapshot_sink_keeps_two_slots(spark, tmp_dir):
+    import os as _os
+
+    trips, src = _replayed(spark, tmp_dir, 5)
+    work = f"{tmp_dir}/snap"
+    got, q = run_to_end(spark, canonical_stream(spark, src, "parquet", 1), "daily_stats", work)
+    assert len(q.recentProgress) >= 5
+    slots = sorted(d for d in _os.listdir(f"{work}/output") if d.startswith("slot="))
+    assert slots == ["slot=0", "slot=1"]
+    assert as_set(got) == as_set(running.daily_stats(clean_stream(trips)))
