@@ -38,6 +38,12 @@ def detect_feed(columns: Iterable[str]) -> str | None:
     return None
 
 
+def missing_batch_columns(feed: str, columns: Iterable[str]) -> list[str]:
+    """Raw columns the batch normaliser needs that a file does not have."""
+    have = set(columns)
+    return [src for src in BATCH_MAPPING[feed].values() if src is not None and src not in have]
+
+
 def _typed(expr: Column, name: str) -> Column:
     return expr.cast(TRIP_TYPES[name]).alias(name)
 
@@ -50,7 +56,7 @@ def normalise_batch(
     ``extra`` names raw columns carried through unchanged (e.g. the file path).
     """
     mapping = BATCH_MAPPING[feed]
-    missing = [src for src in mapping.values() if src is not None and src not in raw.columns]
+    missing = missing_batch_columns(feed, raw.columns)
     if missing:
         raise ValueError(f"{feed} feed lacks columns {missing}")
     cols = [

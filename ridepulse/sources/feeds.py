@@ -25,6 +25,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ridepulse.operators.normalize import (
     detect_feed,
+    missing_batch_columns,
     drop_incomplete,
     normalise_batch,
     normalise_stream,
@@ -145,7 +146,13 @@ def scan_feeds(
     accepted = []
     extra = (FILE_COL,) if with_file else ()
     for (feed, schema_json), group_paths in sorted(groups.items()):
-        reader = spark.read.schema(StructType.fromJson(json.loads(schema_json)))
+        schema = StructType.fromJson(json.loads(schema_json))
+        if layout == "batch":
+            lacking = missing_batch_columns(feed, schema.fieldNames())
+            if lacking:
+                rejected += [(p, f"{feed} file lacks columns {lacking}") for p in group_paths]
+                continue
+        reader = spark.read.schema(schema)
         if ignore_missing:
             reader = reader.option("ignoreMissingFiles", True)
         raw = reader.parquet(*group_paths)

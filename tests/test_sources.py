@@ -139,3 +139,15 @@ def test_file_inventory(spark, tmp_dir):
     assert all(b > 0 for _, b in sizes.values())
     plan = inv._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]
+
+
+def test_file_missing_required_column_is_rejected(spark, tmp_dir):
+    _metered_rows(spark, [1, 2], "bigint").coalesce(1).write.parquet(f"{tmp_dir}/ok")
+    _metered_rows(spark, [3], "bigint").drop("tip_amount").coalesce(1).write.parquet(f"{tmp_dir}/old")
+    scan = scan_feeds(spark, [f"{tmp_dir}/ok", f"{tmp_dir}/old"])
+    assert scan.trips.count() == 2
+    reasons = [r.reason for r in scan.rejected.collect()]
+    assert len(reasons) == 1 and "tip_amount" in reasons[0]
+    # the stream layout fills the absent column instead
+    stream = scan_feeds(spark, [f"{tmp_dir}/ok", f"{tmp_dir}/old"], layout="stream")
+    assert stream.trips.count() == 3 and stream.rejected.count() == 0
