@@ -28,7 +28,11 @@ def write_trip_table(
     num_partitions: int | None = None,
     max_records_per_file: int = 5_000_000,
     mode: str = "overwrite",
+    dynamic: bool = True,
 ) -> str:
+    """Write (or add to) the table. With ``dynamic`` an overwrite replaces only
+    the (source, month) partitions present in ``trips``: loading a month again
+    is idempotent and leaves the other months as they are."""
     if "source" not in trips.columns:
         raise ValueError("the trip table needs the source column (batch layout)")
     n = num_partitions or int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -42,6 +46,7 @@ def write_trip_table(
     )
     (
         out.write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*PARTITION_COLS)
         .parquet(path)

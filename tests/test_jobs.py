@@ -100,3 +100,16 @@ def test_batch_job_from_stored_table_with_pruning(spark, tmp_dir):
     out = f"{tmp_dir}/res"
     report = batch_job.run(spark, out, table=table, months=("1995-01", "1996-12"))
     assert "peak_hours" in report["per_result"]
+
+
+def test_trip_table_month_reload_is_idempotent(spark, tmp_dir):
+    trips = catalog.trips_union(spark, SF_SMALL).filter(F.col("source") == "dispatch")
+    m = F.date_format("pickup_datetime", "yyyy-MM")
+    jan, feb = trips.filter(m == "1996-01"), trips.filter(m == "1996-02")
+    path = f"{tmp_dir}/t"
+    write_trip_table(jan, path, num_partitions=2)
+    write_trip_table(feb, path, num_partitions=2)
+    write_trip_table(jan, path, num_partitions=2)  # reload January
+    back = read_trip_table(spark, path)
+    assert back.count() == jan.count() + feb.count() > 0
+    assert as_set(back.drop("pickup_month")) == as_set(jan.unionByName(feb))
