@@ -12,6 +12,7 @@ by every micro-batch, so stopping loses nothing.
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 
@@ -73,6 +74,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--lateness", default=ZONE_LATENESS)
     ap.add_argument("--compact-every", type=float, default=0.0,
                     help="seconds between compactions of the zone-demand output (0: never)")
+    ap.add_argument("--report-every", type=float, default=0.0,
+                    help="seconds between progress lines (rows/s, state rows, late rows) per query")
     ap.add_argument("--state-partitions", type=int, default=None,
                     help="partitions of the zone-demand state (fixed when its checkpoint is first created)")
     ap.add_argument("--master", default=None)
@@ -86,10 +89,15 @@ def main(argv: list[str] | None = None) -> None:
     try:
         if args.available_now:
             started.await_all()
-        elif args.compact_every > 0:
+        elif args.compact_every > 0 or args.report_every > 0:
+            ticks = [t for t in (args.compact_every, args.report_every) if t > 0]
             zone_out = f"{work}/zone_demand/output"
-            while not spark.streams.awaitAnyTermination(args.compact_every):
-                compact_updates(spark, zone_out, ZONE_KEYS)
+            while not spark.streams.awaitAnyTermination(min(ticks)):
+                if args.compact_every > 0:
+                    compact_updates(spark, zone_out, ZONE_KEYS)
+                if args.report_every > 0:
+                    for q in started.queries.values():
+                        print(json.dumps(sq.progress_summary(q)), flush=True)
         else:
             spark.streams.awaitAnyTermination()
     finally:

@@ -185,3 +185,21 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
             v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
             total += int(v or 0)
     return total
+
+
+def progress_summary(query: StreamingQuery) -> dict:
+    """Throughput, state size and late rows of a query's last micro-batch."""
+    p = query.lastProgress
+    if not p:
+        return {"name": query.name, "batch": None}
+    ops = p.get("stateOperators", [])
+    return {
+        "name": query.name,
+        "batch": p.get("batchId"),
+        "input_rows": p.get("numInputRows"),
+        "input_rows_per_sec": p.get("inputRowsPerSecond"),
+        "processed_rows_per_sec": p.get("processedRowsPerSecond"),
+        "state_rows": sum(int(o.get("numRowsTotal", 0) or 0) for o in ops),
+        "dropped_by_watermark": sum(int(o.get("numRowsDroppedByWatermark", 0) or 0) for o in ops),
+        "watermark": (p.get("eventTime") or {}).get("watermark"),
+    }

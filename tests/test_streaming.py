@@ -204,3 +204,11 @@ def test_snapshot_sink_keeps_two_slots(spark, tmp_dir):
     slots = sorted(d for d in _os.listdir(f"{work}/output") if d.startswith("slot="))
     assert slots == ["slot=0", "slot=1"]
     assert as_set(got) == as_set(running.daily_stats(clean_stream(trips)))
+
+
+def test_progress_summary(spark, tmp_dir):
+    trips, src = _replayed(spark, tmp_dir, 2)
+    _, q = run_to_end(spark, canonical_stream(spark, src, "parquet", 1), "zone_demand", f"{tmp_dir}/p")
+    s = sq.progress_summary(q)
+    assert s["name"] == "zone_demand" and s["batch"] is not None
+    assert s["dropped_by_watermark"] == 0 and s["state_rows"] >= 0
