@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import time
 
 from pyspark.sql import SparkSession
 
@@ -92,12 +93,16 @@ def main(argv: list[str] | None = None) -> None:
         elif args.compact_every > 0 or args.report_every > 0:
             ticks = [t for t in (args.compact_every, args.report_every) if t > 0]
             zone_out = f"{work}/zone_demand/output"
+            last = {"compact": time.monotonic(), "report": time.monotonic()}
             while not spark.streams.awaitAnyTermination(min(ticks)):
-                if args.compact_every > 0:
+                now = time.monotonic()
+                if args.compact_every > 0 and now - last["compact"] >= args.compact_every:
                     compact_updates(spark, zone_out, ZONE_KEYS)
-                if args.report_every > 0:
+                    last["compact"] = now
+                if args.report_every > 0 and now - last["report"] >= args.report_every:
                     for q in started.queries.values():
                         print(json.dumps(sq.progress_summary(q)), flush=True)
+                    last["report"] = now
         else:
             spark.streams.awaitAnyTermination()
     finally:
