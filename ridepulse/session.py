@@ -7,8 +7,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every query needs for right results: hour / weekday / date keys are
-# computed in UTC, and names of weekdays come out in English.
+# Settings every query needs for right results. The feeds carry wall-clock
+# times without a zone (Parquet TIMESTAMP_NTZ); cast to TIMESTAMP in a zone
+# without daylight saving (UTC) they keep that wall clock exactly, so hour,
+# weekday and date keys are the ones written in the data on every cluster,
+# with no missing or doubled hour at a DST change, and one-hour windows start
+# on the hour.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
