@@ -112,12 +112,29 @@ def zone_demand_stream(trips: DataFrame, lateness: str = ZONE_LATENESS, window:
 
 def start_zone_demand(
     trips: DataFrame, paths: StreamPaths, trigger: Trigger, lateness: str = ZONE_LATENESS,
-    name: str = "zone_demand", state_partitions: int | None = None,
+    name: str = "zone_demand", state_partitions: int | None = None, mode: str = "update",
 ) -> StreamingQuery:
+    """``update``: every changed window, kept current through a keyed sink.
+    ``append``: each window once, when the watermark closes it, written by the
+    exactly-once Parquet file sink (simplest when only final counts matter)."""
     n = state_partitions or default_state_partitions(trips.sparkSession)
-    return _start(
-        zone_demand_stream(trips, lateness), name, "update", KeyedUpdateSink(paths.output), paths, trigger, n
+    agg = zone_demand_stream(trips, lateness)
+    if mode == "update":
+        return _start(agg, name, "update", KeyedUpdateSink(paths.output), paths, trigger, n)
+    if mode != "append":
+        raise ValueError(f"unknown output mode {mode!r}")
+    writer = (
+        agg.writeStream.queryName(name)
+        .outputMode("append")
+        .format("parquet")
+        .option("path", paths.output)
+        .option("checkpointLocation", paths.checkpoint)
     )
+    kw = trigger.kwargs()
+    if kw:
+        writer = writer.trigger(**kw)
+    with _state_partitions(trips.sparkSession, n):
+        return writer.start()
 
 
 def start_daily_stats(

@@ -60,6 +60,25 @@ def test_late_rows_dropped_one_batch_behind(spark, tmp_dir):
     assert sq.dropped_by_watermark(q) == 2
 
 
+def test_late_rows_append_mode_emits_closed_windows(spark, tmp_dir):
+    files = [
+        [_at(1, 0, 10), _at(31, 23, 0)],
+        [_at(1, 0, 20), _at(15, 5, 0), _at(31, 23, 30)],
+        [_at(1, 0, 30), _at(15, 5, 10), _at(31, 23, 40)],
+    ]
+    frames = [trips_df(spark, [trip(pickup_datetime=t, PULocationID=1) for t in ts]) for ts in files]
+    src = f"{tmp_dir}/in"
+    _write_in_order(spark, frames, src)
+    paths = sq.StreamPaths(f"{tmp_dir}/ckpt", f"{tmp_dir}/out")
+    trips = canonical_stream(spark, src, "parquet", max_files_per_trigger=1)
+    q = sq.start_zone_demand(trips, paths, sq.Trigger(available_now=True), mode="append")
+    q.awaitTermination()
+    assert q.exception() is None
+    got = {(r.window_start.strftime("%m-%d %H"), r.trip_count) for r in spark.read.parquet(paths.output).collect()}
+    assert got == {("01-01 00", 2), ("01-15 05", 1)}
+    assert sq.dropped_by_watermark(q) == 2
+
+
 def _replayed(spark, tmp_dir, n_files, rows=None):
     trips = rows if rows is not None else catalog.trips_stream_norm(spark, SF_SMALL)
     total = trips.count()
