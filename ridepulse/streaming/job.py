@@ -35,6 +35,7 @@ def start_all(
     lateness: str = ZONE_LATENESS,
     max_bytes_per_trigger: int | None = None,
     state_partitions: int | None = None,
+    zone_mode: str = "update",
 ) -> sq.StartedQueries:
     prepare(spark)
     started = sq.StartedQueries()
@@ -51,7 +52,8 @@ def start_all(
 
     try:
         started.queries["zone_demand"] = sq.start_zone_demand(
-            src(), paths("zone_demand"), trig("zone_demand"), lateness, state_partitions=state_partitions
+            src(), paths("zone_demand"), trig("zone_demand"), lateness,
+            state_partitions=state_partitions, mode=zone_mode,
         )
         started.queries["daily_stats"] = sq.start_daily_stats(src(), paths("daily_stats"), trig("daily_stats"))
         started.queries["payment_analysis"] = sq.start_payment(
@@ -73,6 +75,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--max-bytes-per-trigger", type=int, default=None,
                     help="bound on input bytes per micro-batch (takes a backlog in steps)")
     ap.add_argument("--lateness", default=ZONE_LATENESS)
+    ap.add_argument("--zone-mode", default="update", choices=["update", "append"],
+                    help="zone demand: every change (update) or closed windows only (append)")
     ap.add_argument("--compact-every", type=float, default=0.0,
                     help="seconds between compactions of the zone-demand output (0: never)")
     ap.add_argument("--report-every", type=float, default=0.0,
@@ -85,18 +89,18 @@ def main(argv: list[str] | None = None) -> None:
     work = args.work or new_work_dir(spark, "stream-job")
     started = start_all(
         spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness,
-        args.max_bytes_per_trigger, args.state_partitions,
+        args.max_bytes_per_trigger, args.state_partitions, args.zone_mode,
     )
     try:
         if args.available_now:
             started.await_all()
-        elif args.compact_every > 0 or args.report_every > 0:
+        elif (args.compact_every > 0 and args.zone_mode == "update") or args.report_every > 0:
             ticks = [t for t in (args.compact_every, args.report_every) if t > 0]
             zone_out = f"{work}/zone_demand/output"
             last = {"compact": time.monotonic(), "report": time.monotonic()}
             while not spark.streams.awaitAnyTermination(min(ticks)):
                 now = time.monotonic()
-                if args.compact_every > 0 and now - last["compact"] >= args.compact_every:
+                if args.compact_every > 0 and args.zone_mode == "update" and now - last["compact"] >= args.compact_every:
                     compact_updates(spark, zone_out, ZONE_KEYS)
                     last["compact"] = now
                 if args.report_every > 0 and now - last["report"] >= args.report_every:
