@@ -229,5 +229,5 @@ def test_progress_summary(spark, tmp_dir):
     trips, src = _replayed(spark, tmp_dir, 2)
     _, q = run_to_end(spark, canonical_stream(spark, src, "parquet", 1), "zone_demand", f"{tmp_dir}/p")
     s = sq.progress_summary(q)
-    assert s["name"] == "zone_demand" and s["batch"] is not None
+    assert s["name"].startswith("zone_demand") and s["batch"] is not None
     assert s["dropped_by_watermark"] == 0 and s["state_rows"] >= 0
