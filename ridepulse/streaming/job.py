@@ -24,6 +24,13 @@ from ridepulse.streaming.runs import ZONE_KEYS
 from ridepulse.streaming.sinks import compact_updates
 from ridepulse.streaming.sources import canonical_stream
 
+# State kept off the JVM heap, with changelog checkpointing (small commits).
+ROCKSDB_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def start_all(
     spark: SparkSession,
@@ -83,9 +90,11 @@ def main(argv: list[str] | None = None) -> None:
                     help="seconds between progress lines (rows/s, state rows, late rows) per query")
     ap.add_argument("--state-partitions", type=int, default=None,
                     help="partitions of the zone-demand state (fixed when its checkpoint is first created)")
+    ap.add_argument("--rocksdb", action="store_true",
+                    help="keep streaming state in RocksDB (large key spaces; set before a checkpoint is created)")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
-    spark = build_session(args.master, "ridepulse-stream")
+    spark = build_session(args.master, "ridepulse-stream", extra_conf=ROCKSDB_CONF if args.rocksdb else None)
     work = args.work or new_work_dir(spark, "stream-job")
     started = start_all(
         spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness,
