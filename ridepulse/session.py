@@ -25,6 +25,9 @@ TUNING_CONF = {
     "spark.sql.parquet.enableVectorizedReader": "true",
     "spark.sql.files.ignoreCorruptFiles": "false",
     "spark.sql.streaming.schemaInference": "false",
+    # Reliable checkpoints (replay numbering) live in the shared folder; let
+    # Spark remove them once nothing references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Call-site capture for every Column function costs several JVM round
