@@ -113,3 +113,13 @@ def test_trip_table_month_reload_is_idempotent(spark, tmp_dir):
     back = read_trip_table(spark, path)
     assert back.count() == jan.count() + feb.count() > 0
     assert as_set(back.drop("pickup_month")) == as_set(jan.unionByName(feb))
+
+
+def test_replay_job_cli(spark, tmp_dir):
+    from ridepulse.plans import replay_job
+
+    report = replay_job.main(["--sf-dir", SF_SMALL, "--out", f"{tmp_dir}/s", "--rows-per-file", "2500"])
+    n = catalog.trips_stream_norm(spark, SF_SMALL).count()
+    assert report["files"] == -(-n // 2500)
+    back = spark.read.schema(catalog.trips_stream_norm(spark, SF_SMALL).schema).option("header", True).csv(f"{tmp_dir}/s")
+    assert back.count() == n
