@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ridepulse.operators.normalize import (
     detect_feed,
@@ -41,6 +41,14 @@ GROUPS_SCHEMA = StructType(
     [
         StructField("path", StringType(), False),
         StructField("feed", StringType(), False),
+        StructField("schema_id", IntegerType(), False),
+    ]
+)
+SCHEMAS_SCHEMA = StructType(
+    [
+        StructField("schema_id", IntegerType(), False),
+        StructField("feed", StringType(), False),
+        StructField("files", IntegerType(), False),
         StructField("schema", StringType(), False),
     ]
 )
@@ -49,7 +57,8 @@ GROUPS_SCHEMA = StructType(
 @dataclass
 class FeedScan:
     trips: DataFrame  # canonical trips (batch or stream layout)
-    groups: DataFrame  # path, feed, schema of every accepted file
+    groups: DataFrame  # path, feed, schema_id of every accepted file
+    schemas: DataFrame  # schema_id, feed, files, schema (JSON): one row per distinct file schema
     rejected: DataFrame  # path, reason of every skipped file
 
 
@@ -144,8 +153,9 @@ def scan_feeds(
     groups, rejected = group_by_schema(spark, files, probe=probe)
     frames = []
     accepted = []
+    schemas = []
     extra = (FILE_COL,) if with_file else ()
-    for (feed, schema_json), group_paths in sorted(groups.items()):
+    for schema_id, ((feed, schema_json), group_paths) in enumerate(sorted(groups.items())):
         schema = StructType.fromJson(json.loads(schema_json))
         if layout == "batch":
             lacking = missing_batch_columns(feed, schema.fieldNames())
@@ -163,7 +173,8 @@ def scan_feeds(
         else:
             out = normalise_stream(raw, feed, extra=extra)
         frames.append(out)
-        accepted += [(p, feed, schema_json) for p in group_paths]
+        accepted += [(p, feed, schema_id) for p in group_paths]
+        schemas.append((schema_id, feed, len(group_paths), schema_json))
     if not frames:
         raise ValueError(f"no readable trip files among {len(files)} file(s): {rejected[:3]}")
     trips = union_trips(frames)
@@ -172,5 +183,6 @@ def scan_feeds(
     return FeedScan(
         trips=trips,
         groups=spark.createDataFrame(accepted, GROUPS_SCHEMA),
+        schemas=spark.createDataFrame(schemas, SCHEMAS_SCHEMA),
         rejected=spark.createDataFrame(rejected, REJECTED_SCHEMA),
     )
