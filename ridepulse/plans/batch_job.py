@@ -26,7 +26,7 @@ from ridepulse.operators import normalize
 from ridepulse.plans import one_pass
 from ridepulse.session import build_session, prepare
 from ridepulse.sources import testdata
-from ridepulse.sources.feeds import scan_feeds
+from ridepulse.sources.feeds import scan_feeds, suggest_partitions
 from ridepulse.sources.results import write_result
 from ridepulse.sources.trip_table import MONTH_COL, read_trip_table, write_trip_table
 
@@ -116,7 +116,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master, "ridepulse-batch")
     months = tuple(args.months.split(":", 1)) if args.months else None
     if args.write_table:
-        write_trip_table(load_trips(spark, args.raw, args.sf_dir), args.write_table)
+        trips = load_trips(spark, args.raw, args.sf_dir)
+        write_trip_table(trips, args.write_table, num_partitions=suggest_partitions(trips))
         print(json.dumps({"table": args.write_table}))
         return
     if not args.out:

@@ -21,7 +21,7 @@ from ridepulse.operators import normalize, replay
 from ridepulse.schema import REPLAY_ROWS_PER_FILE, REPLAY_SEED
 from ridepulse.session import build_session
 from ridepulse.sources import testdata
-from ridepulse.sources.feeds import scan_feeds
+from ridepulse.sources.feeds import scan_feeds, suggest_partitions
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -33,7 +33,8 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--order", default=replay.EVENT_TIME, choices=[replay.EVENT_TIME, replay.SHUFFLE])
     ap.add_argument("--seed", type=int, default=REPLAY_SEED)
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
-    ap.add_argument("--partitions", type=int, default=None, help="range partitions of the global sort")
+    ap.add_argument("--partitions", default=None,
+                    help="range partitions of the global sort: a number, or 'auto' (sized from the input files)")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-replay")
@@ -46,8 +47,12 @@ def main(argv: list[str] | None = None) -> dict:
         rejected = []
     else:
         ap.error("give --raw or --sf-dir")
+    if args.partitions == "auto":
+        partitions = suggest_partitions(trips)
+    else:
+        partitions = int(args.partitions) if args.partitions else None
     files = replay.write_replay(
-        trips, args.out, args.rows_per_file, args.order, args.seed, args.format, num_partitions=args.partitions
+        trips, args.out, args.rows_per_file, args.order, args.seed, args.format, num_partitions=partitions
     )
     report = {"files": files, "out": args.out, "rejected_inputs": rejected}
     print(json.dumps(report))

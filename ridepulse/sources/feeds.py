@@ -16,6 +16,7 @@ file. Files that cannot be read or belong to no known feed are reported in a
 from __future__ import annotations
 
 import json
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -90,6 +91,25 @@ def folder_sizes(inventory: DataFrame) -> DataFrame:
     )
 
 
+def suggest_partitions(
+    df: DataFrame,
+    target_bytes: int = 256 * 1024 * 1024,
+    expansion: float = 3.0,
+    max_partitions: int = 200_000,
+) -> int | None:
+    """Partitions for a shuffle that moves whole rows of ``df`` (a global sort,
+    a partitioned table write): about ``target_bytes`` of decompressed rows each.
+
+    The size comes from the metadata of the input files (no data is read);
+    ``expansion`` is the assumed ratio of in-memory rows to compressed Parquet.
+    """
+    files = df.inputFiles()
+    if not files:
+        return None
+    total = file_inventory(df.sparkSession, files).agg(F.sum("bytes")).first()[0] or 0
+    return max(1, min(max_partitions, math.ceil(total * expansion / target_bytes)))
+
+
 def _file_schema(spark: SparkSession, path: str) -> tuple[str, StructType | None, str | None]:
     try:
         return path, spark.read.parquet(path).schema, None

@@ -151,3 +151,15 @@ def test_file_missing_required_column_is_rejected(spark, tmp_dir):
     # the stream layout fills the absent column instead
     stream = scan_feeds(spark, [f"{tmp_dir}/ok", f"{tmp_dir}/old"], layout="stream")
     assert stream.trips.count() == 3 and stream.rejected.count() == 0
+
+
+def test_suggest_partitions_grows_with_input(spark):
+    from conftest import SF_MID, SF_SMALL
+
+    from ridepulse.plans import catalog
+    from ridepulse.sources.feeds import suggest_partitions
+
+    small = suggest_partitions(catalog.trips_union(spark, SF_SMALL))
+    assert small == 1
+    tiny_target = suggest_partitions(catalog.trips_union(spark, SF_MID), target_bytes=64 * 1024)
+    assert tiny_target > suggest_partitions(catalog.trips_union(spark, SF_SMALL), target_bytes=64 * 1024) > 1
