@@ -73,18 +73,24 @@ def default_state_partitions(spark) -> int | None:
 
 
 @contextmanager
-def _state_partitions(spark, n: int | None):
-    """Start a query with ``n`` state partitions (restores the session value)."""
-    if not n:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+def _start_conf(spark, conf: dict[str, str]):
+    """Settings a streaming query takes when it starts (the session's values are restored)."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _state_partitions(spark, n: int | None):
+    """Start a query with ``n`` state partitions."""
+    return _start_conf(spark, {"spark.sql.shuffle.partitions": str(n)} if n else {})
 
 
 def _start(
@@ -113,14 +119,22 @@ def zone_demand_stream(trips: DataFrame, lateness: str = ZONE_LATENESS, window:
 def start_zone_demand(
     trips: DataFrame, paths: StreamPaths, trigger: Trigger, lateness: str = ZONE_LATENESS,
     name: str = "zone_demand", state_partitions: int | None = None, mode: str = "update",
+    no_data_batches: bool = True,
 ) -> StreamingQuery:
     """``update``: every changed window, kept current through a keyed sink.
     ``append``: each window once, when the watermark closes it, written by the
-    exactly-once Parquet file sink (simplest when only final counts matter)."""
+    exactly-once Parquet file sink (simplest when only final counts matter).
+
+    ``no_data_batches=False`` (update mode, bounded runs): no extra micro-batch
+    only to evict expired windows; it would emit nothing in update mode, and a
+    later restart from the checkpoint evicts them with its first batch.
+    """
     n = state_partitions or default_state_partitions(trips.sparkSession)
     agg = zone_demand_stream(trips, lateness)
     if mode == "update":
-        return _start(agg, name, "update", KeyedUpdateSink(paths.output), paths, trigger, n)
+        conf = {} if no_data_batches else {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+        with _start_conf(trips.sparkSession, conf):
+            return _start(agg, name, "update", KeyedUpdateSink(paths.output), paths, trigger, n)
     if mode != "append":
         raise ValueError(f"unknown output mode {mode!r}")
     writer = (

@@ -69,6 +69,8 @@ def run_to_end(
     work = work_dir or new_work_dir(spark, f"stream-{kind}")
     paths = sq.StreamPaths(checkpoint=f"{work}/checkpoint", output=f"{work}/output")
     extra = {"lateness": lateness} if (lateness and kind == "zone_demand") else {}
+    if kind == "zone_demand":
+        extra["no_data_batches"] = False  # the run ends with its input: no eviction-only batch
     # A unique name: two runs of the same kind may be active in one session.
     extra["name"] = f"{kind}-{work.rstrip('/').rsplit('/', 1)[-1]}"
     q = start(trips, paths, sq.Trigger(available_now=True), **extra)
