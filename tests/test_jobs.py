@@ -123,3 +123,41 @@ def test_replay_job_cli(spark, tmp_dir):
     assert report["files"] == -(-n // 2500)
     back = spark.read.schema(catalog.trips_stream_norm(spark, SF_SMALL).schema).option("header", True).csv(f"{tmp_dir}/s")
     assert back.count() == n
+
+
+def test_stream_job_live_until_a_query_stops(spark, tmp_dir):
+    """Live triggers; stopping one query ends the job, which stops the others (W10)."""
+    import threading
+    import time as _time
+
+    from ridepulse.operators import running as _running
+    from ridepulse.operators.clean import clean_stream as _clean_stream
+
+    trips = catalog.trips_stream_norm(spark, SF_SMALL)
+    src = f"{tmp_dir}/in"
+    replay.write_replay(trips, src, rows_per_file=3000)
+    work = f"{tmp_dir}/work"
+    before = {q.id for q in spark.streams.active}
+    job = threading.Thread(
+        target=stream_job.main, args=(["--input", src, "--work", work, "--report-every", "1"],), daemon=True
+    )
+    job.start()
+    deadline = _time.time() + 120
+    mine = []
+    while _time.time() < deadline and len(mine) < 3:
+        mine = [q for q in spark.streams.active if q.id not in before]
+        _time.sleep(0.5)
+    assert len(mine) == 3
+    for q in mine:
+        q.processAllAvailable()
+    mine[0].stop()
+    job.join(timeout=120)
+    assert not job.is_alive()
+    assert not [q for q in spark.streams.active if q.id not in before]
+    cleaned = _clean_stream(trips)
+    assert as_set(read_snapshot(spark, f"{work}/payment_analysis/output")) == as_set(
+        _running.payment_analysis(cleaned)
+    )
+    assert as_set(read_latest(spark, f"{work}/zone_demand/output", ZONE_KEYS)) == as_set(
+        _running.zone_demand(cleaned)
+    )
