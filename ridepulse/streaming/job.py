@@ -43,6 +43,7 @@ def start_all(
     max_bytes_per_trigger: int | None = None,
     state_partitions: int | None = None,
     zone_mode: str = "update",
+    daily_lateness: str | None = None,
 ) -> sq.StartedQueries:
     prepare(spark)
     started = sq.StartedQueries()
@@ -62,7 +63,12 @@ def start_all(
             src(), paths("zone_demand"), trig("zone_demand"), lateness,
             state_partitions=state_partitions, mode=zone_mode,
         )
-        started.queries["daily_stats"] = sq.start_daily_stats(src(), paths("daily_stats"), trig("daily_stats"))
+        if daily_lateness:  # watermarked one-day windows: state of closed days is dropped
+            started.queries["daily_stats"] = sq.start_daily_stats_windowed(
+                src(), paths("daily_stats"), trig("daily_stats"), daily_lateness, name="daily_stats"
+            )
+        else:
+            started.queries["daily_stats"] = sq.start_daily_stats(src(), paths("daily_stats"), trig("daily_stats"))
         started.queries["payment_analysis"] = sq.start_payment(
             src(), paths("payment_analysis"), trig("payment_analysis")
         )
@@ -82,6 +88,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--max-bytes-per-trigger", type=int, default=None,
                     help="bound on input bytes per micro-batch (takes a backlog in steps)")
     ap.add_argument("--lateness", default=ZONE_LATENESS)
+    ap.add_argument("--daily-lateness", default=None,
+                    help="daily statistics on watermarked one-day windows with this lateness (bounded state)")
     ap.add_argument("--zone-mode", default="update", choices=["update", "append"],
                     help="zone demand: every change (update) or closed windows only (append)")
     ap.add_argument("--compact-every", type=float, default=0.0,
@@ -98,7 +106,7 @@ def main(argv: list[str] | None = None) -> None:
     work = args.work or new_work_dir(spark, "stream-job")
     started = start_all(
         spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness,
-        args.max_bytes_per_trigger, args.state_partitions, args.zone_mode,
+        args.max_bytes_per_trigger, args.state_partitions, args.zone_mode, args.daily_lateness,
     )
     try:
         if args.available_now:

@@ -161,3 +161,20 @@ def test_stream_job_live_until_a_query_stops(spark, tmp_dir):
     assert as_set(read_latest(spark, f"{work}/zone_demand/output", ZONE_KEYS)) == as_set(
         _running.zone_demand(cleaned)
     )
+
+
+def test_stream_job_windowed_daily_stats(spark, tmp_dir):
+    trips = catalog.trips_stream_norm(spark, SF_SMALL)
+    src = f"{tmp_dir}/in"
+    replay.write_replay(trips, src, rows_per_file=3000)
+    work = f"{tmp_dir}/work"
+    started = stream_job.start_all(spark, src, work, available_now=True, daily_lateness="1 day")
+    try:
+        started.await_all()
+    finally:
+        started.stop_all()
+    from ridepulse.operators import running as _running
+    from ridepulse.operators.clean import clean_stream as _clean_stream
+
+    got = read_latest(spark, f"{work}/daily_stats/output", ["trip_date"])
+    assert as_set(got) == as_set(_running.daily_stats(_clean_stream(trips)))
