@@ -43,7 +43,9 @@ def main(argv: list[str] | None = None) -> dict:
         trips = scan.trips
         rejected = [r.path for r in scan.rejected.collect()]
     elif args.sf_dir:
-        trips = normalize.trips_stream(testdata.raw_metered(spark, args.sf_dir), testdata.raw_dispatch(spark, args.sf_dir))
+        trips = normalize.trips_stream(
+            testdata.raw_metered(spark, args.sf_dir), testdata.raw_dispatch(spark, args.sf_dir)
+        )
         rejected = []
     else:
         ap.error("give --raw or --sf-dir")

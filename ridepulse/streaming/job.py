@@ -117,7 +117,8 @@ def main(argv: list[str] | None = None) -> None:
             last = {"compact": time.monotonic(), "report": time.monotonic()}
             while not spark.streams.awaitAnyTermination(min(ticks)):
                 now = time.monotonic()
-                if args.compact_every > 0 and args.zone_mode == "update" and now - last["compact"] >= args.compact_every:
+                compact_due = now - last["compact"] >= args.compact_every
+                if args.compact_every > 0 and args.zone_mode == "update" and compact_due:
                     compact_updates(spark, zone_out, ZONE_KEYS)
                     last["compact"] = now
                 if args.report_every > 0 and now - last["report"] >= args.report_every:
