@@ -121,6 +121,58 @@ def _parent(path: str) -> str:
     return path.rsplit("/", 1)[0] if "/" in path else ""
 
 
+def _arrow_schemas(batches):
+    """mapInPandas body: a short key of each file's footer schema, read with pyarrow."""
+    import hashlib
+
+    import pandas as pd
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    for batch in batches:
+        keys, errors = [], []
+        for path in batch["path"]:
+            try:
+                fs, inner = pafs.FileSystem.from_uri(path)
+                with fs.open_input_file(inner) as fh:
+                    schema = pq.read_schema(fh).remove_metadata()
+                text = schema.to_string(show_field_metadata=False, show_schema_metadata=False)
+                keys.append(hashlib.sha1(text.encode()).hexdigest()[:16])
+                errors.append(None)
+            except Exception as exc:  # unreadable footer, not Parquet ...
+                keys.append(None)
+                errors.append(f"{type(exc).__name__}: {str(exc).splitlines()[0][:300] if str(exc) else ''}")
+        yield pd.DataFrame({"path": batch["path"], "arrow_schema": keys, "error": errors})
+
+
+def _distributed_probe(spark: SparkSession, files: list[str]) -> list[tuple[str, StructType | None, str | None]]:
+    """Footers read by the executors; the driver reads one footer per distinct schema."""
+    paths = spark.createDataFrame([(f,) for f in files], "path string")
+    n = max(1, min(len(files) // 64 + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    probed = (
+        paths.repartition(n)
+        .mapInPandas(_arrow_schemas, "path string, arrow_schema string, error string")
+        .collect()
+    )
+    by_key: dict[str, StructType | None] = {}
+    errors: dict[str, str] = {}
+    for row in probed:
+        if row.arrow_schema is None:
+            continue
+        if row.arrow_schema not in by_key:
+            _, schema, err = _file_schema(spark, row.path)
+            by_key[row.arrow_schema] = schema
+            if err:
+                errors[row.arrow_schema] = err
+    out = []
+    for row in probed:
+        if row.arrow_schema is None:
+            out.append((row.path, None, row.error or "unreadable"))
+        else:
+            out.append((row.path, by_key[row.arrow_schema], errors.get(row.arrow_schema)))
+    return out
+
+
 def group_by_schema(
     spark: SparkSession, files: list[str], threads: int = 16, probe: str = "file"
 ) -> tuple[dict[tuple[str, str], list[str]], list[tuple[str, str]]]:
@@ -131,6 +183,9 @@ def group_by_schema(
     applies it to the folder's files, for folders written by one producer
     (e.g. one per month); a file that does not match its folder's schema then
     makes the read fail with an error - rows are never dropped silently.
+    ``probe="distributed"`` reads every footer on the executors (pyarrow in a
+    ``mapInPandas`` task, exact) and only one footer per distinct schema on
+    the driver; it needs the file system to be reachable from Python workers.
     """
     groups: dict[tuple[str, str], list[str]] = {}
     rejected: list[tuple[str, str]] = []
@@ -146,6 +201,8 @@ def group_by_schema(
     elif probe == "file":
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
             results = list(pool.map(lambda p: _file_schema(spark, p), files))
+    elif probe == "distributed":
+        results = _distributed_probe(spark, files)
     else:
         raise ValueError(f"unknown probe {probe!r}")
     for path, schema, err in results:

@@ -163,3 +163,15 @@ def test_suggest_partitions_grows_with_input(spark):
     assert small == 1
     tiny_target = suggest_partitions(catalog.trips_union(spark, SF_MID), target_bytes=64 * 1024)
     assert tiny_target > suggest_partitions(catalog.trips_union(spark, SF_SMALL), target_bytes=64 * 1024) > 1
+
+
+def test_distributed_probe(spark, tmp_dir):
+    _metered_rows(spark, [1, 2, 3], "bigint").repartition(3).write.parquet(f"{tmp_dir}/m1")
+    _metered_rows(spark, [4.0, 5.0], "double").repartition(2).write.parquet(f"{tmp_dir}/m2")
+    os.makedirs(f"{tmp_dir}/bad", exist_ok=True)
+    with open(f"{tmp_dir}/bad/broken.parquet", "wb") as fh:
+        fh.write(b"not a parquet file")
+    scan = scan_feeds(spark, [f"{tmp_dir}/m1", f"{tmp_dir}/m2", f"{tmp_dir}/bad"], probe="distributed")
+    assert sorted(r.passenger_count for r in scan.trips.collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
+    assert scan.schemas.count() == 2
+    assert [os.path.basename(r.path) for r in scan.rejected.collect()] == ["broken.parquet"]
