@@ -108,6 +108,8 @@ def main(argv: list[str] | None = None) -> None:
         spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness,
         args.max_bytes_per_trigger, args.state_partitions, args.zone_mode, args.daily_lateness,
     )
+    # Queries that ended earlier in this session must not end the wait at once.
+    spark.streams.resetTerminated()
     try:
         if args.available_now:
             started.await_all()
