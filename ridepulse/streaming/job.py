@@ -104,12 +104,13 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-stream", extra_conf=ROCKSDB_CONF if args.rocksdb else None)
     work = args.work or new_work_dir(spark, "stream-job")
+    # Queries that ended earlier in this session must not end the wait at once;
+    # reset before starting, so a query failing right away is still seen.
+    spark.streams.resetTerminated()
     started = start_all(
         spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness,
         args.max_bytes_per_trigger, args.state_partitions, args.zone_mode, args.daily_lateness,
     )
-    # Queries that ended earlier in this session must not end the wait at once.
-    spark.streams.resetTerminated()
     try:
         if args.available_now:
             started.await_all()
