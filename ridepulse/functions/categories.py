@@ -28,6 +28,7 @@ def fare_bucket_ord(col: str | Column = "fare_amount") -> Column:
 
 
 def fare_bucket_label(ord_col: str | Column = "bucket_ord") -> Column:
+    """Label of a bucket number (NULL for NULL)."""
     # A map lookup: NULL in, NULL out. (``element_at`` on a literal array with a
     # NULL index returned the last element in Spark 4.1.)
     pairs = []

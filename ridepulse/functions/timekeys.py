@@ -13,6 +13,7 @@ def _c(col: str | Column) -> Column:
 
 
 def hour_of_day(ts: str | Column = "pickup_datetime") -> Column:
+    """0..23."""
     return F.hour(_c(ts))
 
 
@@ -41,6 +42,7 @@ def duration_seconds(
 def duration_minutes(
     start: str | Column = "pickup_datetime", end: str | Column = "dropoff_datetime"
 ) -> Column:
+    """Whole seconds between two times, in minutes (DOUBLE)."""
     return duration_seconds(start, end) / 60
 
 

@@ -24,6 +24,7 @@ def batch_rules() -> dict[str, Column]:
 
 
 def stream_rules() -> dict[str, Column]:
+    """Each named predicate a kept stream row must satisfy (zero allowed, no upper limits)."""
     return {
         "pickup_present": F.col("pickup_datetime").isNotNull(),
         "fare_present": F.col("fare_amount").isNotNull(),

@@ -31,6 +31,7 @@ from ridepulse.schema import (
 __all__ = ["METERED", "DISPATCH", "BATCH_MAPPING", "STREAM_MAPPING"]
 
 def detect_feed(columns: Iterable[str]) -> str | None:
+    """The feed a file belongs to, from its column names (None: unknown)."""
     cols = set(columns)
     for marker, feed in FEED_MARKERS:
         if marker in cols:
@@ -99,12 +100,14 @@ def union_trips(frames: list[DataFrame], allow_missing: bool = False) -> DataFra
 
 
 def trips_batch(raw_metered: DataFrame, raw_dispatch: DataFrame) -> DataFrame:
+    """Both feeds, batch layout, combined."""
     return union_trips(
         [normalise_batch(raw_metered, METERED), normalise_batch(raw_dispatch, DISPATCH)]
     )
 
 
 def trips_stream(raw_metered: DataFrame, raw_dispatch: DataFrame) -> DataFrame:
+    """Both feeds, stream layout, combined, rows without pickup time or fare dropped."""
     return drop_incomplete(
         union_trips(
             [normalise_stream(raw_metered, METERED), normalise_stream(raw_dispatch, DISPATCH)]

@@ -25,6 +25,7 @@ def zone_demand_agg(trips: DataFrame, window: str = ZONE_WINDOW) -> DataFrame:
 
 
 def flatten_window(df: DataFrame) -> DataFrame:
+    """``window`` struct -> ``window_start``, ``window_end`` columns."""
     rest = [c for c in df.columns if c != "window"]
     return df.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *rest
@@ -32,6 +33,7 @@ def flatten_window(df: DataFrame) -> DataFrame:
 
 
 def zone_demand(trips: DataFrame, window: str = ZONE_WINDOW) -> DataFrame:
+    """Zone demand with the window flattened (the registered result layout)."""
     return flatten_window(zone_demand_agg(trips, window))
 
 

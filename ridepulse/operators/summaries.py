@@ -32,6 +32,7 @@ def sort_small(df: DataFrame, *cols) -> DataFrame:
 
 
 def peak_hours(trips: DataFrame) -> DataFrame:
+    """Trips, average fare and distance per hour of the day (cleaned rows)."""
     agg = trips.groupBy(hour_of_day().alias("hour")).agg(
         F.count(F.lit(1)).alias("total_trips"),
         money_avg("fare_amount").alias("avg_fare"),
@@ -69,6 +70,7 @@ def monthly_trends(trips: DataFrame) -> DataFrame:
 
 
 def source_comparison(trips: DataFrame) -> DataFrame:
+    """Trips, averages and fare revenue per feed (cleaned rows)."""
     return trips.groupBy("source").agg(
         F.count(F.lit(1)).alias("total_trips"),
         money_avg("fare_amount").alias("avg_fare"),
@@ -174,6 +176,7 @@ def payment_types(trips: DataFrame) -> DataFrame:
 
 
 def payment_labels(payments: DataFrame) -> DataFrame:
+    """Payment results with the label of each code."""
     return payments.select(
         "payment_type", payment_label("payment_type").alias("payment_label"), "total_trips", "avg_tip"
     )

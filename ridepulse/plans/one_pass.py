@@ -58,6 +58,7 @@ def _gid(set_name: str) -> int:
 
 
 def summary_sets(trips: DataFrame) -> DataFrame:
+    """The grouping-sets aggregate of all batch measures (one scan of ``trips``)."""
     rules = batch_rules()
     ok = [F.coalesce(p, F.lit(False)) for p in rules.values()]
     valid = ok[0]

@@ -57,6 +57,8 @@ SCHEMAS_SCHEMA = StructType(
 
 @dataclass
 class FeedScan:
+    """Result of a raw-file scan."""
+
     trips: DataFrame  # canonical trips (batch or stream layout)
     groups: DataFrame  # path, feed, schema_id of every accepted file
     schemas: DataFrame  # schema_id, feed, files, schema (JSON): one row per distinct file schema

@@ -16,7 +16,7 @@ from ridepulse.schema import TRIP_COLUMNS, TRIP_TYPES
 
 
 class MissingColumns(ValueError):
-    pass
+    """A result lacks columns its reader needs."""
 
 
 def require_columns(df: DataFrame, names: list[str]) -> DataFrame:

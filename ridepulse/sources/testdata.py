@@ -23,6 +23,7 @@ _SCHEMAS: dict[tuple[str, int, int], StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One generated table, ``<sf_dir>/<name>.parquet``."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     try:
         st = os.stat(path)
@@ -92,8 +93,10 @@ def dispatch_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def raw_metered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metered feed as raw files would give it."""
     return metered_from_events(table(spark, sf_dir, "events"))
 
 
 def raw_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dispatch feed as raw files would give it."""
     return dispatch_from_lineitem(table(spark, sf_dir, "lineitem"))

@@ -45,6 +45,8 @@ def start_all(
     zone_mode: str = "update",
     daily_lateness: str | None = None,
 ) -> sq.StartedQueries:
+    """Start the three queries over the trip files in ``input_dir``, each with its own
+    source, checkpoint and output under ``work_dir``."""
     prepare(spark)
     started = sq.StartedQueries()
 

@@ -37,12 +37,16 @@ class Trigger:
 
 @dataclass
 class StreamPaths:
+    """Checkpoint and output folders of one query."""
+
     checkpoint: str
     output: str
 
 
 @dataclass
 class StartedQueries:
+    """The queries a job started, by name."""
+
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
 
     def await_all(self) -> None:

@@ -50,6 +50,7 @@ def canonical_stream(
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
+    """Trips already in the canonical layout (replay files), as a stream."""
     return file_stream(
         spark, path, TRIPS, fmt,
         max_files_per_trigger=max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger,
