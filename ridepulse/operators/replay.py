@@ -13,7 +13,8 @@ The row numbers are computed without a single-partition window:
    upper bits, position inside the partition in the lower 33 bits) and cut
    the lineage with a reliable ``checkpoint`` so the positions are fixed;
 3. count rows per partition (one row per partition), turn the counts into
-   offsets, and broadcast that table (its size is the partition count);
+   offsets, and broadcast that table after checking its size (the partition
+   count; beyond a million partitions it is joined without a broadcast);
 4. row number = offset of the partition + position inside it.
 """
 
@@ -26,6 +27,8 @@ from ridepulse.schema import REPLAY_ROWS_PER_FILE, REPLAY_SEED, TRIP_COLUMNS
 from ridepulse.session import new_work_dir, work_root
 
 _POS_BITS = 33
+# The offsets table has one row (two longs) per partition; broadcast it up to this many rows.
+_BROADCAST_MAX_PARTITIONS = 1_000_000
 EVENT_TIME = "event_time"
 SHUFFLE = "shuffle"
 
@@ -72,8 +75,11 @@ def with_row_number(
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     local = F.col(pos).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    # Size check before broadcasting: the partition count of the checkpointed data.
+    if tagged.rdd.getNumPartitions() <= _BROADCAST_MAX_PARTITIONS:
+        offsets = F.broadcast(offsets)
     return (
-        tagged.join(F.broadcast(offsets), part == F.col("_part"))
+        tagged.join(offsets, part == F.col("_part"))
         .withColumn(name, F.col("_offset") + local)
         .drop("_part", "_offset", pos)
     )

@@ -56,3 +56,10 @@ def test_explicit_partition_count(spark):
     a = replay.assign_slices(trips, 700, num_partitions=13)
     b = replay.assign_slices(trips, 700)
     assert as_set(a) == as_set(b)
+
+
+def test_offsets_join_without_broadcast_beyond_the_limit(spark, monkeypatch):
+    trips = catalog.trips_stream_norm(spark, SF_SMALL)
+    want = as_set(replay.assign_slices(trips, 700))
+    monkeypatch.setattr(replay, "_BROADCAST_MAX_PARTITIONS", 0)
+    assert as_set(replay.assign_slices(trips, 700)) == want
