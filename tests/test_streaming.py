@@ -100,11 +100,12 @@ def test_zone_demand_stream_equals_batch(spark, tmp_dir):
 
 
 def test_daily_and_payment_stream_equal_batch(spark, tmp_dir):
-    trips, src = _replayed(spark, tmp_dir, 3)
-    for kind, fn in (("daily_stats", running.daily_stats), ("payment_analysis", running.payment_analysis)):
-        stream = canonical_stream(spark, src, "parquet", max_files_per_trigger=1)
-        got, _ = run_to_end(spark, stream, kind, f"{tmp_dir}/{kind}")
-        assert as_set(got) == as_set(fn(clean_stream(trips))), kind
+    for n_files in (1, 3, 10):
+        trips, src = _replayed(spark, tmp_dir, n_files)
+        for kind, fn in (("daily_stats", running.daily_stats), ("payment_analysis", running.payment_analysis)):
+            stream = canonical_stream(spark, src, "parquet", max_files_per_trigger=1)
+            got, _ = run_to_end(spark, stream, kind, f"{tmp_dir}/{kind}-{n_files}")
+            assert as_set(got) == as_set(fn(clean_stream(trips))), (kind, n_files)
 
 
 def test_restart_from_checkpoint(spark, tmp_dir):
