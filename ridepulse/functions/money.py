@@ -7,8 +7,8 @@ thousand. The conversion is ``floor(x * 100 + 0.5)``, primitive arithmetic
 inside whole-stage codegen (a per-row DECIMAL cast builds a BigDecimal per
 value and was the hottest expression of every summary). Values outside the
 DECIMAL(12,2) range, NaN and infinities count as NULL. The same holds for
-any quantity recorded in hundredths (distances), so rounded averages of those
-use this path too.
+any quantity recorded in hundredths (distances in miles), so distance sums
+and averages use this path too.
 """
 
 from __future__ import annotations
@@ -56,9 +56,3 @@ def money_avg_r2(col: str | Column) -> Column:
 def money_sum_r2(col: str | Column) -> Column:
     """Sum rounded to cents (already exact at cents), as DOUBLE."""
     return money_sum(col)
-
-
-def mean(col: str | Column) -> Column:
-    """Average of a DOUBLE column as sum over non-NULL count."""
-    c = _c(col)
-    return F.sum(c) / F.count(c)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridepulse.functions.categories import fare_bucket_ord, payment_label
-from ridepulse.functions.money import mean, money_avg, money_sum
+from ridepulse.functions.money import money_avg, money_sum
 from ridepulse.functions.timekeys import (
     day_of_week,
     duration_seconds,
@@ -36,7 +36,7 @@ def peak_hours(trips: DataFrame) -> DataFrame:
     agg = trips.groupBy(hour_of_day().alias("hour")).agg(
         F.count(F.lit(1)).alias("total_trips"),
         money_avg("fare_amount").alias("avg_fare"),
-        mean("trip_distance").alias("avg_distance"),
+        money_avg("trip_distance").alias("avg_distance"),
     )
     return sort_small(agg, "hour")
 
@@ -61,7 +61,7 @@ def monthly_trends(trips: DataFrame) -> DataFrame:
     agg = trips.groupBy(month_start().alias("_month")).agg(
         F.count(F.lit(1)).alias("total_trips"),
         money_sum("fare_amount").alias("total_revenue"),
-        mean("trip_distance").alias("avg_distance"),
+        money_avg("trip_distance").alias("avg_distance"),
         (F.sum(secs).cast("double") / (F.count(secs) * 60)).alias("avg_duration"),
     )
     return sort_small(agg, "_month").select(
@@ -75,7 +75,7 @@ def source_comparison(trips: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_trips"),
         money_avg("fare_amount").alias("avg_fare"),
         money_avg("tip_amount").alias("avg_tip"),
-        mean("trip_distance").alias("avg_distance"),
+        money_avg("trip_distance").alias("avg_distance"),
         money_sum("fare_amount").alias("total_revenue"),
     )
 

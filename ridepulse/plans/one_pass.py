@@ -86,8 +86,7 @@ def summary_sets(trips: DataFrame) -> DataFrame:
         fare.alias("_fare"),
         tip.alias("_tip"),
         cents("total_amount").alias("_total"),
-        F.col("trip_distance").alias("_dist"),
-        cents("trip_distance").alias("_dist_c"),
+        cents("trip_distance").alias("_dist"),
         secs.alias("_secs"),
     )
     v = F.col("_valid")
@@ -108,7 +107,7 @@ def summary_sets(trips: DataFrame) -> DataFrame:
         F.sum("_tip").alias("_rtip_sum"),
         F.count("_tip").alias("_rtip_n"),
         F.sum("_total").alias("_rtotal_sum"),
-        F.sum("_dist_c").alias("_rdist_sum"),
+        F.sum("_dist").alias("_rdist_sum"),
         F.min("_pickup").alias("_min_pickup"),
         F.max("_pickup").alias("_max_pickup"),
     ]
@@ -141,7 +140,7 @@ def _rollup(fine: DataFrame, key: str) -> DataFrame:
 def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
     """Every batch result, read off the grouping-sets aggregate (cache it first)."""
     fine = _rows(sets, "fine")
-    dist = F.col("_dist_sum") / F.col("_dist_n")
+    dist = _avg_money("_dist_sum", "_dist_n")
     out: dict[str, DataFrame] = {}
     peak = _rollup(fine, "_hour").filter(F.col("_n") > 0).select(
         F.col("_hour").alias("hour"),

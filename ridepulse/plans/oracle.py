@@ -26,10 +26,6 @@ def _money_avg(col: str) -> str:
     return f"CAST(sum({m}) AS DOUBLE) / count({m})"
 
 
-def _mean(col: str) -> str:
-    return f"sum({col}) / count({col})"
-
-
 _SECS = "(epoch_us(dropoff_datetime) // 1000000 - epoch_us(pickup_datetime) // 1000000)"
 
 _RAW = f"""
@@ -141,7 +137,7 @@ monthly_trends AS (
   SELECT strftime(pickup_datetime, '%Y-%m') AS month,
          count(*) AS total_trips,
          {_money_sum('fare_amount')} AS total_revenue,
-         {_mean('trip_distance')} AS avg_distance,
+         {_money_avg('trip_distance')} AS avg_distance,
          CAST(sum({_SECS}) AS DOUBLE) / (count({_SECS}) * 60) AS avg_duration
   FROM trips_clean GROUP BY 1
 )"""
@@ -197,7 +193,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "peak_hours": _with(
         f"""SELECT CAST(hour(pickup_datetime) AS INTEGER) AS hour, count(*) AS total_trips,
-                   {_money_avg('fare_amount')} AS avg_fare, {_mean('trip_distance')} AS avg_distance
+                   {_money_avg('fare_amount')} AS avg_fare, {_money_avg('trip_distance')} AS avg_distance
             FROM trips_clean GROUP BY 1 ORDER BY 1"""
     ),
     "daily_patterns": _with(
@@ -212,7 +208,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "source_comparison": _with(
         f"""SELECT source, count(*) AS total_trips, {_money_avg('fare_amount')} AS avg_fare,
-                   {_money_avg('tip_amount')} AS avg_tip, {_mean('trip_distance')} AS avg_distance,
+                   {_money_avg('tip_amount')} AS avg_tip, {_money_avg('trip_distance')} AS avg_distance,
                    {_money_sum('fare_amount')} AS total_revenue
             FROM trips_clean GROUP BY source"""
     ),
