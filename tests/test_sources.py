@@ -175,3 +175,9 @@ def test_distributed_probe(spark, tmp_dir):
     assert sorted(r.passenger_count for r in scan.trips.collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
     assert scan.schemas.count() == 2
     assert [os.path.basename(r.path) for r in scan.rejected.collect()] == ["broken.parquet"]
+
+
+def test_ignore_missing_option_reads_normally(spark, tmp_dir):
+    _metered_rows(spark, [1, 2], "bigint").coalesce(1).write.parquet(f"{tmp_dir}/m")
+    scan = scan_feeds(spark, [f"{tmp_dir}/m"], ignore_missing=True)
+    assert scan.trips.count() == 2 and scan.rejected.count() == 0
