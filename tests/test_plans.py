@@ -21,3 +21,14 @@ def test_plan_shape(spark, key):
         assert col not in plan, f"{key} reads {col}"
     if "Exchange hashpartitioning" in plan and "HashAggregate" in plan:
         assert "partial_" in plan, f"{key}: aggregate without a partial stage"
+
+
+CLEANED_KEYS = ["trips_clean", "peak_hours", "daily_patterns", "monthly_trends", "monthly_revenue",
+                "source_comparison"]
+
+
+@pytest.mark.parametrize("key", CLEANED_KEYS)
+def test_cleaning_filter_reaches_the_scan(spark, key):
+    plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    # trip_distance > 0 on the dispatch feed is l_quantity > 0, pushed into the Parquet scan
+    assert "GreaterThan(l_quantity,0.0)" in plan
