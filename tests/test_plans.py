@@ -42,3 +42,14 @@ def test_cleaning_filter_reaches_the_scan(spark, key):
     plan = _formatted(E.queries()[key](spark, SF_SMALL))
     # trip_distance > 0 on the dispatch feed is l_quantity > 0, pushed into the Parquet scan
     assert "GreaterThan(l_quantity,0.0)" in plan
+
+
+def test_top_k_is_take_ordered(spark):
+    plan = _formatted(E.queries()["top_pickup_zones"](spark, SF_SMALL))
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("key", ["peak_hours", "daily_patterns", "monthly_trends", "monthly_revenue"])
+def test_bounded_results_sorted_without_range_partitioning(spark, key):
+    plan = _formatted(E.queries()[key](spark, SF_SMALL))
+    assert "rangepartitioning" not in plan and "SinglePartition" in plan
