@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import defaultdict
+
+import pyarrow.parquet as pq
+import xxhash
+
+from ridepulse.llm import catalog, graph, simhash
+from tests.conftest import SF_SMALL
+
+
+def brute_fingerprint(text: str | None) -> int:
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    shingles = [b" ".join(words[i : i + 4]) for i in range(len(words) - 3)] if len(words) >= 4 else [b" ".join(words)] if words else []
+    h = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(nodes, linked):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    nodes = list(nodes)
+    for i, a in enumerate(nodes):
+        for b in nodes[:i]:
+            if linked(a, b):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {n: find(n) for n in nodes}
+
+
+def expected(rows):
+    fps = [(d, brute_fingerprint(t)) for d, t in rows]
+    root = brute_components({f for _, f in fps}, lambda a, b: (a ^ b).bit_count() <= 4)
+    least = defaultdict(lambda: None)
+    for d, f in fps:
+        if d is not None:
+            r = root[f]
+            least[r] = d if least[r] is None else min(least[r], d)
+    return sorted(((d, f"{f:016x}", least[root[f]]) for d, f in fps), key=str)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.fingerprint, r.component_id) for r in df.collect()), key=str)
+
+
+def test_query_equals_brute_force(spark):
+    t = pq.read_table(f"{SF_SMALL}/documents.parquet").to_pydict()
+    want = expected(list(zip(t["doc_id"], t["text"])))
+    assert got(catalog.op1_simhash_near_dedup(spark, SF_SMALL)) == want
+
+
+def test_odd_rows(make_docs):
+    long = " ".join(f"w{i % 997}" for i in range(30_000))
+    rows = [
+        (5, "A b c d e"), (3, "a B c d e"), (3, "a B c d e"), (None, "a b c d e"), (9, None), (8, ""), (7, " \t\n"),
+        (1, "one"), (2, "two words"), (4, long), (6, long + " end"), (None, "zz yy"), (10, "é É x"),
+    ]
+    assert got(simhash.near_duplicates(make_docs(rows))) == expected(rows)
+    assert simhash.near_duplicates(make_docs([])).collect() == []
+
+
+def test_trie_join_equals_all_pairs():
+    rng = random.Random(3)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    values = set(base)
+    for _ in range(800):
+        v = rng.choice(base)
+        for _ in range(rng.randint(1, 7)):
+            v ^= 1 << rng.randrange(64)
+        values.add(v)
+    values = sorted(values)
+    want = brute_components(values, lambda a, b: (a ^ b).bit_count() <= 4)
+    assert {v: r for v, r in simhash.trie_links(values, 4)} == {v: r for v, r in want.items() if v != r}
+
+
+def test_large_tries_are_cut_without_losing_links(spark):
+    rng = random.Random(5)
+    base, values = rng.getrandbits(64), set()
+    while len(values) < 600:
+        v = base
+        for _ in range(rng.randint(0, 9)):
+            v ^= 1 << rng.randrange(64)
+        values.add(v)
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    want = brute_components(values, lambda a, b: (a ^ b).bit_count() <= 4)
+    fps = spark.createDataFrame(signed, "fp long")
+    for max_trie in (8, 1 << 16):
+        roots = {r.node: r.root for r in graph.components(simhash.links(fps, 4, max_trie), "t").collect()}
+        classes = defaultdict(set)
+        for (s,) in signed:
+            classes[roots.get(s, s)].add(s % (1 << 64))
+        brute = defaultdict(set)
+        for v, r in want.items():
+            brute[r].add(v)
+        assert sorted(map(sorted, classes.values())) == sorted(map(sorted, brute.values()))
+
+
+def test_components_of_chains(spark):
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (200, 102), (102, 101), (300, 300)]
+    df = spark.createDataFrame(links, "u long, v long")
+    got_ = {r.node: r.root for r in graph.components(df, "chain").collect()}
+    assert got_ == {i: 0 for i in range(1, 61)} | {101: 100, 102: 100, 200: 100}
