@@ -11,6 +11,8 @@ sum over files plus a running sum inside one file.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -24,11 +26,22 @@ from pyspark.sql import functions as F
 from ridepulse.llm.common import slices, stored
 
 # Fixed value: how byte-level BPE vocabularies of this family split a text before merging.
-_SPLIT = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-)
-# Encoded words kept by one Python worker.
-_CACHE_WORDS = 800_000
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+# Encoded pieces kept by one Python worker.
+_CACHE_PIECES = 800_000
+
+
+def _latin_classes() -> dict[str, str]:
+    """Letters, numbers and white space below U+0100 as members of a character class."""
+    chars = [chr(i) for i in range(256)]
+    kinds = {k: [c for c in chars if unicodedata.category(c)[0] == k] for k in "LN"}
+    kinds["S"] = [c for c in chars if c.isspace() and not "\x1c" <= c <= "\x1f"]  # Unicode's White_Space
+    return {k: "".join(map(re.escape, v)) for k, v in kinds.items()}
+
+
+# The same split twice: the standard library's engine is the faster one on Latin-1 texts.
+_SPLIT_ANY = regex.compile(_SPLIT.format(L=r"\p{L}", N=r"\p{N}", S=r"\s"))
+_SPLIT_LATIN = re.compile(_SPLIT.format(**_latin_classes()))
 
 FILE_SCHEMA = "part int, pos long, doc_id long, ids array<int>"
 DIGEST_SCHEMA = "part int, pos long, doc_id long, n_tokens long, ids_crc32 long"
@@ -41,14 +54,14 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
-class Encoder:
+class Encoder(dict):
     """Ids of whole texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
-    Merging never crosses the pre-tokenizer's pieces, so each distinct word is
-    merged once per worker and looked up after that. A text is cut before a
-    single space or line feed that stands between two non-blank characters,
-    where the pre-tokenizer always cuts too; a text with other runs of blanks,
-    or with an added token's string, is encoded in one call.
+    Merging never crosses the pieces that the pre-tokenizer cuts, so a worker
+    merges each distinct piece once and looks it up after that (this dict:
+    piece -> little-endian unsigned 32-bit ids). A text that holds an added
+    token's string, and any text under another kind of pre-tokenizer, is
+    encoded in one call.
     """
 
     def __init__(self, path: str):
@@ -58,42 +71,26 @@ class Encoder:
         self.model = self.whole.model
         self.letters = _byte_letters()
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-        self.by_word = self.whole.normalizer is None and isinstance(self.whole.pre_tokenizer, pre_tokenizers.ByteLevel)
-        self.blanks = regex.compile(r"\s\s|^\s|\s$|[\s--[ \n]]", regex.V1)
-
-    def _word(self, word: str) -> bytes:
-        out = b"".join(
-            np.array(
-                [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))], "<u4"
-            ).tobytes()
-            for piece in _SPLIT.findall(word)
-        )
-        if len(self.words) >= _CACHE_WORDS:
-            self.words.clear()
-        self.words[word] = out
+        self.by_piece = self.whole.normalizer is None and isinstance(self.whole.pre_tokenizer, pre_tokenizers.ByteLevel)
+
+    def __missing__(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        out = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        if len(self) >= _CACHE_PIECES:
+            self.clear()
+        self[piece] = out
         return out
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of ``text``."""
-        if not text:
-            return b""
-        if not self.by_word or self.blanks.search(text) or any(a in text for a in self.added):
+        if not self.by_piece or any(a in text for a in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words, known, out = text.replace("\n", " \n ").split(" "), self.words, []
-        # "a b\nc" -> a, b, \n, c: a word has its space back unless it starts the text or a line
-        bare = True
-        get = known.get
-        for w in words:
-            if w == "\n":
-                bare = True
-            elif bare:
-                bare = False
-            else:
-                w = " " + w
-            got = get(w)
-            out.append(self._word(w) if got is None else got)
-        return b"".join(out)
+        try:
+            text.encode("latin-1")
+            pieces = _SPLIT_LATIN.findall(text)
+        except UnicodeEncodeError:
+            pieces = _SPLIT_ANY.findall(text)
+        return b"".join(map(self.__getitem__, pieces))
 
 
 _ENCODERS: dict[str, Encoder] = {}
