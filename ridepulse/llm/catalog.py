@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ridepulse.llm import simhash, token_files
+from ridepulse.llm import decontaminate, hamming_search, language, licenses, mixing, simhash, token_files, url_filter
 from ridepulse.llm.common import ready, table
 from ridepulse.session import new_work_dir
 
@@ -18,6 +19,37 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+# The rules of the URL filter as (host, path, verdict).
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+# First host labels whose pages make up the list of URLs to block.
+LISTED_LABELS = ["spam-farm", "cheap-pills", "adult-x", "free-bets"]
+
+
+def listed_urls(pages: DataFrame) -> DataFrame:
+    """The list of URLs to block: those in ``pages`` under a host with a listed label."""
+    host = url_filter.url_host(F.col("url"))
+    return pages.select("url").where(F.arrays_overlap(F.split(host, r"\."), F.array(*map(F.lit, LISTED_LABELS))))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    lengths = sorted({len(path) for _, path, _ in URL_RULES})
+    return url_filter.filter_urls(pages, rules, listed_urls(pages), lengths)
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     ready(spark)
     docs = table(spark, sf_dir, "documents") if docs is None else docs
@@ -26,8 +58,34 @@ def op4_token_files(spark: SparkSession, sf_dir: str, docs: DataFrame | None = N
     return token_files.token_digest(spark, path)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op9_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return hamming_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=10)
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_url_filter": op2_url_filter,
+    "op3_license_scan": op3_license_scan,
     "op4_token_files": op4_token_files,
+    "op6_language_id": op6_language_id,
+    "op7_mixing": op7_mixing,
+    "op9_top_k_search": op9_top_k_search,
+    "op10_decontaminate": op10_decontaminate,
 }
 ORACLE_SQL: dict[str, str] = {}
