@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.llm import decontaminate, hamming_search, language, licenses, mixing, simhash, token_files, url_filter
+from ridepulse.llm import (
+    decontaminate,
+    hamming_search,
+    language,
+    licenses,
+    mixing,
+    rlz_dedup,
+    simhash,
+    suffix_dedup,
+    token_files,
+    url_filter,
+)
 from ridepulse.llm.common import ready, table
 from ridepulse.session import new_work_dir
 
@@ -58,6 +69,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str, docs: DataFrame | None = N
     return token_files.token_digest(spark, path)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return language.identify(table(spark, sf_dir, "documents"))
@@ -68,6 +84,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return rlz_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return hamming_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=10)
@@ -83,8 +104,10 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_license_scan": op3_license_scan,
     "op4_token_files": op4_token_files,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_language_id": op6_language_id,
     "op7_mixing": op7_mixing,
+    "op8_rlz_dedup": op8_rlz_dedup,
     "op9_top_k_search": op9_top_k_search,
     "op10_decontaminate": op10_decontaminate,
 }

@@ -214,6 +214,18 @@ def _item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list,
             yield [p[0] for p in parts], [p[1] for p in parts]
 
 
+def _passes(docs: DataFrame, benchmark: DataFrame, block_bytes: int, *how):
+    """For each block of items a function that gives ``Items.leaks`` of a slice of texts, made once a task."""
+    for block in _item_blocks(benchmark, block_bytes):
+        held = docs.sparkSession.sparkContext.broadcast(block)
+
+        def finder(held=held):
+            items = Items(*held.value, *how)
+            return items, lambda batch: items.leaks(Words(as_bytes(batch.column("text")), PUNCTUATION, lower=True))
+
+        yield finder
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -229,17 +241,14 @@ def leaks(
     nothing and are leaked by nothing; equal rows give equal rows; null ids
     stay null; empty tables give no rows. Other columns are ignored.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = spark.createDataFrame([], LEAK_SCHEMA)
-    for n, (ids, words) in enumerate(_item_blocks(benchmark, block_bytes)):
-        held = spark.sparkContext.broadcast((ids, words))
+    out = docs.sparkSession.createDataFrame([], LEAK_SCHEMA)
+    for finder in _passes(docs, benchmark, block_bytes, similarity, repetitions, samples):
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            items = Items(*held.value, similarity, repetitions, samples)
+        def run(batches: Iterator[pa.RecordBatch], finder=finder) -> Iterator[pa.RecordBatch]:
+            items, find = finder()
             for batch in slices(batches):
-                w = Words(as_bytes(batch.column("text")), PUNCTUATION, lower=True)
-                found = sorted(items.leaks(w).items())
+                found = sorted(find(batch).items())
                 doc_ids = batch.column("doc_id").to_pylist()
                 columns = [
                     [doc_ids[d] for (d, _), _ in found],
@@ -252,6 +261,21 @@ def leaks(
                     [pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "start", "n_words", "distance"]
                 )
 
-        part = rows.mapInArrow(run, LEAK_SCHEMA)
-        out = part if n == 0 else out.unionByName(part)
+        out = out.unionByName(rows.mapInArrow(run, LEAK_SCHEMA))
     return out
+
+
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_bytes: int = ITEM_BLOCK_BYTES
+) -> DataFrame:
+    """The rows of ``docs`` that leak no item of ``benchmark``, all columns unchanged."""
+    for finder in _passes(docs, benchmark, block_bytes, similarity, REPETITIONS, SAMPLES):
+
+        def run(batches: Iterator[pa.RecordBatch], finder=finder) -> Iterator[pa.RecordBatch]:
+            _, find = finder()
+            for batch in slices(batches):
+                leaking = {d for d, _ in find(batch)}
+                yield batch.filter(pa.array([i not in leaking for i in range(batch.num_rows)]))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -182,6 +183,24 @@ def training_sample(docs: DataFrame) -> dict[str, list[str]]:
     return out
 
 
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has a learned language, a null ``lang`` set to the prediction.
+
+    Rows predicted ``und`` (null or letterless texts) go; other columns pass unchanged.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(Models.train(training_sample(docs)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            lang, _ = held.value.predict(batch.column("text").to_pylist())
+            at = batch.schema.get_field_index("lang")
+            given = pc.coalesce(batch.column(at), pa.array(lang, batch.column(at).type))
+            kept = batch.set_column(at, batch.schema.field(at), given)
+            yield kept.filter(pa.array([x != "und" for x in lang]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, sample: dict[str, list[str]] | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs`` (doc_id, text, lang; others are ignored).
 

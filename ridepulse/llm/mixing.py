@@ -33,11 +33,12 @@ _KEY = ["no_source", "source"]
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source as a null-free key, and the number of words of each row."""
+    """doc_id, source as a null-free key, the hash of the text and its number of words, for each row."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").isNull().alias("no_source"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
 
@@ -117,14 +118,16 @@ def schedule(plan: DataFrame, n_slots: int, n_sources: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source_size, target, taken, source.
+    """One row per row of ``docs``: doc_id, size, source_size, target, taken, source, text_hash.
 
     Blocks of a source differ by one word at most; a block's words belong to
     the documents it covers, so ``taken`` counts each time a block with words
     of the document is taken. Null and blank texts have size 0 and are never
     taken; null sources are one source, ordered last; an empty table gives no
     rows. Equal rows are told apart by their place in the shuffled order.
-    The order and the schedule depend on doc_id, size and source only.
+    Reruns agree: the order and the schedule depend on the rows alone.
+    ``block_words`` should grow with the corpus: there is a slot for each
+    block taken, and the sequence repeats after 2^31 slots.
     """
     rows = stored(sized(docs), "mix-sizes")
     per = stored(
@@ -144,7 +147,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     shuffled = shuffled.withColumn("_shelf", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int") % _SHELVES)
     shelves = shuffled.groupBy(*_KEY, "_shelf").agg(F.sum("size").alias("_n"))
     shelves = shelves.select(*_KEY, "_shelf", _before("_n", "_shelf", key=_KEY).alias("_base"))
-    on_shelf = Window.partitionBy(*_KEY, "_shelf").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    on_shelf = Window.partitionBy(*_KEY, "_shelf").orderBy("_h", "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         shuffled.withColumn("_end", F.sum("size").over(on_shelf))
         .join(shelves, [*_KEY, "_shelf"])
@@ -156,18 +159,29 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     first = F.expr("(_start * blocks) div source_size")
     last = F.least(F.expr("(_end * blocks) div source_size"), F.col("blocks") - 1)
     pieces = (
-        placed.select(*_KEY, "doc_id", "size", "_start", "_end", "source_size", "blocks", F.explode(F.sequence(first, last)).alias("block"))
+        placed.select(*_KEY, "doc_id", "text_hash", "size", "_start", "_end", "source_size", "blocks", F.explode(F.sequence(first, last)).alias("block"))
         .withColumn("_words", F.least("_end", edge("(block + 1)")) - F.greatest("_start", edge("block")))
         .where("_words > 0")
     )
     taken = (
         pieces.join(times, [*_KEY, "block"], "left")
-        .groupBy(*_KEY, "doc_id", "size", "_start")
+        .groupBy(*_KEY, "doc_id", "text_hash", "size", "_start")
         .agg(F.sum(F.col("_words") * F.coalesce("_times", F.lit(0))).alias("taken"))
-        .select(*_KEY, "doc_id", "size", "taken")
+        .select(*_KEY, "doc_id", "text_hash", "size", "taken")
     )
-    blank = rows.where("size = 0").select(*_KEY, "doc_id", "size", F.lit(0).cast("long").alias("taken"))
+    blank = rows.where("size = 0").select(*_KEY, "doc_id", "text_hash", "size", F.lit(0).cast("long").alias("taken"))
     return (
         taken.unionByName(blank).join(_small(per, n_sources), _KEY)
-        .select("doc_id", "size", "source_size", "target", "taken", F.when(~F.col("no_source"), F.col("source")).alias("source"))
+        .select("doc_id", "size", "source_size", "target", "taken", F.when(~F.col("no_source"), F.col("source")).alias("source"), "text_hash")
     )
+
+
+def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them: taken / size, to the nearest whole number."""
+    times = mix(docs, block_words).where("size > 0").groupBy("doc_id", "text_hash")
+    times = times.agg(F.floor(F.avg(F.col("taken") / F.col("size")) + 0.5).cast("int").alias("_times")).where("_times > 0")
+    times = times.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_times")
+    keyed = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    same = keyed["doc_id"].cast("long").eqNullSafe(times["_id"]) & (keyed["_own"] == times["_hash"])
+    repeated = keyed.join(times, same).withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return repeated.select(*docs.columns)

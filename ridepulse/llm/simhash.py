@@ -50,15 +50,19 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp) of every row of ``docs``; fp is the fingerprint as a signed long."""
+    """(doc_id, text_hash, fp) of every row of ``docs``; fp is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            fps = np.array([fingerprint(t, shingle) for t in as_bytes(batch.column("text"))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            texts = as_bytes(batch.column("text"))
+            own = np.array([xxhash.xxh64_intdigest(t, SEED) for t in texts], np.uint64)
+            fps = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(own.view(np.int64)), pa.array(fps.view(np.int64))], ["doc_id", "text_hash", "fp"]
+            )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def trie_links(values: list[int], max_bits: int) -> list[tuple[int, int]]:
@@ -195,6 +199,17 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
 
 
+def classes(docs: DataFrame, shingle: int, max_bits: int, max_trie: int = MAX_TRIE) -> DataFrame:
+    """(doc_id, text_hash, fp, root, component_id) of every row; root is the component's least fingerprint."""
+    rows = stored(fingerprints(docs, shingle), "simhash-fp")
+    one = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(links(one.select("fp"), max_bits, max_trie), "simhash-links")
+    named = one.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = named.join(ids, "root").select("fp", "root", "component_id")
+    return rows.join(of, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_trie: int = MAX_TRIE) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -205,12 +220,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_tr
     has a null component_id. Equal rows stay as many rows. Exact copies share
     a fingerprint and enter the tries once.
     """
-    rows = stored(fingerprints(docs, shingle), "simhash-fp")
-    one = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(one.select("fp"), max_bits, max_trie), "simhash-links")
-    named = one.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = named.join(ids, "root").select("fp", "component_id")
-    return rows.join(of, "fp").select(
+    return classes(docs, shingle, max_bits, max_trie).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """The rows of ``docs`` with one row of each component: its least doc_id's (ids before null), all columns."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("_k")
+    kept = classes(docs, shingle, max_bits).groupBy("root").agg(first)
+    kept = kept.select(F.col("_k.doc_id").alias("_id"), F.col("_k.text_hash").alias("_hash")).distinct()
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    keyed = docs.withColumn("_own", text_hash)
+    same = keyed["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (keyed["_own"] == kept["_hash"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_own"]).drop("_own")

@@ -47,6 +47,11 @@ class Ranges:
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.upto[end] - self.upto[start]) * self.down[start])
 
+    def windows(self, size: int) -> np.ndarray:
+        """Hashes of all ranges of ``size``."""
+        n = len(self.upto) - size
+        return mixed((self.upto[size:] - self.upto[:n]) * self.down[:n])
+
 
 def _separators(chars: bytes) -> np.ndarray:
     out = np.zeros(256, bool)
