@@ -55,14 +55,14 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in slices of about SLICE_BYTES of ``column`` (one row at least)."""
+def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of about ``most`` bytes of ``column`` (one row at least)."""
     for batch in batches:
         col = batch.column(column)
         start, size = 0, 0
         for i in range(batch.num_rows):
             n = len(col[i].as_buffer() or b"") if col[i].is_valid else 0
-            if size and size + n > SLICE_BYTES:
+            if size and size + n > most:
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += n

@@ -41,6 +41,8 @@ ROUTED = "kind int, part int, blob binary"
 RUNS, SPANS, ASKED, TEXTS = 0, 1, 2, 3
 # Parts per shuffle partition, to even out their sizes.
 _SPREAD = 4
+# Bytes of text cut into runs at once; each takes about ten 8-byte numbers meanwhile.
+_RUN_SLICE = 1 << 20
 _POSITION = np.uint64((1 << 40) - 1)
 
 
@@ -149,7 +151,7 @@ class Rule:
     match: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
     needs_id: bool
     # Runs that one task holds before it settles and sends them.
-    held_runs: int = 1_000_000
+    held_runs: int = 400_000
 
 
 def _take(table: dict, rows: np.ndarray) -> dict:
@@ -208,7 +210,7 @@ def _occurrences(rule: Rule, parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for batch in slices(batches):
+        for batch in slices(batches, _RUN_SLICE):
             texts = as_bytes(batch.column("text"))
             doc, text = _keys(batch, texts)
             t = runs(rule.units(texts), rule.width, rule.gram)
@@ -337,12 +339,8 @@ def _contexts(rule: Rule, parts: int):
 
 
 def _matches(rule: Rule, parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [_unpack(b) for batch in batches for b in batch.column("blob").to_pylist()]
-        if not blobs:
-            return
+    def shard(blobs: list[dict]) -> pa.RecordBatch:
         t = {k: np.concatenate([b[k] for b in blobs]) for k in ("doc", "text", "start", "size", "data")}
-        blobs.clear()
         data, length = t.pop("data"), t["size"] - 1 + rule.width
         hit = np.flatnonzero(rule.match(data, length, t["doc"]))
         context = np.repeat(np.arange(len(length)), length)[hit]
@@ -351,7 +349,20 @@ def _matches(rule: Rule, parts: int):
             "doc": t["doc"][context], "text": t["text"][context], "start": t["start"][context] + inside,
             "size": np.ones(len(hit), np.int64),
         }
-        yield _rows(_spans(found, rule.width, parts))
+        return _rows(_spans(found, rule.width, parts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by part; each part is a shard of its own."""
+        now, held = None, []
+        for batch in batches:
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob").to_pylist()):
+                if part != now and held:
+                    yield shard(held)
+                    held = []
+                now = part
+                held.append(_unpack(blob))
+        if held:
+            yield shard(held)
 
     return run
 
@@ -373,7 +384,7 @@ def covered(docs: DataFrame, rule: Rule, digest, schema: str) -> DataFrame:
     texts = _packed_documents(docs, parts)
     asked = settled.where(F.col("kind") == ASKED).unionByName(texts)
     contexts = dealt(asked).sortWithinPartitions("kind").mapInArrow(_contexts(rule, parts), ROUTED)
-    found = dealt(contexts).mapInArrow(_matches(rule, parts), ROUTED)
+    found = dealt(contexts).sortWithinPartitions("part").mapInArrow(_matches(rule, parts), ROUTED)
     spans = settled.where(F.col("kind") == SPANS).unionByName(found).unionByName(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
