@@ -9,9 +9,10 @@ with one anchor are a *run*; a run's text is all its windows cover.
    packed columns, to the bucket of their anchor. Runs that its own texts
    settle (``Rule.settle``) are not sent, so a line that fills a third of the
    corpus costs each task a few rows.
-2. ``_resolve``: a bucket settles runs whose whole text it knows. Runs whose
-   anchor has another text as well may share some windows only: their text is
-   asked for.
+2. ``_resolve``: a bucket settles runs whose whole text it knows. Runs of one
+   anchor with different texts may share some windows only. Such a window
+   reaches half its free length to the left or to the right of the anchor, so
+   the texts of runs that agree with another one on either half are asked for.
 3. ``_contexts``: documents, dealt to parts by their key, hand out those
    texts to the buckets.
 4. ``Rule.match``: a bucket indexes its texts and finds the windows that also
@@ -39,8 +40,6 @@ from ridepulse.llm.words import BLANK, Ranges, Words, mixed
 
 ROUTED = "kind int, part int, blob binary"
 RUNS, SPANS, ASKED, TEXTS = 0, 1, 2, 3
-# Parts per shuffle partition, to even out their sizes.
-_SPREAD = 4
 # Bytes of text cut into runs at once; each takes about ten 8-byte numbers meanwhile.
 _RUN_SLICE = 1 << 20
 _POSITION = np.uint64((1 << 40) - 1)
@@ -96,7 +95,8 @@ class Units:
 
 # Columns of a table of runs: a document's key (id, hash of its text), first window, number of windows, hashes of the
 # anchor and of the run's text, and how often the text is known to stand.
-RUN_COLUMNS = ("doc", "text", "start", "size", "anchor", "run", "copies")
+# left, right: hashes of the anchor with half a window's free length on that side, 0 where no window reaches that far.
+RUN_COLUMNS = ("doc", "text", "start", "size", "anchor", "run", "left", "right", "copies")
 
 
 def runs(units: Units, width: int, gram: int) -> dict[str, np.ndarray]:
@@ -104,7 +104,8 @@ def runs(units: Units, width: int, gram: int) -> dict[str, np.ndarray]:
     n, span = len(units.values), width - gram + 1
     windows = np.maximum(np.diff(units.first) - width + 1, 0)
     if not windows.sum():
-        return {c: np.empty(0, np.uint64 if c in ("anchor", "run") else np.int64) for c in ("row", "start", "size", "anchor", "run")}
+        numbers = {c: np.empty(0, np.int64) for c in ("row", "start", "size")}
+        return numbers | {c: np.empty(0, np.uint64) for c in ("anchor", "run", "left", "right")}
     ranges = Ranges(units.values)
     grams = ranges.windows(gram)
     least = (grams & ~_POSITION) | np.arange(len(grams), dtype=np.uint64)
@@ -118,10 +119,18 @@ def runs(units: Units, width: int, gram: int) -> dict[str, np.ndarray]:
     place = (least[at] & _POSITION).astype(np.int64)
     new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (row[1:] != row[:-1])]))
     size = np.diff(np.append(new, len(row)))
-    start = at[new]
+    start, place, half = at[new], place[new], (width - gram) // 2
+    end = start + size - 1 + width
+
+    def side(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        there = (low >= start) & (high <= end)
+        h = ranges.hash(np.where(there, low, 0), np.where(there, high, 0)) >> np.uint64(48)
+        return np.where(there, np.maximum(h, np.uint64(1)), np.uint64(0))
+
     return {
         "row": row[new], "start": start - units.first[row[new]], "size": size,
-        "anchor": mixed(grams[place[new]]) >> np.uint64(16), "run": ranges.hash(start, start + size - 1 + width),
+        "anchor": mixed(grams[place]) >> np.uint64(16), "run": ranges.hash(start, end) >> np.uint64(16),
+        "left": side(place - half, place + gram), "right": side(place, place + width - half + 1),
     }
 
 
@@ -158,7 +167,7 @@ def _take(table: dict, rows: np.ndarray) -> dict:
     return {k: v[rows] for k, v in table.items()}
 
 
-def _spans(table: dict, width: int, parts: int) -> list[tuple[int, int, bytes]]:
+def _spans(table: dict, width: int, parts: np.ndarray) -> list[tuple[int, int, bytes]]:
     """Covered ranges of a table of runs, merged, as blobs for the documents' parts."""
     order = np.lexsort((table["start"], table["text"], table["doc"]))
     t = _take(table, order)
@@ -177,33 +186,42 @@ def _spans(table: dict, width: int, parts: int) -> list[tuple[int, int, bytes]]:
     ]
 
 
-def part_of(doc: np.ndarray, text: np.ndarray, parts: int) -> np.ndarray:
-    return (mixed(doc.view(np.uint64) ^ text) >> np.uint64(33)).astype(np.int64) % parts
+def part_of(doc: np.ndarray, text: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    return parts[(mixed(doc.view(np.uint64) ^ text) >> np.uint64(33)).astype(np.int64) % len(parts)]
+
+
+def bucket_of(anchor: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    return parts[(anchor % np.uint64(len(parts))).astype(np.int64)]
 
 
 def _keys(batch: pa.RecordBatch, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Documents' keys: id (0 for null) and hash of the text."""
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
     doc = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    text = Ranges(np.frombuffer(b"".join(texts), np.uint8)).hash(ends - np.fromiter(map(len, texts), np.int64, len(texts)), ends)
+    text = Ranges(np.frombuffer(b"".join(texts), np.uint8)).hash(np.concatenate([[0], ends[:-1]])[: len(ends)], ends)
     return doc, text
 
 
-def _occurrences(rule: Rule, parts: int):
+def _occurrences(rule: Rule, parts: np.ndarray):
     def send(held: list[dict]) -> pa.RecordBatch:
         t = {k: np.concatenate([h[k] for h in held]) for k in RUN_COLUMNS}
         covered, keep = rule.settle(t)
         found = _spans(_take(t, covered), rule.width, parts)
         t = _take(t, keep)
-        keys, key = np.unique(np.stack([t["doc"].view(np.uint64), t["text"]]), axis=1, return_inverse=True)
-        for p, r in _by_part((t["anchor"] % np.uint64(parts)).astype(np.int64)):
-            own, of = np.unique(key.ravel()[r], return_inverse=True)
+        order, key = groups(t["doc"], t["text"])
+        first = order[np.flatnonzero(np.diff(key, prepend=-1))]
+        ids, hashes = t["doc"][first], t["text"][first]
+        of_row = np.empty(len(order), np.int64)
+        of_row[order] = key
+        for p, r in _by_part(bucket_of(t["anchor"], parts)):
+            own, of = np.unique(of_row[r], return_inverse=True)
             columns = {
-                "docs": keys[:, own], "of": _diff(of.astype(np.int32)), "start": _diff(t["start"][r].astype(np.int32)),
+                "ids": _diff(ids[own]), "texts": hashes[own], "of": _diff(of.astype(np.int32)), "start": _diff(t["start"][r].astype(np.int32)),
                 "size": t["size"][r].astype(np.uint8), "copies": t["copies"][r].astype(np.uint8),
                 # 48 bits each: runs are taken as equal if both agree
                 "anchor": t["anchor"][r].view(np.uint8).reshape(-1, 8)[:, :6].copy(),
                 "run": t["run"][r].view(np.uint8).reshape(-1, 8)[:, :6].copy(),
+                "left": t["left"][r].astype(np.uint16), "right": t["right"][r].astype(np.uint16),
             }
             found.append((RUNS, p, _pack(**columns)))
         return _rows(found)
@@ -234,7 +252,19 @@ def _six(x: np.ndarray) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def _resolve(rule: Rule, parts: int):
+def _several(t: dict, side: str) -> np.ndarray:
+    """Runs that agree with another text of their anchor on ``side``."""
+    out = np.zeros(len(t["doc"]), bool)
+    there = np.flatnonzero(t[side])
+    order, group = groups(t["anchor"][there], t[side][there])
+    if len(order):
+        run, starts = t["run"][there][order], np.flatnonzero(np.diff(group, prepend=-1))
+        several = np.minimum.reduceat(run, starts) != np.maximum.reduceat(run, starts)
+        out[there[order]] = several[group]
+    return out
+
+
+def _resolve(rule: Rule, parts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
@@ -246,8 +276,8 @@ def _resolve(rule: Rule, parts: int):
                 c = _unpack(blob)
                 of = np.cumsum(c["of"])
                 held.append(
-                    {"doc": c["docs"][0].view(np.int64)[of], "text": c["docs"][1][of], "start": np.cumsum(c["start"]).astype(np.int64),
-                     "size": c["size"].astype(np.int64), "copies": c["copies"].astype(np.int64), "anchor": _six(c["anchor"]), "run": _six(c["run"])}
+                    {"doc": np.cumsum(c["ids"])[of], "text": c["texts"][of], "start": np.cumsum(c["start"]).astype(np.int64),
+                     "size": c["size"].astype(np.int64), "copies": c["copies"].astype(np.int64), "anchor": _six(c["anchor"]), "run": _six(c["run"]), "left": c["left"], "right": c["right"]}
                 )
             yield _rows(passed)
         if not held:
@@ -256,14 +286,10 @@ def _resolve(rule: Rule, parts: int):
         held.clear()
         covered, keep = rule.settle(t)
         found = _spans(_take(t, covered), rule.width, parts)
-        # texts of anchors that have several
         t = _take(t, keep)
-        order, anchor = groups(t["anchor"])
-        run_ = t["run"][order]
-        starts = np.flatnonzero(np.diff(anchor, prepend=-1))
-        if len(starts):
-            several = np.minimum.reduceat(run_, starts) != np.maximum.reduceat(run_, starts)
-            t = _take(t, order[several[anchor]])
+        partial = _several(t, "left") | _several(t, "right")
+        t = _take(t, np.flatnonzero(partial))
+        if len(t["doc"]):
             for p, r in _by_part(part_of(t["doc"], t["text"], parts)):
                 found.append((ASKED, p, _pack(**{k: t[k][r] for k in ("doc", "text", "start", "size", "anchor")})))
         yield _rows(found)
@@ -271,7 +297,7 @@ def _resolve(rule: Rule, parts: int):
     return run
 
 
-def _packed_documents(docs: DataFrame, parts: int) -> DataFrame:
+def _packed_documents(docs: DataFrame, parts: np.ndarray) -> DataFrame:
     """``docs`` (doc_id, text) as compressed blocks for their parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +342,7 @@ def _meet(batches: Iterator[pa.RecordBatch], kind: int, names: list[str]) -> Ite
             yield met, c
 
 
-def _contexts(rule: Rule, parts: int):
+def _contexts(rule: Rule, parts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for met, block in _meet(batches, ASKED, ["start", "size", "anchor"]):
             keys = list(zip(block["doc"].tolist(), block["text"].tolist()))
@@ -329,7 +355,7 @@ def _contexts(rule: Rule, parts: int):
             t = {k: np.concatenate([c[k] for c in columns]) for k in ("doc", "text", "start", "size", "anchor")}
             begin = t["start"] + np.repeat(units.first[:-1], n)
             found = []
-            for p, r in _by_part((t["anchor"] % np.uint64(parts)).astype(np.int64)):
+            for p, r in _by_part(bucket_of(t["anchor"], parts)):
                 length = t["size"][r] - 1 + rule.width
                 at = np.arange(length.sum()) + np.repeat(begin[r] - np.cumsum(length) + length, length)
                 found.append((TEXTS, p, _pack(**{k: t[k][r] for k in ("doc", "text", "start", "size")}, data=units.values[at])))
@@ -338,7 +364,7 @@ def _contexts(rule: Rule, parts: int):
     return run
 
 
-def _matches(rule: Rule, parts: int):
+def _matches(rule: Rule, parts: np.ndarray):
     def shard(blobs: list[dict]) -> pa.RecordBatch:
         t = {k: np.concatenate([b[k] for b in blobs]) for k in ("doc", "text", "start", "size", "data")}
         data, length = t.pop("data"), t["size"] - 1 + rule.width
@@ -374,7 +400,10 @@ def covered(docs: DataFrame, rule: Rule, digest, schema: str) -> DataFrame:
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = n * _SPREAD
+    # part numbers that Spark's hash deals to a partition each
+    ids = spark.range(64 * n).select(F.col("id").cast("int").alias("id"))
+    own = ids.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id"))
+    parts = np.sort(np.array([r.id for r in own.collect()], np.int32))
 
     def dealt(df: DataFrame) -> DataFrame:
         return df.repartition(n, "part")
