@@ -42,6 +42,9 @@ ROUTED = "kind int, part int, blob binary"
 RUNS, SPANS, ASKED, TEXTS = 0, 1, 2, 3
 # Bytes of text cut into runs at once; each takes about ten 8-byte numbers meanwhile.
 _RUN_SLICE = 1 << 20
+# Bytes of asked texts that a task holds before it sends them, and shards that a bucket's texts are indexed in.
+_HELD_TEXT = 8 << 20
+_SHARDS = 16
 _POSITION = np.uint64((1 << 40) - 1)
 
 
@@ -343,7 +346,20 @@ def _meet(batches: Iterator[pa.RecordBatch], kind: int, names: list[str]) -> Ite
 
 
 def _contexts(rule: Rule, parts: np.ndarray):
+    def send(held: list[tuple[dict, np.ndarray]]) -> pa.RecordBatch:
+        t = {k: np.concatenate([h[k] for h, _ in held]) for k in ("doc", "text", "start", "size", "anchor")}
+        data, length = np.concatenate([d for _, d in held]), t["size"] - 1 + rule.width
+        begin = np.cumsum(length) - length
+        found = []
+        for p, r in _by_part(bucket_of(t["anchor"], parts)):
+            # texts of one anchor stay in one shard
+            shard = (t["anchor"][r] // np.uint64(len(parts)) % np.uint64(_SHARDS)).astype(np.uint8)
+            columns = {k: t[k][r] for k in ("doc", "text", "start", "size")}
+            found.append((TEXTS, p, _pack(**columns, shard=shard, data=data[_stretch(begin[r], length[r])])))
+        return _rows(found)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for met, block in _meet(batches, ASKED, ["start", "size", "anchor"]):
             keys = list(zip(block["doc"].tolist(), block["text"].tolist()))
             wanted = [i for i, key in enumerate(keys) if key in met]
@@ -351,44 +367,54 @@ def _contexts(rule: Rule, parts: np.ndarray):
                 continue
             units = rule.units([block["texts"][i] for i in wanted])
             columns = [met[keys[i]] for i in wanted]
-            n = [len(c["start"]) for c in columns]
             t = {k: np.concatenate([c[k] for c in columns]) for k in ("doc", "text", "start", "size", "anchor")}
-            begin = t["start"] + np.repeat(units.first[:-1], n)
-            found = []
-            for p, r in _by_part(bucket_of(t["anchor"], parts)):
-                length = t["size"][r] - 1 + rule.width
-                at = np.arange(length.sum()) + np.repeat(begin[r] - np.cumsum(length) + length, length)
-                found.append((TEXTS, p, _pack(**{k: t[k][r] for k in ("doc", "text", "start", "size")}, data=units.values[at])))
-            yield _rows(found)
+            begin = t["start"] + np.repeat(units.first[:-1], [len(c["start"]) for c in columns])
+            data = units.values[_stretch(begin, t["size"] - 1 + rule.width)]
+            held.append((t, data))
+            n += data.nbytes
+            if n >= _HELD_TEXT:
+                yield send(held)
+                held, n = [], 0
+        if held:
+            yield send(held)
 
     return run
 
 
+def _stretch(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places begin .. begin + length - 1 of each row, joined."""
+    return np.arange(length.sum()) + np.repeat(begin - np.cumsum(length) + length, length)
+
+
 def _matches(rule: Rule, parts: np.ndarray):
-    def shard(blobs: list[dict]) -> pa.RecordBatch:
-        t = {k: np.concatenate([b[k] for b in blobs]) for k in ("doc", "text", "start", "size", "data")}
-        data, length = t.pop("data"), t["size"] - 1 + rule.width
-        hit = np.flatnonzero(rule.match(data, length, t["doc"]))
-        context = np.repeat(np.arange(len(length)), length)[hit]
-        inside = hit - (np.cumsum(length) - length)[context]
-        found = {
-            "doc": t["doc"][context], "text": t["text"][context], "start": t["start"][context] + inside,
-            "size": np.ones(len(hit), np.int64),
-        }
-        return _rows(_spans(found, rule.width, parts))
+    def shards(blobs: list[dict]) -> Iterator[pa.RecordBatch]:
+        all_ = {k: np.concatenate([b[k] for b in blobs]) for k in ("doc", "text", "start", "size", "shard", "data")}
+        blobs.clear()
+        data, length = all_.pop("data"), all_["size"] - 1 + rule.width
+        begin = np.cumsum(length) - length
+        for _, r in _by_part(all_["shard"]):
+            t, size = _take(all_, r), length[r]
+            hit = np.flatnonzero(rule.match(data[_stretch(begin[r], size)], size, t["doc"]))
+            context = np.repeat(np.arange(len(size)), size)[hit]
+            inside = hit - (np.cumsum(size) - size)[context]
+            found = {
+                "doc": t["doc"][context], "text": t["text"][context], "start": t["start"][context] + inside,
+                "size": np.ones(len(hit), np.int64),
+            }
+            yield _rows(_spans(found, rule.width, parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by part; each part is a shard of its own."""
+        """Rows come sorted by part."""
         now, held = None, []
         for batch in batches:
             for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob").to_pylist()):
                 if part != now and held:
-                    yield shard(held)
+                    yield from shards(held)
                     held = []
                 now = part
                 held.append(_unpack(blob))
         if held:
-            yield shard(held)
+            yield from shards(held)
 
     return run
 
