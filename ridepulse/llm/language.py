@@ -102,11 +102,14 @@ class Models:
             if not symbols:
                 continue
             go = _automaton(symbols)
-            root = np.array([~(go[0].get(c, 0) * width) for c in range(width)], np.int32)
-            table = np.tile(root, (len(go), 1))
+            # a symbol that the sample lacks is a phrase of its own: the last row is the state after one
+            alone = len(go)
+            start = np.array([go[0].get(c, alone) * width for c in range(width)], np.int32)
+            table = np.tile(~start, (alone + 1, 1))
+            table[0] = start
             for s, edges in enumerate(go):
                 table[s, list(edges)] = [t * width for t in edges.values()]
-            table[:, pad] = np.arange(len(go)) * width
+            table[:, pad] = np.arange(alone + 1) * width
             models.append(Model(lang, len(symbols), table.ravel()))
         return cls(classes, pad, models)
 

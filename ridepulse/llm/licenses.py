@@ -82,19 +82,19 @@ def _normal(sentence: Column) -> Column:
 
 
 def _identifiers(sentences: Column) -> Column:
-    """The sequence of known sentences as ``,A,B,`` (a lone comma if there are none)."""
+    """The sequence of known sentences as ``,A,,B,``."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     ids = F.filter(F.transform(sentences, lambda s: F.try_element_at(known, _normal(s))), lambda i: i.isNotNull())
-    return F.concat(F.lit(","), F.array_join(F.transform(ids, lambda i: F.concat(i, F.lit(","))), ""))
+    return F.array_join(F.transform(ids, lambda i: F.concat(F.lit(","), i, F.lit(","))), "")
 
 
 def _matched(sequence: Column) -> tuple[Column, Column]:
     """(licences in rule order, what no rule took)."""
     found = []
     for name, ids in RULES:
-        run = "," + ",".join(ids) + ","
+        run = "".join(f",{i}," for i in ids)
         found.append(F.when(F.contains(sequence, F.lit(run)), F.lit(name)))
-        sequence = F.replace(sequence, F.lit(run), F.lit(","))
+        sequence = F.replace(sequence, F.lit(run), F.lit(""))
     return F.array_distinct(F.array_compact(F.array(*found))), sequence
 
 
@@ -119,7 +119,7 @@ def scan(docs: DataFrame) -> DataFrame:
     both = F.array_union(by_line, by_flow)
     order = list(dict.fromkeys(name for name, _ in RULES))
     names = F.concat_ws(",", *[F.when(F.array_contains(both, n), F.lit(n)) for n in order])
-    trim = lambda c: F.trim(c, F.lit(","))
+    trim = lambda c: F.trim(F.replace(c, F.lit(",,"), F.lit(",")), F.lit(","))
     return rows.select(
         "doc_id",
         F.concat_ws("|", trim(F.col("_lines")), trim(F.col("_flow"))).alias("sentences"),

@@ -28,7 +28,7 @@ from ridepulse.llm.common import slices, stored
 # Fixed value: how byte-level BPE vocabularies of this family split a text before merging.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 # Encoded pieces kept by one Python worker.
-_CACHE_PIECES = 800_000
+_CACHE_PIECES = 400_000
 
 
 def _latin_classes() -> dict[str, str]:

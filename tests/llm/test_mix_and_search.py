@@ -1,0 +1,114 @@
+"""Mixing, top-k search, and the pipeline."""
+
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import numpy as np
+import pyarrow.parquet as pq
+
+from ridepulse.llm import catalog, hamming_search, mixing, stages
+from tests.conftest import SF_SMALL
+
+
+def brute_targets(sizes):
+    """Shares by weight, stopped at three times the size, the excess shared again until none is above."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    total, stopped = sum(sizes.values()), {}
+    while True:
+        left, free = total - sum(stopped.values()), [s for s in order if s not in stopped]
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s: 3 * sizes[s] for s in free if share[s] >= 3 * sizes[s]}
+        if not over:
+            return stopped | share
+        stopped |= over
+
+
+def check_mix(rows, got):
+    sizes = Counter()
+    for _, text, _, source in rows:
+        sizes[source] += len((text or "").encode().split())
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    targets, taken = brute_targets(dict(sizes)), Counter()
+    for r in got:
+        assert r.source_size == sizes[r.source] and abs(r.target - targets[r.source]) < 1e-6 * max(1, r.target)
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+    for s, t in targets.items():
+        assert abs(taken[s] - t) <= 0.02 * t + 4 * mixing.BLOCK_WORDS, (s, taken[s], t)
+
+
+def test_mixing(spark, make_docs):
+    t = pq.read_table(f"{SF_SMALL}/documents.parquet").to_pydict()
+    rows = list(zip(t["doc_id"], t["text"], t["lang"], t["source"]))
+    check_mix(rows, catalog.op7_mixing(spark, SF_SMALL).collect())
+    odd = [(i, "w " * (i % 50), None, ["a", "b", None, "é"][i % 4]) for i in range(400)]
+    odd += [(None, "x " * 30_000, None, "hot"), (None, None, None, "blank"), (3, "", None, "blank"), (5, "one", None, "tiny")] + [(9, "same words", None, "a")] * 5
+    docs = make_docs(odd)
+    first = mixing.mix(docs).collect()
+    check_mix(odd, first)
+    again = mixing.mix(docs.repartition(7)).collect()
+    assert sorted(map(tuple, first), key=str) == sorted(map(tuple, again), key=str)
+    assert mixing.mix(make_docs([])).collect() == []
+
+
+def brute_top(rows, k):
+    codes = sorted({(i, sum(1 << b for b, x in enumerate(e[:64]) if x is not None and x > 0)) for i, e in rows if i is not None and e})
+    out = []
+    for q, c in codes:
+        if q % 20 == 0:
+            near = sorted(((c ^ d).bit_count(), i) for i, d in codes if i != q)[:k]
+            out += [(q, n + 1, i, d) for n, (d, i) in enumerate(near)]
+    return sorted(out)
+
+
+def test_top_k(spark):
+    t = pq.read_table(f"{SF_SMALL}/embeddings.parquet").to_pydict()
+    got = sorted(map(tuple, catalog.op9_top_k_search(spark, SF_SMALL).collect()))
+    assert got == brute_top(list(zip(t["vec_id"], t["embedding"])), 10)
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(90)] + [(20, None), (40, []), (None, [1.0]), (60, [1.0, None, -1.0]), (100, [0.0] * 64)]
+    rows += [rows[3], rows[3]] + [(200 + i, rows[0][1]) for i in range(30)]
+    df = spark.createDataFrame([(*r, "c") for r in rows], "vec_id long, embedding array<double>, code string")
+    import pyspark.sql.functions as F
+
+    got = hamming_search.top_k(df, F.col("vec_id") % 20 == 0, k=12)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, 12)
+    assert hamming_search.top_k(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_pipeline(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    comp = {r.doc_id: r.component_id for r in catalog.op1_simhash_near_dedup(spark, SF_SMALL).collect()}
+    leaks = {r.doc_id for r in catalog.op10_decontaminate(spark, SF_SMALL).collect()}
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    names = df.columns
+    kept = stages.language_id(spark, df, SF_SMALL)
+    assert kept.columns == names and {r.doc_id for r in kept.collect()} == set(docs)
+    one = stages.near_dedup(spark, kept, SF_SMALL)
+    assert one.columns == names and sorted(r.doc_id for r in one.collect()) == sorted({c for c in comp.values()})
+    clean = stages.decontamination(spark, one, SF_SMALL)
+    left = {r.doc_id for r in clean.collect()}
+    assert clean.columns == names and left == set(comp.values()) - leaks
+    mixed = stages.mix(spark, clean, SF_SMALL)
+    times = Counter(r.doc_id for r in mixed.collect())
+    assert mixed.columns == names and set(times) <= left and max(times.values()) <= 3
+    sizes = defaultdict(int)
+    for d in left:
+        sizes[docs[d].source] += len(docs[d].text.encode().split())
+    words = Counter()
+    for d, n in times.items():
+        words[docs[d].source] += n * len(docs[d].text.encode().split())
+    total = sum(sizes.values())
+    assert abs(sum(words.values()) - total) < 0.25 * total
+    out = corpus_pipeline.run(spark, SF_SMALL).collect()
+    assert Counter(r.doc_id for r in out) == times
+
+
+def test_pipeline_stages_take_odd_rows(spark, make_docs):
+    rows = [(1, "some words of text here now", "en", "a"), (1, "some words of text here now", "en", "a"), (None, "other words", None, None), (2, None, "en", "a"), (3, "", None, None), (4, "w " * 20_000, "en", "b")]
+    for name, stage in stages.STAGES:
+        assert stage(spark, make_docs(rows), SF_SMALL).count() > 0, name
+        assert stage(spark, make_docs([]), SF_SMALL).count() == 0, name
