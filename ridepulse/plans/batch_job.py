@@ -38,13 +38,24 @@ def load_trips(
     table: str | None = None,
     sources: list[str] | None = None,
     months: tuple[str, str] | None = None,
+    allow_rejected: bool = False,
+    rejected: list | None = None,
 ) -> DataFrame:
     """Canonical trips from a stored trip table (pruned by source / month), raw
-    feed files, or the generated tables."""
+    feed files, or the generated tables.
+
+    Raw files that cannot be used fail the load, unless ``allow_rejected``;
+    then they are appended to ``rejected`` with their reasons."""
     if table:
         return read_trip_table(spark, table, sources, months).drop(MONTH_COL)
     if raw:
-        trips = scan_feeds(spark, raw).trips
+        scan = scan_feeds(spark, raw)
+        unused = [(r.path, r.reason) for r in scan.rejected.collect()]
+        if unused and not allow_rejected:
+            raise ValueError(f"{len(unused)} raw files cannot be used (allow_rejected loads the others): {unused[:20]}")
+        if rejected is not None:
+            rejected += unused
+        trips = scan.trips
     elif sf_dir:
         trips = normalize.trips_batch(testdata.raw_metered(spark, sf_dir), testdata.raw_dispatch(spark, sf_dir))
     else:
@@ -75,12 +86,15 @@ def run(
     sources: list[str] | None = None,
     months: tuple[str, str] | None = None,
     formats: tuple[str, ...] = ("csv", "parquet"),
+    allow_rejected: bool = False,
 ) -> dict:
     """Write every result under ``out_dir/<format>/<name>`` (CSV with a header
     for people, Parquet beside it for further processing)."""
     prepare(spark)
     t0 = time.time()
-    sets, results = batch_results(load_trips(spark, raw, sf_dir, table, sources, months))
+    rejected: list = []
+    trips = load_trips(spark, raw, sf_dir, table, sources, months, allow_rejected, rejected)
+    sets, results = batch_results(trips)
     timings = {}
     try:
         t = time.time()
@@ -97,7 +111,7 @@ def run(
                 df.show(show, truncate=False)
     finally:
         sets.unpersist()
-    return {"seconds": round(time.time() - t0, 3), "per_result": timings}
+    return {"seconds": round(time.time() - t0, 3), "per_result": timings, "rejected": rejected}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -111,19 +125,21 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out")
     ap.add_argument("--show", type=int, default=0, help="print the first N rows of each result")
     ap.add_argument("--formats", default="csv,parquet", help="comma-separated result formats")
+    ap.add_argument("--allow-rejected", action="store_true", help="go on without raw files that cannot be used; the report names them")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-batch")
     months = tuple(args.months.split(":", 1)) if args.months else None
     if args.write_table:
-        trips = load_trips(spark, args.raw, args.sf_dir)
+        rejected: list = []
+        trips = load_trips(spark, args.raw, args.sf_dir, allow_rejected=args.allow_rejected, rejected=rejected)
         write_trip_table(trips, args.write_table, num_partitions=suggest_partitions(trips))
-        print(json.dumps({"table": args.write_table}))
+        print(json.dumps({"table": args.write_table, "rejected": rejected}))
         return
     if not args.out:
         ap.error("--out is required")
     formats = tuple(f for f in args.formats.split(",") if f)
-    report = run(spark, args.out, args.raw, args.sf_dir, args.show, args.table, args.sources, months, formats)
+    report = run(spark, args.out, args.raw, args.sf_dir, args.show, args.table, args.sources, months, formats, args.allow_rejected)
     print(json.dumps(report))
 
 

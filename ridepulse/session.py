@@ -79,6 +79,8 @@ def work_root(spark: SparkSession) -> str:
     if not conf_dir and sc is not None:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc is not None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ridepulse-ckpt-")
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", conf_dir)

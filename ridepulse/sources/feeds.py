@@ -97,7 +97,6 @@ def suggest_partitions(
     df: DataFrame,
     target_bytes: int = 256 * 1024 * 1024,
     expansion: float = 3.0,
-    max_partitions: int = 200_000,
 ) -> int | None:
     """Partitions for a shuffle that moves whole rows of ``df`` (a global sort,
     a partitioned table write): about ``target_bytes`` of decompressed rows each.
@@ -109,7 +108,7 @@ def suggest_partitions(
     if not files:
         return None
     total = file_inventory(df.sparkSession, files).agg(F.sum("bytes")).first()[0] or 0
-    return max(1, min(max_partitions, math.ceil(total * expansion / target_bytes)))
+    return max(1, math.ceil(total * expansion / target_bytes))
 
 
 def _file_schema(spark: SparkSession, path: str) -> tuple[str, StructType | None, str | None]:

@@ -62,18 +62,13 @@ class StartedQueries:
 # Partitions of the state of queries whose key domain is small and fixed (a few
 # payment codes; calendar days). The number is fixed when a query's checkpoint
 # is created; zone demand, whose state grows with the data, takes the
-# session's spark.sql.shuffle.partitions, capped at the cluster's task slots.
+# session's spark.sql.shuffle.partitions.
 STATE_PARTITIONS = {"daily_stats": 4, "payment_analysis": 1}
 
 
-def default_state_partitions(spark) -> int | None:
-    """Session shuffle partitions, but never more than the task slots of the cluster."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        slots = spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: leave the session's value
-        return None
-    return min(n, max(1, slots))
+def default_state_partitions(spark) -> int:
+    """The session's shuffle partitions: a checkpoint keeps the number, however many slots the cluster has at its start."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 @contextmanager

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ridepulse.operators import replay, running
 from ridepulse.operators.clean import clean_stream
+import pytest
+from ridepulse.sources import testdata
 from ridepulse.plans import batch_job, catalog
 from ridepulse.schema import TRIP_COLUMNS
 from ridepulse.sources.results import read_result_csv
@@ -178,3 +180,14 @@ def test_stream_job_windowed_daily_stats(spark, tmp_dir):
 
     got = read_latest(spark, f"{work}/daily_stats/output", ["trip_date"])
     assert as_set(got) == as_set(_running.daily_stats(_clean_stream(trips)))
+
+
+def test_batch_job_fails_on_files_it_cannot_use(spark, tmp_dir):
+    spark.range(3).write.parquet(f"{tmp_dir}/raw/odd")
+    normal = f"{tmp_dir}/raw/yellow"
+    testdata.raw_metered(spark, SF_SMALL).write.parquet(normal)
+    paths = [normal, f"{tmp_dir}/raw/odd"]
+    with pytest.raises(ValueError, match="odd"):
+        batch_job.run(spark, f"{tmp_dir}/out", raw=paths)
+    report = batch_job.run(spark, f"{tmp_dir}/out", raw=paths, allow_rejected=True)
+    assert report["rejected"] and all("odd" in path for path, _ in report["rejected"])
