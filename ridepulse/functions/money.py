@@ -1,14 +1,14 @@
-"""Money aggregates that give the same value whatever the row order.
-
-Money columns are DOUBLE in the trip table (as the feeds deliver them) but are
-summed as whole cents (BIGINT): an integer sum is exact, so partial
-aggregates merged in any order give one result, on one executor or a
-thousand. The conversion is ``floor(x * 100 + 0.5)``, primitive arithmetic
-inside whole-stage codegen (a per-row DECIMAL cast builds a BigDecimal per
-value and was the hottest expression of every summary). Values outside the
-DECIMAL(12,2) range, NaN and infinities count as NULL. The same holds for
-any quantity recorded in hundredths (distances in miles), so distance sums
-and averages use this path too.
+"""Sums and averages of money and distances that lose no value.
+
+Measures are DOUBLE in the trip table (as the feeds deliver them). A plain sum
+of doubles depends on the order in which partial aggregates are merged, so
+each value is split in two parts that are summed apart: its whole cents
+(BIGINT, exact in any order) and the rest (DOUBLE; what is finer than a cent,
+and the whole of a value too large for the cents, of NaN and of infinities).
+The two sums together are the plain sum: no value is cut or rounded. For
+values recorded in hundredths the rest is 0 and the result is exact, on one
+executor or a thousand. The split is primitive arithmetic inside whole-stage
+codegen.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Largest magnitude kept (the range of DECIMAL(12,2)).
-_MAX_ABS = 1e10
+# Values below this are split into cents and rest; 9e10 rows of it still fit a BIGINT sum.
+_SPLIT_BELOW = 1e6
 
 
 def _c(col: str | Column) -> Column:
@@ -25,34 +25,45 @@ def _c(col: str | Column) -> Column:
 
 
 def cents(col: str | Column) -> Column:
-    """Whole cents of a money value, rounded half up; NULL when not a finite value in range."""
+    """Whole cents of a value, rounded half up; 0 when the value is all rest, NULL when it is NULL."""
     c = _c(col).cast("double")
-    return F.when(F.abs(c) < F.lit(_MAX_ABS), F.floor(c * 100 + 0.5))
+    whole = F.when(F.abs(c) < F.lit(_SPLIT_BELOW), F.floor(c * 100 + 0.5))
+    return whole.when(c.isNotNull(), F.lit(0).cast("bigint"))
+
+
+def rest(col: str | Column) -> Column:
+    """What ``cents`` leaves of a value, as DOUBLE."""
+    return _c(col).cast("double") - cents(col) / 100
+
+
+def join_parts(cents_sum: Column, rest_sum: Column) -> Column:
+    """The sum whose two parts were added up apart."""
+    return cents_sum / 100 + rest_sum
 
 
 def money_sum(col: str | Column) -> Column:
-    """Exact sum of a money column, returned as DOUBLE."""
-    return F.sum(cents(col)) / 100
+    """Sum of a column, as DOUBLE."""
+    return join_parts(F.sum(cents(col)), F.sum(rest(col)))
 
 
 def money_avg(col: str | Column) -> Column:
-    """Average of a money column: exact sum over the non-NULL count, as DOUBLE."""
-    c = cents(col)
-    return F.sum(c) / 100 / F.count(c)
+    """Sum over the non-NULL count, as DOUBLE."""
+    return money_sum(col) / F.nullif(F.count(_c(col)), F.lit(0))
 
 
 def money_avg_r2(col: str | Column) -> Column:
-    """Average rounded half up (away from zero) to cents, from the exact sum.
+    """Average rounded half up (away from zero) to cents.
 
-    The one decimal division happens per group, after the aggregate; with the
-    sum as DECIMAL(20,0) Spark keeps 18 fraction digits, so the rounding to
-    cents is exact for any realistic count.
+    Without a rest the one decimal division happens per group, after the
+    aggregate; with the sum as DECIMAL(20,0) Spark keeps 18 fraction digits, so
+    the rounding is exact for any realistic count. Otherwise the DOUBLE average
+    is rounded.
     """
-    c = cents(col)
-    avg_cents = F.round(F.sum(c).cast("decimal(20,0)") / F.nullif(F.count(c), F.lit(0)), 0)
-    return avg_cents.cast("double") / 100
+    whole, n = F.sum(cents(col)), F.nullif(F.count(_c(col)), F.lit(0))
+    exact = F.round(whole.cast("decimal(20,0)") / n, 0).cast("double") / 100
+    return F.when(F.sum(rest(col)) == 0, exact).otherwise(F.round(money_avg(col), 2))
 
 
 def money_sum_r2(col: str | Column) -> Column:
-    """Sum rounded to cents (already exact at cents), as DOUBLE."""
-    return money_sum(col)
+    """Sum rounded to cents, as DOUBLE."""
+    return F.round(money_sum(col), 2)

@@ -27,6 +27,14 @@ def month_key(ts: str | Column = "pickup_datetime") -> Column:
     return F.date_format(_c(ts), MONTH_FORMAT)
 
 
+def in_months(ts: str | Column, first: str, last: str) -> Column:
+    """Time within an inclusive range of ``yyyy-MM`` months, as bounds on the time
+    itself, which reach the scan as pushed filters."""
+    start = F.to_timestamp(F.lit(f"{first}-01"))
+    end = F.to_timestamp(F.add_months(F.lit(f"{last}-01").cast("date"), 1))
+    return (_c(ts) >= start) & (_c(ts) < end)
+
+
 def date_key(ts: str | Column = "pickup_datetime") -> Column:
     """``yyyy-MM-dd`` text; group on ``calendar_date`` and format the aggregated rows."""
     return F.date_format(_c(ts), DATE_FORMAT)

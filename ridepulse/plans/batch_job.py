@@ -21,7 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.functions.timekeys import month_key
+from ridepulse.functions.timekeys import in_months
 from ridepulse.operators import normalize
 from ridepulse.plans import one_pass
 from ridepulse.session import build_session, prepare
@@ -63,8 +63,7 @@ def load_trips(
     if sources:
         trips = trips.filter(F.col("source").isin(list(sources)))
     if months:
-        m = month_key("pickup_datetime")
-        trips = trips.filter((m >= months[0]) & (m <= months[1]))
+        trips = trips.filter(in_months("pickup_datetime", *months))
     return trips
 
 

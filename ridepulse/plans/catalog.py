@@ -137,7 +137,7 @@ def replay_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream(kind: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
-        out, _ = run_to_end(spark, testdata_trip_stream(spark, sf_dir), kind)
+        out, _ = run_to_end(spark, testdata_trip_stream(spark, sf_dir), kind, lateness=None)
         return out
 
     run.__name__ = f"stream_{kind}"

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridepulse.functions.categories import fare_bucket_ord
-from ridepulse.functions.money import cents
+from ridepulse.functions.money import cents, join_parts, rest
 from ridepulse.functions.timekeys import (
     day_of_week,
     duration_seconds,
@@ -48,6 +48,8 @@ from ridepulse.schema import FARE_BUCKET_LABELS, MONEY_COLUMNS, TRIP_COLUMNS
 # Grouping columns, in the order given to groupingSets, and the three sets.
 FINE = ["_month", "_dow", "_hour", "source", "_bucket"]
 KEYS = FINE + ["PULocationID", "payment_type"]
+# Summed measures and their columns.
+MEASURES = {"_fare": "fare_amount", "_tip": "tip_amount", "_total": "total_amount", "_dist": "trip_distance"}
 SETS = {"fine": FINE, "zone": ["PULocationID"], "payment": ["payment_type"]}
 
 
@@ -64,8 +66,6 @@ def summary_sets(trips: DataFrame) -> DataFrame:
     valid = ok[0]
     for p in ok[1:]:
         valid = valid & p
-    fare = cents("fare_amount")
-    tip = cents("tip_amount")
     secs = duration_seconds()
 
     def when_valid(c: Column) -> Column:
@@ -83,10 +83,8 @@ def summary_sets(trips: DataFrame) -> DataFrame:
         *[F.col(c).isNotNull().alias(f"_nn_{c}") for c in TRIP_COLUMNS],
         F.col("pickup_datetime").alias("_pickup"),
         fare_bucket_ord("fare_amount").alias("_bucket"),
-        fare.alias("_fare"),
-        tip.alias("_tip"),
-        cents("total_amount").alias("_total"),
-        cents("trip_distance").alias("_dist"),
+        *[cents(c).alias(m) for m, c in MEASURES.items()],
+        *[rest(c).alias(f"{m}_rest") for m, c in MEASURES.items()],
         secs.alias("_secs"),
     )
     v = F.col("_valid")
@@ -94,37 +92,35 @@ def summary_sets(trips: DataFrame) -> DataFrame:
         F.grouping_id().alias("_gid"),
         F.count(F.lit(1)).alias("_rows"),
         F.count_if(v).alias("_n"),
-        F.sum(when_valid(F.col("_fare"))).alias("_fare_sum"),
-        F.count(when_valid(F.col("_fare"))).alias("_fare_n"),
-        F.sum(when_valid(F.col("_tip"))).alias("_tip_sum"),
-        F.count(when_valid(F.col("_tip"))).alias("_tip_n"),
-        F.sum(when_valid(F.col("_dist"))).alias("_dist_sum"),
-        F.count(when_valid(F.col("_dist"))).alias("_dist_n"),
         F.sum(when_valid(F.col("_secs"))).alias("_secs_sum"),
         F.count(when_valid(F.col("_secs"))).alias("_secs_n"),
-        F.sum("_fare").alias("_rfare_sum"),
-        F.count("_fare").alias("_rfare_n"),
-        F.sum("_tip").alias("_rtip_sum"),
-        F.count("_tip").alias("_rtip_n"),
-        F.sum("_total").alias("_rtotal_sum"),
-        F.sum("_dist").alias("_rdist_sum"),
         F.min("_pickup").alias("_min_pickup"),
         F.max("_pickup").alias("_max_pickup"),
     ]
+    for m in MEASURES:  # cleaned rows, then (prefix _r) all rows
+        for prefix, c, r in (
+            (m, when_valid(F.col(m)), when_valid(F.col(f"{m}_rest"))),
+            (f"_r{m[1:]}", F.col(m), F.col(f"{m}_rest")),
+        ):
+            aggs += [F.sum(c).alias(f"{prefix}_sum"), F.sum(r).alias(f"{prefix}_rest"), F.count(c).alias(f"{prefix}_n")]
     aggs += [F.count_if(F.col(f"_fail_{k}")).alias(f"_fail_{k}") for k in rules]
     aggs += [F.count_if(F.col(f"_nn_{c}")).alias(f"_nn_{c}") for c in TRIP_COLUMNS]
     return keyed.groupingSets(list(SETS.values()), *KEYS).agg(*aggs)
 
 
-_RAW_MONEY_SUMS = {"fare_amount": "_rfare_sum", "tip_amount": "_rtip_sum", "total_amount": "_rtotal_sum"}
+_RAW_MONEY = {"fare_amount": "_rfare", "tip_amount": "_rtip", "total_amount": "_rtotal"}
 
 
 def _rows(sets: DataFrame, name: str) -> DataFrame:
     return sets.filter(F.col("_gid") == _gid(name))
 
 
-def _avg_money(s: str, n: str) -> Column:
-    return F.col(s) / 100 / F.col(n)
+def _sum(measure: str) -> Column:
+    return join_parts(F.col(f"{measure}_sum"), F.col(f"{measure}_rest"))
+
+
+def _avg(measure: str) -> Column:
+    return _sum(measure) / F.nullif(F.col(f"{measure}_n"), F.lit(0))
 
 
 def _rollup(fine: DataFrame, key: str) -> DataFrame:
@@ -140,12 +136,12 @@ def _rollup(fine: DataFrame, key: str) -> DataFrame:
 def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
     """Every batch result, read off the grouping-sets aggregate (cache it first)."""
     fine = _rows(sets, "fine")
-    dist = _avg_money("_dist_sum", "_dist_n")
+    dist = _avg("_dist")
     out: dict[str, DataFrame] = {}
     peak = _rollup(fine, "_hour").filter(F.col("_n") > 0).select(
         F.col("_hour").alias("hour"),
         F.col("_n").alias("total_trips"),
-        _avg_money("_fare_sum", "_fare_n").alias("avg_fare"),
+        _avg("_fare").alias("avg_fare"),
         dist.alias("avg_distance"),
     )
     out["peak_hours"] = sort_small(peak, "hour")
@@ -153,14 +149,14 @@ def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
         F.col("_dow").alias("day_of_week"),
         weekday_name("_dow").alias("day_name"),
         F.col("_n").alias("total_trips"),
-        _avg_money("_fare_sum", "_fare_n").alias("avg_fare"),
-        _avg_money("_tip_sum", "_tip_n").alias("avg_tip"),
+        _avg("_fare").alias("avg_fare"),
+        _avg("_tip").alias("avg_tip"),
     )
     out["daily_patterns"] = sort_small(daily, "day_of_week")
     monthly = sort_small(_rollup(fine, "_month").filter(F.col("_n") > 0), "_month").select(
         month_key("_month").alias("month"),
         F.col("_n").alias("total_trips"),
-        (F.col("_fare_sum") / 100).alias("total_revenue"),
+        _sum("_fare").alias("total_revenue"),
         dist.alias("avg_distance"),
         (F.col("_secs_sum").cast("double") / (F.col("_secs_n") * 60)).alias("avg_duration"),
     )
@@ -170,10 +166,10 @@ def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
     out["source_comparison"] = src.filter(F.col("_n") > 0).select(
         "source",
         F.col("_n").alias("total_trips"),
-        _avg_money("_fare_sum", "_fare_n").alias("avg_fare"),
-        _avg_money("_tip_sum", "_tip_n").alias("avg_tip"),
+        _avg("_fare").alias("avg_fare"),
+        _avg("_tip").alias("avg_tip"),
         dist.alias("avg_distance"),
-        (F.col("_fare_sum") / 100).alias("total_revenue"),
+        _sum("_fare").alias("total_revenue"),
     )
     rules = list(batch_rules())
     out["clean_audit"] = src.select(
@@ -189,13 +185,13 @@ def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
         *[F.col(f"_nn_{c}").alias(f"nonnull_{c}") for c in TRIP_COLUMNS],
         F.col("_min_pickup").alias("min_pickup"),
         F.col("_max_pickup").alias("max_pickup"),
-        (F.col("_rdist_sum") / 100).alias("sum_distance"),
-        *[(F.col(_RAW_MONEY_SUMS[c]) / 100).alias(f"sum_{c}") for c in MONEY_COLUMNS],
+        _sum("_rdist").alias("sum_distance"),
+        *[_sum(_RAW_MONEY[c]).alias(f"sum_{c}") for c in MONEY_COLUMNS],
     )
     zones = _rows(sets, "zone").filter(F.col("PULocationID").isNotNull()).select(
         "PULocationID",
         F.col("_rows").alias("total_pickups"),
-        _avg_money("_rfare_sum", "_rfare_n").alias("avg_fare"),
+        _avg("_rfare").alias("avg_fare"),
     )
     out["popular_pickup_zones"] = zones
     out["top_pickup_zones"] = top_pickup_zones(zones)
@@ -216,7 +212,7 @@ def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
     payments = _rows(sets, "payment").filter(F.col("payment_type").isNotNull()).select(
         "payment_type",
         F.col("_rows").alias("total_trips"),
-        _avg_money("_rtip_sum", "_rtip_n").alias("avg_tip"),
+        _avg("_rtip").alias("avg_tip"),
     )
     labelled = payment_labels(payments)
     out["payment_types"] = payments

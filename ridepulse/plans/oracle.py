@@ -1,8 +1,8 @@
 """Independent SQL (DuckDB dialect) for each registered query.
 
-Written from the definitions, not generated from the Spark plans. Money is
-summed as DECIMAL(12,2); averages rounded to cents use integer half-up
-arithmetic on the exact sum, which is what Spark's decimal ``round`` does.
+Written from the definitions, not generated from the Spark plans. Money and
+distances are summed as whole millionths; averages rounded to cents use integer
+half-up arithmetic on that sum.
 """
 
 from __future__ import annotations
@@ -10,20 +10,21 @@ from __future__ import annotations
 DEC = "DECIMAL(12,2)"
 
 
+def _micro_sum(col: str) -> str:
+    return f"sum(CAST(round({col} * 1000000) AS HUGEINT))"
+
+
 def _cents_avg_r2(col: str) -> str:
-    m = f"CAST({col} AS {DEC})"
-    return (
-        f"CAST((2 * CAST(sum({m}) * 100 AS BIGINT) + count({m})) // (2 * count({m})) AS DOUBLE) / 100"
-    )
+    n = f"(10000 * count({col}))"
+    return f"CAST((2 * {_micro_sum(col)} + {n}) // (2 * {n}) AS DOUBLE) / 100"
 
 
 def _money_sum(col: str) -> str:
-    return f"CAST(sum(CAST({col} AS {DEC})) AS DOUBLE)"
+    return f"CAST({_micro_sum(col)} AS DOUBLE) / 1000000"
 
 
 def _money_avg(col: str) -> str:
-    m = f"CAST({col} AS {DEC})"
-    return f"CAST(sum({m}) AS DOUBLE) / count({m})"
+    return f"{_money_sum(col)} / count({col})"
 
 
 _SECS = "(epoch_us(dropoff_datetime) // 1000000 - epoch_us(pickup_datetime) // 1000000)"
@@ -73,7 +74,7 @@ _METERED_CANON = """
          CAST(total_amount AS DOUBLE) AS total_amount"""
 
 _TRIPS = f"""{_RAW},
-trips_metered AS ({_METERED_CANON}, 'metered' AS source
+trips_metered AS ({_METERED_CANON}, 'yellow_taxi' AS source
   FROM metered_raw
 ),
 trips_dispatch AS (
@@ -87,7 +88,7 @@ trips_dispatch AS (
          CAST(base_passenger_fare AS DOUBLE) AS fare_amount,
          CAST(tips AS DOUBLE) AS tip_amount,
          CAST(driver_pay AS DOUBLE) AS total_amount,
-         'dispatch' AS source
+         'hvfhv' AS source
   FROM dispatch_raw
 ),
 trips_union AS (

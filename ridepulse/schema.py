@@ -10,6 +10,10 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# ---------------------------------------------------------------------------
+# Fixed values that must equal the reference's for the same results.
+# ---------------------------------------------------------------------------
+
 # Canonical column order (the stream schema declares the same ten columns in this order).
 TRIP_COLUMNS = [
     "pickup_datetime",
@@ -42,10 +46,6 @@ TRIPS = StructType([StructField(c, TRIP_TYPES[c], True) for c in TRIP_COLUMNS])
 
 MONEY_COLUMNS = ("fare_amount", "tip_amount", "total_amount")
 
-# ---------------------------------------------------------------------------
-# Fixed values that must equal the reference's for the same results.
-# ---------------------------------------------------------------------------
-
 # Fare buckets: right-closed bins (0,10] (10,20] (20,30] (30,50] (50,100] (100,999999].
 FARE_BUCKET_EDGES = [0, 10, 20, 30, 50, 100, 999999]
 FARE_BUCKET_LABELS = ["Under $10", "$10-$20", "$20-$30", "$30-$50", "$50-$100", "$100+"]
@@ -68,16 +68,18 @@ MONTH_FORMAT = "yyyy-MM"
 DATE_FORMAT = "yyyy-MM-dd"
 WEEKDAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 
-# Streaming defaults: zone window and lateness, live trigger intervals, replay file size and seed.
+# Streaming defaults: zone window and lateness, live trigger intervals, replay file size and seed,
+# files taken per micro-batch.
 ZONE_WINDOW = "1 hour"
 ZONE_LATENESS = "10 minutes"
 TRIGGERS = {"zone_demand": "10 seconds", "daily_stats": "15 seconds", "payment_analysis": "20 seconds"}
 REPLAY_ROWS_PER_FILE = 5000
 REPLAY_SEED = 42
+MAX_FILES_PER_TRIGGER = 2
 
-# Feed names and the raw column that identifies each feed, checked in this order.
-METERED = "metered"
-DISPATCH = "dispatch"
+# Feed names (the values of ``source``) and the raw column that identifies each feed, checked in this order.
+METERED = "yellow_taxi"
+DISPATCH = "hvfhv"
 FEED_MARKERS = [("tpep_pickup_datetime", METERED), ("pickup_datetime", DISPATCH)]
 
 # Canonical column <- raw column of each feed in the batch job (None: typed NULL).

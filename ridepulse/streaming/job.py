@@ -17,7 +17,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from ridepulse.schema import TRIGGERS, ZONE_LATENESS
+from ridepulse.schema import MAX_FILES_PER_TRIGGER, TRIGGERS, ZONE_LATENESS
 from ridepulse.session import build_session, new_work_dir, prepare
 from ridepulse.streaming import queries as sq
 from ridepulse.streaming.runs import ZONE_KEYS
@@ -38,7 +38,7 @@ def start_all(
     work_dir: str,
     fmt: str = "parquet",
     available_now: bool = False,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
     lateness: str = ZONE_LATENESS,
     max_bytes_per_trigger: int | None = None,
     state_partitions: int | None = None,
@@ -86,7 +86,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--work", default=None)
     ap.add_argument("--available-now", action="store_true")
-    ap.add_argument("--max-files-per-trigger", type=int, default=None)
+    ap.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES_PER_TRIGGER)
     ap.add_argument("--max-bytes-per-trigger", type=int, default=None,
                     help="bound on input bytes per micro-batch (takes a backlog in steps)")
     ap.add_argument("--lateness", default=ZONE_LATENESS)

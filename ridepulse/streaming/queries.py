@@ -109,14 +109,18 @@ def _start(
         return writer.start()
 
 
-def zone_demand_stream(trips: DataFrame, lateness: str = ZONE_LATENESS, window: str = ZONE_WINDOW) -> DataFrame:
-    """Watermarked hourly zone demand (update mode: changed groups per batch)."""
-    cleaned = clean_stream(trips).withWatermark("pickup_datetime", lateness)
+def zone_demand_stream(trips: DataFrame, lateness: str | None = ZONE_LATENESS, window: str = ZONE_WINDOW) -> DataFrame:
+    """Watermarked hourly zone demand (update mode: changed groups per batch).
+
+    ``lateness=None``: the trips already carry a watermark (one per feed)."""
+    cleaned = clean_stream(trips)
+    if lateness:
+        cleaned = cleaned.withWatermark("pickup_datetime", lateness)
     return running.zone_demand(cleaned, window)
 
 
 def start_zone_demand(
-    trips: DataFrame, paths: StreamPaths, trigger: Trigger, lateness: str = ZONE_LATENESS,
+    trips: DataFrame, paths: StreamPaths, trigger: Trigger, lateness: str | None = ZONE_LATENESS,
     name: str = "zone_demand", state_partitions: int | None = None, mode: str = "update",
     no_data_batches: bool = True,
 ) -> StreamingQuery:

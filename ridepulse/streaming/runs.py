@@ -14,6 +14,7 @@ from pyspark.sql.utils import AnalysisException
 from ridepulse.operators import running
 from ridepulse.operators.clean import clean_stream
 from ridepulse.operators.normalize import DISPATCH, METERED
+from ridepulse.schema import MAX_FILES_PER_TRIGGER, ZONE_LATENESS
 from ridepulse.session import new_work_dir
 from ridepulse.sources import testdata
 from ridepulse.streaming import queries as sq
@@ -23,8 +24,12 @@ from ridepulse.streaming.sources import feed_stream, trips_stream
 ZONE_KEYS = ["window_start", "window_end", "PULocationID"]
 
 
-def testdata_trip_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """One file stream per feed over the generated tables, normalised and combined."""
+def testdata_trip_stream(
+    spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+    lateness: str | None = ZONE_LATENESS,
+) -> DataFrame:
+    """One file stream per feed over the generated tables, normalised, each with its
+    own watermark, and combined."""
     ev = testdata.table(spark, sf_dir, "events").schema
     li = testdata.table(spark, sf_dir, "lineitem").schema
     metered = feed_stream(
@@ -35,14 +40,14 @@ def testdata_trip_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger
         spark, sf_dir, DISPATCH, li, glob="lineitem.parquet", bind=testdata.dispatch_from_lineitem,
         max_files_per_trigger=max_files_per_trigger,
     )
-    return trips_stream([metered, dispatch])
+    return trips_stream([metered, dispatch], lateness)
 
 
 # kind -> (start function, shape of its result, reader of its sink table)
 _KINDS = {
     "zone_demand": (
         sq.start_zone_demand,
-        lambda t: sq.zone_demand_stream(t),
+        lambda t: sq.zone_demand_stream(t, None),
         lambda spark, out: read_latest(spark, out, ZONE_KEYS),
     ),
     "daily_stats": (
@@ -59,16 +64,20 @@ _KINDS = {
 
 
 def run_to_end(
-    spark: SparkSession, trips: DataFrame, kind: str, work_dir: str | None = None, lateness: str | None = None
+    spark: SparkSession, trips: DataFrame, kind: str, work_dir: str | None = None,
+    lateness: str | None = ZONE_LATENESS,
 ) -> tuple[DataFrame, object]:
     """Start one of ``zone_demand`` / ``daily_stats`` / ``payment_analysis`` with
-    ``availableNow``, wait for it, and return (result table, finished query)."""
+    ``availableNow``, wait for it, and return (result table, finished query).
+
+    Zone demand sets a watermark of ``lateness``; ``None`` takes those that
+    ``trips`` carry (one per feed)."""
     if kind not in _KINDS:
         raise ValueError(f"unknown streaming aggregation {kind!r}")
     start, shape, reader = _KINDS[kind]
     work = work_dir or new_work_dir(spark, f"stream-{kind}")
     paths = sq.StreamPaths(checkpoint=f"{work}/checkpoint", output=f"{work}/output")
-    extra = {"lateness": lateness} if (lateness and kind == "zone_demand") else {}
+    extra = {"lateness": lateness} if kind == "zone_demand" else {}
     if kind == "zone_demand":
         extra["no_data_batches"] = False  # the run ends with its input: no eviction-only batch
     # A unique name: two runs of the same kind may be active in one session.

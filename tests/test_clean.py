@@ -13,7 +13,7 @@ T = BASE_PICKUP
 
 
 def _kept(spark, rows, fn):
-    return fn(trips_df(spark, rows, "metered")).count()
+    return fn(trips_df(spark, rows, "yellow_taxi")).count()
 
 
 @pytest.mark.parametrize(
@@ -40,7 +40,7 @@ def test_batch_cleaner_edges(spark, change, kept):
 
 
 def test_duration_column_is_double_minutes(spark):
-    out = clean(trips_df(spark, [trip()], "metered")).select("trip_duration_min").first()[0]
+    out = clean(trips_df(spark, [trip()], "yellow_taxi")).select("trip_duration_min").first()[0]
     assert out == 20.0
 
 
@@ -75,7 +75,7 @@ def test_clean_audit_counts_each_rule(spark):
         trip(trip_distance=0.0, fare_amount=600.0),
         trip(dropoff_datetime=None),
     ]
-    a = clean_audit(trips_df(spark, rows, "metered")).first().asDict()
+    a = clean_audit(trips_df(spark, rows, "yellow_taxi")).first().asDict()
     assert a["rows_before"] == 4
     assert a["rows_after"] == 1
     assert a["rows_removed"] == 3
@@ -92,7 +92,7 @@ def test_clean_audit_on_generated_tables(spark):
     from ridepulse.plans.catalog import clean_audit as q
 
     got = {r["source"]: r.asDict() for r in q(spark, SF_MID).collect()}
-    m, d = got["metered"], got["dispatch"]
+    m, d = got["yellow_taxi"], got["hvfhv"]
     assert (m["rows_before"], d["rows_before"]) == (10000, 60000)
     assert (m["rows_after"], d["rows_after"]) == (9479, 24899)
     assert m["fail_distance_positive"] == 93 and d["fail_distance_positive"] == 0

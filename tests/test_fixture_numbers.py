@@ -10,9 +10,9 @@ from ridepulse.plans import catalog
 
 def test_counts_per_feed_and_cleaning(spark):
     by_src = {r.source: r["count"] for r in catalog.trips_union(spark, SF_MID).groupBy("source").count().collect()}
-    assert by_src == {"metered": 10000, "dispatch": 60000}
+    assert by_src == {"yellow_taxi": 10000, "hvfhv": 60000}
     cleaned = {r.source: r["count"] for r in catalog.trips_clean(spark, SF_MID).groupBy("source").count().collect()}
-    assert cleaned == {"metered": 9479, "dispatch": 24899}
+    assert cleaned == {"yellow_taxi": 9479, "hvfhv": 24899}
     peak = catalog.peak_hours(spark, SF_MID).collect()
     assert len(peak) == 24 and sum(r.total_trips for r in peak) == 34378
 

@@ -28,10 +28,10 @@ def test_trip_table_round_trip_and_pruning(spark, tmp_dir):
     path = write_trip_table(trips, f"{tmp_dir}/trips", num_partitions=4)
     back = read_trip_table(spark, path)
     assert as_set(back.select(*trips.columns)) == as_set(trips)
-    some = read_trip_table(spark, path, sources=["metered"], months=("2024-01", "2024-01"))
+    some = read_trip_table(spark, path, sources=["yellow_taxi"], months=("2024-01", "2024-01"))
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "pickup_month" in plan
-    want = trips.filter((F.col("source") == "metered") & (F.date_format("pickup_datetime", "yyyy-MM") == "2024-01"))
+    want = trips.filter((F.col("source") == "yellow_taxi") & (F.date_format("pickup_datetime", "yyyy-MM") == "2024-01"))
     assert some.count() == want.count() > 0
 
 
@@ -94,10 +94,10 @@ def test_canonical_columns_of_stream_layout(spark):
 def test_batch_job_from_stored_table_with_pruning(spark, tmp_dir):
     table = f"{tmp_dir}/table"
     batch_job.main(["--sf-dir", SF_SMALL, "--write-table", table, "--master", "local[4]"])
-    trips = batch_job.load_trips(spark, table=table, sources=["dispatch"], months=("1995-01", "1996-12"))
+    trips = batch_job.load_trips(spark, table=table, sources=["hvfhv"], months=("1995-01", "1996-12"))
     plan = trips._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
-    want = batch_job.load_trips(spark, sf_dir=SF_SMALL, sources=["dispatch"], months=("1995-01", "1996-12"))
+    want = batch_job.load_trips(spark, sf_dir=SF_SMALL, sources=["hvfhv"], months=("1995-01", "1996-12"))
     assert as_set(trips) == as_set(want) and trips.count() > 0
     out = f"{tmp_dir}/res"
     report = batch_job.run(spark, out, table=table, months=("1995-01", "1996-12"))
@@ -105,7 +105,7 @@ def test_batch_job_from_stored_table_with_pruning(spark, tmp_dir):
 
 
 def test_trip_table_month_reload_is_idempotent(spark, tmp_dir):
-    trips = catalog.trips_union(spark, SF_SMALL).filter(F.col("source") == "dispatch")
+    trips = catalog.trips_union(spark, SF_SMALL).filter(F.col("source") == "hvfhv")
     m = F.date_format("pickup_datetime", "yyyy-MM")
     jan, feb = trips.filter(m == "1996-01"), trips.filter(m == "1996-02")
     path = f"{tmp_dir}/t"

@@ -5,19 +5,35 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from ridepulse.functions.money import cents, money_avg, money_avg_r2, money_sum
+from ridepulse.functions.money import cents, money_avg, money_avg_r2, money_sum, money_sum_r2, rest
 
 
 @pytest.mark.parametrize(
     "x,c",
-    [(6.55, 655), (0.01, 1), (0.0, 0), (-6.55, -655), (490.02, 49002), (1e9, 100000000000),
-     (float("nan"), None), (float("inf"), None), (1e11, None), (None, None)],
+    [(6.55, 655), (0.01, 1), (0.0, 0), (-6.55, -655), (490.02, 49002), (1e9, 0),
+     (float("nan"), 0), (float("inf"), 0), (1e11, 0), (None, None)],
 )
 def test_cents(spark, x, c):
     df = spark.createDataFrame([(x,)], "x double")
     assert df.select(cents("x")).first()[0] == c
 
 
+def test_no_value_is_cut_or_rounded(spark):
+    """Fractions of a cent, values beyond the split and NaN give what plain sums and averages give."""
+    rows = [("fine", v) for v in (0.004, 0.004, 2.346)] + [("large", v) for v in (0.004, 2.345, 1e11, None)]
+    rows += [("nan", 1.0), ("nan", float("nan")), ("inf", 1.0), ("inf", float("inf")), ("null", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {r.k: r for r in df.groupBy("k").agg(
+        money_sum("x").alias("s"), money_avg("x").alias("a"), money_avg_r2("x").alias("ar"), money_sum_r2("x").alias("sr"),
+        F.sum("x").alias("ws"), F.avg("x").alias("wa"), F.round(F.avg("x"), 2).alias("war"), F.round(F.sum("x"), 2).alias("wsr"),
+    ).collect()}
+    for k, r in got.items():
+        for ours, plain in ((r.s, r.ws), (r.a, r.wa), (r.ar, r.war), (r.sr, r.wsr)):
+            assert ours == pytest.approx(plain, rel=1e-12, nan_ok=True), k
+    assert got["fine"].a == pytest.approx(2.354 / 3)
+    assert df.filter("x = 2.345").select(rest("x")).first()[0] == pytest.approx(-0.005, abs=1e-9)
+
+
 def test_sum_is_exact_in_any_order(spark):
     vals = [0.1, 0.2, 0.3] * 1000
     df = spark.createDataFrame([(v,) for v in vals], "x double")

@@ -33,7 +33,7 @@ def _skewed_rows(n: int = 900) -> list[dict]:
 
 def test_aggregates_exact_under_a_hot_key(spark):
     rows = _skewed_rows()
-    df = trips_df(spark, rows, "metered").repartition(6)
+    df = trips_df(spark, rows, "yellow_taxi").repartition(6)
     zones = {r.PULocationID: (r.total_pickups, r.avg_fare) for r in summaries.popular_pickup_zones(df).collect()}
     want = Counter(r["PULocationID"] for r in rows)
     assert {k: v[0] for k, v in zones.items()} == dict(want)
@@ -47,9 +47,9 @@ def test_aggregates_exact_under_a_hot_key(spark):
 
 def test_trip_table_splits_a_hot_month(spark, tmp_dir):
     rows = [dict(r, pickup_datetime=HOT) for r in _skewed_rows(1200)]  # one month, one instant
-    df = trips_df(spark, rows, "metered")
+    df = trips_df(spark, rows, "yellow_taxi")
     path = write_trip_table(df, f"{tmp_dir}/t", num_partitions=4)
-    part = f"{path}/source=metered/pickup_month=2023-03"
+    part = f"{path}/source=yellow_taxi/pickup_month=2023-03"
     files = [f for f in os.listdir(part) if f.endswith(".parquet")]
     assert len(files) >= 3
     counts = sorted(spark.read.parquet(f"{part}/{f}").count() for f in files)

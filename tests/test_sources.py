@@ -66,8 +66,8 @@ def test_both_feeds_and_file_column(spark, tmp_dir):
     ).coalesce(1).write.parquet(f"{tmp_dir}/fhv")
     scan = scan_feeds(spark, [f"{tmp_dir}/yellow", f"{tmp_dir}/fhv"], with_file=True)
     by_src = {r.source: r["count"] for r in scan.trips.groupBy("source").count().collect()}
-    assert by_src == {"metered": 2, "dispatch": 1}
-    d = scan.trips.filter(F.col("source") == "dispatch").first()
+    assert by_src == {"yellow_taxi": 2, "hvfhv": 1}
+    d = scan.trips.filter(F.col("source") == "hvfhv").first()
     assert d.passenger_count is None and d.payment_type is None and d.total_amount == 15.0
     assert "fhv" in d._file
     s = scan_feeds(spark, [f"{tmp_dir}/fhv"], layout="stream").trips.first()
