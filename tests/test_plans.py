@@ -9,8 +9,9 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from ridepulse.plans.catalog import QUERIES
 
-BATCH_KEYS = sorted(k for k in E.queries() if not k.startswith("stream_") and k != "replay_split")
+BATCH_KEYS = sorted(k for k in QUERIES if not k.startswith("stream_") and k != "replay_split")
 # Columns of the generated tables no key needs: they must never be read.
 UNUSED = ["l_returnflag", "l_linestatus", "l_comment"]
 
@@ -53,3 +54,15 @@ def test_top_k_is_take_ordered(spark):
 def test_bounded_results_sorted_without_range_partitioning(spark, key):
     plan = _formatted(E.queries()[key](spark, SF_SMALL))
     assert "rangepartitioning" not in plan and "SinglePartition" in plan
+
+
+def test_month_bounds_reach_the_raw_scan(spark, tmp_dir):
+    """Months given to the batch job are pushed to the scan of raw files as time bounds."""
+    from ridepulse.plans import batch_job
+    from ridepulse.sources import testdata
+
+    testdata.raw_dispatch(spark, SF_SMALL).write.parquet(f"{tmp_dir}/raw")
+    trips = batch_job.load_trips(spark, raw=[f"{tmp_dir}/raw"], months=("1995-03", "1995-12"))
+    scan = next(line for line in _formatted(trips).splitlines() if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(pickup_datetime,1995-03-01" in scan
+    assert "LessThan(pickup_datetime,1996-01-01" in scan
