@@ -12,6 +12,7 @@ from ridepulse.llm import (
     language,
     licenses,
     mixing,
+    oracle,
     rlz_dedup,
     simhash,
     suffix_dedup,
@@ -81,7 +82,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op8_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,9 +90,13 @@ def op8_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+# Parameter: neighbours a query vector gets.
+NEIGHBORS = 10
+
+
 def op9_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
-    return hamming_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=10)
+    return hamming_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=NEIGHBORS)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,4 +116,11 @@ QUERIES = {
     "op9_top_k_search": op9_top_k_search,
     "op10_decontaminate": op10_decontaminate,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_url_filter": oracle.urls(URL_RULES, LISTED_LABELS),
+    "op3_license_scan": oracle.license_scan(),
+    "op5_suffix_dedup": oracle.byte_repeats(),
+    "op7_mixing": oracle.mix(),
+    "op8_rlz_dedup": oracle.word_repeats(),
+    "op9_top_k_search": oracle.top_k(NEIGHBORS),
+}
