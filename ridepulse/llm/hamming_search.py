@@ -21,6 +21,8 @@ SEGMENTS, WIDTH = 4, 16
 # Codes are dealt to shards and queries to blocks of about so many; every shard meets every block.
 SHARD_CODES, BLOCK_QUERIES = 8192, 8192
 _LOOKUPS = 1 << 22
+# Tasks of the search at most; beyond that, a task takes several (shard, block) pairs, one after the other.
+_TASKS = 1 << 14
 
 _TOP_SCHEMA = "vec_id long, code long, neighbor_id long, distance int"
 
@@ -113,6 +115,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
              "neighbor_id": ids[hit[:, 1]], "distance": hit[:, 2].astype(np.int32)}
         )
 
-    near = db.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(run, _TOP_SCHEMA)
+    # a stated number of partitions: adaptive execution would merge them by bytes, and the search is CPU work
+    tasks = min(_TASKS, shards * blocks)
+    paired = [side.repartition(tasks, "shard", "block").groupBy("shard", "block") for side in (db, asked)]
+    near = paired[0].cogroup(paired[1]).applyInPandas(run, _TOP_SCHEMA)
     by = Window.partitionBy("vec_id", "code").orderBy("distance", "neighbor_id")
     return near.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("vec_id", "rank", "neighbor_id", "distance")

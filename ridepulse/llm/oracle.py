@@ -223,8 +223,8 @@ WITH codes AS (
   FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
 ),
 pairs AS (
-  SELECT q.vec_id, q.code, d.vec_id AS neighbor_id, bit_count(xor(q.code, d.code)) AS distance
+  SELECT q.vec_id, q.code, d.vec_id AS neighbor_id, CAST(bit_count(xor(q.code, d.code)) AS INTEGER) AS distance
   FROM codes q JOIN codes d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0
 )
-SELECT vec_id, row_number() OVER (PARTITION BY vec_id, code ORDER BY distance, neighbor_id) AS rank, neighbor_id, distance
+SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id, code ORDER BY distance, neighbor_id) AS INTEGER) AS rank, neighbor_id, distance
 FROM pairs QUALIFY rank <= {k}"""
