@@ -15,8 +15,9 @@ from ridepulse.session import new_work_dir, prepare
 
 # Words are maximal runs of bytes other than these; ``bytes.split()`` splits at exactly these bytes.
 WORD = r"[^\x20\x09-\x0D]+"
-# Texts are handed to vectorised code in slices of about this many bytes.
-SLICE_BYTES = 4 << 20
+# Texts are handed to vectorised code in slices of about this many bytes. That code needs some 60 bytes for each
+# of them, and the hashes' powers, kept by every Python worker, come to 32 bytes for each up to the next power of two.
+SLICE_BYTES = 3 << 19
 
 
 _SHIPPED: set[str] = set()
