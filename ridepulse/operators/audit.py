@@ -12,15 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridepulse.functions.money import money_sum
+from ridepulse.functions.rowtext import row_md5
 from ridepulse.schema import MONEY_COLUMNS, TRIP_COLUMNS
 
 
 def load_audit(trips: DataFrame, by: str | list[str] = "source", checksum: bool = False) -> DataFrame:
     """Rows, non-NULL counts, time range and exact sums per key.
 
-    ``checksum`` adds the sum of the low 32 bits of ``xxhash64(row)`` over the
-    canonical columns (as DECIMAL, so it cannot overflow): an order-independent
-    fingerprint, sensitive to duplicates, to compare two loads of the same files.
+    ``checksum`` adds the sum of the first 32 bits of each row's MD5 (summed as
+    DECIMAL, so it cannot overflow; given as text): a fingerprint of the rows in
+    any order, sensitive to duplicates, to compare two loads of the same files.
     """
     keys = [by] if isinstance(by, str) else list(by)
     aggs = [F.count(F.lit(1)).alias("rows")]
@@ -32,6 +33,6 @@ def load_audit(trips: DataFrame, by: str | list[str] = "source", checksum: bool
     ]
     aggs += [money_sum(c).alias(f"sum_{c}") for c in MONEY_COLUMNS]
     if checksum:
-        low = F.xxhash64(*[F.col(c) for c in TRIP_COLUMNS]).bitwiseAND(F.lit(0xFFFFFFFF))
-        aggs.append(F.sum(low.cast("decimal(20,0)")).alias("checksum"))
+        head = F.conv(F.substring(row_md5(trips, TRIP_COLUMNS), 1, 8), 16, 10)
+        aggs.append(F.sum(head.cast("decimal(20,0)")).cast("string").alias("checksum"))
     return trips.groupBy(*keys).agg(*aggs)

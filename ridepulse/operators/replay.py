@@ -20,9 +20,12 @@ The row numbers are computed without a single-partition window:
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridepulse.functions.rowtext import row_md5
 from ridepulse.schema import REPLAY_ROWS_PER_FILE, REPLAY_SEED, TRIP_COLUMNS
 from ridepulse.session import new_work_dir, work_root
 
@@ -43,9 +46,7 @@ def replay_order(df: DataFrame, order: str = EVENT_TIME, seed: int = REPLAY_SEED
     if order == EVENT_TIME:
         return [F.col(c).asc_nulls_first() for c in cols]
     if order == SHUFFLE:
-        return [F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]).asc()] + [
-            F.col(c).asc_nulls_first() for c in cols
-        ]
+        return [row_md5(df, cols, str(seed)).asc()] + [F.col(c).asc_nulls_first() for c in cols]
     raise ValueError(f"unknown replay order {order!r}")
 
 
@@ -111,24 +112,39 @@ def write_replay(
 ) -> int:
     """Write one file per slice into ``out_dir``, slices in ascending order.
 
-    A file stream takes new files by modification time, so the slices are
-    appended one write at a time, in order. The split itself runs once, into a
-    staging table partitioned by slice; each append reads one partition of it.
-    Returns the number of slices written.
+    One write puts every slice into a file of its own in a staging folder; the
+    files are then moved to ``out_dir`` with ascending modification times, by
+    which a file stream takes them. The number of Spark jobs does not depend on
+    the number of slices. Returns the number of slices written.
     """
     spark = df.sparkSession
     staging = staging_dir or new_work_dir(spark, "replay-staging")
-    sliced = assign_slices(df, rows_per_file, order, seed, num_partitions)
-    sliced.repartition("slice").write.mode("overwrite").partitionBy("slice").parquet(staging)
-    n = spark.read.parquet(staging).agg(F.max("slice")).first()[0]
-    if n is None:
-        return 0
     cols = [c for c in TRIP_COLUMNS if c in df.columns]
-    for k in range(int(n) + 1):
-        part = spark.read.parquet(staging).filter(F.col("slice") == k).select(*cols).coalesce(1)
-        writer = part.write.mode("append")
-        if fmt == "csv":
-            writer.option("header", True).csv(out_dir)
-        else:
-            writer.parquet(out_dir)
-    return int(n) + 1
+    sliced = assign_slices(df, rows_per_file, order, seed, num_partitions).select("slice", *cols)
+    writer = sliced.repartition("slice").write.mode("overwrite").partitionBy("slice")
+    writer = writer.option("maxRecordsPerFile", 0)
+    if fmt == "csv":
+        writer.option("header", True).csv(staging)
+    else:
+        writer.parquet(staging)
+    return _publish(spark, staging, out_dir)
+
+
+def _publish(spark, staging: str, out_dir: str) -> int:
+    """Move the files of ``staging/slice=k`` to ``out_dir``, in the order of k, each a millisecond younger."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(out_dir).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(out_dir))
+    start = max([int(time.time() * 1000), *(f.getModificationTime() + 1 for f in fs.listStatus(path(out_dir)))])
+    slices = {}
+    for folder in fs.listStatus(path(staging)):
+        if folder.isDirectory() and folder.getPath().getName().startswith("slice="):
+            slices[int(folder.getPath().getName().removeprefix("slice="))] = folder.getPath()
+    for k, folder in sorted(slices.items()):
+        (file,) = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+        to = path(out_dir, f"slice-{k:09d}-{file.getName()}")
+        if not fs.rename(file, to):
+            raise OSError(f"cannot move {file.toString()} to {to.toString()}")
+        fs.setTimes(to, start + k, -1)
+    fs.delete(path(staging), True)
+    return len(slices)

@@ -94,7 +94,7 @@ def monthly_revenue(monthly: DataFrame) -> DataFrame:
         cols.append(F.col(revenue).cast("double").alias("revenue"))
     if tips:
         cols.append(F.col(tips).cast("double").alias("tips"))
-    return sort_small(monthly.select(*cols), "month")
+    return monthly.select(*cols).orderBy("month")  # no exchange where ``monthly`` is one partition already
 
 
 def sort_if_present(df: DataFrame, col: str) -> DataFrame:

@@ -7,15 +7,18 @@ pipeline (normalise -> union -> clean -> summarise), read whole.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ridepulse.operators import audit, clean, normalize, replay, running, summaries
 from ridepulse.operators.normalize import DISPATCH, METERED
 from ridepulse.session import prepare
 from ridepulse.sources import testdata
-from ridepulse.streaming.runs import run_to_end, testdata_trip_stream
+from ridepulse.streaming.queries import Trigger, dropped_by_watermark, start_payment_memory
+from ridepulse.streaming.runs import replayed_trip_stream, run_to_end, testdata_trip_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +67,13 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.load_audit(trips_union(spark, sf_dir))
 
 
+def load_audit_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load audit of every file, with a checksum of its rows."""
+    file = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    feeds = [t.withColumn("file", file) for t in (trips_metered(spark, sf_dir), trips_dispatch(spark, sf_dir))]
+    return audit.load_audit(feeds[0].unionByName(feeds[1]), by=["source", "file"], checksum=True)
+
+
 # ---- batch summaries ------------------------------------------------------------
 
 
@@ -134,6 +144,11 @@ def replay_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.assign_slices(trips_stream_norm(spark, sf_dir))
 
 
+def replay_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trips in a seeded shuffle, cut into files of 5,000 rows."""
+    return replay.assign_slices(trips_stream_norm(spark, sf_dir), order=replay.SHUFFLE)
+
+
 def _stream(kind: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -146,9 +161,36 @@ def _stream(kind: str):
 
 stream_zone_demand = _stream("zone_demand")
 stream_daily_stats = _stream("daily_stats")
+stream_daily_windowed = _stream("daily_stats_windowed")
 stream_payment = _stream("payment_analysis")
 
 
+def _replayed(kind: str, fmt: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        out, query = run_to_end(spark, replayed_trip_stream(spark, sf_dir, fmt=fmt), kind, lateness=None)
+        late = dropped_by_watermark(query)
+        if late:
+            raise RuntimeError(f"{kind}: {late} rows dropped as late")
+        return out
+
+    return run
+
+
+# Four files per feed, one per micro-batch; a row dropped as late fails the query.
+stream_zone_demand_batches = _replayed("zone_demand", "parquet")
+stream_payment_csv = _replayed("payment_analysis", "csv")
+
+
+def stream_payment_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment statistics (one row per code) kept as an in-memory table and queried by name."""
+    prepare(spark)
+    name = f"payment_analysis_{uuid.uuid4().hex[:12]}"
+    query = start_payment_memory(testdata_trip_stream(spark, sf_dir), name, Trigger(available_now=True))
+    query.awaitTermination()
+    return spark.sql(f"SELECT * FROM {name}")
+
+
 QUERIES: dict[str, Query] = {
     "trips_metered": trips_metered,
     "trips_dispatch": trips_dispatch,
@@ -159,6 +201,7 @@ QUERIES: dict[str, Query] = {
     "trips_stream_clean": trips_stream_clean,
     "clean_audit": clean_audit,
     "load_audit": load_audit,
+    "load_audit_by_file": load_audit_by_file,
     "peak_hours": peak_hours,
     "daily_patterns": daily_patterns,
     "monthly_trends": monthly_trends,
@@ -174,7 +217,12 @@ QUERIES: dict[str, Query] = {
     "daily_stats": daily_stats,
     "payment_analysis": payment_analysis,
     "replay_split": replay_split,
+    "replay_shuffled": replay_shuffled,
     "stream_zone_demand": stream_zone_demand,
     "stream_daily_stats": stream_daily_stats,
     "stream_payment": stream_payment,
+    "stream_daily_windowed": stream_daily_windowed,
+    "stream_zone_demand_batches": stream_zone_demand_batches,
+    "stream_payment_csv": stream_payment_csv,
+    "stream_payment_memory": stream_payment_memory,
 }

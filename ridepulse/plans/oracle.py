@@ -168,6 +168,30 @@ _TRIP_COLS = [
     "DOLocationID", "payment_type", "fare_amount", "tip_amount", "total_amount",
 ]
 
+
+
+def _row_md5(prefix: str = "") -> str:
+    """MD5 of a trip's values as text: epoch microseconds, six decimals, ~ for NULL."""
+    texts = []
+    for c in _TRIP_COLS:
+        if c.endswith("_datetime"):
+            v = f"epoch_us({c})"
+        elif c in ("PULocationID", "DOLocationID", "payment_type"):
+            v = c
+        else:
+            v = f"CAST({c} AS DECIMAL(38,6))"
+        texts.append(f"'|' || coalesce(CAST({v} AS VARCHAR), '~')")
+    return f"md5('{prefix}' || {' || '.join(texts)})"
+
+
+_AUDIT = (
+    "count(*) AS rows, "
+    + ", ".join(f"count({c}) AS nonnull_{c}" for c in _TRIP_COLS)
+    + ", min(pickup_datetime) AS min_pickup, max(pickup_datetime) AS max_pickup, "
+    + f"{_money_sum('trip_distance')} AS sum_distance, "
+    + ", ".join(f"{_money_sum(c)} AS sum_{c}" for c in ("fare_amount", "tip_amount", "total_amount"))
+)
+
 _REPLAY_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in _TRIP_COLS)
 
 ORACLE_SQL: dict[str, str] = {
@@ -184,13 +208,12 @@ ORACLE_SQL: dict[str, str] = {
         + ", ".join(f"{_fail(p)} AS fail_{k}" for k, p in _BATCH_RULES.items())
         + " FROM trips_union GROUP BY source"
     ),
-    "load_audit": _with(
-        "SELECT source, count(*) AS rows, "
-        + ", ".join(f"count({c}) AS nonnull_{c}" for c in _TRIP_COLS)
-        + ", min(pickup_datetime) AS min_pickup, max(pickup_datetime) AS max_pickup, "
-        + f"{_money_sum('trip_distance')} AS sum_distance, "
-        + ", ".join(f"{_money_sum(c)} AS sum_{c}" for c in ("fare_amount", "tip_amount", "total_amount"))
-        + " FROM trips_union GROUP BY source"
+    "load_audit": _with(f"SELECT source, {_AUDIT} FROM trips_union GROUP BY source"),
+    # each generated table is one file
+    "load_audit_by_file": _with(
+        f"""SELECT source, CASE source WHEN 'yellow_taxi' THEN 'events.parquet' ELSE 'lineitem.parquet' END AS file,
+                   {_AUDIT}, CAST(sum(CAST('0x' || substr({_row_md5()}, 1, 8) AS BIGINT)) AS VARCHAR) AS checksum
+            FROM trips_union GROUP BY source"""
     ),
     "peak_hours": _with(
         f"""SELECT CAST(hour(pickup_datetime) AS INTEGER) AS hour, count(*) AS total_trips,
@@ -268,7 +291,15 @@ ORACLE_SQL: dict[str, str] = {
         f"""SELECT *, CAST((row_number() OVER (ORDER BY {_REPLAY_ORDER}) - 1) // 5000 AS BIGINT) AS slice
             FROM trips_stream_norm"""
     ),
+    "replay_shuffled": _with(
+        f"""SELECT *, CAST((row_number() OVER (ORDER BY {_row_md5('42')}, {_REPLAY_ORDER}) - 1) // 5000 AS BIGINT) AS slice
+            FROM trips_stream_norm"""
+    ),
 }
 ORACLE_SQL["stream_zone_demand"] = ORACLE_SQL["zone_demand"]
 ORACLE_SQL["stream_daily_stats"] = ORACLE_SQL["daily_stats"]
 ORACLE_SQL["stream_payment"] = ORACLE_SQL["payment_analysis"]
+ORACLE_SQL["stream_daily_windowed"] = ORACLE_SQL["daily_stats"]
+ORACLE_SQL["stream_zone_demand_batches"] = ORACLE_SQL["zone_demand"]
+ORACLE_SQL["stream_payment_csv"] = ORACLE_SQL["payment_analysis"]
+ORACLE_SQL["stream_payment_memory"] = ORACLE_SQL["payment_analysis"]

@@ -20,6 +20,7 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -66,11 +67,25 @@ class FeedScan:
 
 
 def list_files(spark: SparkSession, paths: list[str], ignore_missing: bool = False) -> list[str]:
-    """Data files behind paths / globs (listing only)."""
+    """Data files behind paths / globs (listing only); ``ignore_missing`` passes over paths that do not exist."""
     reader = spark.read
+    paths = list(paths)
     if ignore_missing:
         reader = reader.option("ignoreMissingFiles", True)
-    return sorted(reader.format("binaryFile").load(list(paths)).select("path").inputFiles())
+        paths = [p for p in paths if _exists(spark, p)]
+        if not paths:
+            return []
+    return sorted(reader.format("binaryFile").load(paths).select("path").inputFiles())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def file_inventory(spark: SparkSession, paths: list[str]) -> DataFrame:

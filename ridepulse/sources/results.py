@@ -7,14 +7,20 @@ aggregates may be written as a single file; large ones keep their partitions.
 
 from __future__ import annotations
 
+import logging
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 from ridepulse.schema import TRIP_COLUMNS, TRIP_TYPES
 
 
+_LOG = logging.getLogger(__name__)
+
+
 class MissingColumns(ValueError):
     """A result lacks columns its reader needs."""
 
@@ -43,17 +49,17 @@ def write_result(
 
 
 def read_result_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """A result CSV with header, or None when it is missing or empty."""
+    """A result CSV with header, or None when it is missing, empty or unreadable."""
     reader = spark.read.option("header", True)
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     try:
         df = reader.csv(path)
-    except AnalysisException:
+        empty = not df.columns or df.isEmpty()
+    except (PySparkException, Py4JJavaError) as exc:  # no such path, a damaged file, columns in another order ...
+        _LOG.warning("cannot read %s: %s", path, str(exc).splitlines()[0][:300] if str(exc) else type(exc).__name__)
         return None
-    if not df.columns or df.isEmpty():
-        return None
-    return df
+    return None if empty else df
 
 
 def read_trip_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -164,11 +164,15 @@ def start_daily_stats(
 
 
 def start_daily_stats_windowed(
-    trips: DataFrame, paths: StreamPaths, trigger: Trigger, lateness: str,
+    trips: DataFrame, paths: StreamPaths, trigger: Trigger, lateness: str | None,
     name: str = "daily_stats_windowed",
 ) -> StreamingQuery:
-    """Watermarked variant: days behind the watermark leave the state store."""
-    cleaned = clean_stream(trips).withWatermark("pickup_datetime", lateness)
+    """Watermarked variant: days behind the watermark leave the state store.
+
+    ``lateness=None``: the trips already carry a watermark (one per feed)."""
+    cleaned = clean_stream(trips)
+    if lateness:
+        cleaned = cleaned.withWatermark("pickup_datetime", lateness)
     agg = running.daily_stats_windowed(cleaned)
     n = STATE_PARTITIONS["daily_stats"]
     return _start(agg, name, "update", KeyedUpdateSink(paths.output), paths, trigger, n)

@@ -13,13 +13,14 @@ from pyspark.sql.utils import AnalysisException
 
 from ridepulse.operators import running
 from ridepulse.operators.clean import clean_stream
-from ridepulse.operators.normalize import DISPATCH, METERED
+from ridepulse.operators.normalize import DISPATCH, METERED, normalise_stream
+from ridepulse.operators.replay import write_replay
 from ridepulse.schema import MAX_FILES_PER_TRIGGER, ZONE_LATENESS
 from ridepulse.session import new_work_dir
 from ridepulse.sources import testdata
 from ridepulse.streaming import queries as sq
 from ridepulse.streaming.sinks import read_latest, read_snapshot
-from ridepulse.streaming.sources import feed_stream, trips_stream
+from ridepulse.streaming.sources import canonical_stream, feed_stream, trips_stream
 
 ZONE_KEYS = ["window_start", "window_end", "PULocationID"]
 
@@ -43,6 +44,19 @@ def testdata_trip_stream(
     return trips_stream([metered, dispatch], lateness)
 
 
+def replayed_trip_stream(
+    spark: SparkSession, sf_dir: str, files: int = 4, fmt: str = "parquet", lateness: str | None = ZONE_LATENESS
+) -> DataFrame:
+    """The same trips, each feed replayed in event-time order as ``files`` files, one per micro-batch."""
+    work = new_work_dir(spark, "stream-replay")
+    streams = []
+    for feed, raw in ((METERED, testdata.raw_metered(spark, sf_dir)), (DISPATCH, testdata.raw_dispatch(spark, sf_dir))):
+        trips = normalise_stream(raw, feed)
+        write_replay(trips, f"{work}/{feed}", max(1, -(-trips.count() // files)), fmt=fmt)
+        streams.append(canonical_stream(spark, f"{work}/{feed}", fmt, max_files_per_trigger=1))
+    return trips_stream(streams, lateness)
+
+
 # kind -> (start function, shape of its result, reader of its sink table)
 _KINDS = {
     "zone_demand": (
@@ -55,6 +69,11 @@ _KINDS = {
         lambda t: running.daily_stats(clean_stream(t)),
         read_snapshot,
     ),
+    "daily_stats_windowed": (
+        sq.start_daily_stats_windowed,
+        lambda t: running.daily_stats_windowed(clean_stream(t)),
+        lambda spark, out: read_latest(spark, out, ["trip_date"]),
+    ),
     "payment_analysis": (
         sq.start_payment,
         lambda t: running.payment_analysis(clean_stream(t)),
@@ -67,17 +86,17 @@ def run_to_end(
     spark: SparkSession, trips: DataFrame, kind: str, work_dir: str | None = None,
     lateness: str | None = ZONE_LATENESS,
 ) -> tuple[DataFrame, object]:
-    """Start one of ``zone_demand`` / ``daily_stats`` / ``payment_analysis`` with
-    ``availableNow``, wait for it, and return (result table, finished query).
+    """Start one of ``zone_demand`` / ``daily_stats`` / ``daily_stats_windowed`` /
+    ``payment_analysis`` with ``availableNow``, wait for it, and return (result table, finished query).
 
-    Zone demand sets a watermark of ``lateness``; ``None`` takes those that
+    Zone demand and windowed days set a watermark of ``lateness``; ``None`` takes those that
     ``trips`` carry (one per feed)."""
     if kind not in _KINDS:
         raise ValueError(f"unknown streaming aggregation {kind!r}")
     start, shape, reader = _KINDS[kind]
     work = work_dir or new_work_dir(spark, f"stream-{kind}")
     paths = sq.StreamPaths(checkpoint=f"{work}/checkpoint", output=f"{work}/output")
-    extra = {"lateness": lateness} if kind == "zone_demand" else {}
+    extra = {"lateness": lateness} if kind in ("zone_demand", "daily_stats_windowed") else {}
     if kind == "zone_demand":
         extra["no_data_batches"] = False  # the run ends with its input: no eviction-only batch
     # A unique name: two runs of the same kind may be active in one session.

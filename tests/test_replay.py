@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from conftest import SF_SMALL
 from helpers import as_set, trip, trips_df
@@ -63,3 +64,23 @@ def test_offsets_join_without_broadcast_beyond_the_limit(spark, monkeypatch):
     want = as_set(replay.assign_slices(trips, 700))
     monkeypatch.setattr(replay, "_BROADCAST_MAX_PARTITIONS", 0)
     assert as_set(replay.assign_slices(trips, 700)) == want
+
+
+def test_files_in_order_and_jobs_do_not_grow_with_slices(spark, tmp_dir):
+    """Modification times ascend with the slices, also over a second write; few or many slices take as many jobs."""
+    trips = catalog.trips_stream_norm(spark, SF_SMALL).limit(600)
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for n, rows in enumerate((300, 10)):
+        spark.sparkContext.setJobGroup(f"replay-{n}", "replay")
+        replay.write_replay(trips, f"{tmp_dir}/out{n}", rows_per_file=rows)
+        jobs.append(len(tracker.getJobIdsForGroup(f"replay-{n}")))
+    assert jobs[0] == jobs[1]
+    first = replay.write_replay(trips, f"{tmp_dir}/out1", rows_per_file=100)
+    files = [f for f in os.listdir(f"{tmp_dir}/out1") if f.startswith("slice-")]
+    assert first == 6 and len(files) == 66
+    stamps = sorted((os.stat(f"{tmp_dir}/out1/{f}").st_mtime_ns, f) for f in files)
+    assert len({t for t, _ in stamps}) == 66
+    number = [int(f.split("-")[1]) for _, f in stamps]
+    assert number == [*range(60), *range(6)]
+    assert spark.read.parquet(f"{tmp_dir}/out1").count() == 1200
+    assert replay.write_replay(trips.limit(0), f"{tmp_dir}/none", rows_per_file=10) == 0

@@ -181,3 +181,20 @@ def test_ignore_missing_option_reads_normally(spark, tmp_dir):
     _metered_rows(spark, [1, 2], "bigint").coalesce(1).write.parquet(f"{tmp_dir}/m")
     scan = scan_feeds(spark, [f"{tmp_dir}/m"], ignore_missing=True)
     assert scan.trips.count() == 2 and scan.rejected.count() == 0
+
+
+def test_missing_path_is_passed_over(spark, tmp_dir):
+    _metered_rows(spark, [1, 2], "bigint").write.parquet(f"{tmp_dir}/m")
+    scan = scan_feeds(spark, [f"{tmp_dir}/absent", f"{tmp_dir}/m"], ignore_missing=True)
+    assert scan.trips.count() == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan_feeds(spark, [f"{tmp_dir}/absent", f"{tmp_dir}/m"])
+
+
+def test_unreadable_result_csv_is_none(spark, tmp_dir):
+    from ridepulse.sources.results import read_result_csv
+
+    with open(f"{tmp_dir}/bad.csv.gz", "wb") as fh:
+        fh.write(b"this is no gzip file")
+    assert read_result_csv(spark, f"{tmp_dir}/bad.csv.gz") is None
+    assert read_result_csv(spark, f"{tmp_dir}/absent.csv") is None
