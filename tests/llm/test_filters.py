@@ -170,6 +170,31 @@ def test_leaks(spark, make_docs):
     assert decontaminate.leaks(docs, bench.limit(0)).collect() == []
 
 
+def test_every_leak_at_the_edit_limit_is_found(spark, make_docs):
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    item = [list(rng.choice(vocabulary, n)) for n in (15, 57, 200)]
+    rows, limits = [], {}
+    for i, words in enumerate(item):
+        limit = decontaminate.max_edits(len(words), 0.8)
+        for kind in ("delete", "insert", "replace", "mixed"):
+            for _ in range(10):
+                w = list(words)
+                for k in sorted(rng.choice(len(words), limit, replace=False).tolist(), reverse=True):
+                    how = ("delete", "insert", "replace")[int(rng.integers(0, 3))] if kind == "mixed" else kind
+                    w[k : k + (how != "insert")] = [] if how == "delete" else ["extra"]
+                around = [list(rng.choice(vocabulary, 50)) for _ in range(2)]
+                limits[len(rows), i] = limit
+                rows.append((len(rows), " ".join(around[0] + w + around[1])))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(item)], "item_id long, text string")
+    found = decontaminate.leaks(make_docs(rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == set(limits)
+    for r in found:
+        stretch = rows[r.doc_id][1].split()[r.start : r.start + r.n_words]
+        assert edits(item[r.item_id], stretch) == r.distance <= limits[r.doc_id, r.item_id]
+    assert decontaminate.without_leaks(make_docs(rows), bench).collect() == []
+
+
 def test_all_exact_passages_are_found(spark):
     t = pq.read_table(f"{SF_SMALL}/documents.parquet").to_pydict()
     b = pq.read_table(f"{SF_SMALL}/benchmark.parquet").to_pydict()
