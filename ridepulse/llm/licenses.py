@@ -1,7 +1,7 @@
 """License scans by sentence rules.
 
 A text is cut into sentences, each normalised and looked up among known
-licence sentences; the document's sequence of sentence identifiers is then
+licence sentences, else among the known sentences with open parts; the document's sequence of sentence identifiers is then
 matched against ordered licence rules. A rule is a run of identifiers; it
 takes those it matches out of the sequence, so a longer rule that comes first
 is not reported again as its parts.
@@ -45,14 +45,63 @@ SENTENCES = {
     "this is free and unencumbered software released into the public domain": "Unlicense",
     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISCGrant",
     "all rights reserved": "AllRights",
+    "licensed under the gnu affero general public license version 3": "AGPL3Notice",
+    "this work is licensed under the gnu affero general public license version 3": "AGPL3Notice",
+    "licensed under the gnu lesser general public license version 2.1": "LGPL21Notice",
+    "see the gnu affero general public license for more details": "AGPLSee",
+    "see the gnu lesser general public license for more details": "LGPLSee",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSDEndorse",
+    "this source code form is subject to the terms of the mozilla public license v": "MPL2Notice",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISCGrant",
 }
+_GPL = "is free software you can redistribute it and or modify it under the terms of the gnu "
+_BY_FSF = "general public license as published by the free software foundation(?: inc)? either version "
+_LATER = " of the license or at your option any later version"
+_ONLY = "general public license(?: as published by the free software foundation(?: inc)?)?(?: either)? version "
+_BSD_GRANT = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+_BSD_SOURCE = "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"
+# Sentences with open parts (a name, a list mark, what stands before without a full stop), as
+# expressions on the normalised sentence; the first that is found in a sentence that is not in SENTENCES counts.
+PATTERNS = [
+    (r"\blicensed under the apache license version 2\.0(?: the license)? you may not use this file except in compliance with the license\b", "Apache2Joined"),
+    (_BSD_GRANT + r".*" + _BSD_SOURCE, "BSDGrantSource"),
+    (_BSD_GRANT, "BSDGrant"),
+    (_BSD_SOURCE, "BSDSource"),
+    (r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", "BSDBinary"),
+    (r"\ball advertising materials mentioning features or use of this software must display the following acknowledge?ment", "BSDAdvert"),
+    (r"\b(?:the names? of .*|nor the names of (?:its|their|any) .*)may (?:not )?be used to endorse or promote products derived from this software without (?:specific )?prior written permission", "BSDEndorse"),
+    (r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction .* subject to the following conditions", "MITGrant"),
+    *[(_GPL + kind + _BY_FSF + v.replace(".", r"\.") + _LATER, name + "Plus")
+      for kind, v, name in [("", "3", "GPL3"), ("", "2", "GPL2"), ("affero ", "3", "AGPL3"), ("lesser ", "3", "LGPL3"), ("lesser ", "2.1", "LGPL21"), ("library ", "2", "LGPL2")]],
+    *[(_GPL + kind + _ONLY + v.replace(".", r"\.") + r"(?![.0-9])(?!.* any later version)", name + "Notice")
+      for kind, v, name in [("", "3", "GPL3"), ("", "2", "GPL2"), ("affero ", "3", "AGPL3"), ("lesser ", "3", "LGPL3"), ("lesser ", "2.1", "LGPL21"), ("library ", "2", "LGPL2")]],
+]
+# Every sentence with open parts holds one of these.
+_OPEN = "under the apache license|free software you can|redistribution|advertising materials|to endorse or promote|is hereby granted"
 # Licence rules in the order they are tried.
 RULES = [
     ("Apache-2.0", ["Apache2Notice", "ApacheCompliance", "Apache2Copy", "ApacheSee"]),
     ("Apache-2.0", ["Apache2Notice", "ApacheCompliance"]),
+    ("Apache-2.0", ["Apache2Joined", "Apache2Copy", "ApacheSee"]),
+    ("Apache-2.0", ["Apache2Joined", "ApacheSee"]),
+    ("Apache-2.0", ["Apache2Joined"]),
     ("MIT", ["MITGrant", "MITCondition", "MITWarranty"]),
     ("MIT", ["MITGrant", "MITCondition"]),
+    ("MIT", ["MITGrant", "MITWarranty"]),
+    ("MIT", ["MITGrant"]),
+    ("BSD-4-Clause", ["BSDGrant", "BSDSource", "BSDBinary", "BSDAdvert", "BSDEndorse"]),
+    ("BSD-4-Clause", ["BSDGrantSource", "BSDBinary", "BSDAdvert", "BSDEndorse"]),
+    ("BSD-3-Clause", ["BSDGrant", "BSDSource", "BSDBinary", "BSDEndorse"]),
+    ("BSD-3-Clause", ["BSDGrantSource", "BSDBinary", "BSDEndorse"]),
     ("BSD-2-Clause", ["BSDGrant", "BSDSource", "BSDBinary"]),
+    ("BSD-2-Clause", ["BSDGrantSource", "BSDBinary"]),
+    ("AGPL-3.0-or-later", ["AGPL3Plus", "AGPLSee"]),
+    ("LGPL-3.0-or-later", ["LGPL3Plus", "LGPLSee"]),
+    ("LGPL-2.1-or-later", ["LGPL21Plus", "LGPLSee"]),
+    ("AGPL-3.0-or-later", ["AGPL3Plus"]),
+    ("LGPL-3.0-or-later", ["LGPL3Plus"]),
+    ("LGPL-2.1-or-later", ["LGPL21Plus"]),
+    ("LGPL-2.0-or-later", ["LGPL2Plus"]),
     ("GPL-3.0-or-later", ["GPL3Plus", "GPLSee"]),
     ("GPL-2.0-or-later", ["GPL2Plus", "GPLSee"]),
     ("GPL-3.0-or-later", ["GPL3Plus"]),
@@ -62,6 +111,9 @@ RULES = [
     ("GPL-3.0-only", ["GPL3Notice"]),
     ("GPL-2.0-only", ["GPL2Notice"]),
     ("LGPL-3.0-only", ["LGPL3Notice"]),
+    ("AGPL-3.0-only", ["AGPL3Notice"]),
+    ("LGPL-2.1-only", ["LGPL21Notice"]),
+    ("LGPL-2.0-only", ["LGPL2Notice"]),
     ("CC-BY-NC-4.0", ["CCBYNC4Notice"]),
     ("CC-BY-NC-SA-4.0", ["CCBYNCSA4Notice"]),
     ("CC-BY-SA-4.0", ["CCBYSA4Notice"]),
@@ -84,7 +136,9 @@ def _normal(sentence: Column) -> Column:
 def _identifiers(sentences: Column) -> Column:
     """The sequence of known sentences as ``,A,,B,``."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    ids = F.filter(F.transform(sentences, lambda s: F.try_element_at(known, _normal(s))), lambda i: i.isNotNull())
+    read = lambda s: F.when(s.rlike(_OPEN), F.coalesce(*[F.when(s.rlike(p), F.lit(i)) for p, i in PATTERNS]))
+    found = F.transform(F.transform(sentences, _normal), lambda s: F.coalesce(F.try_element_at(known, s), read(s)))
+    ids = F.filter(found, lambda i: i.isNotNull())
     return F.array_join(F.transform(ids, lambda i: F.concat(F.lit(","), i, F.lit(","))), "")
 
 
@@ -116,7 +170,9 @@ def scan(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), _identifiers(ends(text)).alias("_lines"), _identifiers(ends(flow)).alias("_flow")
     )
     (by_line, rest), (by_flow, _) = _matched(F.col("_lines")), _matched(F.col("_flow"))
-    both = F.array_union(by_line, by_flow)
+    # a column of its own: every name below looks into it
+    rows = rows.withColumn("_both", F.array_union(by_line, by_flow))
+    both = F.col("_both")
     order = list(dict.fromkeys(name for name, _ in RULES))
     names = F.concat_ws(",", *[F.when(F.array_contains(both, n), F.lit(n)) for n in order])
     trim = lambda c: F.trim(F.replace(c, F.lit(",,"), F.lit(",")), F.lit(","))

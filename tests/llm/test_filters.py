@@ -73,6 +73,73 @@ def test_licenses(spark, make_docs):
     assert got == want
 
 
+APACHE = """Copyright 2020 The Authors
+
+Licensed under the Apache License, Version 2.0 (the "License"); you may
+not use this file except in compliance with the License. You may obtain
+a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS, WITHOUT
+WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the
+License for the specific language governing permissions and limitations
+under the License."""
+BSD2 = """Copyright (c) 2020, Acme
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+ADVERT = """
+
+3. All advertising materials mentioning features or use of this software must
+   display the following acknowledgement: This product includes software
+   developed by Acme."""
+ENDORSE = """
+
+3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GNU = """This {0} is free software: you can redistribute it and/or modify it
+under the terms of the GNU {1}General Public License as published by the Free
+Software Foundation, either version {2} of the License, or (at your option)
+any later version.
+
+This {0} is distributed in the hope that it will be useful, but WITHOUT ANY
+WARRANTY. See the GNU {1}General Public License for more details."""
+
+
+def test_whole_standard_headers_in_several_wrappers(make_docs):
+    headers = [
+        (APACHE, "Apache-2.0"), (BSD2, "BSD-2-Clause"), (BSD2 + ENDORSE.format("the copyright holder"), "BSD-3-Clause"),
+        (BSD2 + ENDORSE.format("Acme Inc."), "BSD-3-Clause"), (BSD2 + ENDORSE.format("Acme"), "BSD-3-Clause"),
+        (BSD2 + ADVERT + ENDORSE.format("Acme"), "BSD-4-Clause"), (GNU.format("program", "", "2"), "GPL-2.0-or-later"),
+        (GNU.format("program", "", "3"), "GPL-3.0-or-later"), (GNU.format("program", "Affero ", "3"), "AGPL-3.0-or-later"),
+        (GNU.format("library", "Lesser ", "2.1"), "LGPL-2.1-or-later"), (GNU.format("library", "Lesser ", "3"), "LGPL-3.0-or-later"),
+        (GNU.format("library", "Library ", "2"), "LGPL-2.0-or-later"),
+        (GNU.format("program", "", "2").replace(", or (at your option)\nany later version", ""), "GPL-2.0-only"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.", "MPL-2.0"),
+    ]
+    wrappers = [
+        lambda t: t,
+        lambda t: "\n".join(f"# {x}" for x in t.split("\n")),
+        lambda t: "/*\n" + "\n".join(f" * {x}" for x in t.split("\n")) + "\n */\nint x;",
+        lambda t: "\n\n".join(" ".join(x.split()) for x in t.split("\n\n")),
+        lambda t: " ".join(t.split()),
+        lambda t: re.sub(r"\n\d\. {1,2}", "\n* ", t).replace("\n\n* ", "\n* "),
+    ]
+    rows = [(k, wrap(text)) for k, (text, wrap) in enumerate((t, w) for t, _ in headers for w in wrappers)]
+    got = {r.doc_id: r.licenses for r in licenses.scan(make_docs(rows)).collect()}
+    assert got == {k: headers[k // len(wrappers)][1] for k in got} and len(got) == len(rows)
+
+
 def greedy(text: list[int], sample: list[int]) -> int:
     joined, phrases, i = bytes(sample), 0, 0
     while i < len(text):
