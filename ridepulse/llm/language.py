@@ -4,7 +4,9 @@ For each language a suffix automaton of a bounded labelled sample recognises
 every string of the sample. A text is parsed greedily against it: the longest
 match is a phrase, the next phrase starts where it ended. The language that
 needs the fewest phrases, each priced at log2 of its sample's length and set
-against the text's length, wins. Walking the automaton from its root until a
+against the text's length, wins. A phrase costs no less than naming a symbol of
+the alphabet outright, or a sample of a few symbols would be the cheapest one,
+its unknown symbols phrases at a bit or two. Walking the automaton from its root until a
 transition is missing *is* the longest match, so the parse is one table lookup
 a symbol, done for thousands of stretches of texts at once.
 """
@@ -136,7 +138,7 @@ class Models:
                 over = to >> 31
                 phrases -= over
                 row = to ^ over
-            price[i] = np.bincount(doc, phrases, len(texts)) * math.log2(m.size + 1)
+            price[i] = np.bincount(doc, phrases, len(texts)) * math.log2(max(m.size, self.pad) + 1)
         out_lang, out_score = [], []
         for d, text in enumerate(known):
             if not text:

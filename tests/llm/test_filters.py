@@ -169,6 +169,17 @@ def test_language_parse_equals_greedy_longest_matches():
         assert got == price[0][1] and abs(s - (1 - price[0][0] / price[1][0])) < 1e-9
 
 
+def test_a_label_with_a_few_characters_takes_no_texts():
+    t = pq.read_table(f"{SF_SMALL}/documents.parquet").to_pydict()
+    rows = [(x, lang) for x, lang in zip(t["text"], t["lang"]) if x and lang]
+    sample = {}
+    for x, lang in rows[::2]:
+        sample.setdefault(lang, []).append(x[:500])
+    texts = [x for x, _ in rows[1::2] if len(x) > 100]
+    for word in ("a", "ok", "in the", "information"):
+        assert "rare" not in language.Models.train({**sample, "rare": [word]}).predict(texts)[0]
+
+
 def test_language_query(spark, make_docs):
     t = pq.read_table(f"{SF_SMALL}/documents.parquet").to_pydict()
     rows = catalog.op6_language_id(spark, SF_SMALL).collect()
