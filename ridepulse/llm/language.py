@@ -31,7 +31,7 @@ DOCS_PER_LANG, CHARS_PER_DOC = 48, 500
 # All languages' samples together; more languages get smaller samples.
 SAMPLE_CHARS = 400_000
 FOLDS = 5
-# Texts are parsed in stretches of this many symbols; every language parses the same stretches.
+# Texts are parsed in stretches of this many symbols, side by side.
 _STRETCH = 128
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -115,8 +115,8 @@ class Models:
             models.append(Model(lang, len(symbols), table.ravel()))
         return cls(classes, pad, models)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """(language or und, score) of each text."""
+    def predict(self, texts: list[str | None], whole: bool = False) -> tuple[list[str], list[float]]:
+        """(language or und, score) of each text, parsed as a ``whole`` or every stretch from the root."""
         known = [t if t and self.models and _LETTER.search(t) else "" for t in texts]
         data = _lower_bytes(known)
         buffer = np.frombuffer(b"".join(data), np.uint8)
@@ -132,12 +132,7 @@ class Models:
         doc = np.repeat(np.arange(len(texts)), stretches)
         price = np.empty((len(self.models), len(texts)))
         for i, m in enumerate(self.models):
-            row, phrases = np.zeros(steps.shape[1], np.int32), np.ones(steps.shape[1], np.int32)
-            for symbol in steps:
-                to = m.table[row + symbol]
-                over = to >> 31
-                phrases -= over
-                row = to ^ over
+            phrases = _phrases(m.table, steps, np.diff(doc, prepend=-1) != 0 if whole else np.ones(len(doc), bool))
             price[i] = np.bincount(doc, phrases, len(texts)) * math.log2(max(m.size, self.pad) + 1)
         out_lang, out_score = [], []
         for d, text in enumerate(known):
@@ -151,6 +146,30 @@ class Models:
         return out_lang, out_score
 
 
+def _phrases(table: np.ndarray, steps: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Phrases that begin in each stretch (a column of ``steps``); ``first`` ones start at the root, others go on.
+
+    All are parsed from the root, then again those whose stretch before ended
+    in another state, until none does. Parses of the same symbols soon meet,
+    so the second time settles nearly all.
+    """
+    entry, end, phrases = np.zeros((3, steps.shape[1]), np.int32)
+    todo = np.arange(steps.shape[1])
+    while len(todo):
+        row, over_all = entry[todo], np.zeros(len(todo), np.int32)
+        for symbol in steps if len(todo) == steps.shape[1] else steps[:, todo]:
+            to = table[row + symbol]
+            over = to >> 31
+            over_all -= over
+            row = to ^ over
+        phrases[todo], end[todo] = over_all, row
+        after = todo[todo < steps.shape[1] - 1] + 1
+        after = after[~first[after]]
+        todo = after[entry[after] != end[after - 1]]
+        entry[todo] = end[todo - 1]
+    return phrases + first
+
+
 def _symbols(classes: np.ndarray, buffer: np.ndarray, ends: np.ndarray | None = None):
     """Symbols of the joined texts, runs of class 0 as one; with ``ends`` also each text's number of them."""
     s = classes[buffer]
@@ -197,7 +216,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            lang, _ = held.value.predict(batch.column("text").to_pylist())
+            lang, _ = held.value.predict(batch.column("text").to_pylist(), whole=True)
             at = batch.schema.get_field_index("lang")
             given = pc.coalesce(batch.column(at), pa.array(lang, batch.column(at).type))
             kept = batch.set_column(at, batch.schema.field(at), given)
@@ -219,7 +238,7 @@ def identify(docs: DataFrame, sample: dict[str, list[str]] | None = None) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            lang, score = held.value.predict(batch.column("text").to_pylist())
+            lang, score = held.value.predict(batch.column("text").to_pylist(), whole=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(lang), pa.array(score)],
                 ["doc_id", "held_out", "lang_pred", "score"],

@@ -169,6 +169,23 @@ def test_language_parse_equals_greedy_longest_matches():
         assert got == price[0][1] and abs(s - (1 - price[0][0] / price[1][0])) < 1e-9
 
 
+def test_whole_texts_are_parsed_without_a_cut(spark, make_docs):
+    sample = {"en": ["the cat and the hat sat on the mat " * 20], "fr": ["le chat et la souris sont à la maison é " * 20]}
+    models = language.Models.train(sample)
+    texts = ["the mat sat", "the cat and the hat sat on the mat " * 30, "la maison et le chat à " * 40, "xyz the! " * 99, "à é"]
+    got = language.identify(make_docs([(i, x) for i, x in enumerate(texts)]), sample).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        price = []
+        for m in models.models:
+            own, symbols = (
+                language._symbols(models.classes, np.frombuffer(x.lower().encode(), np.uint8)).tolist() for x in ("".join(sample[m.lang]), texts[r.doc_id])
+            )
+            price.append((greedy(symbols, own) * math.log2(len(own) + 1), m.lang))
+        price.sort()
+        assert r.lang_pred == price[0][1] and abs(r.score - (1 - price[0][0] / price[1][0])) < 1e-9
+
+
 def test_a_label_with_a_few_characters_takes_no_texts():
     t = pq.read_table(f"{SF_SMALL}/documents.parquet").to_pydict()
     rows = [(x, lang) for x, lang in zip(t["text"], t["lang"]) if x and lang]
