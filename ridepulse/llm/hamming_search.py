@@ -28,11 +28,14 @@ _TOP_SCHEMA = "vec_id long, code long, neighbor_id long, distance int"
 
 
 def codes(vectors: DataFrame) -> DataFrame:
-    """Distinct (vec_id, code): bit i is set if component i is positive. Rows without components are left out."""
+    """Distinct (vec_id, code): bit i is set if component i is positive. Rows without components are left out.
+
+    A code has 64 bits; a row with more components fails the query.
+    """
     bit = "aggregate(sequence(0, 63), 0L, (a, i) -> a | if(coalesce(get(embedding, i) > 0, false), shiftleft(1L, i), 0L))"
     return (
         vectors.where("vec_id is not null and size(embedding) > 0")
-        .select(F.col("vec_id").cast("long").alias("vec_id"), F.expr(bit).alias("code"))
+        .select(F.col("vec_id").cast("long").alias("vec_id"), F.when(F.size("embedding") > 64, F.raise_error(F.lit("embedding of more than 64 components"))).otherwise(F.expr(bit)).alias("code"))
         .distinct()
     )
 

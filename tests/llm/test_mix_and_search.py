@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
 
 from ridepulse.llm import catalog, hamming_search, mixing, stages
 from tests.conftest import SF_SMALL
@@ -112,3 +114,9 @@ def test_pipeline_stages_take_odd_rows(spark, make_docs):
     for name, stage in stages.STAGES:
         assert stage(spark, make_docs(rows), SF_SMALL).count() > 0, name
         assert stage(spark, make_docs([]), SF_SMALL).count() == 0, name
+
+
+def test_wider_embeddings_fail_the_search(spark):
+    wide = spark.createDataFrame([(i, [1.0] * 64 + [float(i)]) for i in range(3)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="more than 64 components"):
+        hamming_search.top_k(wide, F.col("vec_id") == 0, k=1).collect()
