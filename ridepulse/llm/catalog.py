@@ -13,6 +13,7 @@ from ridepulse.llm import (
     licenses,
     mixing,
     oracle,
+    personal_data,
     rlz_dedup,
     simhash,
     suffix_dedup,
@@ -104,6 +105,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return personal_data.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_url_filter": op2_url_filter,
@@ -115,6 +121,7 @@ QUERIES = {
     "op8_rlz_dedup": op8_rlz_dedup,
     "op9_top_k_search": op9_top_k_search,
     "op10_decontaminate": op10_decontaminate,
+    "op13_personal_data": op13_personal_data,
 }
 ORACLE_SQL = {
     "op2_url_filter": oracle.urls(URL_RULES, LISTED_LABELS),
