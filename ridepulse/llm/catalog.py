@@ -16,6 +16,7 @@ from ridepulse.llm import (
     personal_data,
     rlz_dedup,
     simhash,
+    spelling,
     suffix_dedup,
     token_files,
     url_filter,
@@ -105,6 +106,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+# Fixed value: a run of letters is misspelt where this divides its checksum.
+SLIP = 31
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), SLIP))
+
+
 def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return personal_data.scan(table(spark, sf_dir, "documents"))
@@ -121,6 +131,7 @@ QUERIES = {
     "op8_rlz_dedup": op8_rlz_dedup,
     "op9_top_k_search": op9_top_k_search,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_personal_data": op13_personal_data,
 }
 ORACLE_SQL = {
