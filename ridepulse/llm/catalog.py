@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridepulse.llm import (
+    conversations,
     decontaminate,
     hamming_search,
     language,
@@ -115,6 +116,16 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), SLIP))
 
 
+# Conversations of one group share openings of so many turns at most.
+OPENING_GROUP, OPENING_TURNS = 20, 3
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    turns = conversations.number_turns(table(spark, sf_dir, "conversations"))
+    return conversations.prefix_trie(conversations.share_openings(turns, OPENING_GROUP, OPENING_TURNS))
+
+
 def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return personal_data.scan(table(spark, sf_dir, "documents"))
@@ -132,6 +143,7 @@ QUERIES = {
     "op9_top_k_search": op9_top_k_search,
     "op10_decontaminate": op10_decontaminate,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_personal_data": op13_personal_data,
 }
 ORACLE_SQL = {
