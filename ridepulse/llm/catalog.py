@@ -153,4 +153,6 @@ ORACLE_SQL = {
     "op7_mixing": oracle.mix(),
     "op8_rlz_dedup": oracle.word_repeats(),
     "op9_top_k_search": oracle.top_k(NEIGHBORS),
+    "op11_spelling_variants": oracle.variants(SLIP),
+    "op12_conversation_trie": oracle.trie(OPENING_GROUP, OPENING_TURNS),
 }

@@ -6,13 +6,13 @@ by one. The fixed values (rules, sentences, weights) are those of the
 operators.
 
 Without SQL, and held against brute force in ``tests/llm`` instead: op1
-(DuckDB has no XXH64), op4 (tokenizer), op6 (trained models), op10 (its
-recall is not 1) and the pipeline.
+(DuckDB has no XXH64), op4 (tokenizer), op6 (trained models), op10
+(approximate matching), op13 (positions of matches) and the pipeline.
 """
 
 from __future__ import annotations
 
-from ridepulse.llm import licenses, mixing, rlz_dedup, suffix_dedup
+from ridepulse.llm import licenses, mixing, rlz_dedup, spelling, suffix_dedup
 from ridepulse.llm.common import WORD
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -23,6 +23,22 @@ def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+# crc32 by its definition: a table of 256 entries (``crc_table``, one row), then byte by byte.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(t ORDER BY n) AS crc FROM (
+    SELECT n, list_reduce(list_concat([n], range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1))) AS t FROM range(256) r(n)
+  )
+)"""
+
+
+def _crc32(value: str) -> str:
+    """crc32 of a string's UTF-8 bytes, as BIGINT; needs ``crc`` of ``crc_table``."""
+    utf8 = f"hex(encode({value}))"
+    at = f"list_transform(range(octet_length(encode({value}))::BIGINT), lambda i: ('0x' || {utf8}[2 * i + 1 : 2 * i + 2])::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {at}), {step}), 4294967295)"
+
+
 def urls(rules: list[tuple[str, str, str]], labels: list[str]) -> str:
     values = ", ".join(f"({text(h)}, {text(p)}, {text(v)})" for h, p, v in rules)
     listed = ", ".join(map(text, labels))
@@ -228,3 +244,87 @@ pairs AS (
 )
 SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id, code ORDER BY distance, neighbor_id) AS INTEGER) AS rank, neighbor_id, distance
 FROM pairs QUALIFY rank <= {k}"""
+
+
+def variants(slip: int) -> str:
+    """Near words by equal deletions."""
+    run = f"regexp_extract_all(text, {text('[A-Z' + spelling.LETTERS + ']+')})"
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, unnest({run}) AS run FROM documents),
+per AS (
+  SELECT doc_id, {_LOWER.format("run")} AS run, count(*) AS n FROM runs WHERE length(run) >= {spelling.MIN_CHARS} GROUP BY ALL
+),
+hashed AS (SELECT run, n, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM per, crc_table),
+slipped AS (
+  SELECT CASE WHEN h % {slip} = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= {spelling.MIN_CHARS}
+  GROUP BY word HAVING sum(n) >= {spelling.MIN_COUNT}
+),
+cuts AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS cut FROM words, unnest(range(1, length(word) + 1)) t(i)),
+near AS (
+  SELECT a.word, b.word AS near FROM cuts a JOIN cuts b USING (i, cut) WHERE a.word <> b.word
+  UNION SELECT a.word, a.cut FROM cuts a JOIN words w ON w.word = a.cut
+  UNION SELECT a.cut, a.word FROM cuts a JOIN words w ON w.word = a.cut
+),
+best AS (
+  SELECT near.word, count(*) OVER (PARTITION BY near.word) AS n_near, near AS best, w.n AS best_n,
+         row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, near) AS r
+  FROM near JOIN words w ON w.word = near.near
+),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN best_n >= {spelling.FORM_RATIO} * n THEN best END AS form,
+         CASE WHEN best_n >= {spelling.FORM_RATIO} * n THEN best_n END AS form_n
+  FROM words LEFT JOIN (SELECT * FROM best WHERE r = 1) USING (word)
+),
+chain AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL
+  SELECT chain.word, formed.word, formed.form FROM chain JOIN formed ON formed.word = chain.next
+)
+SELECT word, n, n_near, form, form_n, root FROM formed JOIN (SELECT word, root FROM chain WHERE next IS NULL) USING (word)"""
+
+
+def trie(group: int, most: int) -> str:
+    """Nodes as lists of turns; what a subtree holds by way of each node's smallest member."""
+    return f"""
+WITH {_CRC_TABLE},
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+),
+hashed AS (SELECT conv_id, turn, role, text, sha256(length(role) || ':' || role || text) AS id FROM turns),
+own AS (SELECT conv_id, id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, id) AS k FROM hashed),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % {group} AS base, {_crc32("conv_id::VARCHAR")} % {most + 1} AS h
+  FROM (SELECT DISTINCT conv_id FROM own), crc_table
+),
+turned AS (
+  SELECT convs.conv_id, 0 AS part, k, id, text FROM convs JOIN own ON own.conv_id = base AND k <= h
+  UNION ALL SELECT conv_id, 1, k, id, text FROM own JOIN convs USING (conv_id) WHERE k > h
+),
+placed AS (
+  SELECT conv_id, row_number() OVER w AS depth, list(id) OVER (w ROWS UNBOUNDED PRECEDING) AS path,
+         coalesce(len(regexp_extract_all(text, {text(WORD)})), 0) AS words
+  FROM turned WINDOW w AS (PARTITION BY conv_id ORDER BY part, k)
+),
+members AS (
+  SELECT conv_id, 0 AS depth, []::VARCHAR[] AS path, 0 AS words FROM convs UNION ALL SELECT conv_id, depth, path, words FROM placed
+),
+lengths AS (SELECT conv_id, max(depth) AS len FROM members GROUP BY conv_id),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS value,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len), '') AS ends
+  FROM members JOIN lengths USING (conv_id) GROUP BY path, depth
+),
+children AS (SELECT path[1 : depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+bearing AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+sums AS (
+  SELECT m.path, sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(b.value) AS saved
+  FROM bearing b JOIN members m ON m.conv_id = b.conv_id AND m.depth <= b.depth GROUP BY m.path
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM bearing n JOIN sums s USING (path) LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1 : n.depth - 1]"""
