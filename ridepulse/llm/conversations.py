@@ -88,8 +88,9 @@ def number_turns(conversations: DataFrame) -> DataFrame:
             )
 
     order = ["conv_id", "turn", "role", "id", "tie"]
+    hashed = stored(turns, "trie-hashed")  # the sort reads its input twice, so texts are hashed before it
     placed = stored(
-        turns.repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "id", "words").mapInArrow(
+        hashed.repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "id", "words").mapInArrow(
             place, "conv_id long, id binary, words long, part int, k long"
         ),
         "trie-placed",
