@@ -11,9 +11,11 @@ sum over files plus a running sum inside one file.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +29,8 @@ from ridepulse.llm.common import slices, stored
 
 # Fixed value: how byte-level BPE vocabularies of this family split a text before merging.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
-# Encoded pieces kept by one Python worker.
-_CACHE_PIECES = 400_000
+# Encoded pieces kept by one Python worker, in each of two generations.
+_CACHE_PIECES = 250_000
 
 
 def _latin_classes() -> dict[str, str]:
@@ -58,25 +60,36 @@ class Encoder(dict):
     """Ids of whole texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
     Merging never crosses the pieces that the pre-tokenizer cuts, so a worker
-    merges each distinct piece once and looks it up after that (this dict:
-    piece -> little-endian unsigned 32-bit ids). A text that holds an added
-    token's string, and any text under another kind of pre-tokenizer, is
-    encoded in one call.
+    merges a piece once and looks it up after that (this dict: piece ->
+    little-endian unsigned 32-bit ids). A full dict becomes the older
+    generation, from which pieces come back when asked for again. A text that
+    holds an added token's string, and any text under another kind of
+    pre-tokenizer or model, is encoded in one call.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.letters = _byte_letters()
+        self.older: dict[str, bytes] = {}
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.by_piece = self.whole.normalizer is None and isinstance(self.whole.pre_tokenizer, pre_tokenizers.ByteLevel)
+        parts = json.loads(self.whole.to_str())
+        cut = parts.get("pre_tokenizer") or {}
+        self.by_piece = (
+            all(parts.get(k) is None for k in ("normalizer", "truncation", "padding"))
+            and (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex")) == ("ByteLevel", False, True)
+            and (parts["model"].get("type"), parts["model"].get("dropout")) == ("BPE", None)
+        )
 
     def __missing__(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
-        out = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        out = self.older.get(piece)
+        if out is None:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+            out = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
         if len(self) >= _CACHE_PIECES:
+            self.older = dict(self)
             self.clear()
         self[piece] = out
         return out
@@ -115,7 +128,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, pos = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in slices(batches):
-            blobs = [coder.encode(t or "") + end for t in batch.column("text").to_pylist()]
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            known = {t: coder.encode(t) + end for t in set(texts)}
+            blobs = [known[t] for t in texts]
             ends = np.cumsum([len(b) // 4 for b in blobs])
             ids = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], ends]).astype(np.int32)),

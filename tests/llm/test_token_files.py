@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -45,6 +46,22 @@ def test_encoder_equals_the_library(parts):
     assert np.frombuffer(token_files._encoder(PATH).encode(text), "<u4").tolist() == library(text)
 
 
+def test_generations_and_other_tokenizers(tmp_dir, monkeypatch):
+    """A small cache loses nothing; a file with another split or model is encoded by the library."""
+    monkeypatch.setattr(token_files, "_CACHE_PIECES", 3)
+    coder = token_files.Encoder(PATH)
+    for text in ["a b c d a b e f a", "it's a b, a c. a", "a b c d a b e f a"]:
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == library(text) and coder.by_piece
+    for change in ({"add_prefix_space": True}, {"use_regex": False}):
+        parts = json.loads(WHOLE.to_str())
+        parts["pre_tokenizer"] |= change
+        with open(f"{tmp_dir}/t.json", "w") as f:
+            json.dump(parts, f)
+        other, coder = Tokenizer.from_file(f"{tmp_dir}/t.json"), token_files.Encoder(f"{tmp_dir}/t.json")
+        assert not coder.by_piece
+        assert np.frombuffer(coder.encode("some words, here"), "<u4").tolist() == other.encode("some words, here").ids
+
+
 def test_odd_rows(spark, make_docs):
     rows = [
         (5, "some words\nhere"), (5, "some words\nhere"), (5, "another"), (None, "no id"), (1, None), (2, ""),
