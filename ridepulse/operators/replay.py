@@ -115,11 +115,12 @@ def write_replay(
     One write puts every slice into a file of its own in a staging folder; the
     files are then moved to ``out_dir`` with ascending modification times, by
     which a file stream takes them. The number of Spark jobs does not depend on
-    the number of slices. Returns the number of slices written.
+    the number of slices. A ``source`` column (the feed a trip came from) is
+    written behind the canonical ones. Returns the number of slices written.
     """
     spark = df.sparkSession
     staging = staging_dir or new_work_dir(spark, "replay-staging")
-    cols = [c for c in TRIP_COLUMNS if c in df.columns]
+    cols = [c for c in [*TRIP_COLUMNS, "source"] if c in df.columns]
     sliced = assign_slices(df, rows_per_file, order, seed, num_partitions).select("slice", *cols)
     writer = sliced.repartition("slice").write.mode("overwrite").partitionBy("slice")
     writer = writer.option("maxRecordsPerFile", 0)

@@ -17,6 +17,8 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.sql import functions as F
+
 from ridepulse.operators import normalize, replay
 from ridepulse.schema import REPLAY_ROWS_PER_FILE, REPLAY_SEED
 from ridepulse.session import build_session
@@ -35,17 +37,20 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--partitions", default=None,
                     help="range partitions of the global sort: a number, or 'auto' (sized from the input files)")
+    ap.add_argument("--with-source", action="store_true", help="name each trip's feed, for a watermark per feed in the stream")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-replay")
     if args.raw:
-        scan = scan_feeds(spark, args.raw, layout="stream")
+        scan = scan_feeds(spark, args.raw, layout="stream", with_source=args.with_source)
         trips = scan.trips
         rejected = [r.path for r in scan.rejected.collect()]
     elif args.sf_dir:
-        trips = normalize.trips_stream(
-            testdata.raw_metered(spark, args.sf_dir), testdata.raw_dispatch(spark, args.sf_dir)
-        )
+        raw = {normalize.METERED: testdata.raw_metered(spark, args.sf_dir), normalize.DISPATCH: testdata.raw_dispatch(spark, args.sf_dir)}
+        feeds = [normalize.normalise_stream(df, feed).withColumn("source", F.lit(feed)) for feed, df in raw.items()]
+        trips = normalize.drop_incomplete(normalize.union_trips(feeds))
+        if not args.with_source:
+            trips = trips.drop("source")
         rejected = []
     else:
         ap.error("give --raw or --sf-dir")

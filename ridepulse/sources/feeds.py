@@ -240,8 +240,11 @@ def scan_feeds(
     with_file: bool = False,
     ignore_missing: bool = False,
     probe: str = "file",
+    with_source: bool = False,
 ) -> FeedScan:
-    """Canonical trips from raw files of both feeds, whatever their column types."""
+    """Canonical trips from raw files of both feeds, whatever their column types.
+
+    ``with_source``: stream-layout trips name their feed too (batch-layout ones always do)."""
     files = list_files(spark, paths, ignore_missing)
     groups, rejected = group_by_schema(spark, files, probe=probe)
     frames = []
@@ -265,6 +268,8 @@ def scan_feeds(
             out = normalise_batch(raw, feed, extra=extra)
         else:
             out = normalise_stream(raw, feed, extra=extra)
+            if with_source:
+                out = out.withColumn("source", F.lit(feed))
         frames.append(out)
         accepted += [(p, feed, schema_id) for p in group_paths]
         schemas.append((schema_id, feed, len(group_paths), schema_json))

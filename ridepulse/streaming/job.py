@@ -17,12 +17,14 @@ import time
 
 from pyspark.sql import SparkSession
 
+from ridepulse.operators.normalize import DISPATCH, METERED
 from ridepulse.schema import MAX_FILES_PER_TRIGGER, TRIGGERS, ZONE_LATENESS
 from ridepulse.session import build_session, new_work_dir, prepare
 from ridepulse.streaming import queries as sq
+from ridepulse.streaming.progress import ProgressLog, late_rows, read_progress
 from ridepulse.streaming.runs import ZONE_KEYS
 from ridepulse.streaming.sinks import compact_updates
-from ridepulse.streaming.sources import canonical_stream
+from ridepulse.streaming.sources import canonical_stream, names_source, routed_stream
 
 # State kept off the JVM heap, with changelog checkpointing (small commits).
 ROCKSDB_CONF = {
@@ -44,9 +46,14 @@ def start_all(
     state_partitions: int | None = None,
     zone_mode: str = "update",
     daily_lateness: str | None = None,
+    feeds: list[str] | None = None,
 ) -> sq.StartedQueries:
     """Start the three queries over the trip files in ``input_dir``, each with its own
-    source, checkpoint and output under ``work_dir``."""
+    source, checkpoint and output under ``work_dir``.
+
+    ``feeds`` names the feeds of files that have a ``source`` column: each gets
+    a watermark of its own, so feeds years apart may share a folder. Without
+    it, one watermark runs over all trips."""
     prepare(spark)
     started = sq.StartedQueries()
 
@@ -57,17 +64,26 @@ def start_all(
         return sq.Trigger(available_now=True) if available_now else sq.Trigger(TRIGGERS[name])
 
     # Each query reads the source itself (own offsets, own state).
+    def files():
+        return canonical_stream(spark, input_dir, fmt, max_files_per_trigger, max_bytes_per_trigger, bool(feeds))
+
     def src():
-        return canonical_stream(spark, input_dir, fmt, max_files_per_trigger, max_bytes_per_trigger)
+        return files().drop("source")
+
+    def timed(allowed: str):
+        """The trips, and the watermark the query still has to set (None: they carry one per feed)."""
+        return (routed_stream(files, feeds, allowed), None) if feeds else (src(), allowed)
 
     try:
+        trips, allowed = timed(lateness)
         started.queries["zone_demand"] = sq.start_zone_demand(
-            src(), paths("zone_demand"), trig("zone_demand"), lateness,
+            trips, paths("zone_demand"), trig("zone_demand"), allowed,
             state_partitions=state_partitions, mode=zone_mode,
         )
         if daily_lateness:  # watermarked one-day windows: state of closed days is dropped
+            trips, allowed = timed(daily_lateness)
             started.queries["daily_stats"] = sq.start_daily_stats_windowed(
-                src(), paths("daily_stats"), trig("daily_stats"), daily_lateness, name="daily_stats"
+                trips, paths("daily_stats"), trig("daily_stats"), allowed, name="daily_stats"
             )
         else:
             started.queries["daily_stats"] = sq.start_daily_stats(src(), paths("daily_stats"), trig("daily_stats"))
@@ -102,16 +118,24 @@ def main(argv: list[str] | None = None) -> None:
                     help="partitions of the zone-demand state (fixed when its checkpoint is first created)")
     ap.add_argument("--rocksdb", action="store_true",
                     help="keep streaming state in RocksDB (large key spaces; set before a checkpoint is created)")
+    ap.add_argument("--feeds", default=None,
+                    help="comma-separated feeds of the input files, each with its own watermark; "
+                         "default: both, if the files have a source column, else one watermark")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-stream", extra_conf=ROCKSDB_CONF if args.rocksdb else None)
     work = args.work or new_work_dir(spark, "stream-job")
+    if args.feeds:
+        feeds = [f for f in args.feeds.split(",") if f]
+    else:
+        feeds = [METERED, DISPATCH] if names_source(spark, args.input, args.format) else None
+    progress = ProgressLog(spark, f"{work}/progress").attach()
     # Queries that ended earlier in this session must not end the wait at once;
     # reset before starting, so a query failing right away is still seen.
     spark.streams.resetTerminated()
     started = start_all(
         spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness,
-        args.max_bytes_per_trigger, args.state_partitions, args.zone_mode, args.daily_lateness,
+        args.max_bytes_per_trigger, args.state_partitions, args.zone_mode, args.daily_lateness, feeds,
     )
     try:
         if args.available_now:
@@ -134,6 +158,11 @@ def main(argv: list[str] | None = None) -> None:
             spark.streams.awaitAnyTermination()
     finally:
         started.stop_all()
+        for q in started.queries.values():
+            progress.wait(q)
+        progress.detach()
+    for row in late_rows(read_progress(spark, f"{work}/progress")).collect():  # a row per query
+        print(json.dumps(row.asDict()))
     print(f"results under {work}")
 
 

@@ -20,6 +20,13 @@ from ridepulse.schema import ZONE_LATENESS, ZONE_WINDOW
 from ridepulse.streaming.sinks import KeyedUpdateSink, SnapshotSink
 
 
+# With several watermarks in a stream the slowest one counts: no feed makes another's rows late.
+WATERMARK_POLICY = {"spark.sql.streaming.multipleWatermarkPolicy": "min"}
+# Keys of the update-mode results.
+ZONE_KEYS = ["window_start", "window_end", "PULocationID"]
+DAY_KEYS = ["trip_date"]
+
+
 @dataclass
 class Trigger:
     """``processing_time`` for live runs, ``available_now`` for backfill and tests."""
@@ -105,7 +112,7 @@ def _start(
     kw = trigger.kwargs()
     if kw:
         writer = writer.trigger(**kw)
-    with _state_partitions(df.sparkSession, state_partitions):
+    with _start_conf(df.sparkSession, WATERMARK_POLICY), _state_partitions(df.sparkSession, state_partitions):
         return writer.start()
 
 
@@ -137,7 +144,7 @@ def start_zone_demand(
     if mode == "update":
         conf = {} if no_data_batches else {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
         with _start_conf(trips.sparkSession, conf):
-            return _start(agg, name, "update", KeyedUpdateSink(paths.output), paths, trigger, n)
+            return _start(agg, name, "update", KeyedUpdateSink(paths.output, ZONE_KEYS), paths, trigger, n)
     if mode != "append":
         raise ValueError(f"unknown output mode {mode!r}")
     writer = (
@@ -150,7 +157,7 @@ def start_zone_demand(
     kw = trigger.kwargs()
     if kw:
         writer = writer.trigger(**kw)
-    with _state_partitions(trips.sparkSession, n):
+    with _start_conf(trips.sparkSession, WATERMARK_POLICY), _state_partitions(trips.sparkSession, n):
         return writer.start()
 
 
@@ -175,7 +182,7 @@ def start_daily_stats_windowed(
         cleaned = cleaned.withWatermark("pickup_datetime", lateness)
     agg = running.daily_stats_windowed(cleaned)
     n = STATE_PARTITIONS["daily_stats"]
-    return _start(agg, name, "update", KeyedUpdateSink(paths.output), paths, trigger, n)
+    return _start(agg, name, "update", KeyedUpdateSink(paths.output, DAY_KEYS), paths, trigger, n)
 
 
 def start_payment(

@@ -22,7 +22,7 @@ from ridepulse.streaming import queries as sq
 from ridepulse.streaming.sinks import read_latest, read_snapshot
 from ridepulse.streaming.sources import canonical_stream, feed_stream, trips_stream
 
-ZONE_KEYS = ["window_start", "window_end", "PULocationID"]
+ZONE_KEYS = sq.ZONE_KEYS
 
 
 def testdata_trip_stream(
@@ -72,7 +72,7 @@ _KINDS = {
     "daily_stats_windowed": (
         sq.start_daily_stats_windowed,
         lambda t: running.daily_stats_windowed(clean_stream(t)),
-        lambda spark, out: read_latest(spark, out, ["trip_date"]),
+        lambda spark, out: read_latest(spark, out, sq.DAY_KEYS),
     ),
     "payment_analysis": (
         sq.start_payment,

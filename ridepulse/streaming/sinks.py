@@ -1,98 +1,72 @@
 """Sinks for streaming aggregates, written through ``foreachBatch``.
 
-File sinks accept append mode only, so the two result shapes are kept as:
-
-* update mode (``KeyedUpdateSink``): each micro-batch writes the rows it
-  changed into ``<out>/batch_id=<n>``; the current table is, per key, the row
-  of the highest batch id. A retried batch overwrites its own folder, so
-  writes are idempotent and a restart from the checkpoint loses nothing.
-  ``compact_updates`` folds old batch folders into a snapshot so readers do
-  not pay for the whole history of the stream.
-* complete mode (``SnapshotSink``): each micro-batch writes the whole result
-  into one of two slots, ``<out>/slot=<n % 2>``, replacing only that slot
-  (dynamic partition overwrite); the other slot keeps the previous complete
-  snapshot, and the current table is the highest batch id found. The number
-  of folders stays at two however long the stream runs. (A slot is swapped
-  in by a directory rename when the write commits: atomic on HDFS-like file
-  systems.)
+File sinks accept append mode only, so the two result shapes are kept as
+tables under a commit log (``ridepulse.streaming.commits``):
+
+* update mode (``KeyedUpdateSink``): each micro-batch adds a folder with the
+  rows it changed; the current table is, per key, the row of the highest
+  batch id. When ``fold_after`` folders are live, the sink folds them into
+  one, so neither readers nor storage pay for the stream's whole history.
+* complete mode (``SnapshotSink``): each micro-batch adds a folder with the
+  whole result and removes the one before.
+
+A batch writes its rows first and then one small commit file. Until that file
+is there the rows are in no version; a retried batch writes a new folder and
+its commit takes the place of the earlier one, so a restart from the
+checkpoint loses and doubles nothing. Readers read one version.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
-
-BATCH_COL = "batch_id"
-UPTO_COL = "upto"
 
+from ridepulse.streaming.commits import KEEP_VERSIONS, CommitLog, Folder, NothingCommitted, Version
 
-def _batch_path(out_dir: str, batch_id: int) -> str:
-    return f"{out_dir.rstrip('/')}/{BATCH_COL}={batch_id}"
+BATCH_COL = "batch_id"
+FOLD_AFTER = 64
 
 
-def _compacted_dir(out_dir: str) -> str:
-    return f"{out_dir.rstrip('/')}__compacted"
+def _with_batch(df: DataFrame, batch_id: int) -> DataFrame:
+    return df.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
 
 
 class KeyedUpdateSink:
-    """foreachBatch writer for update-mode results."""
+    """foreachBatch writer for update-mode results; with ``keys`` it folds ``fold_after`` live folders into one."""
 
-    def __init__(self, out_dir: str):
-        self.out_dir = out_dir
+    def __init__(self, out_dir: str, keys: list[str] | None = None, fold_after: int = FOLD_AFTER, keep: int = KEEP_VERSIONS):
+        self.out_dir, self.keys, self.fold_after, self.keep = out_dir, keys, fold_after, keep
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(_batch_path(self.out_dir, batch_id))
-
-
-SLOT_COL = "slot"
+        log = CommitLog(df.sparkSession, self.out_dir)
+        folder = log.new_folder(batch_id)
+        _with_batch(df, batch_id).write.parquet(log.path(folder))
+        version = log.commit([folder], lambda now: [f for f in now.live if f.batch == batch_id and not f.folded])
+        if self.keys and len(version.live) >= self.fold_after:
+            _fold(log, version, list(version.live), self.keys)
+            log.vacuum(self.keep)
 
 
 class SnapshotSink:
     """foreachBatch writer for complete-mode results (small key spaces)."""
 
-    def __init__(self, out_dir: str):
-        self.out_dir = out_dir
+    def __init__(self, out_dir: str, keep: int = KEEP_VERSIONS):
+        self.out_dir, self.keep = out_dir, keep
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        (
-            df.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-            .withColumn(SLOT_COL, F.lit(batch_id % 2))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(SLOT_COL)
-            .parquet(self.out_dir)
-        )
+        log = CommitLog(df.sparkSession, self.out_dir)
+        folder = log.new_folder(batch_id)
+        _with_batch(df, batch_id).write.parquet(log.path(folder))
+        version = log.commit([folder], lambda now: list(now.live))
+        if version.number % max(1, self.keep // 2) == 0:
+            log.vacuum(self.keep)
 
 
-def _last_compaction(spark: SparkSession, out_dir: str) -> int | None:
-    try:
-        return spark.read.parquet(_compacted_dir(out_dir)).agg(F.max(UPTO_COL)).first()[0]
-    except AnalysisException:
-        return None
+def _rows(log: CommitLog, folders: list[Folder]) -> DataFrame:
+    return log.spark.read.parquet(*(log.path(f) for f in folders))
 
 
-def _updates(spark: SparkSession, out_dir: str, since: int | None, upto: int | None = None) -> DataFrame:
-    """Batch rows after ``since`` (up to ``upto``), plus the snapshot taken at ``since``."""
-    df = spark.read.parquet(out_dir)
-    cond = F.lit(True)
-    if since is not None:
-        cond = cond & (F.col(BATCH_COL) > F.lit(since))
-    if upto is not None:
-        cond = cond & (F.col(BATCH_COL) <= F.lit(upto))
-    rows = df.filter(cond)
-    if since is not None:
-        base = (
-            spark.read.parquet(_compacted_dir(out_dir))
-            .filter(F.col(UPTO_COL) == F.lit(since))
-            .drop(UPTO_COL)
-            .withColumn(BATCH_COL, F.lit(since).cast(df.schema[BATCH_COL].dataType))
-        )
-        rows = rows.unionByName(base.select(*df.columns))
-    return rows
-
-
-def _latest_of(df: DataFrame, keys: list[str]) -> DataFrame:
+def _latest_of(df: DataFrame, keys: list[str], with_batch: bool = False) -> DataFrame:
     """Per key, the values of the highest batch id.
 
     ``max_by`` is an aggregate with a partial stage, so a key updated in
@@ -100,39 +74,50 @@ def _latest_of(df: DataFrame, keys: list[str]) -> DataFrame:
     """
     values = [c for c in df.columns if c not in keys and c != BATCH_COL]
     packed = F.struct(*[F.col(c).alias(c) for c in values])
-    latest = df.groupBy(*keys).agg(F.max_by(packed, F.col(BATCH_COL)).alias("_v"))
-    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+    latest = df.groupBy(*keys).agg(F.max_by(packed, F.col(BATCH_COL)).alias("_v"), F.max(BATCH_COL).alias(BATCH_COL))
+    out = latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values], BATCH_COL)
+    return out if with_batch else out.drop(BATCH_COL)
 
 
-def read_latest(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame:
-    """Current table of an update-mode sink (last snapshot + newer batch folders)."""
-    return _latest_of(_updates(spark, out_dir, _last_compaction(spark, out_dir)), keys)
+def _fold(log: CommitLog, version: Version, folders: list[Folder], keys: list[str]) -> Version | None:
+    """One folder in place of several; None if one of them went meanwhile (another fold was first)."""
+    folded = log.new_folder(max(f.batch for f in folders), folded=True)
+    _latest_of(_rows(log, folders), keys, with_batch=True).write.parquet(log.path(folded))
+    return log.commit([folded], lambda now: folders, needs=folders)
+
+
+def read_updates(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Every row kept by an update-mode sink, with the batch it came from."""
+    log = CommitLog(spark, out_dir)
+    return _rows(log, list(log.version().live))
+
+
+def read_latest(spark: SparkSession, out_dir: str, keys: list[str], version: int | None = None) -> DataFrame:
+    """Table of an update-mode sink, as of one version (the newest at the time of the call)."""
+    log = CommitLog(spark, out_dir)
+    return _latest_of(_rows(log, list(log.version(version).live)), keys)
 
 
 def compact_updates(spark: SparkSession, out_dir: str, keys: list[str], final: bool = False) -> int | None:
-    """Fold the batch folders of an update-mode sink into one snapshot.
+    """Fold the live folders of an update-mode sink into one.
 
-    The newest batch is left out unless ``final`` (the query is stopped): its
-    folder may still be in the middle of its commit. Returns the batch id the
-    newest snapshot covers (None when there is nothing yet).
+    The newest batch is left out unless ``final`` (the query is stopped): a
+    retry of it would have to take its place. Returns the batch id the folded
+    folder covers (None when there is nothing yet).
     """
+    log = CommitLog(spark, out_dir)
     try:
-        newest = spark.read.parquet(out_dir).agg(F.max(BATCH_COL)).first()[0]
-    except AnalysisException:  # no batch written yet
+        version = log.version()
+    except NothingCommitted:
         return None
-    previous = _last_compaction(spark, out_dir)
-    if newest is None:
-        return previous
-    upto = int(newest) if final else int(newest) - 1
-    if upto < 0 or (previous is not None and upto <= previous):
-        return previous
-    current = _latest_of(_updates(spark, out_dir, previous, upto), keys)
-    current.write.mode("overwrite").parquet(f"{_compacted_dir(out_dir)}/{UPTO_COL}={upto}")
-    return upto
-
-
-def read_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Current table of a complete-mode sink: the rows of the last batch."""
-    df = spark.read.parquet(out_dir)
-    last = df.agg(F.max(BATCH_COL)).first()[0]
-    return df.filter(F.col(BATCH_COL) == F.lit(last)).drop(BATCH_COL, SLOT_COL)
+    folders = [f for f in version.live if final or f.batch < version.batch()]
+    if len(folders) > 1:
+        _fold(log, version, folders, keys)
+        log.vacuum()
+    return folders[-1].batch if folders else None
+
+
+def read_snapshot(spark: SparkSession, out_dir: str, version: int | None = None) -> DataFrame:
+    """Table of a complete-mode sink, as of one version (the newest at the time of the call)."""
+    log = CommitLog(spark, out_dir)
+    return _rows(log, list(log.version(version).live)).drop(BATCH_COL)

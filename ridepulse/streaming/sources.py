@@ -12,13 +12,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ridepulse.operators.normalize import drop_incomplete, normalise_stream, union_trips
 from ridepulse.schema import TRIPS
 
 
+SOURCE_FIELD = StructField("source", StringType(), True)
+
+
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -49,14 +54,49 @@ def canonical_stream(
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
+    with_source: bool = False,
 ) -> DataFrame:
-    """Trips already in the canonical layout (replay files), as a stream."""
+    """Trips already in the canonical layout (replay files), as a stream; ``with_source`` for files that name each trip's feed."""
     return file_stream(
-        spark, path, TRIPS, fmt,
+        spark, path, StructType([*TRIPS, SOURCE_FIELD]) if with_source else TRIPS, fmt,
         max_files_per_trigger=max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger,
     )
 
 
+def names_source(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """Whether the files of a folder name each trip's feed (a ``source`` column); False while it has no files."""
+    try:
+        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+        return "source" in reader.format(fmt).load(path).columns
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+def routed_stream(open_stream: Callable[[], DataFrame], feeds: list[str], lateness: str) -> DataFrame:
+    """One stream of trips of several feeds, each with its own watermark, from files that hold all of them.
+
+    ``open_stream`` gives the stream of the files (with ``source``); it is read
+    once per feed, filtered by source in the scan. Spark follows the slowest
+    feed (``spark.sql.streaming.multipleWatermarkPolicy`` = min, set when a
+    query starts): a trip is late only behind the newest trips of its own
+    feed and of every other one. A feed without a single trip holds all
+    windows open, so ``feeds`` names those that come. Trips of a feed that is
+    not named fail the query rather than being left out.
+    """
+    named = F.col("source").isin(feeds)
+    checked = F.when(named, F.col("source")).otherwise(
+        F.raise_error(F.concat(F.lit("trip of a feed that the job does not name: "), F.coalesce("source", F.lit("none"))))
+    )
+    parts = []
+    for i, feed in enumerate(feeds):
+        rows = open_stream()
+        rows = rows.where((checked if i == 0 else F.col("source")) == feed).drop("source")
+        parts.append(rows.withWatermark("pickup_datetime", lateness))
+    return union_trips(parts)
+
+
 def feed_stream(
     spark: SparkSession,
     path: str,
