@@ -27,10 +27,15 @@ from ridepulse.plans import one_pass
 from ridepulse.session import build_session, prepare
 from ridepulse.sources import testdata
 from ridepulse.sources.feeds import scan_feeds, suggest_partitions
+from ridepulse.sources.manifest import FileManifest
 from ridepulse.sources.results import write_result
 from ridepulse.sources.trip_table import MONTH_COL, read_trip_table, write_trip_table
 
 
+# Rejected files named in a report.
+REPORTED = 1000
+
+
 def load_trips(
     spark: SparkSession,
     raw: list[str] | None = None,
@@ -40,19 +45,24 @@ def load_trips(
     months: tuple[str, str] | None = None,
     allow_rejected: bool = False,
     rejected: list | None = None,
+    manifest: str | None = None,
 ) -> DataFrame:
     """Canonical trips from a stored trip table (pruned by source / month), raw
     feed files, or the generated tables.
 
     Raw files that cannot be used fail the load, unless ``allow_rejected``;
-    then they are appended to ``rejected`` with their reasons."""
+    then the first ``REPORTED`` of them are appended to ``rejected`` with their
+    reasons, and their number, if there are more. ``manifest``: folder of a
+    file manifest, by which only new files' footers are opened."""
     if table:
         return read_trip_table(spark, table, sources, months).drop(MONTH_COL)
     if raw:
-        scan = scan_feeds(spark, raw)
-        unused = [(r.path, r.reason) for r in scan.rejected.collect()]
+        scan = FileManifest(spark, manifest).scan(raw) if manifest else scan_feeds(spark, raw)
+        unused = [(r.path, r.reason) for r in scan.rejected.take(REPORTED)]
+        if len(unused) == REPORTED:
+            unused.append(("...", f"{scan.rejected.count()} files in all"))
         if unused and not allow_rejected:
-            raise ValueError(f"{len(unused)} raw files cannot be used (allow_rejected loads the others): {unused[:20]}")
+            raise ValueError(f"raw files cannot be used (allow_rejected loads the others): {unused[:20]}")
         if rejected is not None:
             rejected += unused
         trips = scan.trips
@@ -86,13 +96,14 @@ def run(
     months: tuple[str, str] | None = None,
     formats: tuple[str, ...] = ("csv", "parquet"),
     allow_rejected: bool = False,
+    manifest: str | None = None,
 ) -> dict:
     """Write every result under ``out_dir/<format>/<name>`` (CSV with a header
     for people, Parquet beside it for further processing)."""
     prepare(spark)
     t0 = time.time()
     rejected: list = []
-    trips = load_trips(spark, raw, sf_dir, table, sources, months, allow_rejected, rejected)
+    trips = load_trips(spark, raw, sf_dir, table, sources, months, allow_rejected, rejected, manifest)
     sets, results = batch_results(trips)
     timings = {}
     try:
@@ -125,20 +136,21 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--show", type=int, default=0, help="print the first N rows of each result")
     ap.add_argument("--formats", default="csv,parquet", help="comma-separated result formats")
     ap.add_argument("--allow-rejected", action="store_true", help="go on without raw files that cannot be used; the report names them")
+    ap.add_argument("--manifest", help="folder of a manifest of the raw files: only new files' footers are opened")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-batch")
     months = tuple(args.months.split(":", 1)) if args.months else None
     if args.write_table:
         rejected: list = []
-        trips = load_trips(spark, args.raw, args.sf_dir, allow_rejected=args.allow_rejected, rejected=rejected)
+        trips = load_trips(spark, args.raw, args.sf_dir, allow_rejected=args.allow_rejected, rejected=rejected, manifest=args.manifest)
         write_trip_table(trips, args.write_table, num_partitions=suggest_partitions(trips))
         print(json.dumps({"table": args.write_table, "rejected": rejected}))
         return
     if not args.out:
         ap.error("--out is required")
     formats = tuple(f for f in args.formats.split(",") if f)
-    report = run(spark, args.out, args.raw, args.sf_dir, args.show, args.table, args.sources, months, formats, args.allow_rejected)
+    report = run(spark, args.out, args.raw, args.sf_dir, args.show, args.table, args.sources, months, formats, args.allow_rejected, args.manifest)
     print(json.dumps(report))
 
 

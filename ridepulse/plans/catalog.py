@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from ridepulse.operators import audit, clean, normalize, replay, running, summaries
 from ridepulse.operators.normalize import DISPATCH, METERED
-from ridepulse.session import prepare
+from ridepulse.session import new_work_dir, prepare
 from ridepulse.sources import testdata
+from ridepulse.sources.manifest import FileManifest
+from ridepulse.streaming.progress import ProgressLog, late_rows, read_progress
 from ridepulse.streaming.queries import Trigger, dropped_by_watermark, start_payment_memory
 from ridepulse.streaming.runs import replayed_trip_stream, run_to_end, testdata_trip_stream
 
@@ -74,6 +76,32 @@ def load_audit_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.load_audit(feeds[0].unionByName(feeds[1]), by=["source", "file"], checksum=True)
 
 
+def _drifted_files(spark: SparkSession, sf_dir: str) -> str:
+    """Raw files of both feeds as months deliver them: column types change from folder to folder, and within one."""
+    work = new_work_dir(spark, "drifted")
+    metered, dispatch = testdata.raw_metered(spark, sf_dir), testdata.raw_dispatch(spark, sf_dir)
+    half = F.coalesce(F.col("PULocationID") % 2 == 0, F.lit(False))
+    whole = F.col("passenger_count").cast("long")
+    metered.where(half).write.parquet(f"{work}/raw/a")
+    metered.where(~half).withColumn("passenger_count", whole).write.parquet(f"{work}/raw/b")
+    dispatch.where(half).write.parquet(f"{work}/raw/c")
+    dispatch.where(~half).withColumn("DOLocationID", F.col("DOLocationID").cast("double")).write.mode("append").parquet(f"{work}/raw/c")
+    return work
+
+
+def trips_drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds from raw files of drifting types, scanned twice by a manifest; the second scan opens no footer."""
+    prepare(spark)
+    work = _drifted_files(spark, sf_dir)
+    manifest = FileManifest(spark, f"{work}/manifest")
+    paths = [f"{work}/raw/*/*.parquet"]
+    if not manifest.refresh(manifest.listing(paths)):
+        raise RuntimeError("the first scan saw no files")
+    if manifest.refresh(manifest.listing(paths)):
+        raise RuntimeError("the second scan opened footers that the manifest has")
+    return manifest.scan(paths).trips
+
+
 # ---- batch summaries ------------------------------------------------------------
 
 
@@ -191,11 +219,26 @@ def stream_payment_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM {name}")
 
 
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches, rows and rows dropped as late of the zone-demand stream, from the record of all its batches."""
+    prepare(spark)
+    work = new_work_dir(spark, "late-rows")
+    log = ProgressLog(spark, f"{work}/progress").attach()
+    try:
+        _, query = run_to_end(spark, replayed_trip_stream(spark, sf_dir), "zone_demand", f"{work}/zones", lateness=None)
+        log.wait(query)
+    finally:
+        log.detach()
+    mine = read_progress(spark, f"{work}/progress").where(F.col("run_id") == str(query.runId))
+    return late_rows(mine).withColumn("query", F.lit("zone_demand"))
+
+
 QUERIES: dict[str, Query] = {
     "trips_metered": trips_metered,
     "trips_dispatch": trips_dispatch,
     "trips_union": trips_union,
     "union_missing_columns": union_missing_columns,
+    "trips_drifted": trips_drifted,
     "trips_clean": trips_clean,
     "trips_stream_norm": trips_stream_norm,
     "trips_stream_clean": trips_stream_clean,
@@ -225,4 +268,5 @@ QUERIES: dict[str, Query] = {
     "stream_zone_demand_batches": stream_zone_demand_batches,
     "stream_payment_csv": stream_payment_csv,
     "stream_payment_memory": stream_payment_memory,
+    "stream_late_rows": stream_late_rows,
 }

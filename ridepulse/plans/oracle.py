@@ -303,3 +303,9 @@ ORACLE_SQL["stream_daily_windowed"] = ORACLE_SQL["daily_stats"]
 ORACLE_SQL["stream_zone_demand_batches"] = ORACLE_SQL["zone_demand"]
 ORACLE_SQL["stream_payment_csv"] = ORACLE_SQL["payment_analysis"]
 ORACLE_SQL["stream_payment_memory"] = ORACLE_SQL["payment_analysis"]
+ORACLE_SQL["trips_drifted"] = ORACLE_SQL["trips_union"]
+# Four files a feed (fewer only for a handful of rows), one of each feed a batch; in event-time order nothing is late.
+ORACLE_SQL["stream_late_rows"] = """
+SELECT 'zone_demand' AS query, CAST(max(ceil(n / ceil(n / 4.0))) AS BIGINT) AS batches,
+       CAST(sum(n) AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS dropped_rows
+FROM (SELECT count(*) AS n FROM events UNION ALL SELECT count(*) FROM lineitem)"""
