@@ -14,7 +14,6 @@ a symbol, done for thousands of stretches of texts at once.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +32,6 @@ SAMPLE_CHARS = 400_000
 FOLDS = 5
 # Texts are parsed in stretches of this many symbols, side by side.
 _STRETCH = 128
-_LETTER = re.compile(r"[^\W\d_]")
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -117,7 +115,7 @@ class Models:
 
     def predict(self, texts: list[str | None], whole: bool = False) -> tuple[list[str], list[float]]:
         """(language or und, score) of each text, parsed as a ``whole`` or every stretch from the root."""
-        known = [t if t and self.models and _LETTER.search(t) else "" for t in texts]
+        known = [t if t and self.models and any(map(str.isalpha, t)) else "" for t in texts]
         data = _lower_bytes(known)
         buffer = np.frombuffer(b"".join(data), np.uint8)
         ends = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))

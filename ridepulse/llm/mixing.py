@@ -181,7 +181,9 @@ def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     times = mix(docs, block_words).where("size > 0").groupBy("doc_id", "text_hash")
     times = times.agg(F.floor(F.avg(F.col("taken") / F.col("size")) + 0.5).cast("int").alias("_times")).where("_times > 0")
     times = times.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_times")
-    keyed = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    same = keyed["doc_id"].cast("long").eqNullSafe(times["_id"]) & (keyed["_own"] == times["_hash"])
-    repeated = keyed.join(times, same).withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return repeated.select(*docs.columns)
+    # the document as one column, so that none of its columns meets a helper's name
+    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), text_hash.alias("own_hash"))
+    same = keyed["own_id"].eqNullSafe(times["_id"]) & (keyed["own_hash"] == times["_hash"])
+    repeated = keyed.join(times, same).select("row", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return repeated.select("row.*")

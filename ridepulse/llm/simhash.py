@@ -231,6 +231,7 @@ def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFra
     kept = classes(docs, shingle, max_bits).groupBy("root").agg(first)
     kept = kept.select(F.col("_k.doc_id").alias("_id"), F.col("_k.text_hash").alias("_hash")).distinct()
     text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    keyed = docs.withColumn("_own", text_hash)
-    same = keyed["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (keyed["_own"] == kept["_hash"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_own"]).drop("_own")
+    # the document as one column, so that none of its columns meets a helper's name
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), text_hash.alias("own_hash"))
+    same = keyed["own_id"].eqNullSafe(kept["_id"]) & (keyed["own_hash"] == kept["_hash"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["own_id", "own_hash"]).select("row.*")

@@ -304,3 +304,11 @@ def test_words_equal_split():
     w = Words(texts, BLANK)
     assert w.count.tolist() == [len(t.split()) for t in texts]
     assert len(set(w.hash.tolist())) == 6 and len(Words([b"A-a"], PUNCTUATION, lower=True).hash) == 2
+
+
+def test_numbers_are_no_letters(spark, make_docs):
+    """Number signs count as no letters, letters of any alphabet do."""
+    rows = [(1, "the words of one language", "en"), (2, "die Wörter der anderen Sprache", "de"), (3, "the words", "en"), (4, "der Wörter", "de")]
+    rows += [(10, "² ½ 12"), (11, "Ⅷ ①"), (12, "_ 3"), (13, "x²"), (14, "字")]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(make_docs(rows)).collect()}
+    assert {got[i] for i in (10, 11, 12)} == {("und", 0.0)} and "und" not in {got[13][0], got[14][0]}

@@ -120,3 +120,15 @@ def test_wider_embeddings_fail_the_search(spark):
     wide = spark.createDataFrame([(i, [1.0] * 64 + [float(i)]) for i in range(3)], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="more than 64 components"):
         hamming_search.top_k(wide, F.col("vec_id") == 0, k=1).collect()
+
+
+@pytest.mark.parametrize("stage", ["simhash_near_dedup", "mixing"])
+def test_stages_leave_clashing_columns_alone(spark, make_docs, stage):
+    """Columns named like the stage's helpers come out as they went in."""
+    rows = [(1, "one two three four five"), (2, "one two three four five"), (3, "other words stand here today"), (None, "no id at all here now")]
+    helpers = ["_own", "_n", "_times", "_id", "_hash", "row", "own_id", "own_hash", "root", "col"]
+    docs = make_docs(rows).select("*", *(F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in helpers))
+    got = dict(stages.STAGES)[stage](spark, docs, SF_SMALL)
+    assert got.columns == docs.columns
+    kept = got.where("doc_id IS NOT NULL").collect()
+    assert kept and all(r[c] == f"{c}{r.doc_id}" for r in kept for c in helpers)
