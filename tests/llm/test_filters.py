@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
 
 from ridepulse.llm import catalog, decontaminate, language, licenses, url_filter
 from ridepulse.llm.words import BLANK, PUNCTUATION, Words
@@ -290,6 +292,71 @@ def test_every_leak_at_the_edit_limit_is_found(spark, make_docs):
     assert decontaminate.without_leaks(make_docs(rows), bench).collect() == []
 
 
+def hashed(text):
+    return Words([text.encode()], PUNCTUATION, lower=True).hash
+
+
+@pytest.mark.parametrize("n", [10, 15, 57, 200])
+@pytest.mark.parametrize("kind", ["delete", "insert", "replace", "mixed"])
+def test_lsh_alone_finds_leaks_at_the_edit_limit(n, kind):
+    rng = np.random.default_rng([n, len(kind)])
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    item = list(rng.choice(vocabulary, n))
+    texts = []
+    for _ in range(50):
+        w = list(item)
+        for k in sorted(rng.choice(n, decontaminate.max_edits(n, 0.8), replace=False).tolist(), reverse=True):
+            how = ("delete", "insert", "replace")[int(rng.integers(0, 3))] if kind == "mixed" else kind
+            w[k : k + (how != "insert")] = [] if how == "delete" else ["extra"]
+        around = [list(rng.choice(vocabulary, 50)) for _ in range(2)]
+        texts.append(" ".join(around[0] + w + around[1]).encode())
+    items = decontaminate.Items([1], [hashed(" ".join(item))], 0.8, 2)
+    w = Words(texts, PUNCTUATION, lower=True)
+    found = items.leaks(w, exact=False)
+    assert len(found) >= 45 and all(v[3] == "lsh" for v in found.values())
+    assert len(items.leaks(w)) == 50
+
+
+def test_without_lsh_the_exact_way_finds_the_same(monkeypatch):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(200)]
+    item = [list(rng.choice(vocabulary, n)) for n in (6, 20, 40)]
+    texts = [" ".join(list(rng.choice(vocabulary, 9)) + x[:4] + ["more"] + x[4:]).encode() for x in item] * 2
+    items = decontaminate.Items([0, 1, 2], [hashed(" ".join(x)) for x in item], 0.8, 2)
+    w = Words(texts, PUNCTUATION, lower=True)
+    want = items.leaks(w)
+    assert {(d, d % 3) for d in range(6)} <= set(want) and items.leaks(w, exact=False)
+    monkeypatch.setattr(decontaminate.Items, "collide", lambda self, w, doc, item, start, region: np.zeros(int(region[-1]) + 1, bool))
+    got = items.leaks(w)
+    assert items.leaks(w, exact=False) == {} and {k: v[:3] for k, v in got.items()} == {k: v[:3] for k, v in want.items()}
+    assert {v[3] for v in got.values()} == {"exact"}
+
+
+def test_leaks_of_repetitive_texts_in_bounded_memory():
+    items = decontaminate.Items([1, 2], [hashed("a b c " * 100), hashed("x y " * 20)], 0.8, 2)
+    tracemalloc.start()
+    found = items.leaks(Words([b"a b c " * 80_000, b"x y " * 60, b"a b c " * 50], PUNCTUATION, lower=True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {k: v[:3] for k, v in found.items()} == {(0, 0): (0, 0, 300), (1, 1): (0, 0, 40)}
+    assert peak < 300 << 20
+
+
+def test_leaks_in_parts_equal_leaks_at_once(monkeypatch):
+    """Items that share many q-grams with a slice are searched in parts, pairs and embeddings in chunks."""
+    rng = np.random.default_rng(6)
+    vocabulary = ["a", "b", "c"] + [f"w{i}" for i in range(20)]
+    item = [" ".join(rng.choice(vocabulary, n)) for n in (3, 5, 8, 12, 20, 35)] + ["a b " * 9]
+    texts = [" ".join(rng.choice(vocabulary, int(rng.integers(0, 60)))) + " " + item[i % 7] + " " + " ".join(rng.choice(vocabulary, 9)) for i in range(40)]
+    w = Words([t.encode() for t in texts] + [b"", b"a b " * 200], PUNCTUATION, lower=True)
+    items = decontaminate.Items(list(range(7)), [hashed(x) for x in item], 0.8, 2)
+    want = items.leaks(w)
+    assert {(i, i % 7) for i in range(40)} <= set(want)
+    monkeypatch.setattr(decontaminate, "_MOST_HITS", 50)
+    monkeypatch.setattr(decontaminate, "_MOST_CELLS", 500)
+    assert len(list(items.parts(w))) > 1 and items.leaks(w) == want
+
+
 def test_all_exact_passages_are_found(spark):
     t = pq.read_table(f"{SF_SMALL}/documents.parquet").to_pydict()
     b = pq.read_table(f"{SF_SMALL}/benchmark.parquet").to_pydict()
