@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 
 from ridepulse.llm.common import slices
 
-# Bounds of the labelled sample, and the share held out for tests (crc32 of the id's text mod FOLDS is 0).
-DOCS_PER_LANG, CHARS_PER_DOC = 48, 500
-# All languages' samples together; more languages get smaller samples.
-SAMPLE_CHARS = 400_000
+# Bounds of the labelled sample: rows per language and in all (one a language at least), taken among the texts
+# of at most TEXT_CHARS. Sampled texts are learned whole.
+DOCS_PER_LANG, SAMPLE_DOCS, TEXT_CHARS = 32, 512, 1000
+# The share held out for tests: crc32 of the id's text mod FOLDS is 0.
 FOLDS = 5
 # Texts are parsed in stretches of this many symbols, side by side.
 _STRETCH = 128
@@ -113,8 +113,8 @@ class Models:
             models.append(Model(lang, len(symbols), table.ravel()))
         return cls(classes, pad, models)
 
-    def predict(self, texts: list[str | None], whole: bool = False) -> tuple[list[str], list[float]]:
-        """(language or und, score) of each text, parsed as a ``whole`` or every stretch from the root."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """(language or und, score) of each text."""
         known = [t if t and self.models and any(map(str.isalpha, t)) else "" for t in texts]
         data = _lower_bytes(known)
         buffer = np.frombuffer(b"".join(data), np.uint8)
@@ -130,7 +130,7 @@ class Models:
         doc = np.repeat(np.arange(len(texts)), stretches)
         price = np.empty((len(self.models), len(texts)))
         for i, m in enumerate(self.models):
-            phrases = _phrases(m.table, steps, np.diff(doc, prepend=-1) != 0 if whole else np.ones(len(doc), bool))
+            phrases = _phrases(m.table, steps, np.diff(doc, prepend=-1) != 0)
             price[i] = np.bincount(doc, phrases, len(texts)) * math.log2(max(m.size, self.pad) + 1)
         out_lang, out_score = [], []
         for d, text in enumerate(known):
@@ -187,21 +187,29 @@ def held_out(doc_id) -> F.Column:
 
 
 def training_sample(docs: DataFrame) -> dict[str, list[str]]:
-    """Bounded samples of labelled text by language: the rows with the least hashes, not in the held-out fold."""
+    """Bounded samples of whole labelled texts by language, not in the held-out fold.
+
+    The rows with the least hashes among those of at most ``TEXT_CHARS``; a
+    language that has none of these learns from its shortest text.
+    """
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     pool = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-        F.substring(F.col("text").cast("string"), 1, CHARS_PER_DOC).alias("text"),
-    ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0))
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    rows = pool.withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= DOCS_PER_LANG).collect()
-    out: dict[str, list[str]] = {}
+        doc_id.alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"), F.length(text).alias("chars")
+    ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.crc32(doc_id.cast("string")) % FOLDS != 0))
+    # long texts are ranked behind all others, without carrying them
+    short = pool.withColumn("text", F.when(F.col("chars") <= TEXT_CHARS, F.col("text")))
+    by = Window.partitionBy("lang").orderBy(F.col("text").isNull(), F.xxhash64("doc_id"), "doc_id", "text")
+    rows = short.withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= DOCS_PER_LANG).collect()
+    out: dict[str, list[str]] = {r.lang: [] for r in rows}
+    most = max(1, min(DOCS_PER_LANG, SAMPLE_DOCS // max(1, len(out))))
     for r in sorted(rows, key=lambda r: (r.lang, r._n)):
-        out.setdefault(r.lang, []).append(r.text)
-    share = max(1, SAMPLE_CHARS // max(1, len(out)))
-    for lang, texts in out.items():
-        room = share
-        for i, t in enumerate(texts):
-            texts[i], room = t[:room], max(0, room - len(t))
+        if r.text is not None and len(out[r.lang]) < most:
+            out[r.lang].append(r.text)
+    only_long = [lang for lang, texts in out.items() if not texts]
+    if only_long:
+        least = F.min(F.struct("chars", F.xxhash64("doc_id").alias("hash"), "doc_id", "text")).alias("least")
+        for r in pool.where(F.col("lang").isin(only_long)).groupBy("lang").agg(least).collect():
+            out[r.lang].append(r.least.text)
     return out
 
 
@@ -214,7 +222,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            lang, _ = held.value.predict(batch.column("text").to_pylist(), whole=True)
+            lang, _ = held.value.predict(batch.column("text").to_pylist())
             at = batch.schema.get_field_index("lang")
             given = pc.coalesce(batch.column(at), pa.array(lang, batch.column(at).type))
             kept = batch.set_column(at, batch.schema.field(at), given)
@@ -236,7 +244,7 @@ def identify(docs: DataFrame, sample: dict[str, list[str]] | None = None) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            lang, score = held.value.predict(batch.column("text").to_pylist(), whole=True)
+            lang, score = held.value.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(lang), pa.array(score)],
                 ["doc_id", "held_out", "lang_pred", "score"],

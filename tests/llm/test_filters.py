@@ -165,8 +165,7 @@ def test_language_parse_equals_greedy_longest_matches():
         for m in models.models:
             own = language._symbols(models.classes, np.frombuffer("".join(sample[m.lang]).lower().encode(), np.uint8)).tolist()
             symbols = language._symbols(models.classes, np.frombuffer(t.lower().encode(), np.uint8)).tolist()
-            parts = [symbols[i : i + 128] for i in range(0, len(symbols), 128)]
-            price.append((sum(greedy(p, own) for p in parts) * math.log2(len(own) + 1), m.lang))
+            price.append((greedy(symbols, own) * math.log2(len(own) + 1), m.lang))
         price.sort()
         assert got == price[0][1] and abs(s - (1 - price[0][0] / price[1][0])) < 1e-9
 
@@ -379,3 +378,22 @@ def test_numbers_are_no_letters(spark, make_docs):
     rows += [(10, "² ½ 12"), (11, "Ⅷ ①"), (12, "_ 3"), (13, "x²"), (14, "字")]
     got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(make_docs(rows)).collect()}
     assert {got[i] for i in (10, 11, 12)} == {("und", 0.0)} and "und" not in {got[13][0], got[14][0]}
+
+
+def test_language_sample_takes_whole_texts(spark, make_docs):
+    """Rows are bounded, texts are not cut; a language with long texts only learns from its shortest one."""
+    learned = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"text {i} " * 40, "en") for i in learned[:100]]
+    rows += [(i, "lang " * (300 + i), "de") for i in learned[100:110]] + [(learned[110], "court " * 100, "fr"), (learned[111], "long " * 999, "fr")]
+    rows += [(i, "held out", "es") for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5 == 0] + [(None, "no id", "it"), (learned[112], None, "nl")]
+    got = language.training_sample(make_docs(rows))
+    assert set(got) == {"en", "de", "fr"} and len(got["en"]) == language.DOCS_PER_LANG
+    assert set(got["en"]) <= {t for _, t, lang in rows if lang == "en"}
+    assert got["de"] == ["lang " * (300 + learned[100])] and got["fr"] == ["court " * 100]
+
+
+def test_many_languages_share_the_rows_of_the_sample(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 12)
+    learned = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5]
+    got = language.training_sample(make_docs([(i, f"text {i}", f"l{n % 5}") for n, i in enumerate(learned[:100])]))
+    assert [len(t) for t in got.values()] == [2] * 5
