@@ -15,7 +15,7 @@ within ``1 - similarity`` of the item's words.
 3. Bit-sampling LSH: in each repetition both embeddings are sampled at a few
    steps; the pair is a candidate if all samples agree in one repetition. The
    number of repetitions follows from the item's edit limit (``repetitions``),
-   for a recall of 0.95 at that limit.
+   for a recall over 0.9 at that limit.
 4. Exact verification of the candidates: the smallest edit distance of the item
    to any stretch at the windows.
 5. The exact way for what LSH misses: bands without a candidate are verified
@@ -63,7 +63,7 @@ def gram_words(n: int, similarity: float) -> tuple[int, int]:
 
 
 def repetitions(edits):
-    """LSH repetitions for a recall of 0.95 on leaks with ``edits`` edits (measured; see the tests)."""
+    """LSH repetitions for leaks with ``edits`` edits (measured recall at the limit: 0.93 for 300 words, 0.97 up to 200)."""
     return 12 + 5 * edits // 2
 
 
