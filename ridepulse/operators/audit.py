@@ -8,7 +8,7 @@ column (non-NULL counts and exact sums), which makes the scan decode them all.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridepulse.functions.money import money_sum
@@ -16,6 +16,11 @@ from ridepulse.functions.rowtext import row_md5
 from ridepulse.schema import MONEY_COLUMNS, TRIP_COLUMNS
 
 
+def checksum_sum(md5: Column) -> Column:
+    """Sum of the first 32 bits of each row's MD5, as DECIMAL (it cannot overflow)."""
+    return F.sum(F.conv(F.substring(md5, 1, 8), 16, 10).cast("decimal(20,0)"))
+
+
 def load_audit(trips: DataFrame, by: str | list[str] = "source", checksum: bool = False) -> DataFrame:
     """Rows, non-NULL counts, time range and exact sums per key.
 
@@ -33,6 +38,5 @@ def load_audit(trips: DataFrame, by: str | list[str] = "source", checksum: bool
     ]
     aggs += [money_sum(c).alias(f"sum_{c}") for c in MONEY_COLUMNS]
     if checksum:
-        head = F.conv(F.substring(row_md5(trips, TRIP_COLUMNS), 1, 8), 16, 10)
-        aggs.append(F.sum(head.cast("decimal(20,0)")).cast("string").alias("checksum"))
+        aggs.append(checksum_sum(row_md5(trips, TRIP_COLUMNS)).cast("string").alias("checksum"))
     return trips.groupBy(*keys).agg(*aggs)

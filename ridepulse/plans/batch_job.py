@@ -3,12 +3,16 @@
     python -m ridepulse.plans.batch_job --raw 'hdfs:///trips/raw/*.parquet' --out hdfs:///trips/results
     python -m ridepulse.plans.batch_job --raw 'hdfs:///trips/raw/*.parquet' --write-table hdfs:///trips/table
     python -m ridepulse.plans.batch_job --table hdfs:///trips/table --months 2023-01:2023-06 --out ...
+    python -m ridepulse.plans.batch_job --table hdfs:///trips/table --summaries hdfs:///trips/summaries --out ...
     python -m ridepulse.plans.batch_job --sf-dir /root/testdata/sf0.1 --out /tmp/results
 
 All thirteen results come from one scan of the trips: a grouping-sets
 aggregate (``ridepulse.plans.one_pass``) whose rows (bounded by months x
 weekdays x hours x feeds x buckets, plus zones and payment codes) are kept in
-memory while the results are written.
+memory while the results are written. With ``--summaries`` that aggregate is
+kept per month of a stored trip table, and a run reads only the months whose
+files changed since the last one. With ``--file-audit`` the same scan audits
+every raw file (``load_audit_by_file``).
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from ridepulse.functions.timekeys import in_months
 from ridepulse.operators import normalize
 from ridepulse.plans import one_pass
+from ridepulse.plans.stored import StoredSummaries
 from ridepulse.session import build_session, prepare
 from ridepulse.sources import testdata
 from ridepulse.sources.feeds import scan_feeds, suggest_partitions
@@ -46,6 +51,7 @@ def load_trips(
     allow_rejected: bool = False,
     rejected: list | None = None,
     manifest: str | None = None,
+    with_file: bool = False,
 ) -> DataFrame:
     """Canonical trips from a stored trip table (pruned by source / month), raw
     feed files, or the generated tables.
@@ -57,7 +63,7 @@ def load_trips(
     if table:
         return read_trip_table(spark, table, sources, months).drop(MONTH_COL)
     if raw:
-        scan = FileManifest(spark, manifest).scan(raw) if manifest else scan_feeds(spark, raw)
+        scan = FileManifest(spark, manifest).scan(raw, with_file=with_file) if manifest else scan_feeds(spark, raw, with_file=with_file)
         unused = [(r.path, r.reason) for r in scan.rejected.take(REPORTED)]
         if len(unused) == REPORTED:
             unused.append(("...", f"{scan.rejected.count()} files in all"))
@@ -77,11 +83,11 @@ def load_trips(
     return trips
 
 
-def batch_results(trips: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+def batch_results(trips: DataFrame, by_file: bool = False) -> tuple[DataFrame, dict[str, DataFrame]]:
     """(set aggregate, every batch result). One scan of ``trips`` computes the
     aggregate; its size is bounded by the key domains, not by the number of
     trips, so it is the thing kept in memory, not the trips."""
-    sets = one_pass.summary_sets(trips).persist(StorageLevel.MEMORY_AND_DISK)
+    sets = one_pass.summary_sets(trips, by_file=by_file).persist(StorageLevel.MEMORY_AND_DISK)
     return sets, one_pass.results_from_sets(sets)
 
 
@@ -97,14 +103,31 @@ def run(
     formats: tuple[str, ...] = ("csv", "parquet"),
     allow_rejected: bool = False,
     manifest: str | None = None,
+    summaries: str | None = None,
+    file_audit: bool = False,
 ) -> dict:
     """Write every result under ``out_dir/<format>/<name>`` (CSV with a header
-    for people, Parquet beside it for further processing)."""
+    for people, Parquet beside it for further processing).
+
+    ``summaries``: folder of stored summaries of the trip table ``table``,
+    brought up to date first; the report names the months that were read for it.
+    ``file_audit``: also the load audit of every raw file."""
     prepare(spark)
     t0 = time.time()
     rejected: list = []
-    trips = load_trips(spark, raw, sf_dir, table, sources, months, allow_rejected, rejected, manifest)
-    sets, results = batch_results(trips)
+    extra = {}
+    if summaries:
+        if not table or file_audit:
+            raise ValueError("stored summaries are those of a trip table, without an audit of raw files")
+        store = StoredSummaries(spark, summaries)
+        extra["parts_read"] = store.update(table).read
+        sets = store.sets(sources, months).persist(StorageLevel.MEMORY_AND_DISK)
+        results = one_pass.results_from_sets(sets)
+    else:
+        if file_audit and not raw:
+            raise ValueError("an audit by file needs raw files")
+        trips = load_trips(spark, raw, sf_dir, table, sources, months, allow_rejected, rejected, manifest, with_file=file_audit)
+        sets, results = batch_results(trips, file_audit)
     timings = {}
     try:
         t = time.time()
@@ -121,7 +144,7 @@ def run(
                 df.show(show, truncate=False)
     finally:
         sets.unpersist()
-    return {"seconds": round(time.time() - t0, 3), "per_result": timings, "rejected": rejected}
+    return {"seconds": round(time.time() - t0, 3), "per_result": timings, "rejected": rejected, **extra}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -137,10 +160,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--formats", default="csv,parquet", help="comma-separated result formats")
     ap.add_argument("--allow-rejected", action="store_true", help="go on without raw files that cannot be used; the report names them")
     ap.add_argument("--manifest", help="folder of a manifest of the raw files: only new files' footers are opened")
+    ap.add_argument("--summaries", help="folder of stored summaries of --table: only months that changed are read")
+    ap.add_argument("--file-audit", action="store_true", help="audit every raw file (rows, sums, checksum) in the same scan")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-batch")
     months = tuple(args.months.split(":", 1)) if args.months else None
+    if args.summaries and not args.table:
+        ap.error("--summaries needs --table")
+    if args.file_audit and not args.raw:
+        ap.error("--file-audit needs --raw")
     if args.write_table:
         rejected: list = []
         trips = load_trips(spark, args.raw, args.sf_dir, allow_rejected=args.allow_rejected, rejected=rejected, manifest=args.manifest)
@@ -150,7 +179,10 @@ def main(argv: list[str] | None = None) -> None:
     if not args.out:
         ap.error("--out is required")
     formats = tuple(f for f in args.formats.split(",") if f)
-    report = run(spark, args.out, args.raw, args.sf_dir, args.show, args.table, args.sources, months, formats, args.allow_rejected, args.manifest)
+    report = run(
+        spark, args.out, args.raw, args.sf_dir, args.show, args.table, args.sources, months, formats,
+        args.allow_rejected, args.manifest, args.summaries, args.file_audit,
+    )
     print(json.dumps(report))
 
 

@@ -17,7 +17,9 @@ aggregate computes the sums and counts of all of them:
 * cleaned-row measures are conditional on the flag, all-row measures are not.
 
 The results are read off (and rolled up from) this aggregate, which is small
-enough to keep in memory.
+enough to keep in memory. All its columns add up (or are least and greatest
+values), so aggregates of parts of the trips merge into that of all
+(``merge``; ``ridepulse.plans.stored`` keeps one per month).
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ridepulse.functions.categories import fare_bucket_ord
 from ridepulse.functions.money import cents, join_parts, rest
+from ridepulse.functions.rowtext import row_md5
 from ridepulse.functions.timekeys import (
     day_of_week,
     duration_seconds,
@@ -35,6 +38,7 @@ from ridepulse.functions.timekeys import (
     month_start,
     weekday_name,
 )
+from ridepulse.operators.audit import checksum_sum
 from ridepulse.operators.clean import batch_rules
 from ridepulse.operators.summaries import (
     monthly_revenue,
@@ -44,13 +48,15 @@ from ridepulse.operators.summaries import (
     top_pickup_zones,
 )
 from ridepulse.schema import FARE_BUCKET_LABELS, MONEY_COLUMNS, TRIP_COLUMNS
+from ridepulse.sources.feeds import FILE_COL
 
-# Grouping columns, in the order given to groupingSets, and the three sets.
+# Grouping columns, in the order given to groupingSets, and the sets; ``file`` only where it is asked for.
 FINE = ["_month", "_dow", "_hour", "source", "_bucket"]
-KEYS = FINE + ["PULocationID", "payment_type"]
+KEYS = FINE + ["PULocationID", "payment_type", FILE_COL]
 # Summed measures and their columns.
 MEASURES = {"_fare": "fare_amount", "_tip": "tip_amount", "_total": "total_amount", "_dist": "trip_distance"}
-SETS = {"fine": FINE, "zone": ["PULocationID"], "payment": ["payment_type"]}
+SETS = {"fine": FINE, "zone": ["PULocationID"], "payment": ["payment_type"], "file": ["source", FILE_COL]}
+_CHECKSUM = "_checksum"
 
 
 def _gid(set_name: str) -> int:
@@ -59,8 +65,14 @@ def _gid(set_name: str) -> int:
     return sum(1 << (len(KEYS) - 1 - i) for i, k in enumerate(KEYS) if k not in grouped)
 
 
-def summary_sets(trips: DataFrame) -> DataFrame:
-    """The grouping-sets aggregate of all batch measures (one scan of ``trips``)."""
+def summary_sets(trips: DataFrame, by: list[str] | None = None, by_file: bool = False) -> DataFrame:
+    """The grouping-sets aggregate of all batch measures (one scan of ``trips``).
+
+    ``by``: columns of ``trips`` that split every set. ``by_file`` adds a set
+    per feed and file (trips scanned ``with_file``), with a checksum of the rows.
+    """
+    by = list(by or [])
+    names = [name for name in SETS if by_file or name != "file"]
     rules = batch_rules()
     ok = [F.coalesce(p, F.lit(False)) for p in rules.values()]
     valid = ok[0]
@@ -72,6 +84,9 @@ def summary_sets(trips: DataFrame) -> DataFrame:
         return F.when(F.col("_valid"), c)
 
     keyed = trips.select(
+        *by,
+        F.col(FILE_COL) if by_file else F.lit(None).cast("string").alias(FILE_COL),
+        *([row_md5(trips, TRIP_COLUMNS).alias("_md5")] if by_file else []),
         hour_of_day().alias("_hour"),
         day_of_week().alias("_dow"),
         month_start().alias("_month"),
@@ -105,7 +120,22 @@ def summary_sets(trips: DataFrame) -> DataFrame:
             aggs += [F.sum(c).alias(f"{prefix}_sum"), F.sum(r).alias(f"{prefix}_rest"), F.count(c).alias(f"{prefix}_n")]
     aggs += [F.count_if(F.col(f"_fail_{k}")).alias(f"_fail_{k}") for k in rules]
     aggs += [F.count_if(F.col(f"_nn_{c}")).alias(f"_nn_{c}") for c in TRIP_COLUMNS]
-    return keyed.groupingSets(list(SETS.values()), *KEYS).agg(*aggs)
+    if by_file:
+        aggs.append(checksum_sum(F.col("_md5")).alias(_CHECKSUM))
+    return keyed.groupingSets([[*by, *SETS[name]] for name in names], *by, *KEYS).agg(*aggs)
+
+
+def _totals(rows: DataFrame) -> list[Column]:
+    """Measures of several groups as those of one."""
+    least, greatest = "_min_pickup", "_max_pickup"
+    additive = [c for c in rows.columns if c.startswith("_") and c not in (*KEYS, "_gid", least, greatest)]
+    return [*(F.sum(c).alias(c) for c in additive), F.min(least).alias(least), F.max(greatest).alias(greatest)]
+
+
+def merge(sets: DataFrame, drop: list[str]) -> DataFrame:
+    """Aggregates of parts of the trips (``summary_sets`` by the columns ``drop``) as the one of all."""
+    parts = sets.drop(*drop)
+    return parts.groupBy("_gid", *KEYS).agg(*_totals(parts))
 
 
 _RAW_MONEY = {"fare_amount": "_rfare", "tip_amount": "_rtip", "total_amount": "_rtotal"}
@@ -125,12 +155,7 @@ def _avg(measure: str) -> Column:
 
 def _rollup(fine: DataFrame, key: str) -> DataFrame:
     """Re-aggregate the fine groups by one of their keys (a small aggregate)."""
-    additive = [c for c in fine.columns if c not in KEYS and c not in ("_gid", "_min_pickup", "_max_pickup")]
-    return fine.groupBy(key).agg(
-        *[F.sum(c).alias(c) for c in additive],
-        F.min("_min_pickup").alias("_min_pickup"),
-        F.max("_max_pickup").alias("_max_pickup"),
-    )
+    return fine.groupBy(key).agg(*_totals(fine))
 
 
 def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
@@ -179,15 +204,19 @@ def results_from_sets(sets: DataFrame) -> dict[str, DataFrame]:
         (F.col("_rows") - F.col("_n")).alias("rows_removed"),
         *[F.col(f"_fail_{k}").alias(f"fail_{k}") for k in rules],
     )
-    out["load_audit"] = src.select(
-        "source",
+    audit = [
         F.col("_rows").alias("rows"),
         *[F.col(f"_nn_{c}").alias(f"nonnull_{c}") for c in TRIP_COLUMNS],
         F.col("_min_pickup").alias("min_pickup"),
         F.col("_max_pickup").alias("max_pickup"),
         _sum("_rdist").alias("sum_distance"),
         *[_sum(_RAW_MONEY[c]).alias(f"sum_{c}") for c in MONEY_COLUMNS],
-    )
+    ]
+    out["load_audit"] = src.select("source", *audit)
+    if _CHECKSUM in sets.columns:
+        out["load_audit_by_file"] = _rows(sets, "file").select(
+            "source", F.col(FILE_COL).alias("file"), *audit, F.col(_CHECKSUM).cast("string").alias("checksum")
+        )
     zones = _rows(sets, "zone").filter(F.col("PULocationID").isNotNull()).select(
         "PULocationID",
         F.col("_rows").alias("total_pickups"),

@@ -303,6 +303,8 @@ ORACLE_SQL["stream_daily_windowed"] = ORACLE_SQL["daily_stats"]
 ORACLE_SQL["stream_zone_demand_batches"] = ORACLE_SQL["zone_demand"]
 ORACLE_SQL["stream_payment_csv"] = ORACLE_SQL["payment_analysis"]
 ORACLE_SQL["stream_payment_memory"] = ORACLE_SQL["payment_analysis"]
+ORACLE_SQL["monthly_trends_stored"] = ORACLE_SQL["monthly_trends"]
+ORACLE_SQL["load_audit_stored"] = ORACLE_SQL["load_audit"]
 ORACLE_SQL["trips_drifted"] = ORACLE_SQL["trips_union"]
 # Four files a feed (fewer only for a handful of rows), one of each feed a batch; in event-time order nothing is late.
 ORACLE_SQL["stream_late_rows"] = """
