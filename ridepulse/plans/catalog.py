@@ -13,15 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridepulse.functions.timekeys import month_key
 from ridepulse.operators import audit, clean, normalize, replay, running, summaries
 from ridepulse.operators.normalize import DISPATCH, METERED
 from ridepulse.plans.stored import StoredSummaries
 from ridepulse.session import new_work_dir, prepare
 from ridepulse.sources import testdata
 from ridepulse.sources.manifest import FileManifest
-from ridepulse.sources.trip_table import MONTH_COL, read_trip_table, write_trip_table
+from ridepulse.sources.trip_table import write_trip_table
 from ridepulse.streaming.progress import ProgressLog, late_rows, read_progress
-from ridepulse.streaming.queries import Trigger, dropped_by_watermark, start_payment_memory
+from ridepulse.streaming.queries import StreamPaths, Trigger, dropped_by_watermark, start_payment_memory
+from ridepulse.streaming.rejects import csv_lines, good_trips, read_rejects, start_rejects
 from ridepulse.streaming.runs import replayed_trip_stream, run_to_end, testdata_trip_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,13 +159,12 @@ def _stored(result: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         trips = trips_union(spark, sf_dir)
         work = new_work_dir(spark, "stored")
-        staged = write_trip_table(trips, f"{work}/all")
-        rows = read_trip_table(spark, staged)
-        last = rows.agg(F.max(MONTH_COL)).first()[0]
-        late = F.col(MONTH_COL).eqNullSafe(last)
+        month = month_key("pickup_datetime")
+        last = trips.agg(F.max(month)).first()[0]
+        late = month.eqNullSafe(last)
         store = StoredSummaries(spark, f"{work}/summaries")
-        for part in (rows.where(~late), rows.where(late)):
-            write_trip_table(part.drop(MONTH_COL), f"{work}/table")
+        for part in (trips.where(~late), trips.where(late)):
+            write_trip_table(part, f"{work}/table")
             read = store.update(f"{work}/table").read
         if last is not None and any(not name.endswith(f"={last}") for name in read):
             raise RuntimeError(f"adding {last} read other months: {read}")
@@ -261,6 +262,28 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_rows(mine).withColumn("query", F.lit("zone_demand"))
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a CSV stream by what is damaged in them, and those that reached the payment statistics
+    (no reason). Trips of every 50th zone come a second time without a readable fare, of the next one
+    without a readable pickup time and fare."""
+    trips = trips_stream_norm(spark, sf_dir)
+    work = new_work_dir(spark, "rejects")
+    zone = F.col("PULocationID") % 50
+    no_fare = trips.where(zone == 0).withColumn("fare_amount", F.lit("n/a"))
+    neither = trips.where(zone == 1).withColumns({"pickup_datetime": F.lit("soon"), "fare_amount": F.lit("1,5")})
+    for lines in (trips, no_fare, neither):
+        lines.write.mode("append").option("header", True).csv(f"{work}/in")
+    read = csv_lines(spark, f"{work}/in")
+    now = Trigger(available_now=True)
+    name = f"rejects-{uuid.uuid4().hex[:12]}"
+    rejects = start_rejects(read, StreamPaths(f"{work}/checkpoint", f"{work}/out"), now, name)
+    paid, _ = run_to_end(spark, good_trips(read), "payment_analysis", f"{work}/payment")
+    rejects.awaitTermination()
+    bad = read_rejects(spark, f"{work}/out").groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+    good = paid.agg(F.coalesce(F.sum("trip_count"), F.lit(0)).alias("lines"))
+    return bad.unionByName(good.withColumn("reason", F.lit(None).cast("string")))
+
+
 QUERIES: dict[str, Query] = {
     "trips_metered": trips_metered,
     "trips_dispatch": trips_dispatch,
@@ -299,4 +322,5 @@ QUERIES: dict[str, Query] = {
     "stream_payment_csv": stream_payment_csv,
     "stream_payment_memory": stream_payment_memory,
     "stream_late_rows": stream_late_rows,
+    "stream_rejects": stream_rejects,
 }

@@ -311,3 +311,10 @@ ORACLE_SQL["stream_late_rows"] = """
 SELECT 'zone_demand' AS query, CAST(max(ceil(n / ceil(n / 4.0))) AS BIGINT) AS batches,
        CAST(sum(n) AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS dropped_rows
 FROM (SELECT count(*) AS n FROM events UNION ALL SELECT count(*) FROM lineitem)"""
+ORACLE_SQL["stream_rejects"] = _with(
+    """SELECT CAST(NULL AS VARCHAR) AS reason, count(*) AS lines FROM trips_stream_clean
+       UNION ALL SELECT 'fare_amount', count(*) FROM trips_stream_norm
+       WHERE PULocationID % 50 = 0 HAVING count(*) > 0
+       UNION ALL SELECT 'pickup_datetime,fare_amount', count(*) FROM trips_stream_norm
+       WHERE PULocationID % 50 = 1 HAVING count(*) > 0"""
+)

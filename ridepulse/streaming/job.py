@@ -6,7 +6,8 @@
 Each query has its own checkpoint under ``--work`` (default: the session's
 ``spark.checkpoint.dir``). The job waits for any query to end; on interrupt
 or failure every query is stopped. Results are already on storage, written
-by every micro-batch, so stopping loses nothing.
+by every micro-batch, so stopping loses nothing. Damaged lines of CSV files
+are left out of all three and kept in ``<work>/rejects/output``.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from ridepulse.schema import MAX_FILES_PER_TRIGGER, TRIGGERS, ZONE_LATENESS
 from ridepulse.session import build_session, new_work_dir, prepare
 from ridepulse.streaming import queries as sq
 from ridepulse.streaming.progress import ProgressLog, late_rows, read_progress
+from ridepulse.streaming.rejects import csv_lines, good_trips, read_rejects, start_rejects
 from ridepulse.streaming.runs import ZONE_KEYS
 from ridepulse.streaming.sinks import compact_updates
 from ridepulse.streaming.sources import canonical_stream, names_source, routed_stream
@@ -47,13 +49,17 @@ def start_all(
     zone_mode: str = "update",
     daily_lateness: str | None = None,
     feeds: list[str] | None = None,
+    rejects: bool = False,
 ) -> sq.StartedQueries:
     """Start the three queries over the trip files in ``input_dir``, each with its own
     source, checkpoint and output under ``work_dir``.
 
     ``feeds`` names the feeds of files that have a ``source`` column: each gets
     a watermark of its own, so feeds years apart may share a folder. Without
-    it, one watermark runs over all trips."""
+    it, one watermark runs over all trips. ``rejects`` (CSV): a fourth query keeps
+    the damaged lines, and the three take the others alone."""
+    if rejects and fmt != "csv":
+        raise ValueError("only CSV files have damaged lines")
     prepare(spark)
     started = sq.StartedQueries()
 
@@ -63,8 +69,13 @@ def start_all(
     def trig(name: str) -> sq.Trigger:
         return sq.Trigger(available_now=True) if available_now else sq.Trigger(TRIGGERS[name])
 
+    def lines():
+        return csv_lines(spark, input_dir, max_files_per_trigger, max_bytes_per_trigger, bool(feeds))
+
     # Each query reads the source itself (own offsets, own state).
     def files():
+        if rejects:
+            return good_trips(lines())
         return canonical_stream(spark, input_dir, fmt, max_files_per_trigger, max_bytes_per_trigger, bool(feeds))
 
     def src():
@@ -90,6 +101,8 @@ def start_all(
         started.queries["payment_analysis"] = sq.start_payment(
             src(), paths("payment_analysis"), trig("payment_analysis")
         )
+        if rejects:
+            started.queries["rejects"] = start_rejects(lines(), paths("rejects"), trig("payment_analysis"))
     except Exception:
         started.stop_all()
         raise
@@ -121,6 +134,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--feeds", default=None,
                     help="comma-separated feeds of the input files, each with its own watermark; "
                          "default: both, if the files have a source column, else one watermark")
+    ap.add_argument("--no-rejects", action="store_true",
+                    help="CSV: read damaged values as NULL instead of keeping their lines apart")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, "ridepulse-stream", extra_conf=ROCKSDB_CONF if args.rocksdb else None)
@@ -129,13 +144,14 @@ def main(argv: list[str] | None = None) -> None:
         feeds = [f for f in args.feeds.split(",") if f]
     else:
         feeds = [METERED, DISPATCH] if names_source(spark, args.input, args.format) else None
+    keep_rejects = args.format == "csv" and not args.no_rejects
     progress = ProgressLog(spark, f"{work}/progress").attach()
     # Queries that ended earlier in this session must not end the wait at once;
     # reset before starting, so a query failing right away is still seen.
     spark.streams.resetTerminated()
     started = start_all(
         spark, args.input, work, args.format, args.available_now, args.max_files_per_trigger, args.lateness,
-        args.max_bytes_per_trigger, args.state_partitions, args.zone_mode, args.daily_lateness, feeds,
+        args.max_bytes_per_trigger, args.state_partitions, args.zone_mode, args.daily_lateness, feeds, keep_rejects,
     )
     try:
         if args.available_now:
@@ -163,6 +179,8 @@ def main(argv: list[str] | None = None) -> None:
         progress.detach()
     for row in late_rows(read_progress(spark, f"{work}/progress")).collect():  # a row per query
         print(json.dumps(row.asDict()))
+    if keep_rejects:
+        print(json.dumps({"rejected_lines": read_rejects(spark, f"{work}/rejects/output").count()}))
     print(f"results under {work}")
 
 

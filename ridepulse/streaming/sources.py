@@ -32,10 +32,11 @@ def file_stream(
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """A file stream. The admission limits bound each micro-batch, so a backlog
     (first start, catch-up after downtime) is taken in steps, not in one batch."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).options(**(options or {}))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
