@@ -24,6 +24,7 @@ from ridepulse.sources.trip_table import write_trip_table
 from ridepulse.streaming.progress import ProgressLog, late_rows, read_progress
 from ridepulse.streaming.queries import StreamPaths, Trigger, dropped_by_watermark, start_payment_memory
 from ridepulse.streaming.rejects import csv_lines, good_trips, read_rejects, start_rejects
+from ridepulse.streaming.state_audit import SOUND, audit_state
 from ridepulse.streaming.runs import replayed_trip_stream, run_to_end, testdata_trip_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -284,6 +285,18 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.unionByName(good.withColumn("reason", F.lit(None).cast("string")))
 
 
+def stream_state_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of two streams of four batches, and those whose stored state does not fit the saved result."""
+    prepare(spark)
+    work = new_work_dir(spark, "state-audit")
+    trips, found = replayed_trip_stream(spark, sf_dir), []
+    for kind, args in (("zone_demand", {"lateness": None}), ("daily_stats", {})):
+        out, _ = run_to_end(spark, trips, kind, f"{work}/{kind}", **args)
+        found.append(audit_state(spark, f"{work}/{kind}/checkpoint", out, kind).withColumn("query", F.lit(kind)))
+    unfit = F.when(~F.col("finding").isin(*SOUND), F.col("groups")).otherwise(0)
+    return found[0].unionByName(found[1]).groupBy("query").agg(F.sum("groups").alias("groups"), F.sum(unfit).alias("unfit"))
+
+
 QUERIES: dict[str, Query] = {
     "trips_metered": trips_metered,
     "trips_dispatch": trips_dispatch,
@@ -323,4 +336,5 @@ QUERIES: dict[str, Query] = {
     "stream_payment_memory": stream_payment_memory,
     "stream_late_rows": stream_late_rows,
     "stream_rejects": stream_rejects,
+    "stream_state_audit": stream_state_audit,
 }

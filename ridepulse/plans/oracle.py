@@ -318,3 +318,9 @@ ORACLE_SQL["stream_rejects"] = _with(
        UNION ALL SELECT 'pickup_datetime,fare_amount', count(*) FROM trips_stream_norm
        WHERE PULocationID % 50 = 1 HAVING count(*) > 0"""
 )
+ORACLE_SQL["stream_state_audit"] = _with(
+    """SELECT 'zone_demand' AS query, count(*) AS groups, CAST(0 AS BIGINT) AS unfit
+       FROM (SELECT DISTINCT date_trunc('hour', pickup_datetime), PULocationID FROM trips_stream_clean)
+       UNION ALL SELECT 'daily_stats', count(*), CAST(0 AS BIGINT)
+       FROM (SELECT DISTINCT CAST(pickup_datetime AS DATE) FROM trips_stream_clean)"""
+)

@@ -1,0 +1,53 @@
+"""Stored state against the saved result: sound after a restart, and every way they can part is found."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
+from ridepulse.operators import replay
+from ridepulse.plans import catalog
+from ridepulse.streaming.runs import run_to_end
+from ridepulse.streaming.sources import canonical_stream
+from ridepulse.streaming.state_audit import audit_state, last_batch, state_groups, watermark
+
+
+def findings(spark, work, result, kind):
+    return {r.finding: r.groups for r in audit_state(spark, f"{work}/checkpoint", result, kind).collect()}
+
+
+def test_state_fits_after_a_restart_and_closed_windows_are_known(spark, tmp_dir):
+    trips = catalog.trips_stream_norm(spark, SF_SMALL)
+    early, late = trips.where("pickup_datetime < '1996-01-01'"), trips.where("pickup_datetime >= '1996-01-01'")
+    for n, part in enumerate((early, late)):  # the second run goes on from the checkpoint of the first
+        replay.write_replay(part, f"{tmp_dir}/in", rows_per_file=1000)
+        stream = canonical_stream(spark, f"{tmp_dir}/in", max_files_per_trigger=1)
+        out, _ = run_to_end(spark, stream, "zone_demand", f"{tmp_dir}/w", lateness="10 minutes")
+        got = findings(spark, f"{tmp_dir}/w", out, "zone_demand")
+        assert set(got) <= {"equal", "closed"} and sum(got.values()) == out.count()
+        checkpoint = f"{tmp_dir}/w/checkpoint"
+        mark = watermark(spark, checkpoint, last_batch(spark, checkpoint))
+        assert out.where(F.col("window_end") > F.lit(mark)).count() == got["equal"]
+    assert got["closed"] > 0
+    assert state_groups(spark, checkpoint, "zone_demand").agg(F.sum("state_trips")).first()[0] > 0
+
+
+def test_every_kind_of_parting_is_found(spark, tmp_dir):
+    trips = catalog.trips_stream_norm(spark, SF_SMALL)
+    replay.write_replay(trips, f"{tmp_dir}/in", rows_per_file=4000)
+    stream = canonical_stream(spark, f"{tmp_dir}/in")
+    for kind, key, n in (("payment_analysis", "payment_type", "trip_count"), ("daily_stats", "trip_date", "total_trips")):
+        out, _ = run_to_end(spark, stream, kind, f"{tmp_dir}/{kind}")
+        groups = out.count()
+        assert findings(spark, f"{tmp_dir}/{kind}", out, kind) == {"equal": groups}
+        # NULL is a key like any other (payment codes)
+        one = out.where(F.col(key).isNotNull()).agg(F.min(key)).first()[0]
+        this = F.col(key).eqNullSafe(F.lit(one))
+        assert findings(spark, f"{tmp_dir}/{kind}", out.where(~this), kind) == {"equal": groups - 1, "unsaved": 1}
+        more = out.withColumn(n, F.when(this, F.col(n) + 1).otherwise(F.col(n)))
+        assert findings(spark, f"{tmp_dir}/{kind}", more, kind) == {"equal": groups - 1, "differs": 1}
+        other = out.where(this).withColumn(key, F.lit(99 if key == "payment_type" else "1900-01-01"))
+        assert findings(spark, f"{tmp_dir}/{kind}", out.unionByName(other), kind) == {"equal": groups, "lost": 1}
+    with pytest.raises(ValueError, match="no finished batch"):
+        last_batch(spark, f"{tmp_dir}/none")
