@@ -117,12 +117,17 @@ def write_replay(
     which a file stream takes them. The number of Spark jobs does not depend on
     the number of slices. A ``source`` column (the feed a trip came from) is
     written behind the canonical ones. Returns the number of slices written.
+
+    One task sorts and writes all rows of a slice, so its memory grows with
+    ``rows_per_file``; ``num_partitions`` (default: the session's shuffle
+    partitions) deals the rows out in the global sort and the slices in the write.
     """
     spark = df.sparkSession
     staging = staging_dir or new_work_dir(spark, "replay-staging")
     cols = [c for c in [*TRIP_COLUMNS, "source"] if c in df.columns]
     sliced = assign_slices(df, rows_per_file, order, seed, num_partitions).select("slice", *cols)
-    writer = sliced.repartition("slice").write.mode("overwrite").partitionBy("slice")
+    dealt = sliced.repartition(int(num_partitions), "slice") if num_partitions else sliced.repartition("slice")
+    writer = dealt.write.mode("overwrite").partitionBy("slice")
     writer = writer.option("maxRecordsPerFile", 0)
     if fmt == "csv":
         writer.option("header", True).csv(staging)

@@ -69,13 +69,14 @@ DATE_FORMAT = "yyyy-MM-dd"
 WEEKDAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 
 # Streaming defaults: zone window and lateness, live trigger intervals, replay file size and seed,
-# files taken per micro-batch.
+# files taken per micro-batch; rows that one task sorts or writes when a whole feed is replayed.
 ZONE_WINDOW = "1 hour"
 ZONE_LATENESS = "10 minutes"
 TRIGGERS = {"zone_demand": "10 seconds", "daily_stats": "15 seconds", "payment_analysis": "20 seconds"}
 REPLAY_ROWS_PER_FILE = 5000
 REPLAY_SEED = 42
 MAX_FILES_PER_TRIGGER = 2
+REPLAY_TASK_ROWS = 250_000
 
 # Feed names (the values of ``source``) and the raw column that identifies each feed, checked in this order.
 METERED = "yellow_taxi"

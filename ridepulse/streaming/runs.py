@@ -15,7 +15,7 @@ from ridepulse.operators import running
 from ridepulse.operators.clean import clean_stream
 from ridepulse.operators.normalize import DISPATCH, METERED, normalise_stream
 from ridepulse.operators.replay import write_replay
-from ridepulse.schema import MAX_FILES_PER_TRIGGER, ZONE_LATENESS
+from ridepulse.schema import MAX_FILES_PER_TRIGGER, REPLAY_TASK_ROWS, ZONE_LATENESS
 from ridepulse.session import new_work_dir
 from ridepulse.sources import testdata
 from ridepulse.streaming import queries as sq
@@ -45,15 +45,25 @@ def testdata_trip_stream(
 
 
 def replayed_trip_stream(
-    spark: SparkSession, sf_dir: str, files: int = 4, fmt: str = "parquet", lateness: str | None = ZONE_LATENESS
+    spark: SparkSession, sf_dir: str, batches: int = 4, fmt: str = "parquet", lateness: str | None = ZONE_LATENESS,
+    task_rows: int = REPLAY_TASK_ROWS,
 ) -> DataFrame:
-    """The same trips, each feed replayed in event-time order as ``files`` files, one per micro-batch."""
+    """The same trips, each feed replayed in event-time order in ``batches`` micro-batches.
+
+    A micro-batch takes one file of a feed, or as many as keep each of them at
+    ``task_rows`` rows: one task sorts and writes a file, so its memory does
+    not grow with the feed."""
     work = new_work_dir(spark, "stream-replay")
     streams = []
     for feed, raw in ((METERED, testdata.raw_metered(spark, sf_dir)), (DISPATCH, testdata.raw_dispatch(spark, sf_dir))):
         trips = normalise_stream(raw, feed)
-        write_replay(trips, f"{work}/{feed}", max(1, -(-trips.count() // files)), fmt=fmt)
-        streams.append(canonical_stream(spark, f"{work}/{feed}", fmt, max_files_per_trigger=1))
+        n = trips.count()
+        batch_rows = max(1, -(-n // batches))
+        files = -(-batch_rows // task_rows)  # of a micro-batch
+        write_replay(
+            trips, f"{work}/{feed}", -(-batch_rows // files), fmt=fmt, num_partitions=max(batches, -(-n // task_rows))
+        )
+        streams.append(canonical_stream(spark, f"{work}/{feed}", fmt, max_files_per_trigger=files))
     return trips_stream(streams, lateness)
 
 

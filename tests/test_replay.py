@@ -8,9 +8,13 @@ import os
 from conftest import SF_SMALL
 from helpers import as_set, trip, trips_df
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from ridepulse.operators import replay
 from ridepulse.plans import catalog
+from ridepulse.schema import DISPATCH, METERED
+from ridepulse.streaming import runs
+from ridepulse.streaming.queries import dropped_by_watermark
 
 
 def test_every_row_once_in_time_order(spark):
@@ -84,3 +88,30 @@ def test_files_in_order_and_jobs_do_not_grow_with_slices(spark, tmp_dir):
     assert number == [*range(60), *range(6)]
     assert spark.read.parquet(f"{tmp_dir}/out1").count() == 1200
     assert replay.write_replay(trips.limit(0), f"{tmp_dir}/none", rows_per_file=10) == 0
+
+
+def test_a_replayed_feed_is_written_in_files_that_do_not_grow_with_it(spark, monkeypatch, tmp_dir):
+    """Four micro-batches a feed still, of several small files each; nothing late, nothing lost."""
+    monkeypatch.setattr(runs, "new_work_dir", lambda *_: f"{tmp_dir}/replay")
+    stream = runs.replayed_trip_stream(spark, SF_SMALL, task_rows=400)
+    for feed in (METERED, DISPATCH):
+        rows = spark.read.parquet(f"{tmp_dir}/replay/{feed}")
+        per_file = [r["count"] for r in rows.groupBy(F.input_file_name()).count().collect()]
+        n = sum(per_file)
+        assert max(per_file) <= 400 and len(per_file) == -(-n // max(per_file))
+    out, query = runs.run_to_end(spark, stream, "zone_demand", f"{tmp_dir}/w", lateness=None)
+    sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    total = catalog.trips_stream_norm(spark, SF_SMALL).count()
+    assert len(sizes) == 4 and sum(sizes) == total and max(sizes) <= total // 4 + 20
+    assert dropped_by_watermark(query) == 0
+    assert as_set(out) == as_set(catalog.zone_demand(spark, SF_SMALL))
+
+
+def test_slices_are_dealt_over_the_named_partitions(spark, monkeypatch, tmp_dir):
+    """The write takes as many partitions as the sort, however few the session has."""
+    dealt, repartition = [], DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, *a: dealt.append(a) or repartition(self, *a))
+    trips = catalog.trips_stream_norm(spark, SF_SMALL).limit(600)
+    assert replay.write_replay(trips, f"{tmp_dir}/out", rows_per_file=20, num_partitions=30) == 30
+    assert dealt == [(30, "slice")]
+    assert as_set(spark.read.parquet(f"{tmp_dir}/out")) == as_set(trips)
