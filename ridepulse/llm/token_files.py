@@ -28,9 +28,12 @@ from pyspark.sql import functions as F
 from ridepulse.llm.common import slices, stored
 
 # Fixed value: how byte-level BPE vocabularies of this family split a text before merging.
-_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+# Letters and numbers come first, being most frequent: no contraction begins with them or with a blank.
+_SPLIT = r" ?[{L}]+| ?[{N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 # Encoded pieces kept by one Python worker, in each of two generations.
 _CACHE_PIECES = 250_000
+# Marks, by hash, of pieces met once; a power of two.
+_MARKS = 1 << 22
 
 
 def _latin_classes() -> dict[str, str]:
@@ -61,7 +64,8 @@ class Encoder(dict):
 
     Merging never crosses the pieces that the pre-tokenizer cuts, so a worker
     merges a piece once and looks it up after that (this dict: piece ->
-    little-endian unsigned 32-bit ids). A full dict becomes the older
+    little-endian unsigned 32-bit ids). It is kept when it comes a second time,
+    as most pieces never do. A full dict becomes the older
     generation, from which pieces come back when asked for again. A text that
     holds an added token's string, and any text under another kind of
     pre-tokenizer or model, is encoded in one call.
@@ -74,6 +78,7 @@ class Encoder(dict):
         self.model = self.whole.model
         self.letters = _byte_letters()
         self.older: dict[str, bytes] = {}
+        self.met = bytearray(_MARKS)
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         parts = json.loads(self.whole.to_str())
         cut = parts.get("pre_tokenizer") or {}
@@ -86,11 +91,19 @@ class Encoder(dict):
     def __missing__(self, piece: str) -> bytes:
         out = self.older.get(piece)
         if out is None:
-            letters = piece.encode().decode("latin-1").translate(self.letters)
+            if piece.isascii() and piece.isprintable():
+                letters = piece.replace(" ", self.letters[32])
+            else:
+                letters = piece.encode().decode("latin-1").translate(self.letters)
             out = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            mark = hash(piece) % _MARKS
+            if not self.met[mark]:
+                self.met[mark] = 1
+                return out
         if len(self) >= _CACHE_PIECES:
             self.older = dict(self)
             self.clear()
+            self.met = bytearray(_MARKS)
         self[piece] = out
         return out
 

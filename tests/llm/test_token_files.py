@@ -77,3 +77,11 @@ def test_a_document_is_found_in_the_files(spark, make_docs, tmp_dir):
     found = token_files.find_documents(spark, f"{tmp_dir}/f", [17, 400])
     assert [(r.doc_id, r.ids) for r in found.collect()] == [(17, library("text number 17") + [2])]
     assert "PushedFilters: [In(doc_id" in found._jdf.queryExecution().toString()
+
+
+def test_a_piece_is_kept_when_it_comes_again():
+    """Pieces met once take no room in the cache; hot ones stay. All are encoded as the library does."""
+    coder = token_files.Encoder(PATH)
+    for text in ["once upon", "a time, once", "a nap", "it's 9½ don't 'ta\x1c é\x7f"]:
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == library(text)
+    assert " upon" not in coder and " nap" not in coder and "a" in coder
