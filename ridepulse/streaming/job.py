@@ -180,7 +180,7 @@ def main(argv: list[str] | None = None) -> None:
     for row in late_rows(read_progress(spark, f"{work}/progress")).collect():  # a row per query
         print(json.dumps(row.asDict()))
     if keep_rejects:
-        print(json.dumps({"rejected_lines": read_rejects(spark, f"{work}/rejects/output").count()}))
+        print(json.dumps({"query": "rejects", "rejected_lines": read_rejects(spark, f"{work}/rejects/output").count()}))
     print(f"results under {work}")
 
 
