@@ -31,7 +31,7 @@ from ridepulse.llm.common import slices, stored
 # Letters and numbers come first, being most frequent: no contraction begins with them or with a blank.
 _SPLIT = r" ?[{L}]+| ?[{N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 # Encoded pieces kept by one Python worker, in each of two generations.
-_CACHE_PIECES = 250_000
+_CACHE_PIECES = 120_000
 # Marks, by hash, of pieces met once; a power of two.
 _MARKS = 1 << 22
 
