@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -18,6 +19,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Texts are handed to vectorised code in slices of about this many bytes. That code needs some 60 bytes for each
 # of them, and the hashes' powers, kept by every Python worker, come to 32 bytes for each up to the next power of two.
 SLICE_BYTES = 3 << 19
+# Arrow batches of long rows are cut at about this many bytes. Of a batch an executor holds several copies outside
+# its heap (vectors that double as they grow, the stream to the worker), for each of its cores.
+BATCH_BYTES = 4 << 20
 
 
 _SHIPPED: set[str] = set()
@@ -51,6 +55,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that start inside hand rows to Python in batches of about ``BATCH_BYTES`` (one row at least).
+
+    Spark's own limits are 10,000 rows and 64 MB.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is the empty text."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -25,13 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridepulse.llm.common import slices, stored
+from ridepulse.llm.common import slices, small_batches, stored
 
 # Fixed value: how byte-level BPE vocabularies of this family split a text before merging.
 # Letters and numbers come first, being most frequent: no contraction begins with them or with a blank.
 _SPLIT = r" ?[{L}]+| ?[{N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 # Encoded pieces kept by one Python worker, in each of two generations.
-_CACHE_PIECES = 120_000
+_CACHE_PIECES = 300_000
 # Marks, by hash, of pieces met once; a power of two.
 _MARKS = 1 << 22
 
@@ -156,18 +156,19 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
             )
             pos += n
 
-    (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .repartitionByRange(F.col("doc_id"), F.xxhash64("text"))
-        .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(encode, FILE_SCHEMA)
-        .write.option("orc.bloom.filter.columns", "doc_id")
-        .option("orc.bloom.filter.fpp", "0.01")
-        .option("orc.create.index", "true")
-        .option("orc.row.index.stride", "1000")
-        .option("orc.stripe.size", str(32 << 20))
-        .orc(path)
-    )
+    with small_batches(docs.sparkSession):
+        (
+            docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+            .repartitionByRange(F.col("doc_id"), F.xxhash64("text"))
+            .sortWithinPartitions("doc_id", "text")
+            .mapInArrow(encode, FILE_SCHEMA)
+            .write.option("orc.bloom.filter.columns", "doc_id")
+            .option("orc.bloom.filter.fpp", "0.01")
+            .option("orc.create.index", "true")
+            .option("orc.row.index.stride", "1000")
+            .option("orc.stripe.size", str(32 << 20))
+            .orc(path)
+        )
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -202,7 +203,8 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
     The window over files has one row per file; the running sums stay inside
     one file each.
     """
-    rows = stored(read_token_files(spark, path).mapInArrow(_digest, DIGEST_SCHEMA), "token-digest")
+    with small_batches(spark):
+        rows = stored(read_token_files(spark, path).mapInArrow(_digest, DIGEST_SCHEMA), "token-digest")
     files = rows.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = files.select(
         "part",

@@ -8,9 +8,11 @@ import public_tokenizers
 import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ridepulse.llm import catalog, token_files
+from ridepulse.llm.common import BATCH_BYTES, ready
 from tests.conftest import SF_SMALL
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,3 +87,29 @@ def test_a_piece_is_kept_when_it_comes_again():
     for text in ["once upon", "a time, once", "a nap", "it's 9½ don't 'ta\x1c é\x7f"]:
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == library(text)
     assert " upon" not in coder and " nap" not in coder and "a" in coder
+
+
+def test_batches_of_long_rows_are_cut(spark, tmp_dir, monkeypatch):
+    """10,000 long rows are not held at once on the way to the workers; the session's own limit comes back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+
+    def noting(name, real):
+        def note(batches):
+            for batch in batches:
+                with open(f"{tmp_dir}/{name}", "a") as f:
+                    f.write(f"{batch.nbytes}\n")
+                yield from real([batch])
+
+        return note
+
+    monkeypatch.setattr(token_files, "slices", noting("texts", token_files.slices))
+    monkeypatch.setattr(token_files, "_digest", noting("ids", token_files._digest))
+    docs = ready(spark).range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('some words ', 8000)").alias("text"))
+    token_files.write_token_files(docs, f"{tmp_dir}/f", PATH, 2)
+    assert {r.n_tokens for r in token_files.token_digest(spark, f"{tmp_dir}/f").collect()} == {len(library("some words " * 8000)) + 1}
+    for name in ("texts", "ids"):
+        with open(f"{tmp_dir}/{name}") as f:
+            seen = [int(x) for x in f]
+        assert len(seen) > 1 and max(seen) < BATCH_BYTES + 200_000
+    assert spark.conf.get(key, None) == before
