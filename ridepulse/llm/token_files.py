@@ -30,8 +30,9 @@ from ridepulse.llm.common import slices, small_batches, stored
 # Fixed value: how byte-level BPE vocabularies of this family split a text before merging.
 # Letters and numbers come first, being most frequent: no contraction begins with them or with a blank.
 _SPLIT = r" ?[{L}]+| ?[{N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
-# Encoded pieces kept by one Python worker, in each of two generations.
-_CACHE_PIECES = 300_000
+# Encoded pieces kept by one Python worker, in each of two generations; longer ones are not kept.
+_CACHE_PIECES = 500_000
+_CACHE_CHARS = 64
 # Marks, by hash, of pieces met once; a power of two.
 _MARKS = 1 << 22
 
@@ -65,7 +66,7 @@ class Encoder(dict):
     Merging never crosses the pieces that the pre-tokenizer cuts, so a worker
     merges a piece once and looks it up after that (this dict: piece ->
     little-endian unsigned 32-bit ids). It is kept when it comes a second time,
-    as most pieces never do. A full dict becomes the older
+    as most pieces never do, unless it is very long. A full dict becomes the older
     generation, from which pieces come back when asked for again. A text that
     holds an added token's string, and any text under another kind of
     pre-tokenizer or model, is encoded in one call.
@@ -96,6 +97,8 @@ class Encoder(dict):
             else:
                 letters = piece.encode().decode("latin-1").translate(self.letters)
             out = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            if len(piece) > _CACHE_CHARS:
+                return out
             mark = hash(piece) % _MARKS
             if not self.met[mark]:
                 self.met[mark] = 1
@@ -182,6 +185,7 @@ def find_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFr
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _ENCODERS.clear()  # the files are written: what this worker kept for encoding is memory for the next steps
     for batch in batches:
         ids = batch.column("ids")
         offsets = ids.offsets.to_numpy()

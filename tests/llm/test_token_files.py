@@ -87,6 +87,9 @@ def test_a_piece_is_kept_when_it_comes_again():
     for text in ["once upon", "a time, once", "a nap", "it's 9½ don't 'ta\x1c é\x7f"]:
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == library(text)
     assert " upon" not in coder and " nap" not in coder and "a" in coder
+    for _ in range(3):
+        assert np.frombuffer(coder.encode("a" * 100_000), "<u4").tolist() == library("a" * 100_000)
+    assert max(map(len, coder)) < 100
 
 
 def test_batches_of_long_rows_are_cut(spark, tmp_dir, monkeypatch):
@@ -113,3 +116,9 @@ def test_batches_of_long_rows_are_cut(spark, tmp_dir, monkeypatch):
             seen = [int(x) for x in f]
         assert len(seen) > 1 and max(seen) < BATCH_BYTES + 200_000
     assert spark.conf.get(key, None) == before
+
+
+def test_reading_gives_the_cache_back():
+    """A worker that reads the files holds no encoder any more."""
+    token_files._encoder(PATH).encode("some words")
+    assert list(token_files._digest(iter([]))) == [] and token_files._ENCODERS == {}
