@@ -79,7 +79,7 @@ def default_state_partitions(spark) -> int:
 
 
 @contextmanager
-def _start_conf(spark, conf: dict[str, str]):
+def start_conf(spark, conf: dict[str, str]):
     """Settings a streaming query takes when it starts (the session's values are restored)."""
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
@@ -96,7 +96,7 @@ def _start_conf(spark, conf: dict[str, str]):
 
 def _state_partitions(spark, n: int | None):
     """Start a query with ``n`` state partitions."""
-    return _start_conf(spark, {"spark.sql.shuffle.partitions": str(n)} if n else {})
+    return start_conf(spark, {"spark.sql.shuffle.partitions": str(n)} if n else {})
 
 
 def _start(
@@ -112,7 +112,7 @@ def _start(
     kw = trigger.kwargs()
     if kw:
         writer = writer.trigger(**kw)
-    with _start_conf(df.sparkSession, WATERMARK_POLICY), _state_partitions(df.sparkSession, state_partitions):
+    with start_conf(df.sparkSession, WATERMARK_POLICY), _state_partitions(df.sparkSession, state_partitions):
         return writer.start()
 
 
@@ -143,7 +143,7 @@ def start_zone_demand(
     agg = zone_demand_stream(trips, lateness)
     if mode == "update":
         conf = {} if no_data_batches else {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
-        with _start_conf(trips.sparkSession, conf):
+        with start_conf(trips.sparkSession, conf):
             return _start(agg, name, "update", KeyedUpdateSink(paths.output, ZONE_KEYS), paths, trigger, n)
     if mode != "append":
         raise ValueError(f"unknown output mode {mode!r}")
@@ -157,7 +157,7 @@ def start_zone_demand(
     kw = trigger.kwargs()
     if kw:
         writer = writer.trigger(**kw)
-    with _start_conf(trips.sparkSession, WATERMARK_POLICY), _state_partitions(trips.sparkSession, n):
+    with start_conf(trips.sparkSession, WATERMARK_POLICY), _state_partitions(trips.sparkSession, n):
         return writer.start()
 
 

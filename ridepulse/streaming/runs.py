@@ -9,6 +9,7 @@ folder under the session's shared work folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ridepulse.operators import running
@@ -24,6 +25,43 @@ from ridepulse.streaming.sources import canonical_stream, feed_stream, trips_str
 
 ZONE_KEYS = sq.ZONE_KEYS
 
+# Heap that Spark's in-memory state takes for a group of a replayed zone-demand stream, in bytes
+# (5.7 GB were reported for 41.6 million groups), and the share of the heap that state may fill.
+STATE_GROUP_BYTES = 140
+STATE_HEAP_SHARE = 0.5
+# State on the executors' disks. Native memory is bounded per executor; a commit stores the changed
+# files, so the state can be read back (audited) without replaying a log of changes.
+_ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+DISK_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_ROCKSDB}.changelogCheckpointing.enabled": "false",
+    f"{_ROCKSDB}.boundedMemoryUsage": "true",
+    f"{_ROCKSDB}.maxMemoryUsageMB": "1000",
+}
+
+
+def executor_heap(spark: SparkSession) -> int:
+    """Bytes of heap of all executors there are now (of the driver in local mode)."""
+    sc = spark.sparkContext._jsc.sc()
+    executors = len(sc.statusTracker().getExecutorInfos()) - 1  # the driver is listed too
+    if executors < 1:
+        return spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    return executors * sc.conf().getSizeAsBytes("spark.executor.memory", "1g")
+
+
+def zone_state_conf(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Settings for the state of the zone-demand stream over the generated tables.
+
+    In memory, Spark's default, while the groups (estimated in one pass over
+    pickup time, zone and fare) fit the executors' heaps; otherwise on disk,
+    which is slower per group, but takes no heap."""
+    raw = {METERED: testdata.raw_metered(spark, sf_dir), DISPATCH: testdata.raw_dispatch(spark, sf_dir)}
+    trips = clean_stream(trips_stream([normalise_stream(df, feed) for feed, df in raw.items()]))
+    group = F.xxhash64(F.date_trunc("hour", "pickup_datetime"), "PULocationID")
+    groups = trips.agg(F.approx_count_distinct(group)).first()[0]
+    return {} if groups * STATE_GROUP_BYTES <= executor_heap(spark) * STATE_HEAP_SHARE else dict(DISK_STATE_CONF)
+
 
 def testdata_trip_stream(
     spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
@@ -94,13 +132,13 @@ _KINDS = {
 
 def run_to_end(
     spark: SparkSession, trips: DataFrame, kind: str, work_dir: str | None = None,
-    lateness: str | None = ZONE_LATENESS,
+    lateness: str | None = ZONE_LATENESS, state_conf: dict[str, str] | None = None,
 ) -> tuple[DataFrame, object]:
     """Start one of ``zone_demand`` / ``daily_stats`` / ``daily_stats_windowed`` /
     ``payment_analysis`` with ``availableNow``, wait for it, and return (result table, finished query).
 
     Zone demand and windowed days set a watermark of ``lateness``; ``None`` takes those that
-    ``trips`` carry (one per feed)."""
+    ``trips`` carry (one per feed). ``state_conf``: settings of the state store, kept by the checkpoint."""
     if kind not in _KINDS:
         raise ValueError(f"unknown streaming aggregation {kind!r}")
     start, shape, reader = _KINDS[kind]
@@ -111,7 +149,8 @@ def run_to_end(
         extra["no_data_batches"] = False  # the run ends with its input: no eviction-only batch
     # A unique name: two runs of the same kind may be active in one session.
     extra["name"] = f"{kind}-{work.rstrip('/').rsplit('/', 1)[-1]}"
-    q = start(trips, paths, sq.Trigger(available_now=True), **extra)
+    with sq.start_conf(spark, state_conf or {}):
+        q = start(trips, paths, sq.Trigger(available_now=True), **extra)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"streaming query {kind} failed: {q.exception()}")
