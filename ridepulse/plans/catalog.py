@@ -253,9 +253,10 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches, rows and rows dropped as late of the zone-demand stream, from the record of all its batches."""
     prepare(spark)
     work = new_work_dir(spark, "late-rows")
+    trips, state = replayed_trip_stream(spark, sf_dir), zone_state_conf(spark, sf_dir)
     log = ProgressLog(spark, f"{work}/progress").attach()
     try:
-        _, query = run_to_end(spark, replayed_trip_stream(spark, sf_dir), "zone_demand", f"{work}/zones", lateness=None)
+        _, query = run_to_end(spark, trips, "zone_demand", f"{work}/zones", lateness=None, state_conf=state)
         log.wait(query)
     finally:
         log.detach()

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from ridepulse.operators import replay, running
 from ridepulse.operators.clean import clean_stream
 from ridepulse.operators.normalize import DISPATCH, METERED, drop_incomplete, normalise_stream, union_trips
-from ridepulse.plans import replay_job
+from ridepulse.plans import catalog, replay_job
 from ridepulse.sources import testdata
-from ridepulse.streaming import job
+from ridepulse.streaming import job, runs
 from ridepulse.streaming import queries as sq
 from ridepulse.streaming.progress import ProgressLog, late_rows, read_progress
 from ridepulse.streaming.runs import ZONE_KEYS
@@ -93,3 +93,16 @@ def test_a_feed_that_is_not_named_fails(spark, tmp_dir):
 def test_replay_job_names_the_feed(spark, tmp_dir):
     replay_job.main(["--sf-dir", SF_SMALL, "--out", f"{tmp_dir}/s", "--format", "parquet", "--rows-per-file", "4000", "--with-source"])
     assert {r.source for r in spark.read.parquet(f"{tmp_dir}/s").select("source").distinct().collect()} == {METERED, DISPATCH}
+
+
+def test_late_rows_of_state_on_disk(spark, monkeypatch, tmp_dir):
+    """Zone state that does not fit the heap goes to disk, as its checkpoint says; the record stays whole."""
+    monkeypatch.setattr(runs, "STATE_GROUP_BYTES", 1 << 40)  # no heap holds a single group
+    monkeypatch.setattr(catalog, "new_work_dir", lambda _, name: f"{tmp_dir}/{name}")
+    (late,) = catalog.stream_late_rows(spark, SF_SMALL).collect()
+    rows = catalog.trips_stream_norm(spark, SF_SMALL).count()
+    assert (late.batches, late.input_rows, late.dropped_rows) == (4, rows, 0)
+    with open(f"{tmp_dir}/late-rows/zones/checkpoint/offsets/0") as f:
+        assert "RocksDBStateStoreProvider" in f.read()
+    last = read_progress(spark, f"{tmp_dir}/late-rows/progress").orderBy(F.desc("batch_id")).first()
+    assert last.state_rows > 0
