@@ -47,7 +47,7 @@ def executor_heap(spark: SparkSession) -> int:
     executors = len(sc.statusTracker().getExecutorInfos()) - 1  # the driver is listed too
     if executors < 1:
         return spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
-    return executors * sc.conf().getSizeAsBytes("spark.executor.memory", "1g")
+    return executors * sc.getConf().getSizeAsBytes("spark.executor.memory", "1g")
 
 
 def zone_state_conf(spark: SparkSession, sf_dir: str) -> dict[str, str]:
